@@ -39,13 +39,18 @@ def normalize_url(url: Column, ignore_scheme: bool = False) -> Column:
 
 def first_keyword(text: Column, keywords: dict[str, list[str]], default: str | None, word_boundary: bool = False) -> Column:
     """The first key one of whose keywords the lower-cased text contains."""
-    low = F.lower(text)
-    edge = r"\b" if word_boundary else ""
-    out = None
-    for key, words in keywords.items():
-        pattern = edge + "(" + "|".join(w.replace("&", "&") for w in words) + ")" + edge
-        out = F.when(low.rlike(pattern), key) if out is None else out.when(low.rlike(pattern), key)
-    return out.otherwise(F.lit(default).cast("string"))
+
+    def chosen(low: Column) -> Column:
+        out = None
+        for key, words in keywords.items():
+            hit = low.rlike(r"\b(" + "|".join(words) + r")\b") if word_boundary else F.lit(False)
+            for w in [] if word_boundary else words:
+                hit = hit | low.contains(w)
+            out = F.when(hit, key) if out is None else out.when(hit, key)
+        return out.otherwise(F.lit(default).cast("string"))
+
+    # A lambda's variable is evaluated once: the text is lower-cased once for all keywords.
+    return F.transform(F.array(F.lower(text)), chosen)[0]
 
 
 def classify_sector(headline: Column, ticker: Column, entities: Column, word_boundary: bool = False) -> Column:
