@@ -177,7 +177,7 @@ def decontaminate(
     kept = shared_checkpoint(kept.select("item", "span", "print", F.col("before").alias("item_before"), F.col("onward").alias("item_onward")).distinct())
     # The context's key: equal contexts of many items are compared once.
     kept = kept.withColumn("context", F.xxhash64("span", "print", "item_before", "item_onward"))
-    contexts = kept.select("print", "context", "item_before", "item_onward").distinct()
+    contexts = kept.select("span", "print", "context", "item_before", "item_onward").distinct()
     members = kept.where("item IS NOT NULL").select("context", "item").distinct()
     address = F.shiftrightunsigned("print", 64 - ADDRESS_BITS)
     marks = kept.select("print").distinct().groupBy(F.shiftright(address, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(print, {64 - ADDRESS_BITS}) & 63 as int))")).alias("bits"))
@@ -190,8 +190,7 @@ def decontaminate(
     numbered = docs.select(id_col, F.col(text_col).alias("__body")).withColumn("row", F.monotonically_increasing_id())
     read = shared_checkpoint(fingerprints(numbered, ["row", id_col], "__body", used, shared))
     hits = read.select("row", F.explode("found").alias("f")).select("row", "f.*")
-    runs = extended(hits.join(contexts, "print").select("*")).distinct()
-    runs = shared_checkpoint(runs)
+    runs = shared_checkpoint(extended(hits.join(contexts, ["span", "print"])).distinct())
     covered = runs.select("row", F.struct("a", "b").alias("run")).groupBy("row").agg(F.sort_array(F.collect_set("run")).alias("spans"))
     named = runs.select("row", "context").distinct().join(members, "context").groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("item_ids"))
     union = F.expr(
