@@ -271,3 +271,27 @@ def vw10(spark, sf):
 
     v = views.with_cold_start(trend(spark, sf), cold_start(articles(spark, sf), "day"))
     return v.groupBy("status", "days_collected").agg(F.count_distinct(KEY).alias("n"))
+
+
+@query("flt10_select_series", f"WITH {FLAT} SELECT grp AS \"group\", series_id, unit FROM flat WHERE series_id = '2-HIGH'")
+def flt10_series(spark, sf):
+    return views.select_series(flat(spark, sf), series=["2-HIGH"]).select("group", KEY, "unit")
+
+
+@query("vw6_series_view", f"WITH {FLAT} SELECT series_id, step, round(fr.mid, 2) AS mid FROM flat JOIN fr USING (series_id) WHERE series_id = '4-NOT SPECIFIED'")
+def vw6_series(spark, sf):
+    chosen = views.select_series(documents(spark, sf).select("group", F.explode("series").alias("s")).select("group", "s.series_id", "s.forecast"), series=["4-NOT SPECIFIED"])
+    return chosen.select(KEY, F.posexplode("forecast").alias("step", "p")).select(KEY, (F.col("step") + 1).alias("step"), F.round("p.mid", 2).alias("mid"))
+
+
+@query("vw6_spreads_view", f"WITH {FLAT}, d AS (SELECT max(last_value) FILTER (WHERE series_id = '5-LOW') - max(last_value) FILTER (WHERE series_id = '2-HIGH') AS last, max(m12) FILTER (WHERE series_id = '5-LOW') - max(m12) FILTER (WHERE series_id = '2-HIGH') AS m12 FROM flat) SELECT 'low_high' AS spread, round(last, 2) AS last, round(m12, 2) AS m12 FROM d")
+def vw6_spreads(spark, sf):
+    f = flat(spark, sf).withColumn("m12", F.try_element_at("forecast", F.lit(12))["mid"])
+    of = lambda c, s: F.max(F.when(F.col(KEY) == s, F.col(c)))
+    return f.agg(*(F.round(of(c, "5-LOW") - of(c, "2-HIGH"), 2).alias(n) for c, n in (("last_value", "last"), ("m12", "m12")))).select(F.lit("low_high").alias("spread"), "last", "m12")
+
+
+@query("vw6_yield_curve_view", f"WITH {FLAT} SELECT series_id, round(last_value, 2) AS last_value, round(m12, 2) AS m12 FROM flat WHERE grp = 'fast'")
+def vw6_curve(spark, sf):
+    f = views.select_series(flat(spark, sf), "fast", ["1-URGENT", "2-HIGH"])
+    return f.select(KEY, F.round("last_value", 2).alias("last_value"), F.round(F.try_element_at("forecast", F.lit(12))["mid"], 2).alias("m12"))
