@@ -48,9 +48,10 @@ def geography_levels(state: DataFrame, regions: DataFrame, measures: list[str],
     """AGG3, AGG4: plain mean over the states of each region and of the nation, for months that half of a level's states with data have, one at least."""
     level = state.join(regions, "state").withColumn("level", F.explode(F.array("region", F.lit(nation))))
     level = level.dropDuplicates(["level", "state", "month"])
-    available = level.groupBy("level").agg(F.count_distinct("state").alias("_all"))
-    means = level.groupBy("level", "month").agg(*(F.avg(m).alias(m) for m in measures), F.count_distinct("state").alias("state_count"))
-    return means.join(available, "level").where(F.col("state_count") >= F.greatest(F.lit(1), F.floor(F.col("_all") / 2))).drop("_all")
+    means = level.groupBy("level", "month").agg(*(F.avg(m).alias(m) for m in measures), F.count_distinct("state").alias("state_count"), F.collect_set("state").alias("_states"))
+    # States with data come from the monthly means, a few rows a level, so that the panel is made once.
+    available = F.size(F.array_distinct(F.flatten(F.collect_list("_states").over(Window.partitionBy("level")))))
+    return means.withColumn("_all", available).where(F.col("state_count") >= F.greatest(F.lit(1), F.floor(F.col("_all") / 2))).drop("_all", "_states")
 
 
 def anomaly(monthly: DataFrame, key: Names, value: str, first: int = 2000, last: int = 2019, least_years: int = 10) -> DataFrame:

@@ -364,7 +364,10 @@ def flt4(spark, sf):
 
 @query("flt5_clip_window_fixed", f"WITH {PANEL} SELECT series_id, month, {r4('value')} AS value FROM panel WHERE month >= DATE '1996-01-01'", days=("month",))
 def flt5(spark, sf):
-    return rounded(panel(spark, sf).where("month >= DATE '1996-01-01'"), ["value"])
+    # On the day, before it is truncated, the filter reaches the scan.
+    o = table(spark, sf, "orders").where(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
+    days = o.select(F.col("o_orderpriority").alias(KEY), F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("value"))
+    return rounded(align.daily_to_monthly_mean(days, KEY), ["value"])
 
 
 @query("flt6_clip_window_common_start", f"WITH {GAPPY}, s AS (SELECT max(f) AS s FROM (SELECT min(month) AS f FROM gappy WHERE value IS NOT NULL GROUP BY series_id)) SELECT series_id, month, {r4('value')} AS value FROM gappy, s WHERE month >= s", days=("month",))
