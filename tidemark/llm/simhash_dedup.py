@@ -25,6 +25,9 @@ from tidemark.llm.common import map_texts, shared_checkpoint
 #: Shingle length in words, seed of the hash, most differing bits, and longest posting list that is paired.
 SHINGLE, SEED, BITS, LIST_LIMIT = 3, 42, 2, 64
 
+#: Shingles of a text that are hashed at once, so that memory doesn't grow with the text.
+PART = 4096
+
 BLOCK_PAIRS = [(a, b) for a in range(4) for b in range(a + 1, 4)]
 
 #: Rounds of the component search; each at least halves what is left of a path, so none needs more.
@@ -36,18 +39,15 @@ def simhash(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     words = text.lower().split()
     if not words:
         return 0
-    if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), seed)]
-    else:
-        digest, join = xxhash.xxh64_intdigest, b" ".join
-        hashes = [digest(join(x), seed) for x in zip(*(words[i:] for i in range(shingle)), strict=False)]
-    rows = np.array(hashes, np.uint64).astype("<u8").view(np.uint8).reshape(-1, 8)
-    if len(rows) < 2000:
-        ones = np.unpackbits(rows, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    else:
-        bits = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
-        ones = np.concatenate([np.bincount(rows[:, i], minlength=256) @ bits for i in range(8)])
-    return int(np.packbits(2 * ones > len(rows), bitorder="little").view("<i8")[0])
+    n = max(1, len(words) - shingle + 1)
+    digest, join = xxhash.xxh64_intdigest, b" ".join
+    ones = np.zeros(64, np.int64)
+    for lo in range(0, n, PART):
+        part = words[lo : lo + PART + shingle - 1]
+        shingles = zip(*(part[i:] for i in range(shingle)), strict=False) if len(words) >= shingle else [words]
+        rows = np.array([digest(join(x), seed) for x in shingles], np.uint64).astype("<u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(rows, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
