@@ -133,19 +133,22 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     fit in 64 bits. Rows with a null id, a null or empty vector, or a null or non-finite component take
     no part; rows of other lengths are no candidates. Rows that repeat an id are candidates of their own
     but never of that id; a repeated query is answered once, from its first row's vector by value. Queries
-    with fewer candidates return all. Candidates are dealt to groups of about `group_rows`, six at least,
-    each of which meets every query block in one task.
+    with fewer candidates return all. Queries and candidates are dealt to groups of about `group_rows`, six
+    of candidates at least; each pair of groups meets in one task.
     """
     x = F.transform(vector_col, lambda v: F.floor(F.lit(scale) * v.cast("double")).cast("double"))
     finite = F.forall(vector_col, lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < F.lit(float("inf"))))
     valid = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(vector_col) > 0) & finite)
     rows = valid.select(F.col(id_col).cast("long").alias("id"), x.alias("v"), is_query.alias("q"))
-    groups = max(6, -(-rows.count() // group_rows))
+    sizes = rows.agg(F.count("*").alias("n"), F.count_if("q").alias("q")).first()
+    groups, q_groups = max(6, -(-sizes["n"] // group_rows)), max(1, -(-sizes["q"] // group_rows))
     queries = rows.where("q").groupBy("id").agg(F.min("v").alias("v"))
     q_blocks = packed(queries, QUERY_BLOCK).select("dim", F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
     # Groups come from the blocks' bytes: a task that runs again deals its blocks as before.
     x_blocks = packed(rows.select("id", "v"), CANDIDATE_BLOCK).withColumn("group", F.pmod(F.xxhash64("ids", "values"), F.lit(groups)).cast("int"))
-    met = q_blocks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).join(x_blocks, ["dim", "group"])
+    # A grid of groups: each task has about group_rows queries and as many candidates.
+    q_dealt = q_blocks.withColumn("q_group", F.pmod(F.xxhash64("q_ids"), F.lit(q_groups)).cast("int")).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    met = q_dealt.join(x_blocks.withColumn("q_group", F.explode(F.sequence(F.lit(0), F.lit(q_groups - 1)))), ["dim", "group", "q_group"])
     answer = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType())])
 
     def search(batches):
