@@ -237,12 +237,13 @@ def test_sharding_edge_cases(odd, none):
 # 5 Top-k search
 
 
-def test_topk_equals_brute_force_with_ties_and_bad_vectors(spark):
+@pytest.mark.parametrize("group_rows", [100_000, 7])
+def test_topk_equals_brute_force_with_ties_and_bad_vectors(spark, group_rows):
     rng = np.random.default_rng(2)
     good = [(i, [float(x) for x in rng.integers(-2, 3, 8) / 8]) for i in range(300)]
     bad = [(1000, None), (1020, [None] + [0.1] * 7), (1040, [float("nan")] * 8), (1060, [float("inf")] * 8), (1080, []), (1100, [0.5, 0.5]), (None, [0.1] * 8)]
     df = spark.createDataFrame(good + bad, "vec_id long, embedding array<float>").withColumns({c: F.lit("x") for c in CLASHING})
-    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in topk_search.top_k(df, F.col("vec_id") % 20 == 0, 20).collect()]
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in topk_search.top_k(df, F.col("vec_id") % 20 == 0, 20, group_rows=group_rows).collect()]
     vec = {i: [math.floor(64 * x) for x in e] for i, e in good}
     want = []
     for q in [i for i in vec if i % 20 == 0]:
@@ -435,7 +436,7 @@ def test_quality_edge_cases(spark, odd, none):
 def test_non_negative_risk_separates_classes():
     rng = np.random.default_rng(4)
     one = lambda m, n: np.hstack([rng.normal(m, 1, (n, 2)), np.ones((n, 1))]).astype(np.float32)
-    model = quality.fit_pu(one(2, 300), np.vstack([one(2, 300), one(-2, 300)]), 0.5)
+    model = quality.fit_pu(np.vstack([one(2, 300), one(2, 300), one(-2, 300)]), 300, 0.5)
     z = lambda x: ((x - model.mean) / model.scale) @ model.weights
     assert (z(one(2, 200)) > 0).mean() > 0.95 and (z(one(-2, 200)) < 0).mean() > 0.95
 

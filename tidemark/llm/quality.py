@@ -87,26 +87,31 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, rate: float = RATE, penalty: float = PENALTY) -> QualityModel:
-    """Minimises the non-negative risk with the logistic loss by Adam over the whole sample."""
-    width = (positive if len(positive) else unlabelled).shape[1]
-    both = np.vstack([positive, unlabelled]) if len(unlabelled) else positive
-    mean, scale = both.mean(axis=0), both.std(axis=0)
+def fit_pu(x: np.ndarray, positives: int, prior: float, steps: int = STEPS, rate: float = RATE, penalty: float = PENALTY) -> QualityModel:
+    """Minimises the non-negative risk with the logistic loss by Adam over the whole sample: `positives` rows of positives, then unlabelled ones. Standardises x in place."""
+    mean, scale = x.mean(axis=0), x.std(axis=0)
     mean[-1] = 0
     scale = np.maximum(scale, 0.003)
     scale[-1] = 1
-    p, u = (positive - mean) / scale, (unlabelled - mean) / scale
-    w, m, v = np.zeros((3, width), np.float32)
+    x -= mean
+    x /= scale
+    p, u = x[:positives], x[positives:]
+    w, m, v = np.zeros((3, x.shape[1]), np.float32)
 
     def sigmoid(z):
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
+    center = p.mean(axis=0)
     for t in range(1, steps + 1):
         zp, zu = p @ w, u @ w
-        gain = -prior * (p.T @ sigmoid(-zp)) / len(p)
-        less = (u.T @ sigmoid(zu)) / len(u) - prior * (p.T @ sigmoid(zp)) / len(p)
         negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        g = (gain + less if negative >= 0 else -less) + penalty * np.r_[w[:-1], 0]
+        of_unlabelled = (u.T @ sigmoid(zu)) / len(u)
+        if negative >= 0:
+            # Of positives the two losses' slopes add up to a constant.
+            g = of_unlabelled - prior * center
+        else:
+            g = prior * (p.T @ sigmoid(zp)) / len(p) - of_unlabelled
+        g = g + penalty * np.r_[w[:-1], 0]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - rate * (1 - 0.9 * t / steps) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return QualityModel(w.astype(np.float32), mean, scale, prior)
@@ -148,12 +153,17 @@ def fit(
 
     rows = map_texts(sample, ["kind"], "__body", [T.StructField("x", T.BinaryType())], start).toArrow()
     kind = rows.column("kind").to_numpy()
-    x = np.frombuffer(b"".join(rows.column("x").to_pylist()), np.uint8).reshape(-1, dim + 2 * BINS).astype(np.float32) / 255
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    if not (kind == 1).any() or not (kind == 0).any():
-        zero = np.zeros(dim + 2 * BINS + 1, np.float32)
+    width = dim + 2 * BINS
+    bodies = rows.column("x").to_pylist()
+    x = np.ones((len(kind), width + 1), np.float32)
+    for row, at in zip(x, np.argsort(-kind, kind="stable").tolist(), strict=True):
+        row[:width] = np.frombuffer(bodies[at], np.uint8)
+    x[:, :width] /= 255
+    good = int(kind.sum())
+    if not 0 < good < len(kind):
+        zero = np.zeros(width + 1, np.float32)
         return QualityModel(zero, zero, zero + 1, prior)
-    return fit_pu(x[kind == 1], x[kind == 0], prior)
+    return fit_pu(x, good, prior)
 
 
 def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
