@@ -129,6 +129,20 @@ def test_lm_gradient_is_that_of_the_loss():
         assert abs((up - down) / 2e-2 - grad.flat[i]) < 2e-3 + 0.05 * abs(grad.flat[i])
 
 
+def test_lm_trains_on_every_part_of_a_text(spark):
+    """A word at the start, within or at the end of a text changes what is learned."""
+    voc = vocabulary([b"a b c d e f g " * 200])
+
+    def learned(at):
+        words = [b"abcdefg"[i * i % 7 : i * i % 7 + 1] for i in range(3000)]
+        words[at] = b"d"  # squares modulo 7 are never 3
+        docs = spark.createDataFrame([(b" ".join(words).decode(),)], "text string")
+        return recurrent_lm.train(docs, voc, text_col="text", rates=(0.01,))
+
+    weights = [learned(at) for at in (0, 100, 1007, 1500, 2250, 2999)]
+    assert all(np.abs(w - weights[0]).max() > 0 for w in weights[1:])
+
+
 def test_lm_edge_cases(odd, none):
     got = recurrent_lm.score_documents(odd).collect()
     assert len(got) == len(ODD) and all(math.isfinite(r.score) for r in got)

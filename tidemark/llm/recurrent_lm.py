@@ -7,9 +7,8 @@ with one more type for unseen words. So the model is a distribution over the sam
 base, of any vocabulary size.
 
 Training is truncated backpropagation through windows of words with the state carried from window to
-window. Tasks train on their own rows from common weights, which are averaged after each round. In each
-round every training text takes part with a run of its words, at a place that depends on its id and the
-round: SHARE of it, RUN words at least. Scoring carries the state from a text's first word to its end, over whole texts.
+window. Tasks train on their own rows from common weights, which are averaged after each round. Each
+round trains on every word of every training text, from its start to its end. Scoring carries the state from a text's first word to its end, over whole texts.
 """
 
 from __future__ import annotations
@@ -35,11 +34,11 @@ HEAD, CLASS_WORDS, TAIL_CLASSES, UNITS = 2048, 64, 48, 32
 #: Words whose counts each worker holds at most; the counts of the others are joined.
 KNOWN = 200_000
 
-#: Rounds of training, their step sizes, words of a window, windows side by side, least updates of a
-#: task and round, share of a text's words that a round trains on, and its least number of words.
-RATES, WINDOW, LANES, LEAST_UPDATES, SHARE, RUN = (0.01, 0.006, 0.003), 24, 128, 40, 0.04, 48
+#: Rounds of training, their step sizes, words of a window, windows side by side, and least updates of
+#: a task and round.
+RATES, WINDOW, LANES, LEAST_UPDATES = (0.01, 0.006, 0.003), 24, 128, 40
 
-#: Smoothing of counts, words that are scored together, texts side by side, words of a block, and words of a count table.
+#: Smoothing of counts, words that are trained on or scored together, texts side by side, words of a block, and words of a count table.
 SMOOTH, GROUP_WORDS, SCORE_LANES, SCORE_BLOCK, TABLE_WORDS = 0.1, 1_500_000, 512, 32_768, 300_000
 
 #: The end of a text; no word is empty.
@@ -331,31 +330,27 @@ def averaged(parts: DataFrame, by: list[str]) -> DataFrame:
     return parts.groupBy(*by).applyInArrow(mean, parts.schema)
 
 
-def train(docs: DataFrame, vocab: Vocabulary, id_col: str, text_col: str, rates: tuple[float, ...] = RATES) -> np.ndarray:
+def train(docs: DataFrame, vocab: Vocabulary, text_col: str, rates: tuple[float, ...] = RATES) -> np.ndarray:
     """Weights after one round for each step size; without training rows, the first ones."""
     spark = docs.sparkSession
     net = Network(vocab)
     if not vocab.tokens:
         return net.flat
-    key = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(1 << 30))
-    bodies = docs.select(key.alias("key"), F.col(text_col).cast("string").cast("binary").alias("t"))
+    bodies = docs.select(F.col(text_col).cast("string").cast("binary").alias("t"))
     shared_vocab = spark.sparkContext.broadcast(vocab)
     weights = net.flat
-    for k, rate in enumerate(rates):
+    for rate in rates:
         shared = spark.sparkContext.broadcast(weights)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate, k=k):
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate):
             from pyspark import TaskContext
 
             voc, local = shared_vocab.value, Network(shared_vocab.value, shared.value)
             texts: list[np.ndarray] = []
             size = weight = 0
             for batch in batches:
-                for key, text in zip(*(c for c in batch.columns), strict=True):
-                    words = words_of(text.as_py())
-                    n = max(RUN, int(len(words) * SHARE))
-                    lo = key.as_py() * (2 * k + 1) % max(1, len(words) - n + 1)
-                    texts.append(voc.symbols(words[lo : lo + n])[1])
+                for text in batch.column(0):
+                    texts.append(voc.symbols(words_of(text.as_py()))[1])
                     size += len(texts[-1])
                     if size > GROUP_WORDS:
                         train_task(local, texts, voc.first, rate)
@@ -467,6 +462,6 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     train_docs = docs.where(id_remainder(id_col, folds) != held_fold)
     counts = shared_checkpoint(count_words(train_docs, text_col))
     vocab, least_level = vocabulary(counts, known)
-    weights = train(train_docs, vocab, id_col, text_col, rates)
+    weights = train(train_docs, vocab, text_col, rates)
     rest = counts.where(F.floor(F.log2("n") * 32).cast("int") < least_level)
     return score(docs, vocab, weights, rest, id_col, text_col).withColumn("held_out", id_remainder(id_col, folds) == held_fold)
