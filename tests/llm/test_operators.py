@@ -143,6 +143,23 @@ def test_lm_trains_on_every_part_of_a_text(spark):
     assert all(np.abs(w - weights[0]).max() > 0 for w in weights[1:])
 
 
+def test_lm_trains_a_long_text_to_its_end():
+    """Beside many short texts as well: each pass has every word once, and states are cleared at starts alone."""
+    voc = vocabulary([b"a b c a b", b"b c d e f g"])
+    texts = [np.arange(5000, dtype=np.int32) % 5, *(np.arange(30, dtype=np.int32) % 4 for _ in range(60))]
+    seen, starts = Counter(), 0
+
+    class Recorder(recurrent_lm.Network):
+        def step(self, symbols, targets, fresh, live, state, grad):
+            nonlocal starts
+            seen.update(targets[live].tolist())
+            starts += int(fresh[live].sum())
+            return super().step(symbols, targets, fresh, live, state, grad)
+
+    recurrent_lm.train_task(Recorder(voc), texts, voc.first, 0.01)
+    assert seen == Counter(np.concatenate(texts).tolist()) and starts == len(texts)
+
+
 def test_lm_edge_cases(odd, none):
     got = recurrent_lm.score_documents(odd).collect()
     assert len(got) == len(ODD) and all(math.isfinite(r.score) for r in got)

@@ -290,24 +290,44 @@ def lanes_of(texts: list[np.ndarray], first: int, lanes: int) -> tuple[np.ndarra
     return tuple(np.ascontiguousarray(a.T) for a in (inputs, targets, owner, fresh))
 
 
+def lane_windows(texts: list[np.ndarray], first: int, lanes: int, window: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """As lanes_of(), a window at a time and of the lanes alone that aren't at their end: inputs, targets, live and fresh."""
+    lanes = max(1, min(lanes, len(texts)))
+    heap = [(0, k) for k in range(lanes)]
+    held: list[list[np.ndarray]] = [[] for _ in range(lanes)]
+    for text in sorted(texts, key=len, reverse=True):
+        size, k = heapq.heappop(heap)
+        held[k].append(text)
+        heapq.heappush(heap, (size + len(text), k))
+    rows = []
+    for part in sorted(held, key=lambda part: -sum(map(len, part))):
+        y = np.concatenate(part)
+        start = np.zeros(len(y), bool)
+        start[np.cumsum([0, *map(len, part[:-1])])] = True
+        rows.append((np.where(start, first, np.roll(y, 1)), y, start))
+    for lo in range(0, len(rows[0][1]), window):
+        on = sum(len(y) > lo for _, y, _ in rows)
+        inputs, targets = np.full((2, on, window), first, np.int32)
+        fresh, live = np.zeros((2, on, window), bool)
+        for row, (x, y, start) in enumerate(rows[:on]):
+            n = min(window, len(y) - lo)
+            inputs[row, :n], targets[row, :n], fresh[row, :n], live[row, :n] = x[lo : lo + n], y[lo : lo + n], start[lo : lo + n], True
+        yield tuple(np.ascontiguousarray(a.T) for a in (inputs, targets, live, fresh))
+
+
 def train_task(net: Network, texts: list[np.ndarray], first: int, rate: float) -> None:
     """Adam over the windows of the texts, again from the start until LEAST_UPDATES are made."""
-    inputs, targets, owner, fresh = lanes_of(texts, first, LANES)
     grad = Network.__new__(Network)
     grad.shapes, grad.flat = net.shapes, np.zeros_like(net.flat)
     net.views(grad.flat, grad)
     m, v = np.zeros((2, len(net.flat)), np.float32)
     t = 0
     while t < LEAST_UPDATES:
-        state = np.zeros((inputs.shape[1], UNITS), np.float32)
-        for lo in range(0, len(inputs), WINDOW):
-            part = slice(lo, lo + WINDOW)
-            live = owner[part] >= 0
-            on = int(live.any(axis=0).sum())
-            if on * 8 < inputs.shape[1] and lo:
-                break  # what few lanes have left is long texts' remainder, trained on by the next pass or round
+        state = np.zeros((LANES, UNITS), np.float32)
+        for inputs, targets, live, fresh in lane_windows(texts, first, LANES, WINDOW):
+            on = inputs.shape[1]
             grad.flat[:] = 0
-            state, _ = net.step(inputs[part, :on], targets[part, :on], fresh[part, :on], live[:, :on], state[:on], grad)
+            state, _ = net.step(inputs, targets, fresh, live, state[:on], grad)
             t += 1
             norm = float(np.linalg.norm(grad.flat))
             if norm > 1:
