@@ -36,6 +36,16 @@ def test_language_stage_keeps_documents_with_a_language(stages):
     assert not {r.lang_pred for r in language_id.identify(stages[1]).collect()} & {"und"}
 
 
+@pytest.mark.parametrize("unlearned", ["en", "de"])
+def test_language_stage_rejects_a_language_left_out_and_gibberish(spark, sf, unlearned):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    docs = docs.withColumn("lang", F.when(F.col("lang") != unlearned, F.col("lang")).otherwise(F.lit(None)))
+    odd = docs.limit(1).withColumns({"doc_id": F.lit(10**9).cast("long"), "lang": F.lit(None).cast("string"), "text": F.lit("qzx vkj wqp the zzx kqj xvw jqz pqx vzk " * 5)})
+    kept = corpus_pipeline.language(spark, docs.unionByName(odd), sf)
+    assert kept.where("lang IS NULL").count() <= 0.01 * docs.where("lang IS NULL").count()
+    assert kept.where("lang IS NOT NULL").count() >= 0.99 * docs.where("lang IS NOT NULL").count()
+
+
 def test_quality_stage_keeps_good_labels(spark, sf, stages):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     good = lambda df: df.join(labels.where("quality = 1"), "doc_id").count()

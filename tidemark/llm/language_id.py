@@ -81,12 +81,16 @@ class LanguageFilter:
         self.false_rate = np.minimum(filled**self.count, 0.99)
 
     def predict(self, texts: list[bytes | None]) -> tuple[list[str], np.ndarray]:
+        return self.measure(texts)[:2]
+
+    def measure(self, texts: list[bytes | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Names and scores, and the winner's corrected hits as a share of the text's own n-grams."""
         n_lang = len(self.languages)
         known = [t is not None and n_lang > 0 and has_letter(t) for t in texts]
-        names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        names, (scores, coverage) = [UNDETERMINED] * len(texts), np.zeros((2, len(texts)))
         at = np.flatnonzero(known)
         if not len(at):
-            return names, scores
+            return names, scores, coverage
         codes, sizes = gram_codes([letters(texts[i]) for i in at])
         starts = np.cumsum(sizes) - sizes
         hits = np.empty((len(at), n_lang))
@@ -102,7 +106,8 @@ class LanguageFilter:
         share = corrected[np.arange(len(at)), best] / np.where(total > 0, total, 1)
         for i, b, s, t in zip(at.tolist(), best.tolist(), share.tolist(), total.tolist(), strict=True):
             names[i], scores[i] = (self.languages[b], s) if t > 0 else (self.fallback, 0.0)
-        return names, np.minimum(scores, 1.0)
+        coverage[at] = corrected[np.arange(len(at)), best] / sizes
+        return names, np.minimum(scores, 1.0), coverage
 
 
 def fit(
@@ -153,26 +158,30 @@ def fit(
     return LanguageFilter(languages, masks, count, max(languages, key=lambda k: (sizes[k], k)))
 
 
-def predict(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id", text_col: str = "text", coverage: bool = False) -> DataFrame:
     """One row for each row of `docs`: its id, `lang_pred` and `score`, the winner's share of all
-    languages' corrected hits.
+    languages' corrected hits; if asked, `coverage` as well, the winner's corrected hits as a share of
+    the text's own n-grams.
 
     `und` and 0 if the text is null or has no letter, or no language was learned; the most frequent
     language and 0 if no n-gram is known. Equal counts go to the first language in order. Repeated rows
     stay; other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    if coverage:
+        fields.append(T.StructField("coverage", T.DoubleType()))
 
     def start():
         filter_ = shared.value
 
         def work(texts):
-            names, scores = filter_.predict(texts)
-            return [pa.array(names, pa.string()), pa.array(scores)]
+            names, *shares = filter_.measure(texts)
+            return [pa.array(names, pa.string()), *map(pa.array, shares[: len(fields) - 1])]
 
         return work
 
-    return map_texts(docs, [id_col], text_col, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], start)
+    return map_texts(docs, [id_col], text_col, fields, start)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 3, held_fold: int = 1) -> DataFrame:
