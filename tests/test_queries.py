@@ -26,3 +26,7 @@ def test_entry_gives_rows(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_all_stored_articles_are_read(spark, sf):
+    assert QUERIES["src5_read_all_articles"](spark, sf).count() == spark.read.parquet(f"{sf}/documents.parquet").count()

@@ -144,12 +144,22 @@ def src4(spark, sf):
 
 @query("src5_read_articles", "SELECT 'https://a/' || doc_id AS url, text AS headline, CASE WHEN quality = 1 THEN 0.5 END AS sentiment, '' AS ticker FROM documents LEFT JOIN labels USING (doc_id) WHERE doc_id % 30 = 4")
 def src5(spark, sf):
+    return stored_articles(spark, sf, "2024-01-05")
+
+
+@query("src5_read_all_articles", "SELECT 'https://a/' || doc_id AS url, text AS headline, CASE WHEN quality = 1 THEN 0.5 END AS sentiment, '' AS ticker FROM documents LEFT JOIN labels USING (doc_id)")
+def src5_all(spark, sf):
+    return stored_articles(spark, sf)
+
+
+def stored_articles(spark, sf, on=None):
+    """Articles written as files and read again, of one day if asked."""
     d = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
     day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("doc_id", F.lit(30)).cast("int"))
     at = folder(spark)
     rows = d.select(F.concat(day.cast("string"), F.lit("T08:00:00Z")).alias("timestamp"), F.concat(F.lit("https://a/"), F.col("doc_id").cast("string")).alias("url"), F.col("text").alias("headline"), F.when(F.col("quality") == 1, "0.5").otherwise("none").alias("sentiment"))
     rows.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(at)
-    return files.articles_csv(spark, at, "2024-01-05").select("url", "headline", "sentiment", "ticker")
+    return files.articles_csv(spark, at, on).select("url", "headline", "sentiment", "ticker")
 
 
 # Sinks
