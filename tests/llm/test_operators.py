@@ -479,3 +479,14 @@ def test_digest_queries_describe_operator_output(spark, sf, docs, library):
         assert got[r.doc_id].n_tokens == len(ids)
         assert got[r.doc_id].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert got[r.doc_id].decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_quality_sample_is_bounded_for_rows_of_one_id(spark, monkeypatch):
+    """Of 2,000 rows of a labelled id and 2,000 without id about `positives` and `unlabelled` are drawn."""
+    rows = [(i, f"text {i} {k} of many words") for i in (7, None) for k in range(2000)]
+    docs = spark.createDataFrame([*rows, (8, "another")], "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, quality int")
+    drawn = []
+    monkeypatch.setattr(quality, "fit_pu", lambda x, good, prior: drawn.append((good, len(x) - good)))
+    quality.fit(docs, labels, positives=100, unlabelled=200)
+    assert 40 < drawn[0][0] < 180 and 120 < drawn[0][1] < 300

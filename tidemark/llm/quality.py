@@ -130,7 +130,8 @@ def fit(
     """Learns from the rows of `labels` with label 1 and from `docs` as unlabelled text.
 
     The class prior is the share of label 1 among the labelled ids, kept within 0.05 and 0.95. The
-    sample's expected size is bounded by `positives` and `unlabelled`. Without labels every score is 0.5.
+    sample's expected size is bounded by `positives` and `unlabelled`; rows are chosen by a hash of id and
+    text, so rows of one id don't come all or none. Without labels every score is 0.5.
     """
     keys = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col)).alias("__label"))
     counts = keys.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("__label").cast("long")), F.lit(0)).alias("good")).first()
@@ -141,12 +142,14 @@ def fit(
     n_docs = docs.count()
 
     def chosen(seed: int, most: int, of: int):
-        uniform = F.pmod(F.xxhash64(F.coalesce(F.col("__id").cast("string"), F.lit("")), F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+        uniform = F.pmod(F.xxhash64(F.coalesce(F.col("__id").cast("string"), F.lit("")), F.coalesce(F.col("__body"), F.lit("")), F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20))
         return uniform < min(1.0, most / max(1, of))
 
     bodies = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__body"))
-    good = keys.where((F.col("__label") == 1) & chosen(10, positives, counts["good"])).select("__id")
-    sample = bodies.where(chosen(11, unlabelled, n_docs)).withColumn("kind", F.lit(0)).union(bodies.join(good, "__id").withColumn("kind", F.lit(1)))
+    good = keys.where(F.col("__label") == 1).select("__id")
+    n_good = bodies.groupBy("__id").agg(F.count("*").alias("n")).join(good, "__id").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    picked = bodies.where(chosen(10, positives, n_good)).join(good, "__id")
+    sample = bodies.where(chosen(11, unlabelled, n_docs)).withColumn("kind", F.lit(0)).union(picked.withColumn("kind", F.lit(1)))
 
     def start():
         return lambda texts: [pa.array([x.tobytes() for x in np.rint(features(texts, dim)[:, :-1] * 255).astype(np.uint8)], pa.binary())]
