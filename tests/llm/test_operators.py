@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -82,82 +83,145 @@ def test_lm_base_score_is_exact_and_model_beats_it_held_out(docs):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def vocabulary(texts):
-    counts = Counter(w for t in texts for w in recurrent_lm.words_of(t))
-    top = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
+def vocabulary(texts, known=None):
+    """The vocabulary of texts, of whose words it holds the `known` most frequent ones."""
+    counts = Counter(w for t in texts for w in [*spaced(t), ""])
+    top = sorted(((w.encode(), n) for w, n in counts.items()), key=lambda x: (-x[1], x[0]))
     tokens, types = np.zeros((2, recurrent_lm.TAIL_CLASSES), np.int64)
     for w, n in top[recurrent_lm.HEAD :]:
         tokens[recurrent_lm.tail_class(w)] += n
         types[recurrent_lm.tail_class(w)] += 1
-    return recurrent_lm.Vocabulary(sum(counts.values()), len(counts), [w for w, _ in top], np.array([n for _, n in top]), tokens, types)
+    return recurrent_lm.Vocabulary(sum(counts.values()), len(counts), [w for w, _ in top[:known]], np.array([n for _, n in top[:known]], np.int64), tokens, types)
+
+
+def plain_score(net, voc, counts, text):
+    """log10 probability of a text, one word after the other, by the definition of the unit and of the classes."""
+    sigmoid = lambda x: 1 / (1 + np.exp(-2 * x.astype(np.float64)))  # noqa: E731  weights are of half the usual input
+    h, slot = recurrent_lm.UNITS, {w: i for i, w in enumerate(voc.words[: voc.head])}
+    symbol = lambda w: slot.get(w, voc.head + zlib.crc32(w[:2]) % recurrent_lm.TAIL_CLASSES)
+    state, last, total = np.zeros(h), symbol(b""), 0.0
+    for word in [*(w.encode() for w in spaced(text)), b""]:
+        x, g = net.into @ net.seen[last], net.state @ state
+        z, r = sigmoid(x[:h] + g[:h]), sigmoid(x[h : 2 * h] + g[h : 2 * h])
+        state = z * state + (1 - z) * np.tanh(x[2 * h :] + r * g[2 * h :])
+        one = np.r_[state, 1]
+        last = symbol(word)
+        logits = net.to_class @ one
+        in_head = last < voc.head
+        c = last // recurrent_lm.CLASS_WORDS if in_head else voc.head_classes + last - voc.head
+        total += (logits[c] - np.log(np.exp(logits).sum())) / np.log(10)
+        if in_head:
+            lo = c * recurrent_lm.CLASS_WORDS
+            words = net.to_word[lo : lo + recurrent_lm.CLASS_WORDS] @ one
+            total += (words[last - lo] - np.log(np.exp(words).sum())) / np.log(10)
+        else:
+            k = last - voc.head
+            total += np.log10((counts[word] + 0.1) / (voc.tail_tokens[k] + 0.1 * (voc.tail_types[k] + 1)))
+    return total
+
+
+def test_lm_score_equals_a_plain_loop_for_head_tail_rare_and_unseen_words(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choice(words, n, p=np.arange(3000, 0, -1) / (3000 * 3001 / 2))) for n in (4000, 900, 3000, 1, 40)] + ["", "W5 never seen w2999"]
+    counts = Counter(w.encode() for t in texts[:-1] for w in [*spaced(t), ""])
+    voc = vocabulary(texts[:-1], known=1500)
+    assert voc.head == recurrent_lm.HEAD < 1500 < len(counts)
+    net = recurrent_lm.Network(voc)
+    rest = spark.createDataFrame([(bytearray(w), n) for w, n in counts.items() if w not in voc.slot], "word binary, n long")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in recurrent_lm.score(docs, voc, net.flat, rest).collect():
+        assert math.isclose(r.score, plain_score(net, voc, counts, texts[r.doc_id]), rel_tol=1e-4)
 
 
-def test_lm_probabilities_add_up_to_one_and_state_is_carried():
-    voc = vocabulary([b"a b c a b", b"b c d e f g"])
+def test_lm_probabilities_add_up_to_one():
+    voc = vocabulary(["a b c a b", "b c d e f g"])
     net = recurrent_lm.Network(voc)
-    state = np.random.default_rng(0).normal(size=(1, recurrent_lm.UNITS)).astype(np.float32)
+    state = np.random.default_rng(0).normal(size=(1, recurrent_lm.UNITS + 1)).astype(np.float32)
+    state[:, -1] = 1
     every = np.arange(voc.head + recurrent_lm.TAIL_CLASSES)
     logp, _ = net.outputs(np.repeat(state, len(every), axis=0), every)
     assert math.isclose(float(np.exp(logp).sum()), 1, rel_tol=1e-4)
-    text = np.array(([0, 1, 2, 3] * 50), np.int32)
-    whole = recurrent_lm.score_group(net, [text, text[:7]], voc.first)
-    states = net.forward(np.r_[voc.first, text[:-1]][:, None].astype(np.int32), np.arange(len(text))[:, None] == 0, np.zeros((1, recurrent_lm.UNITS), np.float32))
-    assert math.isclose(whole[0], float(net.outputs(states[:, 0], text)[0].sum()), rel_tol=1e-4)
 
 
 def test_lm_gradient_is_that_of_the_loss():
-    voc = vocabulary([b"a b c a b", b"b c d e f g"])
-    net = recurrent_lm.Network(voc)
-    inputs, targets, owner, fresh = recurrent_lm.lanes_of([np.array([0, 1, 2, 0]), np.array([1, 3])], voc.first, 2)
-    live, state = owner >= 0, np.zeros((2, recurrent_lm.UNITS), np.float32)
+    net = recurrent_lm.Network(voc := vocabulary(["a b c a b", "b c d e f g"]))
+    texts = [(0, np.array([0, 1, 2, 0], np.int16)), (1, np.array([1, 3], np.int16))]
+    (w,) = recurrent_lm.lane_windows(texts, voc.first, 2, 4)
+    state = np.random.default_rng(1).normal(size=(recurrent_lm.UNITS, 2)).astype(np.float32)
+    w.fresh[0] = []  # the first state is carried from before
 
     def loss():
-        states = net.forward(inputs, fresh, state)
-        return -float(net.outputs(states[live], targets[live])[0].astype(np.float64).sum()) / live.sum()
-
-    grad = recurrent_lm.Network.__new__(recurrent_lm.Network)
-    grad.shapes, grad.flat = net.shapes, np.zeros_like(net.flat)
-    net.views(grad.flat, grad)
-    net.step(inputs, targets, fresh, live, state, grad)
-    for i in np.argsort(-np.abs(grad.flat))[:40:4]:
-        was = net.flat[i]
-        net.flat[i] = was + 1e-2
-        up = loss()
-        net.flat[i] = was - 1e-2
-        down = loss()
-        net.flat[i] = was
-        assert abs((up - down) / 2e-2 - grad.flat[i]) < 2e-3 + 0.05 * abs(grad.flat[i])
+        logp, _ = net.outputs(w.flat(net.forward(w.inputs, w.fresh, state)), w.live_targets())
+        return -float(logp.astype(np.float64).mean())
+
+    grad = net.slopes()
+    net.step(w, state, grad)
+    for name in net.shapes:
+        part, slope = getattr(net, name).reshape(-1), getattr(grad, name).reshape(-1)
+        for i in np.argsort(-np.abs(slope))[:8:2]:
+            was = part[i]
+            part[i] = was + 1e-2
+            up = loss()
+            part[i] = was - 1e-2
+            down = loss()
+            part[i] = was
+            assert abs((up - down) / 2e-2 - slope[i]) < 1e-3 + 0.05 * abs(slope[i])
 
 
 def test_lm_trains_on_every_part_of_a_text(spark):
     """A word at the start, within or at the end of a text changes what is learned."""
-    voc = vocabulary([b"a b c d e f g " * 200])
+    voc = vocabulary(["a b c d e f g " * 200])
 
     def learned(at):
-        words = [b"abcdefg"[i * i % 7 : i * i % 7 + 1] for i in range(3000)]
-        words[at] = b"d"  # squares modulo 7 are never 3
-        docs = spark.createDataFrame([(b" ".join(words).decode(),)], "text string")
-        return recurrent_lm.train(docs, voc, text_col="text", rates=(0.01,))
-
-    weights = [learned(at) for at in (0, 100, 1007, 1500, 2250, 2999)]
-    assert all(np.abs(w - weights[0]).max() > 0 for w in weights[1:])
-
-
-def test_lm_trains_a_long_text_to_its_end():
-    """Beside many short texts as well: each pass has every word once, and states are cleared at starts alone."""
-    voc = vocabulary([b"a b c a b", b"b c d e f g"])
-    texts = [np.arange(5000, dtype=np.int32) % 5, *(np.arange(30, dtype=np.int32) % 4 for _ in range(60))]
-    seen, starts = Counter(), 0
-
-    class Recorder(recurrent_lm.Network):
-        def step(self, symbols, targets, fresh, live, state, grad):
-            nonlocal starts
-            seen.update(targets[live].tolist())
-            starts += int(fresh[live].sum())
-            return super().step(symbols, targets, fresh, live, state, grad)
-
-    recurrent_lm.train_task(Recorder(voc), texts, voc.first, 0.01)
-    assert seen == Counter(np.concatenate(texts).tolist()) and starts == len(texts)
+        words = ["abcdefg"[i * i % 7] for i in range(3000)]
+        words[at] = "d"  # squares modulo 7 are never 3
+        return recurrent_lm.train(spark.createDataFrame([(" ".join(words),)], "text string"), voc, text_col="text", rates=(0.01,))
+
+    first, within, last = (learned(at) for at in (0, 1500, 2999))
+    assert not np.array_equal(first, within) and not np.array_equal(within, last)
+
+
+def test_lm_lanes_hold_every_word_once_and_in_order():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 999, n).astype(np.int16) for n in (700, 1, 3, 48, 24, 25, 5000, *rng.integers(1, 90, 300))]
+    seen = defaultdict(list)
+    for w in recurrent_lm.lane_windows(enumerate(texts), 7, 16, 24, supply=2000):
+        flat, inputs, live = w.targets.T.ravel(), w.inputs.T.ravel(), None if w.live is None else w.live.T.ravel()
+        starts = [at for _, at, _ in w.parts] + [len(flat)]
+        for (key, at, _), end in zip(w.parts, starts[1:], strict=True):
+            on = slice(at, end) if live is None else np.flatnonzero(live[at:end]) + at
+            assert inputs[on][0] == (texts[key][len(seen[key]) - 1] if seen[key] else 7)
+            assert (at // 24 in w.fresh[at % 24]) == (not seen[key])
+            seen[key] += flat[on].tolist()
+    assert all(seen[i] == t.tolist() for i, t in enumerate(texts))
+
+
+def test_lm_memory_follows_the_words_held_and_not_the_longest_text():
+    voc = vocabulary(["a b c d e f g"])
+    net, rng = recurrent_lm.Network(voc), np.random.default_rng(0)
+    texts = [(i, rng.integers(0, 5, n).astype(np.int16)) for i, n in enumerate([500_000, *[50] * 600])]
+    tracemalloc.start()
+    scores = dict(recurrent_lm.text_scores(net, texts, voc.first))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(scores) == 601 and peak < 100e6
+
+
+def test_lm_pieces_of_a_text_have_its_words(monkeypatch):
+    text = b"Ab  cd\tefg " + b"x" * 50 + b" y \x1c\x85 z" * 5
+    for size in (1, 3, 8, 1000):
+        monkeypatch.setattr(recurrent_lm, "PIECE", size)
+        assert [w for p in recurrent_lm.pieces(text) for w in p.split()] == text.lower().split()
+    assert list(recurrent_lm.pieces(None)) == [b""]
+
+
+def test_lm_holds_the_most_frequent_words_and_some_of_equal_ones(spark):
+    counts = spark.createDataFrame([(bytearray(b"%d" % i), 100 if i < 10 else 5) for i in range(3000)], "word binary, n long")
+    for known, least in ((1000, 900), (10, 10), (5000, 3000), (5, 1)):
+        held = counts.where(recurrent_lm.held_words(counts, known)).collect()
+        assert least <= len(held) <= known
+        assert sum(r.n == 100 for r in held) == min(10, len(held))
 
 
 def test_lm_edge_cases(odd, none):

@@ -7,39 +7,47 @@ with one more type for unseen words. So the model is a distribution over the sam
 base, of any vocabulary size.
 
 Training is truncated backpropagation through windows of words with the state carried from window to
-window. Tasks train on their own rows from common weights, which are averaged after each round. Each
-round trains on every word of every training text, from its start to its end. Scoring carries the state from a text's first word to its end, over whole texts.
+window, from a text's first word to its end. It is one pass over every word of every training text, cut
+into rounds by a hash of the text: in a round, tasks train on their own texts from common weights, which
+are averaged after it. Scoring carries the state from a text's first word to its end, over whole texts.
+
+Texts run through lanes side by side; a lane that ends its text takes the next one. So a task holds the
+texts of its lanes and a bounded supply of further ones, and its memory doesn't depend on how much the
+lengths of texts differ.
 """
 
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import id_remainder, shared_checkpoint
+from tidemark.llm.common import ARROW_ROWS, id_remainder, shared_checkpoint
 
-#: Words with their own output, words of a class, classes of the other words, and units.
-HEAD, CLASS_WORDS, TAIL_CLASSES, UNITS = 2048, 64, 48, 32
+#: Words with their own output, words of a class, classes of the other words, units, and numbers that
+#: describe an input word.
+HEAD, CLASS_WORDS, TAIL_CLASSES, UNITS, INPUT = 1024, 32, 32, 24, 16
 
 #: Words whose counts each worker holds at most; the counts of the others are joined.
 KNOWN = 200_000
 
-#: Rounds of training, their step sizes, words of a window, windows side by side, and least updates of
-#: a task and round.
-RATES, WINDOW, LANES, LEAST_UPDATES = (0.01, 0.006, 0.003), 24, 128, 40
+#: Step sizes of the rounds of training, words of a window, lanes, and least updates of a task and
+#: round; a task of fewer goes over its texts again.
+RATES, WINDOW, LANES, LEAST_UPDATES = (0.01, 0.006, 0.003), 24, 256, 40
 
-#: Smoothing of counts, words that are trained on or scored together, texts side by side, words of a block, and words of a count table.
-SMOOTH, GROUP_WORDS, SCORE_LANES, SCORE_BLOCK, TABLE_WORDS = 0.1, 1_500_000, 512, 32_768, 300_000
+#: Smoothing of counts, words of the supply that lanes draw from, lanes and words of a window of
+#: scoring, words of a count table, and bytes of a text that are split at once.
+SMOOTH, SUPPLY, SCORE_LANES, SCORE_WINDOW, TABLE_WORDS, PIECE = 0.1, 1_500_000, 512, 32, 300_000, 1 << 22
 
 #: The end of a text; no word is empty.
 END = b""
@@ -47,18 +55,29 @@ END = b""
 #: Floats of a block in which weights are averaged, and groups of the first averaging step.
 BLOCK, FIRST_GROUPS = 8192, 32
 
+#: What separates words.
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+IS_SPACE = np.array([bool(SPACE.match(bytes([b]))) for b in range(256)])
+
 
-def words_of(text: bytes | None) -> list[bytes]:
-    """Words of a text, A-Z in lower case, and its end."""
-    words = (text or b"").lower().split()
-    words.append(END)
-    return words
+def pieces(text: bytes | None) -> Iterator[bytes]:
+    """A text in lower case, cut at spaces into pieces of about PIECE bytes."""
+    text, at = text or b"", 0
+    while len(text) - at > PIECE and (cut := SPACE.search(text, at + PIECE)):
+        yield text[at : cut.start()].lower()
+        at = cut.start()
+    yield text[at:].lower()
 
 
 def tail_class(word: bytes) -> int:
     return zlib.crc32(word[:2]) % TAIL_CLASSES
 
 
+def tail_classes() -> np.ndarray:
+    """The class of a word by its first byte and the one behind it, which is a space after words of one byte."""
+    return np.array([[tail_class(bytes([a]) if IS_SPACE[b] else bytes([a, b])) for b in range(256)] for a in range(256)], np.int16)
+
+
 def count_words(docs: DataFrame, text_col: str) -> DataFrame:
     """(word, n) over all texts, ends included; tasks add up before the shuffle."""
 
@@ -69,10 +88,12 @@ def count_words(docs: DataFrame, text_col: str) -> DataFrame:
         counts: Counter = Counter()
         for batch in batches:
             for text in batch.column(0):
-                counts.update(words_of(text.as_py()))
-                if len(counts) > TABLE_WORDS:
-                    yield table(counts)
-                    counts.clear()
+                for piece in pieces(text.as_py()):
+                    counts.update(piece.split())
+                    if len(counts) > TABLE_WORDS:
+                        yield table(counts)
+                        counts.clear()
+                counts[END] += 1
         if counts:
             yield table(counts)
 
@@ -94,36 +115,65 @@ class Vocabulary:
     def __post_init__(self):
         self.head = min(HEAD, len(self.words))
         self.head_classes = -(-self.head // CLASS_WORDS)
-        self.slot = dict(zip(self.words, range(len(self.words)), strict=True))
+        self.slot = {w: i for i, w in enumerate(self.words)}
+        self.head_slot = {w: i for i, w in enumerate(self.words[: self.head])}
+        self.tails = tail_classes() + np.int16(self.head)
         self.log_count = np.log10(self.counts + SMOOTH)
-        self.symbol = np.array([i if i < self.head else self.head + tail_class(w) for i, w in enumerate(self.words)], np.int32)
         self.base_norm = np.log10(self.tokens + SMOOTH * (self.types + 1))
         self.tail_norm = np.log10(self.tail_tokens + SMOOTH * (self.tail_types + 1))
         # The start of a text reads as the end of another.
-        self.first = int(self.symbol[self.slot[END]]) if END in self.slot else self.head + tail_class(END)
-
-    def symbols(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Slots (-1: not held here), symbols, and the words that aren't held."""
-        slots = np.fromiter(map(self.slot.get, words, repeat(-1)), np.int32, len(words))
-        away = np.flatnonzero(slots < 0)
-        symbols = self.symbol[slots] if len(self.symbol) else np.zeros(len(words), np.int32)
-        rare = [words[i] for i in away.tolist()]
-        symbols[away] = [self.head + tail_class(w) for w in rare]
-        return slots, symbols, rare
-
-
-def vocabulary(counts: DataFrame, known: int = KNOWN) -> tuple[Vocabulary, int]:
-    """The vocabulary of a (word, n) table, and the least count of the words that it holds, `known` at most."""
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    level = F.floor(F.log2("n") * 32).cast("int")
+        self.first = self.head_slot.get(END, self.head + tail_class(END))
+
+    def symbols(self, piece: bytes, slots: np.ndarray) -> np.ndarray:
+        """Symbols of a piece's words, which have these slots among the head words (or beyond them: no head word)."""
+        flat = np.frombuffer(piece + b" ", np.uint8)
+        space = IS_SPACE[flat]
+        starts = np.flatnonzero(space[:-1] > space[1:]) + 1
+        if not space[0]:
+            starts = np.r_[0, starts]
+        return np.where((slots >= 0) & (slots < self.head), slots, self.tails[flat[starts], flat[starts + 1]]).astype(np.int16)
+
+    def read(self, text: bytes | None) -> np.ndarray:
+        """The symbols of a text and its end."""
+        parts = []
+        for piece in pieces(text):
+            words = piece.split()
+            parts.append(self.symbols(piece, np.fromiter(map(self.head_slot.get, words, repeat(-1)), np.int32, len(words))))
+        return np.concatenate([*parts, [self.first]], dtype=np.int16)
+
+    def look_up(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Slots (-1: not held here) and symbols of a text and its end, and the words that aren't held."""
+        slots, symbols, rare = [], [], []
+        for piece in pieces(text):
+            words = piece.split()
+            found = np.fromiter(map(self.slot.get, words, repeat(-1)), np.int32, len(words))
+            slots.append(found)
+            symbols.append(self.symbols(piece, found))
+            rare += [words[i] for i in np.flatnonzero(found < 0).tolist()]
+        end = self.slot.get(END, -1)
+        return np.concatenate([*slots, [end]], dtype=np.int32), np.concatenate([*symbols, [self.first]], dtype=np.int16), rare if end >= 0 else [*rare, END]
+
+
+def held_words(counts: DataFrame, known: int = KNOWN) -> Column:
+    """Whether a row of a (word, n) table is among those that workers hold, `known` at most: levels of n from
+    the greatest on, and of the first level that is too large as many hash buckets of words as fit."""
+    level, bucket = F.floor(F.log2("n") * 32).cast("int"), F.pmod(F.xxhash64("word"), F.lit(1024)).cast("int")
     levels = sorted(((r["level"], r["count"]) for r in counts.groupBy(level.alias("level")).count().collect()), reverse=True)
-    held, least_level = 0, 1 << 20
+    held, least = 0, None
     for at, size in levels:
         if held + size > known:
-            break
-        held, least_level = held + size, at
-    top = counts.where(level >= least_level).toPandas().sort_values(["n", "word"], ascending=[False, True])
-    head = set(top["word"][:HEAD])
+            buckets, room = counts.where(level == at).groupBy(bucket.alias("bucket")).count().orderBy("bucket").collect(), known - held
+            sizes = np.cumsum([r["count"] for r in buckets])
+            last = buckets[int((sizes <= room).sum()) - 1]["bucket"] if sizes[0] <= room else -1
+            return (level > at) | ((level == at) & (bucket <= last))
+        held, least = held + size, at
+    return level >= least if levels else F.lit(True)
+
+
+def vocabulary(counts: DataFrame, held: Column) -> Vocabulary:
+    """The vocabulary of a (word, n) table, of whose rows it holds some."""
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    top = counts.where(held).toPandas().sort_values(["n", "word"], ascending=[False, True])
     tails = counts.groupBy((F.crc32(F.substring("word", 1, 2)) % TAIL_CLASSES).cast("int").alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
     tokens, types = np.zeros((2, TAIL_CLASSES), np.int64)
     for r in tails:
@@ -131,210 +181,302 @@ def vocabulary(counts: DataFrame, known: int = KNOWN) -> tuple[Vocabulary, int]:
     for w, n in zip(top["word"][:HEAD], top["n"][:HEAD], strict=True):
         tokens[tail_class(w)] -= n
         types[tail_class(w)] -= 1
-    assert len(head) == min(HEAD, len(top))
-    return Vocabulary(int(total["n"]), int(total["v"]), [bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64), tokens, types), least_level
+    return Vocabulary(int(total["n"]), int(total["v"]), [bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64), tokens, types)
 
 
-def log_sums(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Replaces v by exp(v - top), top: one number for narrow blocks, each row's greatest else; the rows' sums and the logs of the sums of exp(v)."""
-    top = v.max()
-    if top - v.min() > 60:
+def exponentials(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Replaces v by exp(v - top), where top is zero for values near it and each row's greatest else; the rows' sums and the logs of the sums of exp(v)."""
+    top = None
+    if v.max() > 60 or v.min() < -60:
         top = v.max(axis=1, keepdims=True)
-    v -= top
+        v -= top
     np.exp(v, out=v)
     sums = v @ np.ones(v.shape[1], np.float32)
-    return sums, np.log(sums) + np.ravel(top)
+    return sums, np.log(sums) if top is None else np.log(sums) + top[:, 0]
 
 
 class Network:
-    """Weights: input (gates of each symbol), recurrent, classes, words; see forward()."""
+    """Weights: what describes a symbol, its gates, the gates of the state, classes and words, the last two with a bias as last column.
+
+    States and gates are kept feature by lane, so that each gate is one block of memory.
+    """
 
     def __init__(self, vocab: Vocabulary, weights: np.ndarray | None = None):
         self.head, self.head_classes = vocab.head, vocab.head_classes
-        self.classes = self.head_classes + TAIL_CLASSES
-        h, padded = UNITS, self.head_classes * CLASS_WORDS
-        shapes = {"input": (self.head + TAIL_CLASSES, 3 * h), "state": (h, 3 * h), "to_class": (h, self.classes), "class_bias": (self.classes,), "to_word": (padded, h), "word_bias": (padded,)}
-        size = sum(int(np.prod(s)) for s in shapes.values())
+        classes, h = self.head_classes + TAIL_CLASSES, UNITS
+        self.shapes = {"seen": (self.head + TAIL_CLASSES, INPUT), "into": (3 * h, INPUT), "state": (3 * h, h), "to_class": (classes, h + 1), "to_word": (self.head, h + 1)}
+        size = sum(int(np.prod(s)) for s in self.shapes.values())
         self.flat = np.zeros(size, np.float32) if weights is None else weights.copy()
-        self.shapes = shapes
-        self.views(self.flat, self)
-        self.padding = np.zeros(padded, np.float32)
-        self.padding[self.head :] = -1e9
+        self.views()
         if weights is None:
             rng = np.random.default_rng(1)
-            for name, scale in (("input", 0.3), ("state", 0.2), ("to_class", 0.1), ("to_word", 0.1)):
-                getattr(self, name)[...] = rng.normal(0, scale, shapes[name])
-            n = np.zeros(padded)
-            n[: self.head] = vocab.counts[: self.head]
-            self.word_bias[: self.head] = np.log(n[: self.head] + SMOOTH)
-            mass = np.r_[n.reshape(-1, CLASS_WORDS).sum(axis=1), vocab.tail_tokens + SMOOTH * (vocab.tail_types + 1)]
-            self.class_bias[...] = np.log(np.maximum(mass, SMOOTH))
-
-    def views(self, flat: np.ndarray, on) -> None:
+            for name, scale in (("seen", 1.0), ("into", 0.2), ("state", 0.15), ("to_class", 0.1), ("to_word", 0.1)):
+                getattr(self, name)[...] = rng.normal(0, scale, self.shapes[name])
+            self.seen[:, 0] = 1
+            n = vocab.counts[: self.head] + SMOOTH
+            mass = np.bincount(np.arange(self.head) // CLASS_WORDS, weights=n, minlength=self.head_classes)
+            self.to_word[:, h] = np.log(n / np.repeat(mass, CLASS_WORDS)[: self.head])
+            mass = np.r_[mass, np.maximum(vocab.tail_tokens + SMOOTH * (vocab.tail_types + 1), SMOOTH)]
+            self.to_class[:, h] = np.log(mass / mass.sum())
+
+    def views(self) -> None:
         at = 0
         for name, shape in self.shapes.items():
             n = int(np.prod(shape))
-            setattr(on, name, flat[at : at + n].reshape(shape))
+            setattr(self, name, self.flat[at : at + n].reshape(shape))
             at += n
 
-    def forward(self, symbols: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """States after each of the symbols (time by lane); a state is cleared where `fresh`."""
-        h = UNITS
-        out = np.empty((*symbols.shape, h), np.float32)
-        x = self.input[symbols]
-        for t in range(len(symbols)):
-            state = state * ~fresh[t][:, None]
-            g = state @ self.state
-            gates = np.tanh(0.5 * (x[t, :, : 2 * h] + g[:, : 2 * h]))
-            gates += 1
-            gates *= 0.5
-            z, r = gates[:, :h], gates[:, h:]
-            new = np.tanh(x[t, :, 2 * h :] + r * g[:, 2 * h :])
+    def slopes(self) -> Network:
+        """Zeros in the form of this network."""
+        other = Network.__new__(Network)
+        other.shapes, other.flat = self.shapes, np.zeros_like(self.flat)
+        other.views()
+        return other
+
+    def forward(self, symbols: np.ndarray, fresh: list[list[int]], state: np.ndarray, keep: dict | None = None) -> np.ndarray:
+        """States (time, feature, lane) after each of the symbols (time, lane); those of the lanes `fresh` at a time are cleared before it."""
+        h, (steps, lanes) = UNITS, symbols.shape
+        seen = self.seen[symbols.ravel()]
+        x = (self.into @ seen.T).reshape(3 * h, steps, lanes)
+        g, out = np.empty((3 * h, lanes), np.float32), np.empty((steps, h, lanes), np.float32)
+        if keep is not None:
+            before, new, inner = np.empty((3, steps, h, lanes), np.float32)
+            gates = np.empty((steps, 2 * h, lanes), np.float32)
+            keep.update(seen=seen, before=before, gates=gates, new=new, inner=inner)
+        for t in range(steps):
+            if fresh[t]:
+                state = state.copy()
+                state[:, fresh[t]] = 0
+            np.matmul(self.state, state, out=g)
+            both = np.add(x[: 2 * h, t], g[: 2 * h], out=None if keep is None else gates[t])
+            np.tanh(both, out=both)
+            both += 1
+            both *= 0.5
+            now = np.multiply(both[h:], g[2 * h :])
+            now += x[2 * h :, t]
+            now = np.tanh(now, out=now if keep is None else new[t])
             if keep is not None:
-                keep.append((state, z, r, new, g[:, 2 * h :]))
-            state = new + z * (state - new)
-            out[t] = state
+                before[t], inner[t] = state, g[2 * h :]
+            state = np.subtract(state, now, out=out[t])
+            state *= both[:h]
+            state += now
         return out
 
     def class_of(self, targets: np.ndarray) -> np.ndarray:
         return np.where(targets < self.head, targets // CLASS_WORDS, targets - self.head + self.head_classes)
 
     def outputs(self, states: np.ndarray, targets: np.ndarray, grad: Network | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Natural log probability of each target (of a tail word: of its class); the loss's slope by state."""
-        n = len(targets)
-        if not n:
-            return np.empty(0, np.float32), states
+        """Natural log probability of each target (of a tail word: of its class) by its state, whose last column is one; the loss's slope by state."""
+        rows = np.arange(len(targets))
         classes = self.class_of(targets)
-        logits = states @ self.to_class + self.class_bias
-        chosen = logits[np.arange(n), classes]
-        total, logs = log_sums(logits)
-        logp = chosen - logs
+        v = states @ self.to_class.T
+        logp = v[rows, classes]
+        sums, logs = exponentials(v)
+        logp -= logs
         slope = None
         if grad is not None:
-            logits /= total[:, None]
-            logits[np.arange(n), classes] -= 1
-            grad.to_class += states.T @ logits
-            grad.class_bias += logits.sum(axis=0)
-            slope = logits @ self.to_class.T
-        order = np.argsort(classes, kind="stable")
-        edges = np.searchsorted(classes[order], np.arange(self.head_classes + 1))
-        for c in range(self.head_classes):
-            at = order[edges[c] : edges[c + 1]]
-            if not len(at):
+            v[rows, classes] -= sums
+            part = 1 / sums[:, None]
+            grad.to_class += v.T @ (states * part)
+            slope = v @ self.to_class
+            slope *= part
+        at = np.flatnonzero(targets < self.head)
+        at = at[np.argsort(classes[at].astype(np.int16), kind="stable")]
+        edges = np.searchsorted(classes[at], np.arange(self.head_classes + 1)).tolist()
+        s, y, found = states[at], targets[at] % CLASS_WORDS, np.empty(len(at), np.float32)
+        back = None if grad is None else np.empty_like(s)
+        for c, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)):
+            if lo == hi:
                 continue
-            span = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
-            s = states[at]
-            y = targets[at] - c * CLASS_WORDS
-            v = s @ self.to_word[span].T + (self.word_bias[span] + self.padding[span])
-            best = v[np.arange(len(at)), y]
-            sums, logs = log_sums(v)
-            logp[at] += best - logs
+            words = slice(c * CLASS_WORDS, min(self.head, (c + 1) * CLASS_WORDS))
+            v = s[lo:hi] @ self.to_word[words].T
+            best = v[rows[: hi - lo], y[lo:hi]]
+            sums, logs = exponentials(v)
+            found[lo:hi] = best - logs
             if grad is not None:
+                v[rows[: hi - lo], y[lo:hi]] -= sums
                 v /= sums[:, None]
-                v[np.arange(len(at)), y] -= 1
-                grad.to_word[span] += v.T @ s
-                grad.word_bias[span] += v.sum(axis=0)
-                slope[at] += v @ self.to_word[span]
+                grad.to_word[words] += v.T @ s[lo:hi]
+                np.matmul(v, self.to_word[words], out=back[lo:hi])
+        logp[at] += found
+        if grad is not None:
+            slope[at] += back
         return logp, slope
 
-    def step(self, symbols: np.ndarray, targets: np.ndarray, fresh: np.ndarray, live: np.ndarray, state: np.ndarray, grad: Network) -> tuple[np.ndarray, float]:
-        """One window: adds the mean loss's slope to `grad`, cut off at the window's start; the last state and the loss."""
-        h, keep = UNITS, []
-        states = self.forward(symbols, fresh, state, keep)
-        logp, slope = self.outputs(states[live], targets[live], grad)
-        ahead = np.zeros_like(states)
-        ahead[live] = slope
-        back = np.zeros_like(state)
-        pre = np.empty((*symbols.shape, 3 * h), np.float32)
-        for t in range(len(symbols) - 1, -1, -1):
-            before, z, r, new, gn = keep[t]
-            d = ahead[t] + back
-            dn = d * (1 - z) * (1 - new * new)
-            dz = d * (before - new) * z * (1 - z)
-            dr = dn * gn * r * (1 - r)
-            pre[t] = np.hstack([dz, dr, dn])
-            dg = np.hstack([dz, dr, dn * r])
-            grad.state += before.T @ dg
-            back = (d * z + dg @ self.state.T) * ~fresh[t][:, None]
-        flat, rows = symbols.ravel(), pre.reshape(-1, 3 * h)
+    def step(self, w: Window, state: np.ndarray, grad: Network) -> tuple[np.ndarray, float]:
+        """One window: sets `grad` to the mean loss's slope, cut off at the window's start; the last state and the loss."""
+        h, (steps, lanes) = UNITS, w.inputs.shape
+        keep: dict = {}
+        states = self.forward(w.inputs, w.fresh, state, keep)
+        grad.flat[:] = 0
+        logp, slope = self.outputs(w.flat(states), w.live_targets(), grad)
+        if w.live is None:
+            ahead = slope[:, :h].reshape(steps, lanes, h)
+        else:
+            ahead = np.zeros((steps, lanes, h), np.float32)
+            ahead[w.live] = slope[:, :h]
+        ahead = np.ascontiguousarray(ahead.transpose(0, 2, 1))
+        before, new, inner, z, r = keep["before"], keep["new"], keep["inner"], keep["gates"][:, :h], keep["gates"][:, h:]
+        # Gates are (1 + tanh) / 2, so their slope is 2 z (1 - z).
+        keep_z = 1 - z
+        by_new = keep_z * (1 - new * new)
+        by_z = 2 * (before - new) * (z * keep_z)
+        by_r = 2 * inner * (r * (1 - r))
+        slopes = np.empty((3 * h, steps, lanes), np.float32)
+        back, dg = np.zeros((h, lanes), np.float32), np.empty((3 * h, lanes), np.float32)
+        turned = np.ascontiguousarray(self.state.T)
+        for t in range(steps - 1, -1, -1):
+            d = ahead[t]
+            d += back
+            dn = d * by_new[t]
+            np.multiply(d, by_z[t], out=dg[:h])
+            np.multiply(dn, by_r[t], out=dg[h : 2 * h])
+            np.multiply(dn, r[t], out=dg[2 * h :])
+            slopes[: 2 * h, t], slopes[2 * h :, t] = dg[: 2 * h], dn
+            grad.state += dg @ before[t].T
+            np.matmul(turned, dg, out=back)
+            d *= z[t]
+            back += d
+            if w.fresh[t]:
+                back[:, w.fresh[t]] = 0
+        rows = slopes.reshape(3 * h, -1)
+        grad.into += rows @ keep["seen"]
+        of_seen = rows.T @ self.into
+        flat = w.inputs.ravel()
         order = np.argsort(flat, kind="stable")
-        starts = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
-        grad.input[flat[order][starts]] += np.add.reduceat(rows[order], starts, axis=0)
-        n = max(1, int(live.sum()))
-        grad.flat /= n
-        return states[-1], -float(logp.sum()) / n
-
-
-def lanes_of(texts: list[np.ndarray], first: int, lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Texts laid end to end in lanes, longest first: inputs, targets, owner (-1: none) and fresh, time by lane; lanes are sorted by length, longest first."""
-    lanes = max(1, min(lanes, len(texts)))
-    heap = [(0, k) for k in range(lanes)]
-    held: list[list[int]] = [[] for _ in range(lanes)]
-    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
-        size, k = heapq.heappop(heap)
-        held[k].append(i)
-        heapq.heappush(heap, (size + len(texts[i]), k))
-    sizes = [sum(len(texts[i]) for i in part) for part in held]
-    order = sorted(range(lanes), key=lambda k: -sizes[k])
-    inputs, targets, owner = (np.full((lanes, max(sizes)), v, np.int32) for v in (first, first, -1))
-    fresh = np.zeros((lanes, max(sizes)), bool)
-    for row, k in enumerate(order):
-        at = 0
-        for i in held[k]:
-            n = len(texts[i])
-            targets[row, at : at + n] = texts[i]
-            inputs[row, at + 1 : at + n] = texts[i][:-1]
-            owner[row, at : at + n] = i
-            fresh[row, at] = True
-            at += n
-    return tuple(np.ascontiguousarray(a.T) for a in (inputs, targets, owner, fresh))
-
-
-def lane_windows(texts: list[np.ndarray], first: int, lanes: int, window: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """As lanes_of(), a window at a time and of the lanes alone that aren't at their end: inputs, targets, live and fresh."""
-    lanes = max(1, min(lanes, len(texts)))
-    heap = [(0, k) for k in range(lanes)]
-    held: list[list[np.ndarray]] = [[] for _ in range(lanes)]
-    for text in sorted(texts, key=len, reverse=True):
-        size, k = heapq.heappop(heap)
-        held[k].append(text)
-        heapq.heappush(heap, (size + len(text), k))
-    rows = []
-    for part in sorted(held, key=lambda part: -sum(map(len, part))):
-        y = np.concatenate(part)
-        start = np.zeros(len(y), bool)
-        start[np.cumsum([0, *map(len, part[:-1])])] = True
-        rows.append((np.where(start, first, np.roll(y, 1)), y, start))
-    for lo in range(0, len(rows[0][1]), window):
-        on = sum(len(y) > lo for _, y, _ in rows)
-        inputs, targets = np.full((2, on, window), first, np.int32)
-        fresh, live = np.zeros((2, on, window), bool)
-        for row, (x, y, start) in enumerate(rows[:on]):
-            n = min(window, len(y) - lo)
-            inputs[row, :n], targets[row, :n], fresh[row, :n], live[row, :n] = x[lo : lo + n], y[lo : lo + n], start[lo : lo + n], True
-        yield tuple(np.ascontiguousarray(a.T) for a in (inputs, targets, live, fresh))
-
-
-def train_task(net: Network, texts: list[np.ndarray], first: int, rate: float) -> None:
-    """Adam over the windows of the texts, again from the start until LEAST_UPDATES are made."""
-    grad = Network.__new__(Network)
-    grad.shapes, grad.flat = net.shapes, np.zeros_like(net.flat)
-    net.views(grad.flat, grad)
+        flat = flat[order]
+        starts = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+        grad.seen[flat[starts]] += np.add.reduceat(of_seen[order], starts, axis=0)
+        grad.flat /= len(logp)
+        return states[-1], -float(logp.sum()) / len(logp)
+
+
+@dataclass
+class Window:
+    """Words of lanes side by side: inputs and targets (time, lane), where they are words (None: everywhere), the
+    lanes that start a text by time, the lanes of the window before that go on, and the parts of texts as
+    (key, place in the lane-major order, end of the text)."""
+
+    inputs: np.ndarray
+    targets: np.ndarray
+    live: np.ndarray | None
+    fresh: list[list[int]]
+    onward: list[int]
+    parts: list[tuple]
+
+    def carried(self, state: np.ndarray) -> np.ndarray:
+        """The state of the window before for this window's lanes; new ones have none."""
+        if len(self.onward) == state.shape[1] == self.inputs.shape[1]:
+            return state
+        out = np.zeros((UNITS, self.inputs.shape[1]), np.float32)
+        out[:, : len(self.onward)] = state[:, self.onward]
+        return out
+
+    def flat(self, states: np.ndarray) -> np.ndarray:
+        """States of the words as rows, with a last column of ones."""
+        steps, h, lanes = states.shape
+        out = np.ones((steps, lanes, h + 1), np.float32)
+        out[:, :, :h] = states.transpose(0, 2, 1)
+        return out.reshape(-1, h + 1) if self.live is None else out[self.live]
+
+    def live_targets(self) -> np.ndarray:
+        return self.targets.ravel() if self.live is None else self.targets[self.live]
+
+
+def lane_windows(texts: Iterable[tuple], first: int, lanes: int, window: int, supply: int = SUPPLY) -> Iterator[Window]:
+    """Windows over all of the texts, (key, symbols) each. A lane that ends its text goes on with the longest of
+    the supply, which is filled up to `supply` words with the lanes' texts included."""
+    source, heap, cur = iter(texts), [], []
+    held, number, onward = 0, 0, []
+
+    def taken():
+        nonlocal held, number, source
+        while source is not None and held < supply:
+            item = next(source, None)
+            if item is None:
+                source = None
+                break
+            text = np.concatenate([[first], item[1]], dtype=np.int16)
+            heapq.heappush(heap, (-len(text), number, item[0], text))
+            held, number = held + len(text), number + 1
+        return heapq.heappop(heap)[2:] if heap else None
+
+    while True:
+        while len(cur) < lanes and (text := taken()):
+            cur.append([*text, 0])
+        if not cur:
+            return
+        inputs, targets = np.full((2, len(cur), window), first, np.int16)
+        live, full = np.ones((len(cur), window), bool), True
+        fresh: list[list[int]] = [[] for _ in range(window)]
+        parts, next_on = [], []
+        for row, lane in enumerate(cur):
+            at = 0
+            while True:
+                key, text, place = lane
+                n = min(window - at, len(text) - 1 - place)
+                inputs[row, at : at + n] = text[place : place + n]
+                targets[row, at : at + n] = text[place + 1 : place + 1 + n]
+                if not place:
+                    fresh[at].append(row)
+                ends = place + n == len(text) - 1
+                parts.append((key, row * window + at, ends))
+                at += n
+                lane[2] = place + n
+                if ends:
+                    held -= len(text)
+                    more = taken()
+                    if more is None:
+                        live[row, at:], full = False, full and at == window
+                        lane[1] = None
+                        break
+                    lane[:] = [*more, 0]
+                if at == window:
+                    break
+            if lane[1] is not None:
+                next_on.append(row)
+        yield Window(np.ascontiguousarray(inputs.T), np.ascontiguousarray(targets.T), None if full else live.T, fresh, onward, parts)
+        cur, onward = [cur[i] for i in next_on], next_on
+
+
+def train_task(net: Network, texts: Iterable[np.ndarray], first: int, rate: float) -> int:
+    """Adam over the windows of all texts, again from the start until LEAST_UPDATES are made; the words of the texts."""
+    grad, kept, size = net.slopes(), [], 0
     m, v = np.zeros((2, len(net.flat)), np.float32)
-    t = 0
+
+    def noted():
+        nonlocal size
+        for text in texts:
+            size += len(text)
+            # So few words can't make LEAST_UPDATES, and then are gone over again.
+            if size <= LEAST_UPDATES * LANES * WINDOW:
+                kept.append((None, text))
+            yield None, text
+
+    t, source = 0, noted()
     while t < LEAST_UPDATES:
-        state = np.zeros((LANES, UNITS), np.float32)
-        for inputs, targets, live, fresh in lane_windows(texts, first, LANES, WINDOW):
-            on = inputs.shape[1]
-            grad.flat[:] = 0
-            state, _ = net.step(inputs, targets, fresh, live, state[:on], grad)
+        state, before = np.zeros((UNITS, 0), np.float32), t
+        for w in lane_windows(source, first, LANES, WINDOW):
+            state, _ = net.step(w, w.carried(state), grad)
             t += 1
             norm = float(np.linalg.norm(grad.flat))
             if norm > 1:
                 grad.flat /= norm
-            m += 0.1 * (grad.flat - m)
-            v += 0.01 * (grad.flat * grad.flat - v)
-            net.flat -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
+            m *= 0.9
+            m += 0.1 * grad.flat
+            np.square(grad.flat, out=grad.flat)
+            v *= 0.99
+            v += 0.01 * grad.flat
+            change = np.sqrt(v)
+            change *= 1 / np.sqrt(1 - 0.99**t)
+            change += 1e-6
+            np.divide(m, change, out=change)
+            change *= rate / (1 - 0.9**t)
+            net.flat -= change
+        if t == before:
+            break
+        source = kept
+    return size
 
 
 def averaged(parts: DataFrame, by: list[str]) -> DataFrame:
@@ -351,62 +493,52 @@ def averaged(parts: DataFrame, by: list[str]) -> DataFrame:
 
 
 def train(docs: DataFrame, vocab: Vocabulary, text_col: str, rates: tuple[float, ...] = RATES) -> np.ndarray:
-    """Weights after one round for each step size; without training rows, the first ones."""
+    """Weights after one pass over all texts, in as many rounds as there are step sizes; without training rows, the first ones."""
     spark = docs.sparkSession
     net = Network(vocab)
     if not vocab.tokens:
         return net.flat
-    bodies = docs.select(F.col(text_col).cast("string").cast("binary").alias("t"))
+    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     shared_vocab = spark.sparkContext.broadcast(vocab)
     weights = net.flat
-    for rate in rates:
+    for k, rate in enumerate(rates):
         shared = spark.sparkContext.broadcast(weights)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate):
             from pyspark import TaskContext
 
             voc, local = shared_vocab.value, Network(shared_vocab.value, shared.value)
-            texts: list[np.ndarray] = []
-            size = weight = 0
-            for batch in batches:
-                for text in batch.column(0):
-                    texts.append(voc.symbols(words_of(text.as_py()))[1])
-                    size += len(texts[-1])
-                    if size > GROUP_WORDS:
-                        train_task(local, texts, voc.first, rate)
-                        weight, size, texts = weight + size, 0, []
-            if texts:
-                train_task(local, texts, voc.first, rate)
-                weight += size
+            weight = train_task(local, (voc.read(text.as_py()) for batch in batches for text in batch.column(0)), voc.first, rate)
             if weight:
                 part = TaskContext.get().partitionId() % FIRST_GROUPS
                 blocks = [local.flat[i : i + BLOCK].tobytes() for i in range(0, len(local.flat), BLOCK)]
                 n = len(blocks)
                 yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array([float(weight)] * n), pa.array(blocks, pa.binary())], names=["part", "at", "weight", "block"])
 
-        parts = bodies.mapInArrow(run, "part int, at int, weight double, block binary")
+        turn = docs.where(F.pmod(F.xxhash64(body), F.lit(len(rates))) == k).select(body.cast("binary").alias("t"))
+        parts = turn.mapInArrow(run, "part int, at int, weight double, block binary")
         blocks = averaged(averaged(parts, ["part", "at"]), ["at"]).orderBy("at").collect()
         if blocks:
             weights = np.concatenate([np.frombuffer(b["block"], np.float32) for b in blocks])
     return weights
 
 
-def score_group(net: Network, texts: list[np.ndarray], first: int) -> np.ndarray:
-    """Natural log probability of each text's symbols, with the state carried to its end."""
-    inputs, targets, owner, fresh = lanes_of(texts, first, SCORE_LANES)
-    total = np.zeros(len(texts))
-    state = np.zeros((inputs.shape[1], UNITS), np.float32)
-    span = max(8, min(len(inputs), SCORE_BLOCK // inputs.shape[1]))
-    for lo in range(0, len(inputs), span):
-        part = slice(lo, lo + span)
-        live = owner[part] >= 0
-        on = int(live.any(axis=0).sum())
-        states = net.forward(inputs[part, :on], fresh[part, :on], state[:on])
+def text_scores(net: Network, texts: Iterable[tuple], first: int) -> Iterator[tuple]:
+    """(key, natural log probability) of each text's symbols, with the state carried to its end; texts come as (key, symbols)."""
+    state, sums = np.zeros((UNITS, 0), np.float32), {}
+    for w in lane_windows(texts, first, SCORE_LANES, SCORE_WINDOW):
+        states = net.forward(w.inputs, w.fresh, w.carried(state))
         state = states[-1]
-        live = live[:, :on]
-        logp, _ = net.outputs(states[live], targets[part, :on][live])
-        total += np.bincount(owner[part, :on][live], weights=logp, minlength=len(texts))
-    return total
+        found, _ = net.outputs(w.flat(states), w.live_targets())
+        logp = np.zeros(w.inputs.shape)
+        logp[slice(None) if w.live is None else w.live] = found.reshape(logp.shape) if w.live is None else found
+        keys, starts, ends = zip(*w.parts, strict=True)
+        for key, s, end in zip(keys, np.add.reduceat(logp.T.ravel(), starts).tolist(), ends, strict=True):
+            s += sums.pop(key, 0.0)
+            if end:
+                yield key, s
+            else:
+                sums[key] = s
 
 
 def score(docs: DataFrame, vocab: Vocabulary, weights: np.ndarray, rest: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -430,32 +562,36 @@ def score(docs: DataFrame, vocab: Vocabulary, weights: np.ndarray, rest: DataFra
         voc, w = shared.value
         net = Network(voc, w)
         log10 = np.log(10)
+        waiting: dict = {}
 
-        def flush(rows, ids, texts, held):
-            model = score_group(net, texts, voc.first) / log10
-            n, known, sums, tails, rare = zip(*held, strict=True)
-            arrays = [pa.array(rows), pa.concat_arrays(ids), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(sums, pa.float64()), pa.array(model + np.array(tails)), pa.array(rare, pa.list_(pa.binary()))]
+        def texts():
+            for batch in batches:
+                for i in range(len(batch)):
+                    slots, symbols, rare = voc.look_up(batch.column(2)[i].as_py())
+                    here = slots[slots >= 0]
+                    logs = voc.log_count[here]
+                    tail = symbols >= voc.head
+                    tails = logs[here >= voc.head].sum() - voc.tail_norm[symbols[tail] - voc.head].sum()
+                    row = batch.column(0)[i].as_py()
+                    ident = pa.concat_arrays([batch.column(1).slice(i, 1)])
+                    waiting[row] = (ident, len(slots), len(here), float(logs.sum()), float(tails), pa.array([rare], pa.list_(pa.binary())))
+                    yield row, symbols
+
+        def block(done):
+            rows, scores = zip(*done, strict=True)
+            ids, n, known, sums, tails, rare = zip(*(waiting.pop(row) for row in rows), strict=True)
+            model = np.array(scores) / log10 + np.array(tails)
+            arrays = [pa.array(rows), pa.concat_arrays(ids), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(sums, pa.float64()), pa.array(model), pa.concat_arrays(rare)]
             return pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-        rows, ids, texts, held, size = [], [], [], [], 0
-        for batch in batches:
-            for i in range(len(batch)):
-                words = words_of(batch.column(2)[i].as_py())
-                slots, symbols, rare = voc.symbols(words)
-                here = slots[slots >= 0]
-                logs = voc.log_count[here]
-                tail = symbols >= voc.head
-                tails = logs[here >= voc.head].sum() - voc.tail_norm[symbols[tail] - voc.head].sum()
-                rows.append(batch.column(0)[i].as_py())
-                ids.append(batch.column(1).slice(i, 1))
-                texts.append(symbols)
-                held.append((len(words), len(here), float(logs.sum()), float(tails), rare))
-                size += len(words)
-                if size > GROUP_WORDS:
-                    yield flush(rows, ids, texts, held)
-                    rows, ids, texts, held, size = [], [], [], [], 0
-        if rows:
-            yield flush(rows, ids, texts, held)
+        done = []
+        for found in text_scores(net, texts(), voc.first):
+            done.append(found)
+            if len(done) == ARROW_ROWS:
+                yield block(done)
+                done = []
+        if done:
+            yield block(done)
 
     read = shared_checkpoint(picked.mapInArrow(run, schema))
     rare = read.select("row", F.explode("rare").alias("word")).join(rest, "word", "left")
@@ -476,12 +612,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     `train_tokens`, `base_score` (unigram) and `score` (the model), both log10 probabilities.
 
     Rows outside the held-out fold are learned from. A null or empty text is an end alone. Without
-    training rows both scores are those of an empty vocabulary. Repeated rows stay; other columns are
-    not read. `known` bounds what workers hold in memory; other words' counts are joined.
+    training rows both scores are those of an empty vocabulary. Very long texts are split by pieces and run
+    through one lane each, so a task holds their symbols and their rare words. Repeated rows stay. Words of equal
+    count come in the order of their bytes; where not all of one count fit `known`, a hash chooses. Other
+    columns are not read. `known` bounds the words that workers hold; other words' counts are joined.
     """
     train_docs = docs.where(id_remainder(id_col, folds) != held_fold)
     counts = shared_checkpoint(count_words(train_docs, text_col))
-    vocab, least_level = vocabulary(counts, known)
+    held = held_words(counts, known)
+    vocab = vocabulary(counts, held)
     weights = train(train_docs, vocab, text_col, rates)
-    rest = counts.where(F.floor(F.log2("n") * 32).cast("int") < least_level)
-    return score(docs, vocab, weights, rest, id_col, text_col).withColumn("held_out", id_remainder(id_col, folds) == held_fold)
+    return score(docs, vocab, weights, counts.where(~held), id_col, text_col).withColumn("held_out", id_remainder(id_col, folds) == held_fold)
