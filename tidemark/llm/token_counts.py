@@ -4,13 +4,13 @@ A state stands for what the bytes of a word read so far leave open: for each suf
 token, the last token before that suffix and how many tokens lie before it, relative to the count of
 the whole prefix. A transition is annotated with the change of the token count; at a word's end the
 state's own annotation accounts for the last byte becoming a word-end symbol. States and transitions
-are compiled when a text first needs them and kept up to a bound.
+are compiled when a text first needs them; beyond a bound all but those in use are forgotten.
 
 The symbols of a slice of texts are cut into equal chunks, which run in lockstep. A chunk's state map
-is constant from its first word end on, so the map is kept as that constant and the fragment before
-the word end. The scan composes the maps: an exit state that doesn't depend on the entry is known at
-once, and fragments are then run from the exit of the chunk before, whole chunks without a word end
-included, until every chunk has its entry.
+gives the exit state and the count for an entry state. The map of a chunk with a word end is constant. That
+of a chunk within a long word is kept for the entries that can occur: those that the chunk before exits
+with, until no map of a chunk leads out of the entries of the next. A parallel prefix scan then composes the
+maps in as many steps as the number of chunks has binary digits, which gives each chunk its entry.
 """
 
 from __future__ import annotations
@@ -170,6 +170,14 @@ class Transducer:
         self.emit[at, cls] = gain
         self.move[at, cls] = self.state(key)
 
+    def renew(self, *held: np.ndarray) -> list[np.ndarray]:
+        """Forgets all states but those held, which get new numbers."""
+        old = np.unique(np.concatenate([np.array([START, SKIP]), *held]))
+        keys = [(self.chains[i], self.closing[i]) for i in old.tolist()]
+        self.reset()
+        new = np.array([self.state(key) for key in keys], np.int64)
+        return [new[np.searchsorted(old, x)] for x in held]
+
     def step(self, states: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         width = self.move.shape[1]
         at = states * width + classes
@@ -180,10 +188,56 @@ class Transducer:
             moved = self.move.ravel().take(at)
         return moved.astype(np.int64), self.emit.ravel().take(at)
 
+    def lockstep(self, by_step: np.ndarray, lanes: np.ndarray, states: np.ndarray, *held: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """The exits and counts of the chunks `lanes` from `states`, and `held`, states that stay known."""
+        count = np.zeros(len(lanes), np.int64)
+        for row in by_step[:, lanes]:
+            if len(self.chains) > self.memory:
+                states, *held = self.renew(states, *held)
+            states, emitted = self.step(states, row)
+            count += emitted
+        return states, count, list(held)
+
+    def within_words(self, by_step: np.ndarray, inner: np.ndarray, exits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The exits of all chunks and the counts of the chunks `inner`, which have no word end; `exits` has those of the others."""
+        inside = np.zeros(by_step.shape[1] + 1, bool)
+        inside[inner] = True
+        # Entries of the maps: what the chunk before exits with, or else a word's start as a first guess.
+        lane, entry = inner, np.where(inside[inner - 1], START, exits[inner - 1])
+        lanes, entries, leaves, counts = (np.empty(0, np.int64) for _ in range(4))
+        while len(lane):
+            leave, count, (entry, entries, leaves, exits) = self.lockstep(by_step, lane, entry, entry, entries, leaves, exits)
+            lanes, entries, leaves, counts = np.r_[lanes, lane], np.r_[entries, entry], np.r_[leaves, leave], np.r_[counts, count]
+            ahead = inside[lane + 1]
+            wanted = np.unique(np.stack([lane[ahead] + 1, leave[ahead]]), axis=1)
+            fresh = ~np.isin(wanted[0] << 32 | wanted[1], lanes << 32 | entries)
+            lane, entry = wanted[:, fresh]
+        order = np.lexsort((entries, lanes))
+        lanes, entries, leaves, counts = lanes[order], entries[order], leaves[order], counts[order]
+        first = np.searchsorted(lanes, inner)
+        place = np.arange(len(lanes)) - np.repeat(first, np.diff(np.r_[first, len(lanes)]))
+        keys = lanes << 32 | entries
+        # Maps between places of entries; a chunk behind a known exit has the constant map of its true entry.
+        maps = np.zeros((len(inner), int(place.max()) + 1), np.int64)
+        onward = inside[lanes + 1]
+        target = place[np.searchsorted(keys, (lanes[onward] + 1) << 32 | leaves[onward])]
+        maps[np.searchsorted(inner, lanes[onward]), place[onward]] = target
+        begins = ~inside[inner - 1]
+        known = place[np.searchsorted(keys, inner[begins] << 32 | exits[inner[begins] - 1])]
+        true = np.zeros(len(inner), np.int64)
+        true[begins] = known
+        maps[begins] = maps[begins, known][:, None]
+        reach = 1
+        while reach < len(inner):
+            maps[reach:] = np.take_along_axis(maps[reach:], maps[:-reach], axis=1)
+            reach *= 2
+        follows = np.flatnonzero(~begins)
+        true[follows] = maps[follows - 1, 0]
+        exits[inner] = leaves[first + true]
+        return exits, counts[first + true]
+
     def run(self, stream: np.ndarray) -> np.ndarray:
-        """The emissions of each byte of `stream`, in which every word is followed by WORD_END."""
-        if len(self.chains) > self.memory:
-            self.reset()
+        """The emissions of `stream`, in which every word is followed by WORD_END, by byte; those of a chunk without a word end stand at its last byte."""
         n = len(stream)
         self.admit(np.flatnonzero(np.bincount(stream, minlength=256)))
         lanes = max(1, min(LANES, n // LEAST_CHUNK))
@@ -191,24 +245,27 @@ class Transducer:
         padded = np.full(lanes * length, self.classes[WORD_END], np.int64)
         padded[:n] = self.classes[stream]
         by_step = np.ascontiguousarray(padded.reshape(lanes, length).T)
-        out = np.zeros((length, lanes), np.int16)
-        states = np.full(lanes, SKIP, np.int64)
-        states[0] = START
+        out = np.zeros((length, lanes), np.int32)
+        exits = np.full(lanes, SKIP, np.int64)
+        exits[0] = START
         for t in range(length):
-            states, out[t] = self.step(states, by_step[t])
+            if len(self.chains) > self.memory:
+                (exits,) = self.renew(exits)
+            exits, out[t] = self.step(exits, by_step[t])
         ends = by_step == self.classes[WORD_END]
-        fragment = np.where(ends.any(axis=0), ends.argmax(axis=0) + 1, length)
-        waiting = np.arange(1, lanes)
-        while len(waiting):
-            ready = states[waiting - 1] != SKIP
-            lane, waiting = waiting[ready], waiting[~ready]
-            at = states[lane - 1]
-            for t in range(int(fragment[lane].max())):
-                on = fragment[lane] > t
-                lane, at = lane[on], at[on]
-                at, out[t, lane] = self.step(at, by_step[t, lane])
-                through = (fragment[lane] == t + 1) & (states[lane] == SKIP)
-                states[lane[through]] = at[through]
+        inner = np.flatnonzero(~ends.any(axis=0))
+        inner = inner[inner > 0]
+        if len(inner):
+            exits, out[-1, inner] = self.within_words(by_step, inner, exits)
+        # What is before the first word end of a chunk runs from the exit of the chunk before.
+        lane = np.setdiff1d(np.arange(1, lanes), inner)
+        fragment, at = ends.argmax(axis=0)[lane] + 1, exits[lane - 1]
+        for t in range(int(fragment.max(initial=0))):
+            if len(self.chains) > self.memory:
+                (at,) = self.renew(at)
+            on = fragment > t
+            lane, at, fragment = lane[on], at[on], fragment[on]
+            at, out[t, lane] = self.step(at, by_step[t, lane])
         return out.T.reshape(-1)[:n]
 
     def count(self, texts: list[bytes | None]) -> np.ndarray:
@@ -242,8 +299,10 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """One row for each row of `docs`: its id, `n_bytes` (UTF-8), `n_tokens` of the whole text and
     `over_limit` (more than `limit` tokens).
 
-    A null or empty text has no bytes and no tokens. Repeated rows and ids stay; other columns are
-    not read. `memory` bounds the states that a worker keeps, not what it counts.
+    A null or empty text has no bytes and no tokens. A very long text, or one long word, is cut into chunks
+    like many short ones. Repeated rows and ids stay, equal counts need no order, and an empty table gives an
+    empty result; other columns are not read. `memory` bounds the states that a worker keeps, but for those
+    in use by its chunks; it bounds nothing that is counted.
     """
 
     def start():
