@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from compare import assert_same, database
@@ -97,7 +98,7 @@ def vocabulary(texts, known=None):
 def plain_score(net, voc, counts, text):
     """log10 probability of a text, one word after the other, by the definition of the unit and of the classes."""
     sigmoid = lambda x: 1 / (1 + np.exp(-2 * x.astype(np.float64)))  # noqa: E731  weights are of half the usual input
-    h, slot = recurrent_lm.UNITS, {w: i for i, w in enumerate(voc.words[: voc.head])}
+    h, slot = recurrent_lm.UNITS, {w: i for i, w in enumerate(voc.words.view(pa.binary()).to_pylist()[: voc.head])}
     symbol = lambda w: slot.get(w, voc.head + zlib.crc32(w[:2]) % recurrent_lm.TAIL_CLASSES)
     state, last, total = np.zeros(h), symbol(b""), 0.0
     for word in [*(w.encode() for w in spaced(text)), b""]:
@@ -128,7 +129,8 @@ def test_lm_score_equals_a_plain_loop_for_head_tail_rare_and_unseen_words(spark)
     voc = vocabulary(texts[:-1], known=1500)
     assert voc.head == recurrent_lm.HEAD < 1500 < len(counts)
     net = recurrent_lm.Network(voc)
-    rest = spark.createDataFrame([(bytearray(w), n) for w, n in counts.items() if w not in voc.slot], "word binary, n long")
+    held = set(voc.words.view(pa.binary()).to_pylist())
+    rest = spark.createDataFrame([(bytearray(w), n) for w, n in counts.items() if w not in held], "word binary, n long")
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for r in recurrent_lm.score(docs, voc, net.flat, rest).collect():
         assert math.isclose(r.score, plain_score(net, voc, counts, texts[r.doc_id]), rel_tol=1e-4)
@@ -212,7 +214,11 @@ def test_lm_pieces_of_a_text_have_its_words(monkeypatch):
     text = b"Ab  cd\tefg " + b"x" * 50 + b" y \x1c\x85 z" * 5
     for size in (1, 3, 8, 1000):
         monkeypatch.setattr(recurrent_lm, "PIECE", size)
-        assert [w for p in recurrent_lm.pieces(text) for w in p.split()] == text.lower().split()
+        assert [w for p in recurrent_lm.pieces(text) for w in p.split()] == text.split()
+        texts = [text, None, b"", b" \n", b"one", text * 3, b"\xff x"]
+        found = [(n, *recurrent_lm.split_words(part)) for _, n, part in recurrent_lm.text_slices(pa.array(texts, pa.binary()))]
+        assert [w for _, words, _ in found for w in words.view(pa.binary()).to_pylist()] == [w for x in texts for w in (x or b"").lower().split()]
+        assert [int(k) for n, _, sizes in found for k in (sizes if n > 1 else [sizes.sum()])] == [len((x or b"").split()) for x in texts]
     assert list(recurrent_lm.pieces(None)) == [b""]
 
 

@@ -21,18 +21,17 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import ARROW_ROWS, id_remainder, shared_checkpoint
+from tidemark.llm.common import ARROW_ROWS, id_remainder, shared_checkpoint, slices
 
 #: Words with their own output, words of a class, classes of the other words, units, and numbers that
 #: describe an input word.
@@ -47,7 +46,7 @@ RATES, WINDOW, LANES, LEAST_UPDATES = (0.01, 0.006, 0.003), 24, 256, 40
 
 #: Smoothing of counts, words of the supply that lanes draw from, lanes and words of a window of
 #: scoring, words of a count table, and bytes of a text that are split at once.
-SMOOTH, SUPPLY, SCORE_LANES, SCORE_WINDOW, TABLE_WORDS, PIECE = 0.1, 1_500_000, 512, 32, 300_000, 1 << 22
+SMOOTH, SUPPLY, SCORE_LANES, SCORE_WINDOW, TABLE_WORDS, PIECE = 0.1, 1_500_000, 256, 24, 1_000_000, 1 << 22
 
 #: The end of a text; no word is empty.
 END = b""
@@ -57,16 +56,41 @@ BLOCK, FIRST_GROUPS = 8192, 32
 
 #: What separates words.
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
-IS_SPACE = np.array([bool(SPACE.match(bytes([b]))) for b in range(256)])
 
 
 def pieces(text: bytes | None) -> Iterator[bytes]:
-    """A text in lower case, cut at spaces into pieces of about PIECE bytes."""
+    """A text cut at spaces into pieces of about PIECE bytes."""
     text, at = text or b"", 0
     while len(text) - at > PIECE and (cut := SPACE.search(text, at + PIECE)):
-        yield text[at : cut.start()].lower()
+        yield text[at : cut.start()]
         at = cut.start()
-    yield text[at:].lower()
+    yield text[at:]
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts (binary), A-Z in lower case, and how many each text has."""
+    bare = pc.ascii_trim_whitespace(pc.ascii_lower(texts.view(pa.string()).fill_null("")))
+    lists = pc.ascii_split_whitespace(bare)
+    words, ends = lists.flatten(), np.asarray(lists.offsets).astype(np.int64)
+    full = np.asarray(pc.binary_length(words)) > 0
+    if not full.all():
+        # A blank text comes as one empty word.
+        words, ends = words.filter(pa.array(full)), np.r_[0, np.cumsum(full)][ends - ends[0]]
+    return words, np.diff(ends)
+
+
+def text_slices(texts: pa.Array) -> Iterator[tuple[int, int, pa.Array]]:
+    """Slices of about PIECE bytes: the number of the first text, how many there are, and the texts; of a longer text its pieces."""
+    for lo, hi in slices(np.asarray(pc.binary_length(texts).fill_null(0)), PIECE):
+        part = texts.slice(lo, hi - lo)
+        yield lo, hi - lo, pa.array(list(pieces(part[0].as_py())), pa.binary()) if hi - lo == 1 else part
+
+
+def with_ends(values: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
+    """Values of texts of these sizes with an end behind each text."""
+    out = np.full(len(values) + len(sizes), end, values.dtype)
+    out[np.arange(len(values)) + np.repeat(np.arange(len(sizes)), sizes)] = values
+    return out
 
 
 def tail_class(word: bytes) -> int:
@@ -74,28 +98,32 @@ def tail_class(word: bytes) -> int:
 
 
 def tail_classes() -> np.ndarray:
-    """The class of a word by its first byte and the one behind it, which is a space after words of one byte."""
-    return np.array([[tail_class(bytes([a]) if IS_SPACE[b] else bytes([a, b])) for b in range(256)] for a in range(256)], np.int16)
+    """The class of a word by its first two bytes, and by its only byte in the last column."""
+    return np.array([[tail_class(bytes([a, b]) if b < 256 else bytes([a])) for b in range(257)] for a in range(256)], np.int16)
 
 
 def count_words(docs: DataFrame, text_col: str) -> DataFrame:
     """(word, n) over all texts, ends included; tasks add up before the shuffle."""
 
     def run(batches):
-        def table(c):
-            return pa.RecordBatch.from_arrays([pa.array(list(c.keys()), pa.binary()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
+        def added(parts):
+            return pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
 
-        counts: Counter = Counter()
+        held, rows, texts = [], 0, 0
         for batch in batches:
-            for text in batch.column(0):
-                for piece in pieces(text.as_py()):
-                    counts.update(piece.split())
-                    if len(counts) > TABLE_WORDS:
-                        yield table(counts)
-                        counts.clear()
-                counts[END] += 1
-        if counts:
-            yield table(counts)
+            for _, n, part in text_slices(batch.column(0)):
+                found = split_words(part)[0].value_counts()
+                held.append(pa.table({"word": found.field(0).view(pa.binary()), "n": found.field(1)}))
+                rows, texts = rows + len(found), texts + n
+                if rows > TABLE_WORDS:
+                    held = [added(held)]
+                    rows = held[0].num_rows
+                    if rows > TABLE_WORDS // 2:
+                        yield from held[0].to_batches()
+                        held, rows = [], 0
+        if texts:
+            held.append(pa.table({"word": pa.array([END], pa.binary()), "n": pa.array([texts], pa.int64())}))
+            yield from added(held).to_batches()
 
     bodies = docs.select(F.col(text_col).cast("string").cast("binary").alias("t"))
     return bodies.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -113,45 +141,58 @@ class Vocabulary:
     tail_types: np.ndarray
 
     def __post_init__(self):
+        self.words = pa.array(self.words, pa.binary()).view(pa.string())
         self.head = min(HEAD, len(self.words))
         self.head_classes = -(-self.head // CLASS_WORDS)
-        self.slot = {w: i for i, w in enumerate(self.words)}
-        self.head_slot = {w: i for i, w in enumerate(self.words[: self.head])}
         self.tails = tail_classes() + np.int16(self.head)
         self.log_count = np.log10(self.counts + SMOOTH)
         self.base_norm = np.log10(self.tokens + SMOOTH * (self.types + 1))
         self.tail_norm = np.log10(self.tail_tokens + SMOOTH * (self.tail_types + 1))
+        self.end = pc.index(self.words, pa.scalar("")).as_py()
         # The start of a text reads as the end of another.
-        self.first = self.head_slot.get(END, self.head + tail_class(END))
-
-    def symbols(self, piece: bytes, slots: np.ndarray) -> np.ndarray:
-        """Symbols of a piece's words, which have these slots among the head words (or beyond them: no head word)."""
-        flat = np.frombuffer(piece + b" ", np.uint8)
-        space = IS_SPACE[flat]
-        starts = np.flatnonzero(space[:-1] > space[1:]) + 1
-        if not space[0]:
-            starts = np.r_[0, starts]
-        return np.where((slots >= 0) & (slots < self.head), slots, self.tails[flat[starts], flat[starts + 1]]).astype(np.int16)
-
-    def read(self, text: bytes | None) -> np.ndarray:
-        """The symbols of a text and its end."""
-        parts = []
-        for piece in pieces(text):
-            words = piece.split()
-            parts.append(self.symbols(piece, np.fromiter(map(self.head_slot.get, words, repeat(-1)), np.int32, len(words))))
-        return np.concatenate([*parts, [self.first]], dtype=np.int16)
-
-    def look_up(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Slots (-1: not held here) and symbols of a text and its end, and the words that aren't held."""
-        slots, symbols, rare = [], [], []
-        for piece in pieces(text):
-            words = piece.split()
-            found = np.fromiter(map(self.slot.get, words, repeat(-1)), np.int32, len(words))
-            slots.append(found)
-            symbols.append(self.symbols(piece, found))
-            rare += [words[i] for i in np.flatnonzero(found < 0).tolist()]
-        end = self.slot.get(END, -1)
-        return np.concatenate([*slots, [end]], dtype=np.int32), np.concatenate([*symbols, [self.first]], dtype=np.int16), rare if end >= 0 else [*rare, END]
+        self.first = self.end if 0 <= self.end < self.head else self.head + tail_class(END)
+
+    def slots(self, words: pa.Array, among: int | None = None) -> np.ndarray:
+        """The places of words among the first held ones; -1: not there."""
+        return np.asarray(pc.index_in(words, value_set=self.words.slice(0, among)).fill_null(-1))
+
+    def symbols(self, words: pa.Array, slots: np.ndarray) -> np.ndarray:
+        """Symbols of words with these slots."""
+        if not len(words):
+            return np.empty(0, np.int16)
+        places = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+        data = np.frombuffer(words.buffers()[2], np.uint8)
+        start, size = places[:-1], np.diff(places)
+        second = np.where(size > 1, data[np.minimum(start + 1, len(data) - 1)], np.int16(256))
+        return np.where((slots >= 0) & (slots < self.head), slots, self.tails[data[start], second]).astype(np.int16)
+
+    def read(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The symbols of each text and its end."""
+        for _, n, part in text_slices(texts):
+            words, sizes = split_words(part)
+            sizes = sizes if n > 1 else sizes.sum(keepdims=True)
+            symbols = with_ends(self.symbols(words, self.slots(words, self.head)), sizes, self.first)
+            yield from np.split(symbols, np.cumsum(sizes + 1)[:-1])
+
+    def look_up(self, texts: pa.Array) -> Iterator[tuple]:
+        """Of each text and its end: symbols, held words, their sum of log counts, what tail words' shares of their classes add, and the words that aren't held."""
+        for _, n, part in text_slices(texts):
+            words, sizes = split_words(part)
+            sizes = sizes if n > 1 else sizes.sum(keepdims=True)
+            slots = self.slots(words)
+            symbols = with_ends(self.symbols(words, slots), sizes, self.first)
+            away = slots < 0
+            rare = words.filter(pa.array(away)).view(pa.binary())
+            cuts = np.r_[0, np.cumsum(sizes)]
+            cuts = np.r_[0, np.cumsum(away)][cuts]
+            slots = with_ends(slots, sizes, self.end)
+            starts = np.cumsum(sizes + 1) - sizes - 1
+            logs = np.where(slots >= 0, self.log_count[slots], 0.0) if len(self.log_count) else np.zeros(len(slots))
+            tails = np.where(symbols >= self.head, logs - self.tail_norm[np.maximum(symbols - self.head, 0)], 0.0)
+            held, sums, tail_sums = (np.add.reduceat(x, starts) for x in ((slots >= 0).astype(np.int64), logs, tails))
+            for i, text in enumerate(np.split(symbols, starts[1:])):
+                lost = pa.ListArray.from_arrays(pa.array([0, cuts[i + 1] - cuts[i]], pa.int32()), rare.slice(cuts[i], cuts[i + 1] - cuts[i]))
+                yield text, int(held[i]), float(sums[i]), float(tail_sums[i]), lost if self.end >= 0 else pa.array([[*lost[0].as_py(), END]], pa.list_(pa.binary()))
 
 
 def held_words(counts: DataFrame, known: int = KNOWN) -> Column:
@@ -508,7 +549,7 @@ def train(docs: DataFrame, vocab: Vocabulary, text_col: str, rates: tuple[float,
             from pyspark import TaskContext
 
             voc, local = shared_vocab.value, Network(shared_vocab.value, shared.value)
-            weight = train_task(local, (voc.read(text.as_py()) for batch in batches for text in batch.column(0)), voc.first, rate)
+            weight = train_task(local, (text for batch in batches for text in voc.read(batch.column(0))), voc.first, rate)
             if weight:
                 part = TaskContext.get().partitionId() % FIRST_GROUPS
                 blocks = [local.flat[i : i + BLOCK].tobytes() for i in range(0, len(local.flat), BLOCK)]
@@ -566,15 +607,10 @@ def score(docs: DataFrame, vocab: Vocabulary, weights: np.ndarray, rest: DataFra
 
         def texts():
             for batch in batches:
-                for i in range(len(batch)):
-                    slots, symbols, rare = voc.look_up(batch.column(2)[i].as_py())
-                    here = slots[slots >= 0]
-                    logs = voc.log_count[here]
-                    tail = symbols >= voc.head
-                    tails = logs[here >= voc.head].sum() - voc.tail_norm[symbols[tail] - voc.head].sum()
+                for i, (symbols, held, sums, tails, rare) in enumerate(voc.look_up(batch.column(2))):
                     row = batch.column(0)[i].as_py()
                     ident = pa.concat_arrays([batch.column(1).slice(i, 1)])
-                    waiting[row] = (ident, len(slots), len(here), float(logs.sum()), float(tails), pa.array([rare], pa.list_(pa.binary())))
+                    waiting[row] = (ident, len(symbols), held, sums, tails, pa.concat_arrays([rare]))
                     yield row, symbols
 
         def block(done):
