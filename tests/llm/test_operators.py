@@ -2,12 +2,15 @@
 
 import hashlib
 import math
+import random
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 import xxhash
@@ -305,6 +308,17 @@ def test_chat_round_trip_and_mask(spark):
     assert chat_format.format_conversations(df.limit(0)).collect() == []
 
 
+def test_many_turns_of_one_conversation(spark):
+    turns = spark.range(20_000).select(
+        F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("<|end|> é "), F.col("id").cast("string")).alias("text")
+    )
+    begun = time.monotonic()
+    row = chat_format.read_back(chat_format.format_conversations(turns.withColumns({c: F.lit("x") for c in ("blocks", "opens", "steps", "chunks", "starts", "parts", "formatted")}))).first()
+    assert time.monotonic() - begun < 20
+    assert row.learned_texts == [f"<|end|> é {i}" for i in range(20_000) if i % 3]
+    assert [t.text for t in row.turns] == [f"<|end|> é {i}" for i in range(20_000)]
+
+
 # 4 Sharding
 
 
@@ -406,7 +420,7 @@ def test_more_languages_than_bits_of_a_word(spark):
 
 @pytest.fixture(scope="module")
 def library():
-    return Tokenizer.from_file(WORD_BPE)
+    return Tokenizer.from_file(public_tokenizers.path(WORD_BPE))
 
 
 def fuzz(n=1500):
@@ -439,6 +453,17 @@ def test_encode_and_decode_frames(spark, odd, none, library):
     assert {r.doc_id: r.text for r in word_bpe.decode(odd_ids, WORD_BPE).collect()} == {1: None, 2: "", 3: f"{a} {a}"}
 
 
+@pytest.mark.parametrize("word", ["a" * 300_000, "ab" * 60_000, "".join(random.Random(1).choices("abcdefgh", k=120_000)), "".join(random.Random(2).choices("aab", k=120_000))], ids=len)
+def test_one_long_word_is_counted_in_chunks_and_few_states(word):
+    """Chunks without a word end have maps, which are composed; states stay within the bound and those in use."""
+    bpe, memory = word_bpe.load(WORD_BPE), 3000
+    machine = token_counts.Transducer(bpe, memory)
+    text = f"{word} and {word[:5000]} end".encode()
+    expected = int(bpe.encode_words(text.split())[1].sum())
+    assert machine.count([text, b"", None, text[:7000]]).tolist() == [expected, 0, 0, int(bpe.encode_words([text[:7000]])[1].sum())]
+    assert len(machine.chains) <= memory + 2 * token_counts.LANES
+
+
 def test_count_frames(odd, none, library):
     got = sorted((r.doc_id or 0, r.n_bytes, r.n_tokens, r.over_limit) for r in token_counts.count_tokens(odd, WORD_BPE).collect())
     want = []

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import chat_format, decontaminate, language_id, quality, recurrent_lm, sharding, simhash_dedup, token_counts, topk_search, word_bpe
 from tidemark.llm.common import tuned
 
-#: Folder of the public vocabulary files.
-TOKENIZERS = os.environ.get("TIDEMARK_TOKENIZERS", "/opt/tokenizers")
-WORD_BPE = os.path.join(TOKENIZERS, "word_bpe_49k.json")
+#: A public vocabulary file; workers find it by its name.
+WORD_BPE = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import json
+import os
 import re
 import unicodedata
 from dataclasses import dataclass
@@ -122,7 +123,12 @@ class WordBpe:
 @functools.lru_cache(maxsize=2)
 def load(path: str) -> WordBpe:
     """Reads a tokenizers JSON file: BPE with a word-end suffix over byte symbols, special tokens
-    matched in the raw text, pieces cut by one pattern, no decoder."""
+    matched in the raw text, pieces cut by one pattern, no decoder. A path, or the name of a file of the
+    installed public vocabularies."""
+    if os.path.dirname(path) == "":
+        import public_tokenizers
+
+        path = public_tokenizers.path(path)
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     model = spec["model"]
