@@ -539,6 +539,48 @@ def test_simhash_edge_cases(odd, none):
         simhash_dedup.links(none, bits=3)
 
 
+def jaccard(a, b):
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()} for w in (spaced(a), spaced(b))]
+    return len(sets[0] & sets[1]) / max(1, len(sets[0] | sets[1]))
+
+
+@pytest.mark.parametrize("list_limit", [64, 4])
+def test_similar_texts_equal_brute_force(spark, list_limit):
+    """Chains of near copies, unrelated texts that share a passage, copies, and short texts; a low limit takes the way of long lists."""
+    rng = np.random.default_rng(8)
+    words = np.array([f"w{i}" for i in range(900)])
+    passage, texts = list(rng.choice(words, 40)), ["", None, "one", "One", "two words", "one two three four five", "ONE two  three four five"]
+    for _ in range(12):
+        text = list(rng.choice(words, 120))
+        for _ in range(12):
+            texts.append(" ".join(text))
+            text[rng.integers(0, 120)] = "new"
+        texts.append(" ".join(passage + list(rng.choice(words, 60))))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash_dedup.similar_texts(docs, list_limit=list_limit).collect()}
+    least = {i: i for i in range(len(texts))}
+    blank = lambda i: not spaced(texts[i])
+    for i in least:
+        for j in range(i):
+            if jaccard(texts[i], texts[j]) >= 0.8 or blank(i) and blank(j):
+                old, new = sorted((least[i], least[j]), reverse=True)
+                least = {k: new if c == old else c for k, c in least.items()}
+    assert got == least
+
+
+def test_lists_of_any_batches():
+    """Short lists give all pairs, long ones pairs with the least node and their members, however batches cut them."""
+    keys = np.repeat([1, 2, 3, 4, 5], [1, 3, 9, 4, 30])
+    nodes = np.concatenate([np.arange(n) * 7 for n in (1, 3, 9, 4, 30)])
+    want = None
+    for size in (1, 2, 5, 100):
+        batches = (pa.record_batch({"key": keys[i : i + size], "node": nodes[i : i + size]}) for i in range(0, len(keys), size))
+        got = sorted(r for b in simhash_dedup.list_rows(batches, 4) for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        assert want is None or got == want
+        want = got
+    assert sum(not r[0] for r in want) == 3 + 8 + 6 + 29 and sum(r[0] for r in want) == 9 + 30
+
+
 # 10 Quality
 
 

@@ -1,6 +1,7 @@
 """The corpus pipeline: every stage's decisions take effect, and clean documents stay."""
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tidemark.llm import decontaminate, language_id, simhash_dedup
@@ -53,12 +54,45 @@ def test_quality_stage_keeps_good_labels(spark, sf, stages):
 
 
 def test_one_document_of_each_group_stays(stages):
-    groups = simhash_dedup.near_duplicates(stages[2]).select("component_id").distinct().count()
+    groups = simhash_dedup.similar_texts(stages[2]).select("component_id").distinct().count()
     assert len(ids(stages[3])) == groups
-    again = simhash_dedup.near_duplicates(stages[3])
+    again = simhash_dedup.similar_texts(stages[3])
     assert again.where("doc_id <> component_id").isEmpty()
 
 
+def test_near_copies_of_a_document_go_and_others_stay(spark, sf):
+    rng = np.random.default_rng(2)
+    words = np.array([f"word{i}" for i in range(5000)])
+    rows = []
+    for i in range(60):
+        text = rng.choice(words, 300)
+        rows.append((10 * i, " ".join(text)))
+        for k in range(1, 4):
+            copy = text.copy()
+            copy[rng.choice(300, k, replace=False)] = "changed"
+            rows.append((10 * i + k, " ".join(copy)))
+        half = text.copy()
+        half[150:] = rng.choice(words, 150)
+        rows.append((10 * i + 5, " ".join(half)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(1)})
+    left = ids(corpus_pipeline.deduplicated(spark, docs, sf))
+    assert {i for i in left if i % 10 in (0, 5)} == {i for i, _ in rows if i % 10 in (0, 5)}
+    assert sum(i % 10 in (1, 2, 3) for i in left) <= 3
+
+
+def test_stages_with_clashing_columns_long_texts_ties_and_repeated_rows(spark, sf):
+    long = "the house on the hill is old and the garden is green in spring " * 30_000
+    rows = [(1, long), (1, long), (2, long + "again"), (3, None), (3, None), (4, ""), (5, "a word"), (5, "a word"), (5, "another word"), (None, None)]
+    names = ("row", "fp", "key", "node", "digest", "text_hash", "part", "u", "v", "n", "a", "b", "span", "count")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(1)} | {c: F.lit("x") for c in names})
+    once = corpus_pipeline.deduplicated(spark, docs, sf)
+    assert once.columns == docs.columns
+    assert sorted((r.doc_id or 0, len(r.text or "")) for r in once.collect()) == sorted([(1, len(long)), (0, 0), (5, 6), (5, 12)])
+    clean = corpus_pipeline.decontaminated(spark, docs, sf)
+    assert clean.columns == docs.columns and clean.count() == len(rows)
+    assert corpus_pipeline.encoded(spark, docs, sf).count() == len(rows)
+
+
 def test_contaminated_documents_go_and_others_stay(spark, sf, stages):
     items = spark.read.parquet(f"{sf}/benchmark.parquet")
     hit = {r.doc_id for r in decontaminate.decontaminate(stages[3], items).where("n_hit > 0").collect()}

@@ -44,6 +44,24 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def skew_join(left: DataFrame, right: DataFrame, key: str, hot_parts: int = 1000) -> DataFrame:
+    """Inner join with `right`, which has at most one row for each key. Keys with more than a `hot_parts`-th of
+    the left rows, fewer than `hot_parts` keys therefore, are joined by broadcast and shuffle no left rows."""
+    counts = left.groupBy(key).agg(F.count("*").alias("__n"))
+    total = counts.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n")).first()["n"]
+    hot = F.broadcast(counts.where(F.col("__n") > max(100, total // hot_parts)).select(key))
+    return left.join(hot, key, "left_anti").join(right, key).unionByName(left.join(F.broadcast(right.join(hot, key)), key))
+
+
+def maybe_among(df: DataFrame, hash_: Column, hashes: DataFrame, bits: int = 22) -> DataFrame:
+    """`df` with `__maybe`: false only where the hash (long) isn't in the one column of `hashes`. Decided by a
+    bitmap of 2**bits bits, broadcast as a table of 2**(bits - 6) rows at most, so no row is shuffled."""
+    word, bit = F.shiftrightunsigned("__h", 64 - bits + 6).cast("int"), F.shiftrightunsigned("__h", 64 - bits).bitwiseAND(63).cast("int")
+    marks = hashes.toDF("__h").groupBy(word.alias("__word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("__bits"))
+    read = df.withColumn("__h", hash_).withColumn("__word", word).join(F.broadcast(marks), "__word", "left")
+    return read.withColumn("__maybe", F.coalesce(F.call_function("shiftrightunsigned", F.col("__bits"), bit).bitwiseAND(1) == 1, F.lit(False))).drop("__h", "__word", "__bits")
+
+
 def slices(sizes: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Runs of rows of about `limit` bytes, one row at least."""
     lo, total = 0, 0

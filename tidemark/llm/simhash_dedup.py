@@ -9,10 +9,15 @@ A posting list longer than `list_limit` is not paired. Its fingerprints are link
 size, by another property: two fingerprints differ in at most two bits if and only if they have a
 common neighbour, a value at most one bit away from both. Each emits its 65 neighbours and is linked
 to the least fingerprint at each; those links are real ones and connect the same components.
+
+similar_texts() finds texts of a given similarity in the same manner, with wider fingerprints.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -20,11 +25,17 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import map_texts, shared_checkpoint
+from tidemark.llm.common import map_texts, maybe_among, shared_checkpoint, skew_join, tuned
 
 #: Shingle length in words, seed of the hash, most differing bits, and longest posting list that is paired.
 SHINGLE, SEED, BITS, LIST_LIMIT = 3, 42, 2, 64
 
+#: For similar_texts(): shingle length in words, least similarity, bytes of a fingerprint (a multiple of eight),
+#: least positional bytes that a pair shares, and distances of the second and third byte of a key from its first.
+WIDE_SHINGLE, SIMILARITY, WIDE, LEAST_SHARED, SHAPES = 5, 0.8, 64, 8, ((1, 3), (11, 28), (6, 37))
+
+STIR = np.uint64(0x9E3779B97F4A7C15)
+
 #: Shingles of a text that are hashed at once, so that memory doesn't grow with the text.
 PART = 4096
 
@@ -109,7 +120,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = state(edges)
     for _ in range(ROUNDS):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = skew_join(both, least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         mins = least(down)
         small = down.join(mins, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(mins.select("u", F.col("m").alias("v")))
@@ -117,6 +128,8 @@ def components(edges: DataFrame) -> DataFrame:
         before, now = now, state(edges)
         if before == now:
             break
+    else:
+        raise RuntimeError(f"components not found in {ROUNDS} rounds")
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
@@ -136,4 +149,199 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     classes = rooted.join(named, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select(id_col, "fp", "component_id")
+    return skew_join(prints, classes, "fp").select(id_col, "fp", "component_id")
+
+
+def shingle_hashes(text: bytes | None, shingle: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles of words, sorted; of fewer words, of all of them; none of a text without words."""
+    words = (text or b"").lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    if len(words) < shingle:
+        words = [b" ".join(words)] * shingle
+    codes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    out = np.zeros(len(codes) - shingle + 1, np.uint64)
+    for i in range(shingle):
+        out = (out ^ codes[i : i + len(out)]) * STIR
+        out ^= out >> np.uint64(29)
+    return np.unique(out)
+
+
+def wide_print(hashes: np.ndarray) -> bytes:
+    """The SimHash of WIDE bytes of distinct shingle hashes; each has WIDE / 8 numbers by splitmix steps."""
+    ones = np.zeros(8 * WIDE, np.int64)
+    seeds = np.arange(1, WIDE // 8 + 1, dtype=np.uint64) * STIR
+    for lo in range(0, len(hashes), 255):
+        z = hashes[lo : lo + 255, None] + seeds
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z ^= z >> np.uint64(31)
+        # At most 255 rows, so bytes hold their sums.
+        ones += np.add.reduce(np.unpackbits(z.view(np.uint8), axis=1), axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(hashes)).tobytes()
+
+
+def wide_keys(prints: np.ndarray) -> np.ndarray:
+    """The keys of fingerprints (rows of WIDE bytes): for each shape and each first position, the bytes at three positions."""
+    at = np.arange(WIDE)
+    x = prints.astype(np.int64)
+    triples = [(x << 16) | (x[:, (at + a) % WIDE] << 8) | x[:, (at + b) % WIDE] | ((k * WIDE + at) << 24) for k, (a, b) in enumerate(SHAPES)]
+    return np.hstack(triples)
+
+
+def list_rows(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """See listed_pairs(); batches are sorted by key and node. Holds a batch and at most `limit` rows more."""
+
+    def rows(long_list, a, b):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(b), long_list)), pa.array(np.broadcast_to(a, len(b))), pa.array(b)], names=["long_list", "a", "b"])
+
+    keys, nodes = np.empty((2, 0), np.int64)
+    hub = key = None  # the least node and the key of a long list that goes on
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            keys, nodes = np.r_[keys, np.asarray(batch.column(0))], np.r_[nodes, np.asarray(batch.column(1))]
+        if hub is not None:
+            n = int(np.searchsorted(keys, key, side="right"))
+            yield rows(False, hub, nodes[:n])
+            yield rows(True, key, nodes[:n])
+            keys, nodes = keys[n:], nodes[n:]
+            hub = None if len(keys) else hub
+        if not len(keys):
+            continue
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        sizes = np.diff(np.r_[starts, len(keys)])
+        over = len(keys) if batch is None else int(starts[-1])
+        short = np.repeat(sizes <= limit, sizes)
+        short[over:] = False
+        for d in range(1, limit):
+            same = short[d:] & (keys[d:] == keys[:-d])
+            if not same.any():
+                break
+            yield rows(False, nodes[:-d][same], nodes[d:][same])
+        for lo, n in zip(starts.tolist(), sizes.tolist(), strict=True):
+            if n > limit:
+                yield rows(False, nodes[lo], nodes[lo + 1 : lo + n])
+                yield rows(True, keys[lo], nodes[lo : lo + n])
+        if over < len(keys) and sizes[-1] > limit:
+            hub, key, over = nodes[over], keys[over], len(keys)
+        keys, nodes = keys[over:], nodes[over:]
+
+
+def listed_pairs(classes: DataFrame, list_limit: int) -> DataFrame:
+    """What the posting lists of `fp` give, as (long_list, a, b): all pairs of nodes of a list of `list_limit` rows at
+    most; of a longer one the pairs with its least node (long_list false), and its keys and nodes (long_list true)."""
+
+    def post(batches):
+        for batch in batches:
+            for lo in range(0, len(batch), 512):
+                part = batch.slice(lo, 512)
+                keys = wide_keys(np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(-1, WIDE))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(np.asarray(part.column(0)), keys.shape[1]))], names=["key", "node"])
+
+    postings = classes.select("node", "fp").mapInArrow(post, "key long, node long")
+    dealt = postings.repartition("key").sortWithinPartitions("key", "node")
+    return dealt.mapInArrow(lambda batches: list_rows(batches, list_limit), "long_list boolean, a long, b long")
+
+
+def tallied(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
+    """The pairs (u, v) whose fingerprints share `least` positional bytes or more."""
+
+    def count(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, WIDE) for c in (2, 3))
+            yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= least))
+
+    of = lambda name: classes.select(F.col("node").alias(name), F.col("fp").alias(f"fp_{name}"))
+    met = skew_join(pairs.join(of("v"), "v"), of("u"), "u")
+    return met.select("u", "v", "fp_u", "fp_v").mapInArrow(count, "u long, v long")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose sets of shingle hashes, (node, hashes), have at least this Jaccard similarity."""
+
+    def compare(batches):
+        held, x = None, None
+        for batch in batches:
+            keep = []
+            for u, a, b in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), strict=True):
+                if u != held:
+                    held, x = u, np.frombuffer(a, np.uint64)
+                y = np.frombuffer(b, np.uint64)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(common >= similarity * (len(x) + len(y) - common))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    of = lambda name: sets.select(F.col("node").alias(name), F.col("hashes").alias(f"set_{name}"))
+    met = skew_join(pairs.join(of("v"), "v"), of("u"), "u")
+    return met.select("u", "v", "set_u", "set_v").mapInArrow(compare, "u long, v long")
+
+
+def similar_texts(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = WIDE_SHINGLE,
+    similarity: float = SIMILARITY,
+    least_shared: int = LEAST_SHARED,
+    list_limit: int = LIST_LIMIT,
+) -> DataFrame:
+    """One row for each row of `docs`: its id and `component_id`, the least id that links reach, its own included.
+
+    Two texts are linked if their sets of `shingle`-word shingles have a Jaccard similarity of `similarity` or more.
+    Candidates come from a SimHash of WIDE bytes over those sets: an inverted index over triples of byte
+    positions, in which the positional bytes that a pair shares are tallied. Fingerprints that differ in at
+    most WIDE - least_shared bits share `least_shared` bytes at least; pairs of fewer are left out, the others are
+    verified on their whole texts. That two texts meet in the index is likely, not certain; the README has
+    the measured share.
+
+    Texts of the same words in lower case are one class from the start, so copies cost a row each. A long
+    posting list gives the pairs with its least node; once those are linked, members of different
+    components that are still in one list are paired, so no link between components is lost, and large groups
+    of near copies, being one component, need no more pairs.
+
+    Null, empty and blank texts are one class. Very long texts count whole. Rows of one text or id stay, each with
+    its component; ties need no order. A null id has no part in the least id. An empty table gives an
+    empty result. Other columns are not read.
+    """
+    tuned(docs.sparkSession)
+    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    bodies = docs.select(F.col(id_col), body.alias("__body"), F.xxhash64(body).alias("text_hash"))
+    fields = [T.StructField("digest", T.BinaryType()), T.StructField("fp", T.BinaryType())]
+
+    def printed():
+        def work(texts):
+            digests = [xxhash.xxh3_128_digest(b" ".join((t or b"").lower().split())) for t in texts]
+            return [pa.array(digests, pa.binary()), pa.array([wide_print(shingle_hashes(t, shingle)) for t in texts], pa.binary())]
+
+        return work
+
+    prints = shared_checkpoint(map_texts(bodies, [id_col, "text_hash"], "__body", fields, printed))
+    grouped = prints.groupBy("digest").agg(F.min(id_col).alias("least_id"), F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp"))
+    classes = shared_checkpoint(grouped.withColumn("node", F.monotonically_increasing_id()))
+    lists = shared_checkpoint(listed_pairs(classes, list_limit))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        near = shared_checkpoint(tallied(pairs, classes, least_shared))
+        wanted = near.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(classes, "node").select("node", "text_hash")
+        few = maybe_among(bodies.select("text_hash", "__body"), F.col("text_hash"), wanted.select("text_hash")).where("__maybe")
+        texts = few.groupBy("text_hash").agg(F.first("__body").alias("__body")).join(wanted, "text_hash")
+        hashed = lambda: lambda texts: [pa.array([shingle_hashes(t, shingle).tobytes() for t in texts], pa.binary())]
+        sets = shared_checkpoint(map_texts(texts, ["node"], "__body", [T.StructField("hashes", T.BinaryType())], hashed))
+        return shared_checkpoint(verified(near, sets, similarity))
+
+    pairs = lists.where("NOT long_list").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
+    links_ = linked(pairs)
+    roots = components(links_)
+    labels = roots.withColumnRenamed("root", "part")
+    members = lists.where("long_list").select(F.col("a").alias("key"), F.col("b").alias("node")).join(labels, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    parts = members.groupBy("key", "part").agg(F.count("*").alias("n"))
+    mixed = shared_checkpoint(parts.groupBy("key").agg(F.max_by("part", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main"))
+    if not mixed.isEmpty():
+        open_ = members.join(mixed, "key")
+        apart = open_.where("part <> main").select("key", F.col("node").alias("u"), F.col("part").alias("u_part"))
+        crossing = apart.join(open_.select("key", F.col("node").alias("v"), "part"), "key").where("u_part <> part")
+        more = crossing.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti")
+        roots = components(links_.union(linked(more)))
+    rooted = classes.select("digest", "least_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    return skew_join(prints.select(id_col, "digest"), rooted.join(named, "root").select("digest", "component_id"), "digest").select(id_col, "component_id")
