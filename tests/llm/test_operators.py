@@ -376,16 +376,30 @@ def test_topk_with_few_candidates_and_none(spark):
 
 def test_bounds_hold_at_each_resolution():
     rng = np.random.default_rng(5)
-    q, x = rng.normal(size=(20, 48)), rng.normal(size=(30, 48))
+    q, x = rng.normal(size=(20, 64)), rng.normal(size=(30, 64))
     last = None
-    for n in topk_search.resolutions(48):
-        (qm, qd), (xm, xd) = topk_search.segment_stats(q, n), topk_search.segment_stats(x, n)
-        bound = qm @ xm.T + qd @ xd.T
-        assert (bound >= q @ x.T - 1e-9).all()
-        assert last is None or (bound <= last + 1e-9).all()
+    for n in topk_search.resolutions(64):
+        bound = topk_search.bounding(q, n) @ topk_search.bounding(x, n).T
+        assert (bound >= q @ x.T).all()
+        assert last is None or (bound <= last + 1e-4).all()
         last = bound
 
 
+def test_clustered_vectors_are_pruned_and_the_best_stay():
+    """Of vectors around few centres, nearly all pairs go by their bounds, and the floor goes from block to block."""
+    rng = np.random.default_rng(6)
+    centres = np.repeat(rng.normal(0, 40, (16, 8)), 8, axis=1)
+    x = np.floor(centres[rng.integers(0, 16, 20_000)] + rng.normal(0, 3, (20_000, 64)))
+    ids = np.arange(len(x))
+    best = topk_search.Best(ids[::100], x[::100], 20)
+    for lo in range(0, len(x), 4000):
+        best.see(ids[lo : lo + 4000], x[lo : lo + 4000])
+    assert best.left[-1] < 0.1 * best.left[0] == 0.1 * 200 * 20_000
+    scores = x[::100] @ x.T
+    want = [(100 * r, int(c), int(scores[r, c])) for r in range(200) for c in [c for c in np.lexsort((ids, -scores[r])) if c != 100 * r][:20]]
+    assert sorted(best.rows()) == sorted(want)
+
+
 # 6 Language ID
 
 

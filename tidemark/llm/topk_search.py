@@ -7,8 +7,9 @@ length times the product of the deviations (Cauchy and Schwarz), which bounds th
 the candidates that the one before left, and exact products for the survivors.
 
 Queries and candidates are packed into blocks of bounded size. Every query block meets every candidate
-block once, as the statement of the search demands; a task keeps the best of each query, and the
-partial answers, `k` for a query and group of candidate blocks, meet by query.
+block once, as the statement of the search demands; a task keeps the best of each query over all of its
+candidate blocks, so that what it has found bounds what it still has to look at. The partial answers, `k`
+for a query and group of candidate blocks, meet by query.
 """
 
 from __future__ import annotations
@@ -19,8 +20,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Neighbours of a query, vectors of a block, vectors of a group of blocks, and slack of float bounds.
-K, QUERY_BLOCK, CANDIDATE_BLOCK, GROUP_ROWS, SLACK = 20, 512, 16_384, 100_000, 1e-6
+#: Neighbours of a query, vectors of a block, vectors of a group of blocks, and slack of
+#: bounds in single precision as a share of the product of lengths.
+K, QUERY_BLOCK, CANDIDATE_BLOCK, GROUP_ROWS, SLACK = 20, 512, 16_384, 100_000, 1e-5
+
+#: Queries and candidates that are bounded together, and share of live pairs below which they are multiplied one by one.
+QUERY_GROUP, PIECE, FEW = 128, 1024, 0.02
 
 #: Products beyond this size aren't exact in doubles; they are computed in Python's integers.
 EXACT = float(1 << 53)
@@ -36,60 +41,88 @@ def segment_stats(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]
     return mean * root, np.sqrt(np.maximum(0, square - mean * mean)) * root
 
 
+def bounding(x: np.ndarray, segments: int) -> np.ndarray:
+    """Rows whose inner products bound those of the vectors from above: means, deviations, and the length for rounding errors."""
+    length = np.linalg.norm(x, axis=1, keepdims=True) * np.sqrt(SLACK)
+    return np.hstack([*segment_stats(x, segments), length]).astype(np.float32)
+
+
 def resolutions(dim: int) -> list[int]:
-    """Numbers of segments: 1, 4, 16, ... while a segment has two components or more."""
+    """Numbers of segments: 1, 4, 16, ... while a segment has two components or more, and segments of two."""
     out, n = [], 1
     while 2 * n <= dim:
         out.append(n)
         n *= 4
-    return out or [1]
+    return sorted({*out, max(1, dim // 2)})
+
+
+def exact_in_doubles(q: np.ndarray, x: np.ndarray) -> bool:
+    return q.shape[1] * np.abs(q).max(initial=0) * np.abs(x).max(initial=0) < EXACT
 
 
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    if q.shape[1] * np.abs(q).max(initial=0) * np.abs(x).max(initial=0) < EXACT:
+    if exact_in_doubles(q, x):
         return q @ x.T
-    whole = np.array([[int(v) for v in row] for row in q], object) @ np.array([[int(v) for v in row] for row in x], object).T
-    return whole
-
-
-def best_of(q_ids: np.ndarray, q: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[int, int, int]]:
-    """(query, vector, score) of each query's k best over the blocks, ties to smaller ids; a query's own id is left out."""
-    levels = resolutions(q.shape[1])
-    q_stats = [segment_stats(q, n) for n in levels]
-    scores = [np.empty(0, object)] * len(q)
-    ids = [np.empty(0, np.int64)] * len(q)
-    floor = np.full(len(q), -np.inf)
-    for x_ids, x in blocks:
+    return np.array([[int(v) for v in row] for row in q], object) @ np.array([[int(v) for v in row] for row in x], object).T
+
+
+class Best:
+    """Each query's k best of the candidates seen so far, ties to smaller ids; a query's own id is left out."""
+
+    def __init__(self, q_ids: np.ndarray, q: np.ndarray, k: int):
+        # Queries of like direction stand together, so that a group drops the same candidates.
+        order = np.lexsort(segment_stats(q, min(4, q.shape[1]))[0].T > 0) if len(q) else np.arange(0)
+        self.q_ids, self.q, self.k = q_ids[order], q[order], k
+        self.levels = resolutions(q.shape[1])
+        self.stats = [bounding(self.q, n) for n in self.levels]
+        self.scores = [np.empty(0, object)] * len(q)
+        self.ids = [np.empty(0, np.int64)] * len(q)
+        self.floor = np.full(len(q), -np.inf)
+        self.left = np.zeros(len(self.levels) + 1, np.int64)  # pairs at the start and after each level
+
+    def see(self, x_ids: np.ndarray, x: np.ndarray) -> None:
         # Candidates in order of their length, so that good ones raise the floor first.
-        pieces = np.array_split(np.argsort(-np.linalg.norm(x, axis=1), kind="stable"), max(1, len(x) // 1024))
-        for piece in pieces:
-            cand, cand_ids = x[piece], x_ids[piece]
-            alive_q, alive_x = np.arange(len(q)), np.arange(len(cand))
-            for n, (qm, qd) in zip(levels, q_stats, strict=True):
-                xm, xd = segment_stats(cand[alive_x], n)
-                bound = np.hstack([qm[alive_q], qd[alive_q]]) @ np.hstack([xm, xd]).T
-                bound += SLACK * (1 + np.abs(bound))
-                live = bound >= floor[alive_q][:, None]
-                keep_q, keep_x = live.any(axis=1), live.any(axis=0)
-                alive_q, alive_x, live = alive_q[keep_q], alive_x[keep_x], live[keep_q][:, keep_x]
-                if not len(alive_q):
-                    break
+        order = np.argsort(-np.linalg.norm(x, axis=1), kind="stable")
+        for lo in range(0, len(x), PIECE):
+            at = order[lo : lo + PIECE]
+            cand, cand_ids = x[at], x_ids[at]
+            stats = [bounding(cand, n) for n in self.levels]
+            for first in range(0, len(self.q), QUERY_GROUP):
+                self.meet(np.arange(first, min(first + QUERY_GROUP, len(self.q))), cand_ids, cand, stats)
+
+    def meet(self, alive_q: np.ndarray, cand_ids: np.ndarray, cand: np.ndarray, stats: list[np.ndarray]) -> None:
+        alive_x = np.arange(len(cand))
+        self.left[0] += len(alive_q) * len(cand)
+        for level, (mine, theirs) in enumerate(zip(self.stats, stats, strict=True)):
+            # A bound out of range, which compares false, is none.
+            live = ~(mine[alive_q] @ theirs[alive_x].T < self.floor[alive_q][:, None])
+            keep_q, keep_x = live.any(axis=1), live.any(axis=0)
+            alive_q, alive_x, live = alive_q[keep_q], alive_x[keep_x], live[keep_q][:, keep_x]
+            self.left[level + 1] += int(live.sum())
             if not len(alive_q):
-                continue
-            exact = products(q[alive_q], cand[alive_x])
-            live &= exact >= floor[alive_q][:, None]
-            live &= cand_ids[alive_x][None, :] != q_ids[alive_q][:, None]
-            for row, i in enumerate(alive_q.tolist()):
-                hits = np.flatnonzero(live[row])
-                if not len(hits):
-                    continue
-                s = np.concatenate([scores[i], exact[row, hits].astype(object)])
-                v = np.concatenate([ids[i], cand_ids[alive_x[hits]]])
-                order = np.lexsort((v, -s.astype(np.float64)))[:k] if abs(s).max() < EXACT else np.array(sorted(range(len(s)), key=lambda j: (-s[j], v[j]))[:k])
-                scores[i], ids[i] = s[order], v[order]
-                if len(order) == k:
-                    floor[i] = float(scores[i][-1])
-    return [(int(q_ids[i]), int(v), int(s)) for i in range(len(q)) for v, s in zip(ids[i].tolist(), scores[i].tolist(), strict=True)]
+                return
+        if live.mean() < FEW and exact_in_doubles(self.q, cand):
+            row, column = np.nonzero(live)
+            scores = np.einsum("ij,ij->i", self.q[alive_q[row]], cand[alive_x[column]])
+        else:
+            scores = products(self.q[alive_q], cand[alive_x])
+            row, column = np.nonzero(live & (scores >= self.floor[alive_q][:, None]))
+            scores = scores[row, column]
+        good = (scores >= self.floor[alive_q[row]]) & (cand_ids[alive_x[column]] != self.q_ids[alive_q[row]])
+        row, column, scores = row[good.astype(bool)], column[good.astype(bool)], scores[good.astype(bool)]
+        edges = np.searchsorted(row, np.arange(len(alive_q) + 1))
+        for r in np.unique(row).tolist():
+            i, part = int(alive_q[r]), slice(edges[r], edges[r + 1])
+            s = np.concatenate([self.scores[i], scores[part].astype(object)])
+            v = np.concatenate([self.ids[i], cand_ids[alive_x[column[part]]]])
+            best = np.lexsort((v, -s.astype(np.float64)))[: self.k] if abs(s).max() < EXACT else np.array(sorted(range(len(s)), key=lambda j: (-s[j], v[j]))[: self.k])
+            self.scores[i], self.ids[i] = s[best], v[best]
+            if len(best) == self.k:
+                self.floor[i] = float(self.scores[i][-1])
+
+    def rows(self) -> list[tuple[int, int, int]]:
+        """(query, vector, score)"""
+        return [(int(q), int(v), int(s)) for q, ids, scores in zip(self.q_ids.tolist(), self.ids, self.scores, strict=True) for v, s in zip(ids.tolist(), scores.tolist(), strict=True)]
 
 
 def packed(vectors: DataFrame, rows: int) -> DataFrame:
@@ -133,30 +166,35 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     fit in 64 bits. Rows with a null id, a null or empty vector, or a null or non-finite component take
     no part; rows of other lengths are no candidates. Rows that repeat an id are candidates of their own
     but never of that id; a repeated query is answered once, from its first row's vector by value. Queries
-    with fewer candidates return all. Queries and candidates are dealt to groups of about `group_rows`, six
-    of candidates at least; each pair of groups meets in one task.
+    with fewer candidates return all. An empty table gives an empty result; other columns are not read.
+    Queries and candidates are dealt to groups of about `group_rows`, of candidates at least two for each
+    core; each pair of groups meets in one task.
     """
     x = F.transform(vector_col, lambda v: F.floor(F.lit(scale) * v.cast("double")).cast("double"))
     finite = F.forall(vector_col, lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < F.lit(float("inf"))))
     valid = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(vector_col) > 0) & finite)
     rows = valid.select(F.col(id_col).cast("long").alias("id"), x.alias("v"), is_query.alias("q"))
     sizes = rows.agg(F.count("*").alias("n"), F.count_if("q").alias("q")).first()
-    groups, q_groups = max(6, -(-sizes["n"] // group_rows)), max(1, -(-sizes["q"] // group_rows))
+    groups, q_groups = max(2 * vectors.sparkSession.sparkContext.defaultParallelism, -(-sizes["n"] // group_rows)), max(1, -(-sizes["q"] // group_rows))
     queries = rows.where("q").groupBy("id").agg(F.min("v").alias("v"))
     q_blocks = packed(queries, QUERY_BLOCK).select("dim", F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
     # Groups come from the blocks' bytes: a task that runs again deals its blocks as before.
-    x_blocks = packed(rows.select("id", "v"), CANDIDATE_BLOCK).withColumn("group", F.pmod(F.xxhash64("ids", "values"), F.lit(groups)).cast("int"))
+    x_blocks = packed(rows.select("id", "v"), max(1, min(CANDIDATE_BLOCK, sizes["n"] // (4 * groups)))).withColumn("group", F.pmod(F.xxhash64("ids", "values"), F.lit(groups)).cast("int"))
     # A grid of groups: each task has about group_rows queries and as many candidates.
     q_dealt = q_blocks.withColumn("q_group", F.pmod(F.xxhash64("q_ids"), F.lit(q_groups)).cast("int")).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     met = q_dealt.join(x_blocks.withColumn("q_group", F.explode(F.sequence(F.lit(0), F.lit(q_groups - 1)))), ["dim", "group", "q_group"])
     answer = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType())])
 
     def search(batches):
+        held: dict[tuple, Best] = {}
         for batch in batches:
             for dim, q_ids, q_values, ids, values in zip(*(batch.column(c).to_pylist() for c in ("dim", "q_ids", "q_values", "ids", "values")), strict=True):
-                q, v = np.frombuffer(q_values).reshape(-1, dim), np.frombuffer(values).reshape(-1, dim)
-                found = best_of(np.frombuffer(q_ids, np.int64), q, [(np.frombuffer(ids, np.int64), v)], k)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * 3, names=answer.names)
+                if (best := held.get((dim, q_ids))) is None:
+                    best = held[dim, q_ids] = Best(np.frombuffer(q_ids, np.int64), np.frombuffer(q_values).reshape(-1, dim), k)
+                best.see(np.frombuffer(ids, np.int64), np.frombuffer(values).reshape(-1, dim))
+        for best in held.values():
+            if found := best.rows():
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=answer.names)
 
     partial = met.mapInArrow(search, answer)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
