@@ -35,7 +35,7 @@ from tidemark.llm.common import ARROW_ROWS, id_remainder, shared_checkpoint, sli
 
 #: Words with their own output, words of a class, classes of the other words, units, and numbers that
 #: describe an input word.
-HEAD, CLASS_WORDS, TAIL_CLASSES, UNITS, INPUT = 1024, 32, 32, 24, 16
+HEAD, CLASS_WORDS, TAIL_CLASSES, UNITS, INPUT = 512, 16, 32, 16, 8
 
 #: Words whose counts each worker holds at most; the counts of the others are joined.
 KNOWN = 200_000
@@ -46,7 +46,7 @@ RATES, WINDOW, LANES, LEAST_UPDATES = (0.01, 0.006, 0.003), 24, 256, 40
 
 #: Smoothing of counts, words of the supply that lanes draw from, lanes and words of a window of
 #: scoring, words of a count table, and bytes of a text that are split at once.
-SMOOTH, SUPPLY, SCORE_LANES, SCORE_WINDOW, TABLE_WORDS, PIECE = 0.1, 1_500_000, 256, 24, 1_000_000, 1 << 22
+SMOOTH, SUPPLY, SCORE_LANES, SCORE_WINDOW, TABLE_WORDS, PIECE = 0.1, 1_500_000, 512, 48, 1_000_000, 1 << 22
 
 #: The end of a text; no word is empty.
 END = b""
