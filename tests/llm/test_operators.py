@@ -429,6 +429,35 @@ def test_more_languages_than_bits_of_a_word(spark):
     assert language_id.predict(df, model).count() == 70
 
 
+def test_language_equals_exact_sets_of_ngrams(spark):
+    """The filter's decision against sets of each language's n-grams, without a filter or sampling."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    train = [r for r in docs.where("lang IS NOT NULL AND text IS NOT NULL").collect() if zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    grams = lambda t: [b[i : i + 4] for b in [language_id.letters(t.encode()).ljust(4)] for i in range(len(b) - 3)]
+    n, having, texts = defaultdict(Counter), defaultdict(Counter), Counter(r.lang for r in train)
+    for r in train:
+        n[r.lang].update(grams(r.text))
+        having[r.lang].update(set(grams(r.text)))
+    rate = {lang: {g: k / n[lang].total() for g, k in n[lang].items()} for lang in texts}
+    most = {g: max(rate[lang].get(g, 0) for lang in texts) for lang in texts for g in rate[lang]}
+    own = {lang: {g for g, k in rate[lang].items() if k >= 0.01 * most[g] and having[lang][g] >= max(0.005 * texts[lang], min(3, texts[lang] / 20))} for lang in texts}
+    got, same, close = {r.doc_id: r for r in language_id.identify(docs).collect()}, 0, 0
+    known = [r for r in docs.collect() if r.text and language_id.has_letter(r.text.encode())]
+    for r in known:
+        hits = {lang: sum(g in own[lang] for g in grams(r.text)) for lang in sorted(texts)}
+        best = max(hits, key=lambda lang: hits[lang])
+        same += got[r.doc_id].lang_pred == best
+        close += abs(got[r.doc_id].score - hits[best] / max(1, sum(hits.values()))) < 0.03
+    assert same >= 0.998 * len(known) and close >= 0.99 * len(known)
+
+
+def test_too_many_languages_are_an_error(spark):
+    df = spark.range(1100).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"), F.col("id").cast("string").alias("lang"))
+    with pytest.raises(ValueError, match="languages"):
+        language_id.fit(df)
+
+
 # 7 Token counts, 9 BPE
 
 
@@ -623,6 +652,68 @@ def test_non_negative_risk_separates_classes():
     assert (z(one(2, 200)) > 0).mean() > 0.95 and (z(one(-2, 200)) < 0).mean() > 0.95
 
 
+def plain_features(text, dim=quality.DIM):
+    """Features of a text, one n-gram and word at a time."""
+    data, counts = (text or "").encode(), np.zeros(dim)
+    shape = [1 if 97 <= b <= 122 or b >= 128 else 2 if 65 <= b <= 90 else 3 if 48 <= b <= 57 else 4 if b in (9, 32) else 5 if b in (10, 13) else 6 + b for b in data]
+    for n in (1, 2, 3):
+        for i in range(len(shape) - n + 1):
+            code = n
+            for x in shape[i : i + n]:
+                code = (code << 8) + x
+            counts[(code * 0x9E3779B97F4A7C15 % 2**64 >> 40) % dim] += 1
+    words, bins = data.split(), np.zeros(2 * quality.BINS)
+    if len(words) > 1:
+        again = sum(a == b for a, b in zip(words, words[1:], strict=False)) / (len(words) - 1)
+        fresh = sum(len(set(words[i : i + 200])) for i in range(0, len(words), 200)) / len(words)
+        bins[min(quality.BINS - 1, int(again * quality.BINS))] = 1
+        bins[quality.BINS + min(quality.BINS - 1, int(fresh * quality.BINS))] = 1
+    return np.r_[np.sqrt(counts / max(1, counts.sum())), bins, 1]
+
+
+def test_quality_features_and_scores_equal_plain_loops(docs):
+    texts = [r.text for r in docs.limit(25).collect()] + ["", None, "a", "the the the the", "It's 12 !! " * 300]
+    want = np.array([plain_features(t) for t in texts])
+    assert np.allclose(quality.features([t if t is None else t.encode() for t in texts]), want, atol=1e-6)
+    rng = np.random.default_rng(0)
+    model = quality.QualityModel(rng.normal(0, 1, want.shape[1]), rng.normal(0, 0.1, want.shape[1]), np.full(want.shape[1], 0.5), 0.5)
+    z = ((want - model.mean) / model.scale) @ model.weights
+    assert np.allclose(model.score([t if t is None else t.encode() for t in texts]), 1 / (1 + np.exp(-np.clip(z, -30, 30))), atol=1e-5)
+
+
+def test_quality_slope_is_that_of_the_non_negative_risk():
+    """Against differences of the risk, where it is as it stands, and turned round where its unlabelled part is negative."""
+    rng = np.random.default_rng(1)
+    p, u = rng.normal(0.5, 1, (40, 5)), rng.normal(-0.2, 1, (70, 5))
+    for prior in (0.3, 0.9):
+        for w in (rng.normal(0, 1, 5), np.array([-3.0, -3, 0, 0, -2])):
+            loss = lambda v, x: np.logaddexp(0, -x @ v).mean()  # noqa: E731  of x as positive; of -x as negative
+            rest = lambda v: loss(v, -u) - prior * loss(v, -p)
+            risk = (lambda v: prior * loss(v, p) + rest(v)) if rest(w) >= 0 else (lambda v: -rest(v))
+            steps = np.eye(5) * 1e-5
+            want = [(risk(w + d) - risk(w - d)) / 2e-5 for d in steps]
+            assert np.allclose(quality.risk_slope(w, p, u, prior), want, atol=1e-5)
+
+
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.85])
+def test_class_prior_comes_from_positives_and_unlabelled_rows(share):
+    rng = np.random.default_rng(2)
+    p, good, bad = rng.normal(1.5, 1, (3000, 4)), rng.normal(1.5, 1, (int(8000 * share), 4)), rng.normal(-1.5, 1, (8000 - int(8000 * share), 4))
+    x = np.hstack([np.vstack([p, good, bad]), np.ones((11000, 1))]).astype(np.float32)
+    assert abs(quality.class_prior(x, 3000) - share) < 0.06
+
+
+def test_quality_learns_from_all_unlabelled_rows(spark):
+    """A kind of text that is in no sample of 200 unlabelled rows, but in all of them, changes the model."""
+    rows = [(i, f"Good text number {i % 7}, it is well written.") for i in range(300)] + [(300 + i, "bad!!! bad!!! $$$ ### bad") for i in range(300)]
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 300, 3)], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    first = quality.fit(docs, labels, unlabelled=50)
+    other = quality.fit(docs.union(spark.createDataFrame([(10**6 + i, "@@@@ %%%% ^^^^ ~~~~") for i in range(40)], docs.schema)).repartition(4), labels, unlabelled=50)
+    odd, good = b"@@@@ %%%% ^^^^ ~~~~", b"Good text number 3, it is well written."
+    assert other.score([odd])[0] < 0.3 < other.score([good])[0] and other.score([odd])[0] < first.score([odd])[0] + 0.3
+
+
 def test_digest_queries_describe_operator_output(spark, sf, docs, library):
     got = {r.doc_id: r for r in QUERIES["op9_word_bpe"](spark, sf).collect()}
     for r in docs.limit(20).collect():
@@ -638,6 +729,7 @@ def test_quality_sample_is_bounded_for_rows_of_one_id(spark, monkeypatch):
     docs = spark.createDataFrame([*rows, (8, "another")], "doc_id long, text string")
     labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, quality int")
     drawn = []
-    monkeypatch.setattr(quality, "fit_pu", lambda x, good, prior: drawn.append((good, len(x) - good)))
+    whole = quality.class_prior
+    monkeypatch.setattr(quality, "class_prior", lambda x, good: drawn.append((good, len(x) - good)) or whole(x, good))
     quality.fit(docs, labels, positives=100, unlabelled=200)
     assert 40 < drawn[0][0] < 180 and 120 < drawn[0][1] < 300

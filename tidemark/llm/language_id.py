@@ -5,9 +5,10 @@ that contain it. A text's n-grams are counted per language, the counts are corre
 false positives, and the language with the most corrected hits wins.
 
 Fitting: n-grams are counted per language over a sample of labelled documents, whose expected size is
-bounded. A language contains an n-gram if it is among its most frequent ones and its rate there is at
-least a share of the highest rate in any language, so that stray n-grams of other languages, which any
-large corpus holds, don't fill the filter.
+bounded. A language contains an n-gram if a share of its documents have it and its rate there isn't far
+below the highest rate in any language: large corpora hold strays of other languages, which aren't theirs.
+All such n-grams are in the filter; its slots are counted out for a set rate of false positives, and its
+masks are put together by slot in Spark.
 """
 
 from __future__ import annotations
@@ -17,15 +18,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import id_remainder, map_texts
+from tidemark.llm.common import id_remainder, map_texts, shared_checkpoint, slices
 
-#: Bytes of an n-gram; labelled documents of a language that are sampled, as expected; n-grams that a
-#: language contains at most; least share of the highest rate; slots of the filter; probes.
-GRAM, DOCS_PER_LANGUAGE, GRAMS_PER_LANGUAGE, LEAST_SHARE, SLOTS, PROBES = 4, 4000, 30_000, 0.25, 1 << 19, 2
+#: Bytes of an n-gram; labelled documents of a language that are sampled, as expected; share of a language's
+#: documents that have an n-gram of it, and few documents that do for small samples; least share of the
+#: highest rate; rate of false positives; probes; most languages, and most slots.
+GRAM, DOCS_PER_LANGUAGE, LEAST_DOCS, FEW_DOCS, LEAST_SHARE, FALSE_RATE, PROBES, MOST_LANGUAGES, MOST_SLOTS = 4, 4000, 0.005, 3, 0.01, 0.002, 3, 1024, 1 << 24
 
 UNDETERMINED = "und"
 
@@ -116,46 +119,58 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     docs_per_language: int = DOCS_PER_LANGUAGE,
-    grams_per_language: int = GRAMS_PER_LANGUAGE,
+    least_docs: float = LEAST_DOCS,
     least_share: float = LEAST_SHARE,
-    slots: int = SLOTS,
+    false_rate: float = FALSE_RATE,
     count: int = PROBES,
 ) -> LanguageFilter:
-    """A filter for the non-null languages of `docs`. The sample of a language is chosen by a hash of
-    the id at a rate that makes its expected size `docs_per_language` at most. No labelled text gives a
-    filter without languages."""
+    """A filter for the non-null languages of `docs`, MOST_LANGUAGES at most: more raise an error. The sample of a
+    language is chosen by a hash of id and text at a rate that makes its expected size `docs_per_language`
+    at most. No labelled text gives a filter without languages."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__body"), F.col(lang_col).cast("string").alias("__lang"))
-    sizes = {r["__lang"]: r["count"] for r in labelled.groupBy("__lang").count().collect()}
+    sizes = {r["__lang"]: r["count"] for r in labelled.groupBy("__lang").count().limit(MOST_LANGUAGES + 1).collect()}
     languages = sorted(sizes)
-    if not languages:
-        return LanguageFilter([], np.zeros((slots, 1), np.uint64), count, UNDETERMINED)
-    uniform = F.pmod(F.xxhash64(F.coalesce(F.col("__id").cast("string"), F.lit("")), F.lit(6)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    rate = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, docs_per_language / n)))])
-    sample = labelled.where(uniform < rate[F.col("__lang")])
+    if len(languages) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages in column {lang_col}")
+    fallback = max(languages, key=lambda k: (sizes[k], k), default=UNDETERMINED)
+    uniform = F.pmod(F.xxhash64(F.coalesce(F.col("__id").cast("string"), F.lit("")), F.col("__body"), F.lit(6)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    rates = docs.sparkSession.createDataFrame([(k, b, min(1.0, docs_per_language / sizes[k])) for b, k in enumerate(languages)], "__lang string, bit int, rate double")
+    sample = labelled.join(F.broadcast(rates), "__lang").where(uniform < F.col("rate")).select("bit", F.col("__body").cast("string").cast("binary").alias("__body"))
 
     def tally(batches):
         for batch in batches:
-            by_lang: dict[str, list[bytes]] = {}
-            for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                by_lang.setdefault(lang, []).append(letters(text))
-            for lang, texts in by_lang.items():
-                codes, n = np.unique(gram_codes(texts)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes)), pa.array(codes.astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "code", "n"])
-
-    grams = sample.select("__lang", F.col("__body").cast("string").cast("binary").alias("__body")).mapInArrow(tally, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    totals = grams.groupBy("lang").agg(F.sum("n").alias("total"))
-    rated = grams.join(F.broadcast(totals), "lang").withColumn("rate", F.col("n") / F.col("total"))
-    top = rated.groupBy("code").agg(F.max("rate").alias("most"), F.collect_list(F.struct("lang", "rate", "n")).alias("each"))
-    kept = top.select("code", "most", F.explode("each").alias("e")).where(F.col("e.rate") >= F.col("most") * least_share).select("code", "e.lang", "e.n")
-    # Spark keeps each task's best rows before the shuffle; grams_per_language rows of a language are collected.
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
-    best = kept.withColumn("place", F.row_number().over(order)).where(F.col("place") <= grams_per_language).select("lang", "code").toPandas()
-    masks = np.zeros((slots, -(-len(languages) // 64)), np.uint64)
-    for b, lang in enumerate(languages):
-        codes = best.loc[best["lang"] == lang, "code"].to_numpy(np.int64).view(np.uint64)
-        for p in probes(codes, slots, count):
-            np.bitwise_or.at(masks[:, b // 64], p.astype(np.int64), np.uint64(1 << (b % 64)))
-    return LanguageFilter(languages, masks, count, max(languages, key=lambda k: (sizes[k], k)))
+            for lo, hi in slices(np.asarray(pc.binary_length(batch.column(1)))):
+                bits, found = np.asarray(batch.column(0).slice(lo, hi - lo)), [gram_codes([letters(t)])[0] for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
+                each = [np.unique(codes, return_counts=True) for codes in found]
+                for b in np.unique(bits).tolist():
+                    mine = [each[i] for i in np.flatnonzero(bits == b).tolist()]
+                    codes, at, docs_ = np.unique(np.concatenate([c for c, _ in mine]), return_inverse=True, return_counts=True)
+                    n = np.bincount(at, weights=np.concatenate([k for _, k in mine]))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), b, np.int32)), pa.array(codes.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(docs_.astype(np.int64))], names=["bit", "code", "n", "docs"])
+
+    grams = shared_checkpoint(sample.mapInArrow(tally, "bit int, code long, n long, docs long").groupBy("bit", "code").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
+    totals = grams.groupBy("bit").agg(F.sum("n").alias("total")).join(sample.groupBy("bit").agg(F.count("*").alias("texts")), "bit")
+    enough = F.greatest(F.col("texts") * least_docs, F.least(F.lit(float(FEW_DOCS)), F.col("texts") / 20))
+    rated = grams.join(F.broadcast(totals), "bit").withColumn("rate", F.col("n") / F.col("total"))
+    top = rated.groupBy("code").agg(F.max("rate").alias("most"), F.collect_list(F.struct("bit", "rate", (F.col("docs") >= enough).alias("enough"))).alias("each"))
+    kept = top.select("code", "most", F.explode("each").alias("e")).where(F.col("e.enough") & (F.col("e.rate") >= F.col("most") * least_share)).select("code", "e.bit")
+    kept = shared_checkpoint(kept)
+    most = max((r["count"] for r in kept.groupBy("bit").count().collect()), default=0)
+    # Of `most` n-grams, each with `count` probes, this many slots have a share of false_rate ** (1 / count) filled.
+    wanted = -count * most / np.log1p(-(false_rate ** (1 / count)))
+    slots = min(MOST_SLOTS, 1 << int(np.ceil(np.log2(max(1024, wanted)))))
+
+    def place(batches):
+        for batch in batches:
+            bits, codes = np.asarray(batch.column(1)).astype(np.int64), np.asarray(batch.column(0)).view(np.uint64)
+            at = np.concatenate([p.astype(np.int64) for p in probes(codes, slots, count)])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.tile(bits // 64, count)), pa.array(np.tile(np.left_shift(np.int64(1), bits % 64), count))], names=["slot", "word", "mask"])
+
+    # As many rows as the filter has words, at most.
+    masked = kept.select("code", "bit").mapInArrow(place, "slot long, word long, mask long").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    masks = np.zeros((slots, max(1, -(-len(languages) // 64))), np.uint64)
+    masks[masked.column("slot").to_numpy(), masked.column("word").to_numpy()] = masked.column("mask").to_numpy().view(np.uint64)
+    return LanguageFilter(languages, masks, count, fallback)
 
 
 def predict(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id", text_col: str = "text", coverage: bool = False) -> DataFrame:
@@ -164,8 +179,8 @@ def predict(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id", text
     the text's own n-grams.
 
     `und` and 0 if the text is null or has no letter, or no language was learned; the most frequent
-    language and 0 if no n-gram is known. Equal counts go to the first language in order. Repeated rows
-    stay; other columns are not read.
+    language and 0 if no n-gram is known. Equal counts go to the first language in order. Very long texts count
+    whole. Repeated rows stay, an empty table gives an empty result, and other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
