@@ -5,6 +5,12 @@ themselves, so that the form of a text counts and not its language. A logistic m
 non-negative unbiased risk: prior * loss of positives as positive, plus the larger of zero and the loss
 of unlabelled text as negative less prior * loss of positives as negative. Where that difference turns
 negative its gradient is taken back, as the non-negative estimator demands.
+
+A model fitted on a bounded sample is the start. Then every task goes on from it over all of its texts as
+unlabelled ones, batch by batch beside the sampled positives, and the tasks' models are averaged by their texts.
+The class prior is estimated from positives and unlabelled text alone: no share of unlabelled text above a
+score can be less than the prior times the share of positives above it, so the least quotient of the two
+bounds it.
 """
 
 from __future__ import annotations
@@ -14,11 +20,12 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import id_remainder, map_texts
+from tidemark.llm.common import id_remainder, map_texts, slices
 
 #: Hashed features; lengths of shape n-grams; positives and unlabelled documents of the sample that the
 #: classifier is fitted on, as expected; descent steps, their size, and the weight of the penalty.
@@ -27,6 +34,9 @@ DIM, ORDERS, POSITIVES, UNLABELLED, STEPS, RATE, PENALTY = 1024, (1, 2, 3), 4000
 #: Bins of each of the two shares that tell repeated words.
 BINS = 12
 
+#: Batches of the pass over all texts, and its step size.
+BATCH, PASS_RATE = 512, 0.002
+
 #: Score from which a document counts as good.
 THRESHOLD = 0.3
 
@@ -87,34 +97,70 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def risk_slope(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> np.ndarray:
+    """The slope of the non-negative risk of weights over positives and unlabelled rows; where the part of the
+    unlabelled rows turns negative, that part's slope turned round."""
+    zp, zu = p @ w, u @ w
+    of_unlabelled = (u.T @ sigmoid(zu)) / len(u)
+    if np.logaddexp(0, zu).mean() >= prior * np.logaddexp(0, zp).mean():
+        # Of positives the two losses' slopes add up to a constant.
+        return of_unlabelled - prior * p.mean(axis=0)
+    return prior * (p.T @ sigmoid(zp)) / len(p) - of_unlabelled
+
+
+@dataclass
+class Adam:
+    w: np.ndarray
+
+    def __post_init__(self):
+        self.m, self.v = np.zeros((2, len(self.w)), np.float32)
+        self.t = 0
+
+    def step(self, slope: np.ndarray, rate: float) -> None:
+        self.t += 1
+        self.m = 0.9 * self.m + 0.1 * slope
+        self.v = 0.999 * self.v + 0.001 * slope * slope
+        self.w = self.w - rate * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.999**self.t)) + 1e-8)
+
+
+def penalised(slope: np.ndarray, w: np.ndarray, penalty: float) -> np.ndarray:
+    return slope + penalty * np.r_[w[:-1], 0]
+
+
+def standard(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Means and scales of the features; the constant stays."""
+    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 0.003)
+    mean[-1], scale[-1] = 0, 1
+    return mean, scale
+
+
 def fit_pu(x: np.ndarray, positives: int, prior: float, steps: int = STEPS, rate: float = RATE, penalty: float = PENALTY) -> QualityModel:
     """Minimises the non-negative risk with the logistic loss by Adam over the whole sample: `positives` rows of positives, then unlabelled ones. Standardises x in place."""
-    mean, scale = x.mean(axis=0), x.std(axis=0)
-    mean[-1] = 0
-    scale = np.maximum(scale, 0.003)
-    scale[-1] = 1
+    mean, scale = standard(x)
     x -= mean
     x /= scale
-    p, u = x[:positives], x[positives:]
-    w, m, v = np.zeros((3, x.shape[1]), np.float32)
+    adam = Adam(np.zeros(x.shape[1], np.float32))
+    for t in range(1, steps + 1):
+        adam.step(penalised(risk_slope(adam.w, x[:positives], x[positives:], prior), adam.w, penalty), rate * (1 - 0.9 * t / steps))
+    return QualityModel(adam.w.astype(np.float32), mean, scale, prior)
 
-    def sigmoid(z):
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
-    center = p.mean(axis=0)
-    for t in range(1, steps + 1):
-        zp, zu = p @ w, u @ w
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        of_unlabelled = (u.T @ sigmoid(zu)) / len(u)
-        if negative >= 0:
-            # Of positives the two losses' slopes add up to a constant.
-            g = of_unlabelled - prior * center
-        else:
-            g = prior * (p.T @ sigmoid(zp)) / len(p) - of_unlabelled
-        g = g + penalty * np.r_[w[:-1], 0]
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w = w - rate * (1 - 0.9 * t / steps) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return QualityModel(w.astype(np.float32), mean, scale, prior)
+def class_prior(x: np.ndarray, positives: int, least: float = 0.2, steps: int = 200) -> float:
+    """The share of positives among unlabelled rows (x: `positives` rows of positives, then unlabelled ones), kept within
+    0.05 and 0.95: the least quotient of the shares of both above a score, for the upper scores with `least` of the
+    positives at least. The scores are of a classifier fitted on the other half of the rows."""
+    p, u = x[:positives], x[positives:]
+    if min(len(p), len(u)) < 4:
+        return 0.5
+    model = fit_pu(np.vstack([p[::2], u[::2]]), len(p[::2]), 0.5, steps)
+    zp, zu = (np.sort(((rows - model.mean) / model.scale) @ model.weights) for rows in (p[1::2], u[1::2]))
+    cuts = np.quantile(zp, np.linspace(0.02, 1 - least, 40))
+    above = lambda z: 1 - np.searchsorted(z, cuts) / len(z)
+    return float(np.clip((above(zu) / above(zp)).min(), 0.05, 0.95))
 
 
 def fit(
@@ -127,18 +173,18 @@ def fit(
     unlabelled: int = UNLABELLED,
     dim: int = DIM,
 ) -> QualityModel:
-    """Learns from the rows of `labels` with label 1 and from `docs` as unlabelled text.
+    """Learns from the rows of `labels` with label 1 and from all of `docs` as unlabelled text.
 
-    The class prior is the share of label 1 among the labelled ids, kept within 0.05 and 0.95. The
-    sample's expected size is bounded by `positives` and `unlabelled`; rows are chosen by a hash of id and
-    text, so rows of one id don't come all or none. Without labels every score is 0.5.
+    The expected size of the sample of the start is bounded by `positives` and `unlabelled`; rows are chosen by a
+    hash of id and text, so rows of one id don't come all or none. Null, empty and blank texts are unlabelled
+    texts like others, and very long texts count whole. Without labels, or without documents of label 1 or
+    any others in the sample, every score is 0.5.
     """
     keys = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col)).alias("__label"))
-    counts = keys.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("__label").cast("long")), F.lit(0)).alias("good")).first()
-    if not counts["good"]:
-        zero = np.zeros(dim + 2 * BINS + 1, np.float32)
-        return QualityModel(zero, zero, zero + 1, 0.5)
-    prior = min(0.95, max(0.05, counts["good"] / counts["n"]))
+    zero = np.zeros(dim + 2 * BINS + 1, np.float32)
+    untrained = QualityModel(zero, zero, zero + 1, 0.5)
+    if keys.where(F.col("__label") == 1).isEmpty():
+        return untrained
     n_docs = docs.count()
 
     def chosen(seed: int, most: int, of: int):
@@ -164,16 +210,55 @@ def fit(
     x[:, :width] /= 255
     good = int(kind.sum())
     if not 0 < good < len(kind):
-        zero = np.zeros(width + 1, np.float32)
-        return QualityModel(zero, zero, zero + 1, prior)
-    return fit_pu(x, good, prior)
+        return untrained
+    prior = class_prior(x, good)
+    kept = x[:good].copy()
+    return passed_over(bodies_of(docs, text_col), fit_pu(x, good, prior), kept, dim)
+
+
+def bodies_of(docs: DataFrame, text_col: str) -> DataFrame:
+    return docs.select(F.col(text_col).cast("string").cast("binary").alias("__body"))
+
+
+def passed_over(docs: DataFrame, start: QualityModel, positives: np.ndarray, dim: int, penalty: float = PENALTY) -> QualityModel:
+    """The model after one pass over all texts as unlabelled ones, from `start` in each task and averaged by their numbers."""
+    shared = docs.sparkSession.sparkContext.broadcast((start, ((positives - start.mean) / start.scale).astype(np.float16)))
+
+    def run(batches):
+        model, p = shared.value
+        p, adam, n = p.astype(np.float32), Adam(model.weights), 0
+        waiting: list[np.ndarray] = []
+
+        def step(u):
+            # A part of the positives for each batch, in turn.
+            mine = p[np.arange(adam.t * BATCH, adam.t * BATCH + min(BATCH, len(p))) % len(p)]
+            adam.step(penalised(risk_slope(adam.w, mine, u, model.prior), adam.w, penalty), PASS_RATE)
+
+        for batch in batches:
+            for lo, hi in slices(np.asarray(pc.binary_length(batch.column(0)).fill_null(0))):
+                rows = (features(batch.column(0).slice(lo, hi - lo).to_pylist(), dim) - model.mean) / model.scale
+                n += len(rows)
+                waiting.append(rows)
+                if sum(map(len, waiting)) >= BATCH:
+                    step(np.vstack(waiting))
+                    waiting = []
+        if waiting:
+            step(np.vstack(waiting))
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(adam.w)), pa.int32()), pa.array(np.full(len(adam.w), n)), pa.array(adam.w.astype(np.float64))], names=["at", "n", "w"])
+
+    means = docs.mapInArrow(run, "at int, n long, w double").groupBy("at").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w"))
+    weights = start.weights.copy()
+    for r in means.collect():  # a row for each feature
+        weights[r["at"]] = r["w"]
+    return QualityModel(weights, start.mean, start.scale, start.prior)
 
 
 def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row for each row of `docs`: its id, `score` (0 to 1) and `predicted` (1 from `threshold` on).
 
-    Null and empty texts get the score of a text without features. Repeated rows stay; other columns
-    are not read.
+    Null and empty texts get the score of a text without features. Very long texts count whole. Repeated rows
+    stay, an empty table gives an empty result, and other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
