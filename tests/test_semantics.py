@@ -1,13 +1,17 @@
 """Worked values of operators on small frames."""
 
 import datetime as dt
+from datetime import date
 
+import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, numeric, scoring, text
 from tidemark.operators import aggregates, align, features, forecast, joins, views
 from tidemark.sources import sinks
+from tidemark.streaming import news as streams
 
 
 def day(n: int, start: str = "2010-01-01") -> dt.date:
@@ -165,3 +169,141 @@ def test_empty_tables(spark):
     assert align.interpolated(empty, "series_id", "month", "value", 2).isEmpty()
     assert aggregates.clip_bounds(empty, "series_id", "value").isEmpty()
     assert forecast.seasonal_trend(empty, "series_id").isEmpty()
+
+
+@pytest.mark.parametrize("kind", ["random", "constant", "rising", "few values"])
+def test_expanding_rank_equals_brute_force(spark, kind):
+    rng = np.random.default_rng(3)
+    values = {"random": rng.normal(size=150), "constant": np.ones(150), "rising": np.arange(150.0), "few values": rng.integers(0, 4, 150).astype(float)}[kind]
+    rows = [(k, i, None if (i * 7 + len(k or "")) % 11 == 0 else float(v)) for k in ("a", None, "") for i, v in enumerate(values)]
+    got = features.expanding_pct_rank(spark.createDataFrame(rows, "k string, d int, v double"), "k", "d", "v").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        seen = [v for k, d, v in rows if k == r.k and d <= r.d and v is not None]
+        want = None
+        if r.v is not None and len(seen) >= 12:
+            want = (sum(v < r.v for v in seen) + (sum(v == r.v for v in seen) + 1) / 2) / len(seen)
+        assert r.pct_rank == want or abs(r.pct_rank - want) < 1e-12
+
+
+def test_percentiles_equal_numpy_also_of_null_keys_and_ties(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, float(v)) for k, n in (("a", 101), (None, 40), ("one", 1), ("tied", 30)) for v in (rng.integers(0, 3, n) if k == "tied" else rng.normal(size=n))]
+    df = spark.createDataFrame([*rows, ("a", None), ("none", None)], "k string, v double")
+    got = {r.k: r.quantiles for r in aggregates.percentiles(df, "k", "v", [0.01, 0.5, 0.9]).collect()}
+    assert set(got) == {"a", None, "one", "tied"}
+    for k, q in got.items():
+        assert np.allclose(q, np.quantile([v for key, v in rows if key == k], [0.01, 0.5, 0.9]))
+
+
+def test_stream_upsert_rewrites_touched_partitions_alone(spark, tmp_path):
+    made = []
+
+    def cut(df):
+        made.append(df.count())
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    write = streams.upsert_into(str(tmp_path / "t"), ["k", "day"], "day", cut)
+    batch = lambda *rows: spark.createDataFrame(list(rows), "k string, day string, v int")
+    write(batch(("a", "d1", 1), ("a", "d2", 2)), 0)
+    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "day=d1").iterdir()}
+    for _ in range(2):  # a repeated batch gives the same table
+        write(batch(("a", "d2", 3), ("b", "d2", 4)), 1)
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "day=d1").iterdir()} == untouched
+    got = spark.read.schema("k string, v int, ingest_seq long, day string").parquet(str(tmp_path / "t"))
+    assert sorted((r.k, r.day, r.v) for r in got.collect()) == [("a", "d1", 1), ("a", "d2", 3), ("b", "d2", 4)]
+    assert made == [2, 2, 2]
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    """Forty series of a trend, a season and noise of a known size, and the model of them."""
+    rng = np.random.default_rng(7)
+    rows = [
+        (f"s{k:02d}", date(2010 + m // 12, m % 12 + 1, 1), float((100 + 5 * k) * (1 + 0.002 * m + 0.1 * np.sin(m * np.pi / 6) + rng.normal(0, 0.03))))
+        for k in range(40)
+        for m in range(120)
+    ]
+    panel = spark.createDataFrame(rows, "series_id string, month date, value double").repartition(4).checkpoint()
+    feats = features.engineer_features(panel, "series_id").checkpoint()
+    return panel, feats, forecast.train_interval_models(feats, "series_id", lambda df: df.checkpoint(), max_iter=10, max_depth=3)
+
+
+def test_forecast_metrics_equal_numpy_on_the_same_predictions(trained):
+    """FC5, FC9."""
+    _, feats, model = trained
+    out = model.model.transform(forecast.scaled(feats.where("lag1 IS NOT NULL"))).selectExpr("series_id", "month", "value", "prediction * _scale AS p", "_scale").toPandas()
+    got = {r.series_id: r for r in model.metrics.collect()}
+    residuals = {r.series_id: r for r in model.residuals.collect()}
+    assert len(got) == 40
+    for k, g in out.sort_values("month").groupby("series_id"):
+        test, before = g.tail(12), g.iloc[-24:-12]
+        e = (test.value - test.p).to_numpy()
+        assert abs(got[k].mae - np.abs(e).mean()) < 1e-3 and abs(got[k].rmse - np.sqrt((e**2).mean())) < 1e-3
+        assert abs(got[k].r2 - (1 - (e**2).mean() / test.value.var(ddof=0))) < 1e-3
+        q = np.quantile((before.value - before.p) / before._scale.abs(), [0.1, 0.9])
+        assert np.allclose([residuals[k].q10, residuals[k].q90], q)
+
+
+def test_intervals_cover_the_test_months(trained):
+    """FC5: of months that neither training nor calibration has seen, about four fifths are within the interval."""
+    _, feats, model = trained
+    place = F.row_number().over(Window.partitionBy("series_id").orderBy(F.desc("month")))
+    out = model.model.transform(forecast.scaled(feats.withColumn("_n", place).where("_n <= 12"))).join(model.residuals, "series_id")
+    p = F.col("prediction") * F.col("_scale")
+    inside = out.select(F.avg(F.col("value").between(p + F.col("q10") * F.abs("_scale"), p + F.col("q90") * F.abs("_scale")).cast("int"))).first()[0]
+    assert 0.6 < inside < 0.95
+
+
+def test_recursive_forecast_feeds_predictions_back_and_carries_untrained_series(spark, trained):
+    """FC7, FC8: each step's middle is the model's on history and the middles before it, in order and within bounds."""
+    panel, _, model = trained
+    short = spark.createDataFrame([("new", date(2019, m, 1), 7.0 + m) for m in range(1, 13)], panel.schema)
+    both = panel.unionByName(short)
+    got = {(r.series_id, r.step): r for r in forecast.recursive_forecast(both, model, "series_id", "month", "value", lambda df: df.checkpoint(), horizon=2).collect()}
+    assert len(got) == 82 and all(r.lo <= r.mid <= r.hi for r in got.values())
+    assert got["new", 1].mid == got["new", 2].mid == 19.0
+    path = panel.unionByName(spark.createDataFrame([("s03", date(2020, 1, 1), got["s03", 1].mid), ("s03", date(2020, 2, 1), None)], panel.schema)).where("series_id = 's03'")
+    row = model.model.transform(forecast.scaled(features.engineer_features(path, "series_id"))).where("month = DATE '2020-02-01'").selectExpr("prediction * _scale AS p").first()
+    assert abs(row.p - got["s03", 2].mid) < 1e-6 * abs(row.p)
+
+
+def test_a_registered_model_predicts_as_the_trained_one(trained, tmp_path):
+    """FC13."""
+    from pyspark.ml import PipelineModel
+
+    _, feats, model = trained
+    again = PipelineModel.load(forecast.register_model(model, str(tmp_path), "group"))
+    rows = forecast.scaled(feats.where("series_id = 's07'"))
+    both = model.model.transform(rows).select("month", "prediction").join(again.transform(rows).select("month", F.col("prediction").alias("again")), "month")
+    assert both.count() == 120 and both.where("prediction <> again").isEmpty()
+
+
+def test_feature_importances_are_shares_of_the_inputs(trained):
+    """TOP6."""
+    gains = forecast.feature_importance(trained[2].model)
+    assert abs(sum(g for _, g in gains) - 1) < 1e-9 and all(g >= 0 for _, g in gains)
+    assert [n for n, _ in gains] == forecast.LEVELS + forecast.RATIOS + ["missing"]
+    assert sum(g for n, g in gains if n.startswith(("lag", "roll", "month"))) > 0.5
+
+
+def test_classifier_benchmark_finds_a_plain_rule_and_no_rule_in_noise(spark):
+    """FC14."""
+    rng = np.random.default_rng(1)
+    rows = [(float(a), float(b), int(a + b > 0), int(rng.integers(0, 2)), i % 4 == 0) for i, (a, b) in enumerate(rng.normal(size=(600, 2)))]
+    df = spark.createDataFrame(rows, "a double, b double, rule int, noise int, is_test boolean")
+    good = forecast.classifier_benchmark(df, ["a", "b"], "rule").collect()
+    assert {r.model for r in good} == {"logistic_regression", "random_forest", "boosted_trees", "perceptron"}
+    assert all(r.accuracy > 0.85 and r.auc > 0.9 and r.detection_rate > 0.8 and r.false_alarm_rate < 0.25 for r in good)
+    assert all(abs(r.f1 - 2 * r.precision * r.detection_rate / (r.precision + r.detection_rate)) < 1e-9 for r in good)
+    bad = forecast.classifier_benchmark(df, ["a", "b"], "noise").where("model = 'logistic_regression'").first()
+    assert 0.35 < bad.auc < 0.65
+
+
+def test_events_without_ticker_keep_nulls_and_others_their_signals(spark):
+    """JN6."""
+    events = spark.createDataFrame([(1, " aa "), (2, None), (3, " "), (4, "zz")], "id int, ticker string")
+    prices = spark.createDataFrame([("AA", 1.0)], "ticker string, price double")
+    facts = spark.createDataFrame([("AA", 2.0)], "ticker string, margin double")
+    got = sorted((r.id, r.ticker, r.price, r.margin) for r in joins.ticker_enrich(events, prices, facts, "ticker").collect())
+    assert got == [(1, " aa ", 1.0, 2.0), (2, None, None, None), (3, " ", None, None), (4, "zz", None, None)]

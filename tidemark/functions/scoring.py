@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Authority of sources by a part of their name, in order; weights of macro tags; prominent tickers.
+#: Authority of sources by a part of their name, in order; weights of macro tags.
 SOURCE_AUTHORITY = {
     "reuters": 1.0,
     "bloomberg": 1.0,
@@ -17,11 +17,16 @@ SOURCE_AUTHORITY = {
     "seeking alpha": 0.55,
 }
 TAG_WEIGHTS = {"rate_cuts": 1.0, "earnings": 1.0, "ipo": 0.8, "gdp": 0.7, "inflation": 0.7, "funding_round": 0.7, "layoffs": 0.6, "regulation": 0.6}
-PROMINENT_TICKERS = (
-    "AAPL MSFT NVDA AMZN GOOGL GOOG META TSLA UNH XOM JNJ JPM V PG MA HD CVX MRK ABBV PEP KO AVGO COST BAC WMT LLY MCD "
-    "CSCO ACN CRM DHR TMO NEE ADBE NKE DIS ORCL VZ INTC NFLX IBM GS MS C WFC USB AXP SCHW BLK GE CAT DE MMM BA RTX LMT NOC GD HON "
-    "SPY QQQ IWM DIA"
-).split()
+
+#: Prominent tickers.
+PROMINENT_TICKERS = [
+    "AAPL", "MSFT", "NVDA", "AMZN", "GOOGL", "GOOG", "META", "TSLA", "UNH", "XOM", "JNJ", "JPM",
+    "V", "PG", "MA", "HD", "CVX", "MRK", "ABBV", "PEP", "KO", "AVGO", "COST", "BAC",
+    "WMT", "LLY", "MCD", "CSCO", "ACN", "CRM", "DHR", "TMO", "NEE", "ADBE", "NKE", "DIS",
+    "ORCL", "VZ", "INTC", "NFLX", "IBM", "GS", "MS", "C", "WFC", "USB", "AXP", "SCHW",
+    "BLK", "GE", "CAT", "DE", "MMM", "BA", "RTX", "LMT", "NOC", "GD", "HON", "SPY",
+    "QQQ", "IWM", "DIA",
+]
 
 #: Regimes of the stress index, and its thresholds from stress down to slowdown.
 REGIMES = ["expansion", "slowdown", "contraction", "recovery", "stress"]
@@ -69,7 +74,10 @@ def regime(index: Column, three_before: Column) -> Column:
 
 
 def trend_report(last: Column, ahead: Column, series_id: Column, unit: Column) -> Column:
-    """IND17: trend of a forecast against the last value, with the thresholds of its series or unit."""
+    """IND17: trend of a forecast against the last value, with the thresholds of its series or unit.
+
+    Fixed values: the series' ids, their thresholds in percent or points, and the labels.
+    """
     pct = F.try_divide(ahead - last, F.abs(last)) * 100
     step = ahead - last
 

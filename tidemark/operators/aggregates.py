@@ -64,15 +64,36 @@ def anomaly(monthly: DataFrame, key: Names, value: str, first: int = 2000, last:
     return joined.withColumn("anomaly", F.col(value) - F.col("_base")).drop("_base", "moy")
 
 
+def percentiles(df: DataFrame, key: Names, value: str, shares: list[float], name: str = "quantiles") -> DataFrame:
+    """Exact percentiles of each key, linear between neighbours, as an array. Values are counted first and then picked by
+    rank from a sorted run, which spills: no group's values are held in one task's memory."""
+    keys = names(key)
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_all"))
+    placed = null_safe_join(counted.withColumn("_end", upto), totals, keys)
+    at = [F.lit(float(p)) * (F.col("_all") - 1) for p in shares]
+    pick = lambda rank: F.max(F.when((F.col("_end") - F.col("_n") <= rank) & (rank < F.col("_end")), F.col("_v")).cast("double"))
+    ends = [c for i, a in enumerate(at) for c in (pick(F.floor(a)).alias(f"_lo{i}"), pick(F.ceil(a)).alias(f"_hi{i}"), F.max(a - F.floor(a)).alias(f"_part{i}"))]
+    between = [F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_part{i}") for i in range(len(shares))]
+    return placed.groupBy(*keys).agg(*ends).select(*keys, F.array(*between).alias(name))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join in which null keys are equal; the left's keys stay."""
+    other = right.select(*(F.col(k).alias(f"_r_{k}") for k in keys), *(c for c in right.columns if c not in keys))
+    return left.join(other, [left[k].eqNullSafe(other[f"_r_{k}"]) for k in keys], how).drop(*(f"_r_{k}" for k in keys))
+
+
 def funding_metrics(rounds: DataFrame, by: Names) -> DataFrame:
     """AGG6: companies, rounds, capital, exact median size and rounds with a lead investor."""
-    return rounds.groupBy(*names(by)).agg(
+    sums = rounds.groupBy(*names(by)).agg(
         F.count_distinct("org_uuid").alias("company_count"),
         F.count("*").alias("round_count"),
         F.coalesce(F.sum("money"), F.lit(0.0)).alias("capital_raised"),
-        F.median("money").alias("median_round_size"),
         F.sum("lead").alias("lead_investor_count"),
     )
+    return null_safe_join(sums, percentiles(rounds, by, "money", [0.5]), names(by), "left").withColumn("median_round_size", F.col("quantiles")[0]).drop("quantiles")
 
 
 def news_monthly(articles: DataFrame, day: str, sectors: list[str]) -> DataFrame:
@@ -118,14 +139,14 @@ def cold_start(articles: DataFrame, day: str, least: int = 30) -> DataFrame:
 
 def clip_bounds(df: DataFrame, key: Names, value: str) -> DataFrame:
     """AGG13: first and last percentile, a tenth of their distance further out."""
-    p = df.groupBy(*names(key)).agg(F.percentile(value, [0.01, 0.99]).alias("_p"))
+    p = percentiles(df, key, value, [0.01, 0.99], "_p")
     lo, hi = F.col("_p")[0], F.col("_p")[1]
     return p.select(*names(key), (lo - (hi - lo) * 0.1).alias("lo"), (hi + (hi - lo) * 0.1).alias("hi"))
 
 
 def clip_bounds_volume(df: DataFrame, key: Names, value: str) -> DataFrame:
     """AGG14: bounds of counts: a tenth below the first percentile, not below 0, and a tenth above the last, one above the unclipped lower bound at least."""
-    p = df.groupBy(*names(key)).agg(F.percentile(value, [0.01, 0.99]).alias("_p"))
+    p = percentiles(df, key, value, [0.01, 0.99], "_p")
     lo, hi = F.col("_p")[0] * 0.9, F.col("_p")[1] * 1.1
     return p.select(*names(key), F.greatest(lo, F.lit(0.0)).alias("lo"), F.greatest(hi, lo + 1).alias("hi"))
 
@@ -175,14 +196,16 @@ def scorecard(rounds: DataFrame, as_of: Column, windows: dict[str, int]) -> Data
     age = F.datediff(as_of, F.col("announced_on"))
     aged = rounds.withColumn("_age", age).where(F.col("_age") >= 0).withColumn("_w", F.explode(spans)).where(F.col("_age") < 2 * F.col("_w.days"))
     now = F.col("_age") < F.col("_w.days")
-    out = aged.groupBy("segment", F.col("_w.window").alias("window")).agg(
+    aged = aged.withColumns({"window": F.col("_w.window"), "_now": F.when(now, F.col("money"))})
+    medians = percentiles(aged, ["segment", "window"], "_now", [0.5])
+    out = aged.groupBy("segment", "window").agg(
         F.count_distinct(F.when(now, F.col("org_uuid"))).alias("company_count"),
         F.count_if(now).alias("new_round_count"),
         F.coalesce(F.sum(F.when(now, F.col("money"))), F.lit(0.0)).alias("capital_raised"),
-        F.median(F.when(now, F.col("money"))).alias("median_round_size"),
         F.coalesce(F.sum(F.when(~now, F.col("money"))), F.lit(0.0)).alias("_before"),
     )
-    return out.withColumn("momentum_pct", pct_change(F.col("capital_raised"), F.col("_before"))).drop("_before")
+    out = null_safe_join(out, medians, ["segment", "window"], "left").withColumn("median_round_size", F.col("quantiles")[0])
+    return out.withColumn("momentum_pct", pct_change(F.col("capital_raised"), F.col("_before"))).drop("_before", "quantiles")
 
 
 def top_values(rounds: DataFrame, by: str, value: str, n: int = 3) -> DataFrame:

@@ -120,6 +120,12 @@ def from_anchor_start(df: DataFrame, group: Names, key: str, anchor: str, date:
     return df.join(start, names(group)).where(F.col(date) >= F.col("_start")).drop("_start")
 
 
+def on_day(df: DataFrame, at: str, day: str) -> DataFrame:
+    """FLT9: rows of one day, as bounds of the column itself, which reach the scan."""
+    first = F.lit(day).cast("date")
+    return df.where((F.col(at) >= first.cast("timestamp_ntz")) & (F.col(at) < F.date_add(first, 1).cast("timestamp_ntz")))
+
+
 def lookback(df: DataFrame, at: str, as_of: Column, hours: int) -> DataFrame:
     """FLT14: rows of the `hours` before `as_of`."""
     return df.where((F.col(at) > as_of - F.make_interval(hours=F.lit(hours))) & (F.col(at) <= as_of))

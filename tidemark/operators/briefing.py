@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ def top_n(df: DataFrame, by: list[str], order: list[Column], n: int, place: str
 def score_impact(articles: DataFrame, day: str) -> DataFrame:
     """IND13 over all articles, with volume spikes from their whole history."""
     spikes = volume_spike(articles, "sector", day)
-    joined = articles.join(F.broadcast(spikes), "sector", "left")  # a row a sector
+    joined = articles.join(spikes, "sector", "left")
     return joined.withColumn("impact", fixed(impact(F.col("sentiment"), F.col("source_name"), F.col("ticker"), F.col("macro_tag"), F.col("spike")))).drop("spike")
 
 
@@ -62,9 +64,10 @@ def macro_signals(articles: DataFrame, regime: DataFrame, most: int = BULLETS) -
     return rows.withColumn("place", F.row_number().over(Window.orderBy("kind", "rank", "name"))).where(F.col("place") <= most).select("place", "bullet")
 
 
-def daily_briefing(scored: DataFrame, day: str, regime: DataFrame, on: Column) -> DataFrame:
-    """VW9: one row: count, stories, mood, signals and alerts of one day."""
-    today = scored.where(F.col(day) == on)
+def daily_briefing(scored: DataFrame, day: str, regime: DataFrame, on: Column, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """VW9: one row: count, stories, mood, signals and alerts of one day. `cut` writes the day's scored articles to the
+    shared checkpoint folder, so that each is scored once."""
+    today = cut(scored.where(F.col(day) == on))
     stories = top_stories(today, day).agg(F.sort_array(F.collect_list(F.struct("place", "headline", "impact"))).alias("top_stories"))
     mood = sector_mood(today).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("sector", "mood")))).alias("sector_mood"))
     signals = macro_signals(today, regime).agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "bullet"))), lambda x: x["bullet"]).alias("macro_signals"))

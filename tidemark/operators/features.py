@@ -67,20 +67,38 @@ def crossover(df: DataFrame, key: Names, day: str, value: str, spans=(9, 20, 50)
 def expanding_pct_rank(df: DataFrame, key: Names, date: str, value: str, least: int = 12, name: str = "pct_rank") -> DataFrame:
     """WIN6: mean rank of a value among all of its series up to its date, over their count; null before `least` values.
 
-    Each value meets those before it in a join on the series, which spills; the work grows with the
-    square of a series' length, so this is for calendar series, not for events.
+    A series of n values is cut into about sqrt(n) buckets of dates and as many of values. What is in earlier buckets
+    of dates and lower ones of values is counted by prefix sums over the grid of buckets; only rows of the same
+    bucket of dates, and counts of the same bucket of values, are compared one by one. So a series of n values takes
+    n * sqrt(n) comparisons, spread over tasks by bucket. Dates of a series are distinct.
     """
     keys = names(key)
-    seen = df.where(F.col(value).isNotNull()).select(*keys, F.col(date).alias("_d"), F.col(value).alias("_v"))
-    now = df.where(F.col(value).isNotNull())
-    ranked = (
-        now.join(seen, keys)
-        .where(F.col("_d") <= F.col(date))
-        .groupBy(*keys, date)
-        .agg(F.count("*").alias("_n"), F.sum((F.col("_v") < F.col(value)).cast("long")).alias("_less"), F.sum((F.col("_v") == F.col(value)).cast("long")).alias("_same"))
-        .select(*keys, date, F.when(F.col("_n") >= least, (F.col("_less") + (F.col("_same") + 1) / 2) / F.col("_n")).alias(name))
-    )
-    return df.join(ranked, [*keys, date], "left")
+    by_date, by_value = Window.partitionBy(*keys).orderBy("_d"), Window.partitionBy(*keys).orderBy("_v")
+    # Null keys are series too.
+    number = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys] + [F.col(k).isNull() for k in keys]
+    known = df.where(F.col(value).isNotNull()).select(*keys, F.struct(*number).alias("_k"), F.col(date).alias("_d"), F.col(value).alias("_v"))
+    placed = known.withColumns({"_at": F.row_number().over(by_date), "_rank": F.rank().over(by_value), "_all": F.count("*").over(Window.partitionBy(*keys))})
+    size = F.ceil(F.sqrt("_all"))
+    rows = placed.select("*", F.floor((F.col("_at") - 1) / size).cast("int").alias("_t"), F.floor((F.col("_rank") - 1) / size).cast("int").alias("_b"))
+    # The grid: rows of each pair of buckets, then of earlier and lower ones.
+    ends = rows.groupBy("_k").agg(F.max("_t").alias("_ts"), F.max("_b").alias("_bs"))
+    grid = ends.select("_k", F.explode(F.sequence(F.lit(0), F.col("_ts"))).alias("_t"), "_bs").select("_k", "_t", F.explode(F.sequence(F.lit(0), F.col("_bs"))).alias("_b"))
+    cells = grid.join(rows.groupBy("_k", "_t", "_b").agg(F.count("*").alias("_n")), ["_k", "_t", "_b"], "left")
+    earlier = F.coalesce(F.sum("_n").over(Window.partitionBy("_k", "_b").orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lower = F.coalesce(F.sum("_n").over(Window.partitionBy("_k", "_t").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    grid = cells.withColumn("_n", earlier).withColumn("_below", lower).select("_k", "_t", "_b", "_below")
+    less, same = F.col("_w") < F.col("_v"), F.col("_w") == F.col("_v")
+    count = lambda c, n=1: F.sum(F.when(c, n).otherwise(0))
+    own = ["_k", "_d"]
+    near = rows.select("_k", "_t", F.col("_d").alias("_e"), F.col("_v").alias("_w"))
+    within = rows.join(near, ["_k", "_t"]).where("_e <= _d").groupBy(*own).agg(count(less).alias("_less1"), count(same).alias("_same1"))
+    alike = rows.groupBy("_k", "_b", F.col("_t").alias("_s"), F.col("_v").alias("_w")).agg(F.count("*").alias("_m"))
+    beside = rows.join(alike, ["_k", "_b"]).where("_s < _t").groupBy(*own).agg(count(less, F.col("_m")).alias("_less2"), count(same, F.col("_m")).alias("_same2"))
+    counted = rows.join(grid, ["_k", "_t", "_b"]).join(within, own).join(beside, own, "left")
+    below = F.col("_below") + F.col("_less1") + F.coalesce("_less2", F.lit(0))
+    equal = F.col("_same1") + F.coalesce("_same2", F.lit(0))
+    ranked = counted.select("_k", "_d", F.when(F.col("_at") >= least, (below + (equal + 1) / 2) / F.col("_at")).alias(name))
+    return df.withColumns({"_k": F.struct(*number), "_d": F.col(date)}).join(ranked, own, "left").select(*df.columns, name)
 
 
 def shift_with_default(key: Names, date: str, value: str, steps: int = 3) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import fixed, ordered_interval
-from tidemark.operators.aggregates import clip_bounds, validation_metrics
+from tidemark.operators.aggregates import clip_bounds, percentiles, validation_metrics
 from tidemark.operators.align import Names, names
 from tidemark.operators.features import LAGS, WINDOWS, engineer_features
 
@@ -66,7 +66,7 @@ def seasonal_trend(panel: DataFrame, key: Names, date: str = "month", value: str
     line = rows.groupBy(*keys).agg(F.regr_slope("_y", "_x").alias("_b"), F.regr_intercept("_y", "_x").alias("_a"), F.max("_d").alias("_last"))
     residual = rows.join(line, keys).withColumn("_r", F.col("_y") - F.col("_a") - F.col("_b") * F.col("_x"))
     effects = residual.groupBy(*keys, "moy").agg(F.avg("_r").alias("_e"))
-    spread = residual.join(effects, [*keys, "moy"]).groupBy(*keys).agg(F.percentile(F.col("_r") - F.col("_e"), [0.1, 0.9]).alias("_q"))
+    spread = percentiles(residual.join(effects, [*keys, "moy"]).withColumn("_left", F.col("_r") - F.col("_e")), keys, "_left", [0.1, 0.9], "_q")
     ahead = line.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon)))).withColumn("month", F.add_months("_last", F.col("step")))
     x = (F.year("month") * 12 + F.month("month")).cast("double")
     joined = ahead.withColumn("moy", F.month("month")).join(effects, [*keys, "moy"], "left").join(spread, keys)
@@ -91,12 +91,13 @@ class IntervalModel:
     trained: DataFrame
 
 
-def train_interval_models(features: DataFrame, key: str, date: str = "month", value: str = "value", max_iter: int = 20, max_depth: int = 4) -> IntervalModel:
-    """FC5, FC9: trains on all but the last months, takes intervals from the calibration months and metrics from the test months."""
+def train_interval_models(features: DataFrame, key: str, cut: Step, date: str = "month", value: str = "value", max_iter: int = 20, max_depth: int = 4) -> IntervalModel:
+    """FC5, FC9: trains on all but the last months, takes intervals from the calibration months and metrics from the test
+    months. `cut` writes the prepared rows to the shared checkpoint folder, as training reads them many times."""
     usable = trainable(features.where(F.col("lag1").isNotNull()), key, value)
     rows = scaled(usable)
     place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(date)))
-    parts = rows.withColumn("y", F.col(value) / F.col("_scale")).withColumn("_place", place).persist()
+    parts = cut(rows.withColumn("y", F.col(value) / F.col("_scale")).withColumn("_place", place))
     inputs = [f"x_{c}" for c in LEVELS + RATIOS] + ["x_missing"]
     clean = [f"{c}_filled" for c in inputs]
     stages = [Imputer(inputCols=inputs, outputCols=clean), VectorAssembler(inputCols=clean, outputCol="features"), GBTRegressor(labelCol="y", maxIter=max_iter, maxDepth=max_depth, seed=1)]
@@ -204,6 +205,7 @@ def classifier_benchmark(rows: DataFrame, inputs: list[str], label: str, seed: i
             F.try_divide(2 * tp, 2 * tp + fp + fn).alias("f1"),
         ).select(F.lit(name).alias("model"), "*", F.lit(auc).alias("auc"))
         out = row if out is None else out.unionByName(row)
+    train.unpersist()
     return out
 
 

@@ -74,8 +74,10 @@ def ticker_enrich(events: DataFrame, price_signals: DataFrame, fundamentals: Dat
     signals = price_signals.alias("p").join(fundamentals.alias("f"), ticker, "full")
     value = {c: F.coalesce(f"f.{c}", f"p.{c}") if c in fundamentals.columns else F.col(f"p.{c}") for c in both} | {c: F.col(f"f.{c}") for c in more}
     lookup = signals.select(F.col(ticker).alias("_t"), *(v.alias(c) for c, v in value.items()))
-    key = F.nullif(F.upper(F.trim(F.col(ticker))), F.lit(""))
-    return events.withColumn("_t", key).join(lookup, "_t", "left").drop("_t")
+    keyed = events.withColumn("_t", F.nullif(F.upper(F.trim(F.col(ticker))), F.lit("")))
+    # Events without a ticker, any number of them, don't meet in one partition of the join.
+    found = keyed.where("_t IS NOT NULL").join(lookup, "_t", "left")
+    return found.unionByName(keyed.where("_t IS NULL"), allowMissingColumns=True).drop("_t")
 
 
 def not_stored(new: DataFrame, stored: DataFrame, key: Names) -> DataFrame:
@@ -88,10 +90,10 @@ def distinct_in_order(df: DataFrame, value: str, order: str) -> DataFrame:
     return df.groupBy(value).agg(F.min(order).alias(order))
 
 
-def dimension(df: DataFrame, dim: DataFrame, key: Names, rows_at_most: int = 100_000) -> DataFrame:
-    """JN9: labels and the like from a dimension table, broadcast if it has `rows_at_most` rows or fewer."""
-    small = dim.limit(rows_at_most + 1).count() <= rows_at_most
-    return df.join(F.broadcast(dim) if small else dim, names(key), "left")
+def dimension(df: DataFrame, dim: DataFrame, key: Names) -> DataFrame:
+    """JN9: labels and the like from a dimension table. Spark broadcasts it if its bytes, known from the files or measured
+    at run time, are within spark.sql.autoBroadcastJoinThreshold, and shuffles else."""
+    return df.join(dim, names(key), "left")
 
 
 def by_calendar_month(df: DataFrame, baseline: DataFrame, key: Names, month: Column) -> DataFrame:

@@ -10,8 +10,8 @@ from tidemark.functions.scoring import direction_word, trend_report, trend_summa
 from tidemark.operators.align import with_row
 from tidemark.operators.forecast import horizon_pick
 
-#: Ids of series, in capitals or not, with dots for sources that have them.
-SERIES_ID = r"^[A-Za-z0-9_.]{1,30}$"
+#: Fixed value: ids of series, in capitals.
+SERIES_ID = r"^[A-Z0-9_]{1,30}\z"
 
 
 def group_results(panel: DataFrame, forecasts: DataFrame, metrics: DataFrame, labels: DataFrame, run_at: Column) -> DataFrame:
@@ -25,7 +25,7 @@ def group_results(panel: DataFrame, forecasts: DataFrame, metrics: DataFrame, la
     point = F.struct("step", F.struct(F.date_format("month", "yyyy-MM").alias("month"), *(fixed(F.col(c)).alias(c) for c in ("mid", "lo", "hi"))).alias("p"))
     ahead = forecasts.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(point)), lambda x: x["p"]).alias("forecast"))
     checked = metrics.select(*keys, F.struct("mae", "rmse", "r2").alias("validation"))
-    series = last.join(ahead, keys, "left").join(checked, keys, "left").join(F.broadcast(labels), "series_id", "left")
+    series = last.join(ahead, keys, "left").join(checked, keys, "left").join(labels, "series_id", "left")
     item = F.struct("series_id", "label", "unit", "last_date", "last_value", "validation", "forecast")
     return series.groupBy(F.col("group_id").alias("group")).agg(F.sort_array(F.collect_list(item)).alias("series")).select("group", run_at.alias("run_at"), "series")
 

@@ -117,11 +117,11 @@ ROUNDS = (
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as articles of thirty days; labels stand for sentiment."""
+    """Documents as articles of 75 days; labels stand for sentiment."""
     d, lab = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = d.join(lab, "doc_id", "left")
     return j.select(
-        F.col("doc_id").alias("article_id"), F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("doc_id", F.lit(30)).cast("int")).alias("day"), F.col("source").alias("source_name"),
+        F.col("doc_id").alias("article_id"), F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("doc_id", F.lit(75)).cast("int")).alias("day"), F.col("source").alias("source_name"),
         F.concat(F.lit("https://"), "source", F.lit(".example.com/a/"), F.col("doc_id").cast("string")).alias("url"), F.col("text").alias("headline"), F.col("lang").alias("sector"), F.upper("source").alias("ticker"),
         (F.col("quality") * 0.75 - F.col("toxic") * 1.5 - 0.25).alias("sentiment"), classify_macro_tag(F.col("text")).alias("macro_tag"),
     )
@@ -134,7 +134,7 @@ def keyword_case(text: str, keywords: dict[str, list[str]], default: str) -> str
 
 
 ARTICLES = (
-    "articles AS (SELECT d.doc_id AS article_id, CAST(DATE '2024-01-01' + CAST(d.doc_id % 30 AS INTEGER) AS DATE) AS day, source AS source_name, 'https://' || source || '.example.com/a/' || d.doc_id AS url, text AS headline, "
+    "articles AS (SELECT d.doc_id AS article_id, CAST(DATE '2024-01-01' + CAST(d.doc_id % 75 AS INTEGER) AS DATE) AS day, source AS source_name, 'https://' || source || '.example.com/a/' || d.doc_id AS url, text AS headline, "
     f"lang AS sector, upper(source) AS ticker, quality * 0.75 - toxic * 1.5 - 0.25 AS sentiment, {keyword_case('text', MACRO_TAG_KEYWORDS, 'NULL')} AS macro_tag "
     "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
 )

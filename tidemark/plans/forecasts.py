@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from tidemark.functions import scoring
@@ -12,8 +10,8 @@ from tidemark.operators import forecast, views
 from tidemark.operators.briefing import top_n
 from tidemark.operators.features import engineer_features
 from tidemark.plans.catalog import ARTICLES, PANEL, articles, gappy, panel, query, r4, table
-from tidemark.plans.news import folder
-from tidemark.plans.series import FEATS, KEY, feats, index
+from tidemark.plans.news import cutter, folder
+from tidemark.plans.series import FEATS, FSI, KEY, REGIME, feats, index
 from tidemark.sources import files, sinks
 
 TREND = (
@@ -59,40 +57,36 @@ def fc6(spark, sf):
     return forecast.trainable(gappy(spark, sf), KEY, "value").groupBy(KEY).agg(F.count("*").alias("n"))
 
 
-@query("fc11_forecast_regime", days=("month",))
+#: The seasonal forecast of the stress index, and regimes of its months.
+FSI_AHEAD = (
+    f"{FSI}, {TREND.replace(PANEL + ', ', '').replace('FROM panel', 'FROM (SELECT 1 AS series_id, month, fsi AS value FROM fsi)')}, "
+    "path AS (SELECT month, fsi, FALSE AS ahead FROM fsi UNION ALL SELECT month, mid, TRUE FROM fc), "
+    "shifted AS (SELECT *, coalesce(lag(fsi, 3) OVER (ORDER BY month), fsi) AS before FROM path)"
+)
+
+
+@query("fc11_forecast_regime", f"WITH {FSI_AHEAD} SELECT month, {r4('fsi')} AS fsi, {REGIME} AS regime FROM shifted WHERE ahead", days=("month",))
 def fc11(spark, sf):
     i = index(spark, sf).select("month", "fsi").withColumn("one", F.lit("FSI"))
     ahead = forecast.seasonal_trend(i.withColumnRenamed("fsi", "value"), "one")
     return forecast.regime_ahead(i, ahead).select("month", fixed(F.col("fsi")).alias("fsi"), "regime")
 
 
-def cutter(spark):
-    """Writes a step to the shared folder and reads it again."""
-    at = folder(spark)
-
-    def cut(df):
-        path = f"{at}/{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    return cut
-
-
 @query("fc5_train_interval_models")
 def fc5(spark, sf):
-    trained = forecast.train_interval_models(engineer_features(panel(spark, sf), KEY), KEY)
+    trained = forecast.train_interval_models(engineer_features(panel(spark, sf), KEY), KEY, cutter(spark))
     return trained.metrics.join(trained.residuals, KEY, "left")
 
 
 @query("fc9_evaluate")
 def fc9(spark, sf):
-    return forecast.train_interval_models(engineer_features(panel(spark, sf), KEY), KEY).metrics
+    return forecast.train_interval_models(engineer_features(panel(spark, sf), KEY), KEY, cutter(spark)).metrics
 
 
 @query("fc7_joint_recursive_forecast", days=("month",))
 def fc7(spark, sf):
     p = panel(spark, sf)
-    trained = forecast.train_interval_models(engineer_features(p, KEY), KEY)
+    trained = forecast.train_interval_models(engineer_features(p, KEY), KEY, cutter(spark))
     return forecast.recursive_forecast(p, trained, KEY, "month", "value", cutter(spark))
 
 
@@ -101,13 +95,13 @@ def fc8(spark, sf):
     """Series with short history have no model and keep their last value."""
     p = panel(spark, sf)
     held = p.where("series_id < '4' OR month >= DATE '2000-06-01'")
-    trained = forecast.train_interval_models(engineer_features(held.where("series_id < '4'"), KEY), KEY)
+    trained = forecast.train_interval_models(engineer_features(held.where("series_id < '4'"), KEY), KEY, cutter(spark))
     return forecast.recursive_forecast(held, trained, KEY, "month", "value", cutter(spark), horizon=3)
 
 
 @query("top6_feature_importance_topn")
 def top6(spark, sf):
-    trained = forecast.train_interval_models(engineer_features(panel(spark, sf), KEY), KEY)
+    trained = forecast.train_interval_models(engineer_features(panel(spark, sf), KEY), KEY, cutter(spark))
     gains = spark.createDataFrame([("orders", f, g) for f, g in forecast.feature_importance(trained.model)], "group string, feature string, gain double")
     return top_n(gains, ["group"], [F.desc("gain"), F.asc("feature")], 12)
 
@@ -117,7 +111,7 @@ def fc13(spark, sf):
     from pyspark.ml import PipelineModel
 
     p = engineer_features(panel(spark, sf), KEY)
-    trained = forecast.train_interval_models(p, KEY)
+    trained = forecast.train_interval_models(p, KEY, cutter(spark))
     again = PipelineModel.load(forecast.register_model(trained, folder(spark), "orders"))
     return again.transform(forecast.scaled(p)).select(KEY, "month", (F.col("prediction") * F.col("_scale")).alias("predicted"))
 

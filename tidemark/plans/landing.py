@@ -84,11 +84,11 @@ def src19(spark, sf):
     return payloads.organizations(c.select(body.alias("body")), "body").select("org_uuid", "org_name", "rank_org_company", "funding_total")
 
 
-@query("src20_build_category_dim", "WITH h AS (SELECT p_brand AS segment, p_type AS category_uuid, p_name AS category_name, p_partkey AS seq FROM part WHERE p_type <> ''), old AS (SELECT DISTINCT p_type FROM part WHERE p_size > 49) SELECT segment, category_uuid, arg_min(category_name, seq) AS category_name FROM h WHERE category_uuid NOT IN (FROM old) GROUP BY 1, 2")
+@query("src20_build_category_dim", "WITH h AS (SELECT p_brand AS segment, p_type AS category_uuid, p_name AS category_name, p_partkey AS seq FROM part WHERE p_type <> ''), old AS (SELECT DISTINCT p_type FROM part WHERE p_type < 'M') SELECT segment, category_uuid, arg_min(category_name, seq) AS category_name FROM h WHERE category_uuid NOT IN (FROM old) GROUP BY 1, 2")
 def src20(spark, sf):
     p = table(spark, sf, "part")
     hits = p.select(F.col("p_brand").alias("segment"), F.col("p_type").alias("category_uuid"), F.col("p_name").alias("category_name"), F.col("p_partkey").alias("seq"))
-    return payloads.category_dimension(hits, p.where("p_size > 49").select(F.col("p_type").alias("category_uuid")))
+    return payloads.category_dimension(hits, p.where("p_type < 'M'").select(F.col("p_type").alias("category_uuid")))
 
 
 @query("src21_parse_multi_format_date", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders", days=("date",))
@@ -243,10 +243,12 @@ def top5(spark, sf):
     return top_n(table(spark, sf, "events"), ["event_type"], [F.desc("ts"), F.desc("event_id")], 120).select("event_type", "event_id")
 
 
-@query("flt11_validate_series_id", "SELECT p_partkey, regexp_full_match(upper(p_name), '[A-Za-z0-9_.]{1,30}') AS valid FROM part")
+@query("flt11_validate_series_id", "SELECT p_partkey, regexp_full_match(upper(CASE WHEN p_size < 15 THEN replace(p_brand, '#', '_') WHEN p_size < 25 THEN replace(p_brand, '#', '.') WHEN p_size < 35 THEN replace(p_brand, '#', '_') || chr(10) ELSE p_name END), '[A-Z0-9_]{1,30}') AS valid FROM part")
 def flt11(spark, sf):
     from tidemark.operators.views import valid_id
 
-    return table(spark, sf, "part").select("p_partkey", valid_id(F.col("p_name")).alias("valid"))
+    size, brand = F.col("p_size"), lambda mark: F.replace("p_brand", F.lit("#"), F.lit(mark))
+    series_id = F.when(size < 15, brand("_")).when(size < 25, brand(".")).when(size < 35, F.concat(brand("_"), F.lit("\n"))).otherwise(F.col("p_name"))
+    return table(spark, sf, "part").select("p_partkey", valid_id(series_id).alias("valid"))
 
 

@@ -144,9 +144,13 @@ def ind14(spark, sf):
     return table(spark, sf, "documents").select("doc_id", scoring.source_authority(name).alias("authority"))
 
 
-@query("ind15_ticker_prominence", "SELECT doc_id, CAST(CASE WHEN source = 'src1' THEN 1.0 WHEN source = 'src2' THEN 0.2 ELSE 0.5 END AS DOUBLE) AS prominence FROM documents")
+#: Tickers of articles, known and unknown, in several spellings.
+TICKERS = [" spy ", " ", "AAPL", "ZZZZ", "msft", "BRK.B", "Ge", "QQQ ", None, "A", "meta", "GOOGL1"]
+
+
+@query("ind15_ticker_prominence", "SELECT doc_id, CAST(CASE WHEN doc_id % 12 IN (0, 2, 4, 6, 7, 10) THEN 1.0 WHEN doc_id % 12 IN (1, 8) THEN 0.2 ELSE 0.5 END AS DOUBLE) AS prominence FROM documents")
 def ind15(spark, sf):
-    ticker = F.when(F.col("source") == "src1", " spy ").when(F.col("source") == "src2", " ").otherwise(F.col("source"))
+    ticker = F.array(*map(F.lit, TICKERS))[F.pmod("doc_id", F.lit(len(TICKERS))).cast("int")]
     return table(spark, sf, "documents").select("doc_id", scoring.ticker_prominence(ticker).alias("prominence"))
 
 
@@ -209,7 +213,7 @@ def top3(spark, sf):
     days=("date",)
 )
 def vw9(spark, sf):
-    b = briefing.daily_briefing(scored(spark, sf).withColumn("headline", F.col("article_id").cast("string")), "day", current_regime(spark, sf), F.lit("2024-01-30").cast("date"))
+    b = briefing.daily_briefing(scored(spark, sf).withColumn("headline", F.col("article_id").cast("string")), "day", current_regime(spark, sf), F.lit("2024-01-30").cast("date"), cutter(spark))
     mood = F.array_join(F.transform(F.map_entries("sector_mood"), lambda e: F.concat(e["key"], F.lit("="), F.format_string("%.3f", e["value"]))), ",")
     return b.select("date", "article_count", F.array_join(F.transform("top_stories", lambda s: s["headline"]), ",").alias("stories"), mood.alias("mood"))
 
@@ -226,11 +230,25 @@ def vw8(spark, sf):
 
 
 def folder(spark) -> str:
-    """A fresh folder in the shared place that the session names."""
+    """A fresh folder in the shared place that the session names; a local one only where that is unset and the master is local."""
     import tempfile
 
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-stream-")
-    return f"{base}/stream-{uuid.uuid4().hex}"
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if base is None and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    return f"{base or tempfile.mkdtemp(prefix='tidemark-stream-')}/stream-{uuid.uuid4().hex}"
+
+
+def cutter(spark):
+    """Writes rows to the shared folder and reads them again."""
+    at = folder(spark)
+
+    def cut(df):
+        path = f"{at}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return cut
 
 
 def events(spark, sf):
@@ -271,16 +289,13 @@ def stm4(spark, sf):
 @query("stm5_stream_upsert_series", f"WITH l AS (SELECT event_type AS series_id, CAST(ts AS DATE) AS day, max(value) AS value FROM events GROUP BY 1, 2) SELECT series_id, day, {r4('value')} AS value FROM l", days=("day",))
 def stm5(spark, sf):
     at = folder(spark)
-    write = streams.upsert_into(f"{at}/table", ["series_id", "day"])
-    versions = []
+    write = streams.upsert_into(f"{at}/table", ["series_id", "day"], "day", cutter(spark))
 
     def each(batch, n):
-        rows = batch.groupBy(F.col("event_type").alias("series_id"), F.to_date("ts").alias("day")).agg(F.max("value").alias("value"))
-        write(rows, n)
-        versions.append(n)
+        write(batch.groupBy(F.col("event_type").alias("series_id"), F.to_date("ts").alias("day")).agg(F.max("value").alias("value")), n)
 
     streams.run_batches(events(spark, sf), f"{at}/state", each)
-    return spark.read.parquet(f"{at}/table/{max(versions)}").select("series_id", "day", fixed(F.col("value")).alias("value"))
+    return spark.read.schema("series_id string, value double, ingest_seq long, day date").parquet(f"{at}/table").select("series_id", "day", fixed(F.col("value")).alias("value"))
 
 
 @query("ind22_direction_word", "SELECT event_id, CASE WHEN value - 50 < -2 THEN 'decline' WHEN value - 50 > 2 THEN 'rise' WHEN value IS NOT NULL THEN 'hold steady' END AS word FROM events")

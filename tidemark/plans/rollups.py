@@ -35,7 +35,7 @@ def state(spark, sf):
 def levels(spark, sf):
     n, r = table(spark, sf, "nation"), table(spark, sf, "region")
     regions = n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("n_name").alias("state"), F.col("r_name").alias("region"))
-    return agg.geography_levels(state(spark, sf), F.broadcast(regions), MEASURES)  # a row a state
+    return agg.geography_levels(state(spark, sf), regions, MEASURES)
 
 
 @query("agg1_climate_monthly", f"WITH {STATION}, {CLIMATE} SELECT region, state, city, month, {', '.join(COUNTS)}, {', '.join(f'{r4(c)} AS {c}' for c in FLOATS)} FROM city", days=("month",))

@@ -389,7 +389,7 @@ def flt8(spark, sf):
 
 @query("flt9_date_prefix_filter", "SELECT event_id FROM events WHERE starts_with(strftime(ts, '%Y-%m-%d'), '2024-01-15')")
 def flt9(spark, sf):
-    return table(spark, sf, "events").where(F.to_date("ts") == F.lit("2024-01-15").cast("date")).select("event_id")
+    return align.on_day(table(spark, sf, "events"), "ts", "2024-01-15").select("event_id")
 
 
 @query("flt13_history_projection", f"WITH {GAPPY} SELECT strftime(month, '%Y-%m-%d') AS date, {r4('value', 6)} AS value FROM gappy WHERE series_id = '2-HIGH'")

@@ -51,15 +51,19 @@ def run_batches(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, i
     stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def upsert_into(path: str, key: list[str]) -> Callable[[DataFrame, int], None]:
-    """STM5: a batch writer that upserts into versioned folders under `path`: batch n makes version n from version n - 1, so a repeated batch gives the same version."""
+def upsert_into(path: str, key: list[str], partition: str, cut: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """STM5: a batch writer that upserts into a table partitioned by one of its keys. A batch reads and rewrites the
+    partitions that it touches and no others. Rows of a batch count by its number, so a repeated batch gives the same table.
+    `cut` writes what a batch makes to the shared checkpoint folder before partitions are overwritten."""
 
     def write(batch: DataFrame, n: int) -> None:
         rows = batch.withColumn("ingest_seq", F.lit(n).cast("long"))
+        stored = rows.limit(0)
         if n:
-            rows = upsert(batch.sparkSession.read.parquet(f"{path}/{n - 1}"), rows, key)
-        else:
-            rows = upsert(rows.limit(0), rows, key)
-        rows.write.mode("overwrite").parquet(f"{path}/{n}")
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+            table = batch.sparkSession.read.schema(columns).parquet(path)
+            stored = table.join(rows.select(partition).distinct(), partition, "left_semi").select(*rows.columns)
+        done = cut(upsert(stored, rows, key))
+        done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
     return write
