@@ -31,10 +31,13 @@ def id_remainder(id_col: str, modulus: int) -> Column:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that spark.checkpoint.dir names; a local one only where it is unset."""
+    """The shared folder that spark.checkpoint.dir names; a local one only where it is unset and the master is local."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
     return sc.getCheckpointDir()
 
 

@@ -166,9 +166,9 @@ def decontaminate(
     words that windows cover; they may overlap).
 
     A window is `span` consecutive words of an item, or a shorter item as a whole. Null and empty texts
-    and items without words have no windows; null item ids are not listed. Repeated rows, ids and items
-    stay apart or fall together by these rules. An empty table on either side gives no hits. Columns
-    other than those named are not read.
+    and items without words have no windows; null item ids are not listed. Very long texts count whole. Repeated
+    rows, ids and items stay apart or fall together by these rules; of equal least hashes of a window the last
+    counts. An empty table on either side gives no hits. Columns other than those named are not read.
     """
     spark = docs.sparkSession
     bench = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("body"))

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tidemark.llm.common import map_texts
 
 #: Words that a worker remembers at most.
-WORD_MEMORY = 400_000
+WORD_MEMORY = 200_000
 
 #: Letters and, of normalised text in Latin script, all characters: for these a pattern without
 #: Unicode properties, which is several times as fast, finds the same pieces.
@@ -236,8 +236,9 @@ class Encoder:
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", memory: int = WORD_MEMORY) -> DataFrame:
     """One row for each row of `docs`: its id and `ids`, the token ids of its whole text.
 
-    A null or empty text has no ids. Repeated rows and ids stay. Special tokens' strings in a text
-    become their ids; nothing is added, cut or padded. Other columns are not read.
+    A null or empty text has no ids, and a very long one all of its ids in one row. Repeated rows and ids stay.
+    Of pairs of equal rank in a word the left one is merged first. Special tokens' strings in a text become
+    their ids; nothing is added, cut or padded. An empty table gives an empty result. Other columns are not read.
     """
 
     def start():
@@ -249,7 +250,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row for each row: its id and `text`, the tokens of `ids` joined by a space, as a tokenizer
-    without decoder has it. Null ids give a null text; ids outside the vocabulary are left out."""
+    without decoder has it. Null ids give a null text; ids outside the vocabulary are left out. Very long lists
+    stay whole, repeated rows stay, and an empty table gives an empty result."""
     picked = encoded.select(id_col, F.col(ids_col).alias("__ids"))
     schema = T.StructType([picked.schema[id_col], T.StructField("text", T.StringType())])
 
