@@ -85,7 +85,7 @@ def station(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as daily readings: region, state (nation), city (segment), date and measures."""
     o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), c.c_nationkey == n.n_nationkey).join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
     t = F.col("o_totalprice") / 2500
     return j.select(
         F.col("r_name").alias("region"), F.col("n_name").alias("state"), F.col("c_mktsegment").alias("city"), F.to_date("o_orderdate").alias("date"), t.alias("mean_temp"),
@@ -103,7 +103,7 @@ STATION = (
 def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as funding rounds: round_uuid, org_uuid, announced_on, money, lead, stage, segment, geography."""
     o, c, n = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
     return j.select(
         F.col("o_orderkey").alias("round_uuid"), F.col("o_custkey").alias("org_uuid"), F.to_date("o_orderdate").alias("announced_on"), F.col("o_totalprice").alias("money"),
         (F.col("o_orderstatus") == "F").cast("int").alias("lead"), F.col("o_orderpriority").alias("stage"), F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("geography"),

@@ -206,7 +206,7 @@ def snk6(spark, sf):
 def snk7(spark, sf):
     at = folder(spark)
     n = table(spark, sf, "nation")
-    c = table(spark, sf, "customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("state")).agg(F.count("*").alias("n"))
+    c = table(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("state")).agg(F.count("*").alias("n"))
     sinks.write_states(c.where(F.ascii(F.substring(F.reverse("state"), 1, 1)) % 2 == 0), at)
     sinks.write_states(sinks.missing_states(c, spark.read.schema(c.schema).parquet(at)), at)
     return spark.read.schema(c.schema).parquet(at).select("state", "n")
@@ -216,7 +216,7 @@ def snk7(spark, sf):
 def snk9(spark, sf):
     at = folder(spark)
     n = table(spark, sf, "nation")
-    out = table(spark, sf, "customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
+    out = table(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
     sinks.write_table(out.where("c_custkey < 10"), at)
     sinks.write_table(out, at)
     return spark.read.parquet(at)

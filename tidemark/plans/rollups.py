@@ -246,5 +246,5 @@ def top8_orgs(spark, sf):
 def flt12(spark, sf):
     s = table(spark, sf, "supplier").where("s_acctbal > 0").groupBy("s_nationkey").agg(F.min("s_suppkey").alias("first"))
     member = table(spark, sf, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("s_nationkey"))
-    kept = s.join(F.broadcast(member), "s_nationkey", "left_semi").withColumn("all", F.lit(1))
+    kept = s.join(member, "s_nationkey", "left_semi").withColumn("all", F.lit(1))
     return briefing.top_n(kept, ["all"], [F.asc("first"), F.asc("s_nationkey")], 83).select("s_nationkey")

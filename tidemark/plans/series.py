@@ -504,8 +504,8 @@ def set1(spark, sf):
 @query("set2_distinct_union", "SELECT n_name, min(k) AS place FROM (SELECT n_name, c_custkey AS k FROM customer JOIN nation ON c_nationkey = n_nationkey UNION ALL SELECT n_name, s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey) GROUP BY 1")
 def set2(spark, sf):
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    c = table(spark, sf, "customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", F.col("c_custkey").alias("place"))
-    s = table(spark, sf, "supplier").join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")).select("n_name", F.col("s_suppkey").alias("place"))
+    c = table(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", F.col("c_custkey").alias("place"))
+    s = table(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("n_name", F.col("s_suppkey").alias("place"))
     return joins.distinct_in_order(c.union(s), "n_name", "place")
 
 

@@ -31,7 +31,7 @@ def bls_series(payloads: DataFrame, body: str) -> DataFrame:
 def bea_industries(rows: DataFrame, industries: DataFrame) -> DataFrame:
     """SRC9: quarters of the mapped industries (IndustryID, series_id); the first of repeated dates, by seq, counts."""
     month = quarter_month(F.col("Quarter"))
-    known = rows.join(F.broadcast(industries), "IndustryID").where(month.isNotNull())  # a hundred industries or so
+    known = rows.join(industries, "IndustryID").where(month.isNotNull())
     dated = known.withColumn("observation_date", F.make_date(F.col("Year").cast("int"), month, F.lit(1)))
     first = F.row_number().over(Window.partitionBy("series_id", "observation_date").orderBy("seq"))
     return dated.withColumn("_n", first).where("_n = 1").select("series_id", "observation_date", to_number(without_commas(F.col("DataValue"))).alias("value"))
