@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that a Python worker handles at once.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 #: Rows of an Arrow batch; texts may be long, so it is below Spark's default.
-ARROW_ROWS = 1000
+ARROW_ROWS = 500
 
 
 def tuned(spark: SparkSession) -> SparkSession:
@@ -48,7 +48,7 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
 
 
 def skew_join(left: DataFrame, right: DataFrame, key: str, hot_parts: int = 1000) -> DataFrame:
-    """Inner join with `right`, which has at most one row for each key. Keys with more than a `hot_parts`-th of
+    """Inner join with `right`, which has one row or few for each key. Keys with more than a `hot_parts`-th of
     the left rows, fewer than `hot_parts` keys therefore, are joined by broadcast and shuffle no left rows."""
     counts = left.groupBy(key).agg(F.count("*").alias("__n"))
     total = counts.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n")).first()["n"]
@@ -102,6 +102,7 @@ def map_texts(
             for lo, hi in slices(sizes, limit):
                 made = work(texts.slice(lo, hi - lo).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[: len(keep)]), *made], names=names)
+            pa.default_memory_pool().release_unused()
 
     import pyarrow.compute  # noqa: F401  binds pa.compute for the workers
 

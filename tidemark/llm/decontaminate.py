@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import map_texts, shared_checkpoint
+from tidemark.llm.common import map_texts, shared_checkpoint, skew_join
 
 #: Words of a window, words of a k-gram, and bits of the bitmap's address.
 SPAN, GRAM, ADDRESS_BITS = 10, 5, 22
@@ -190,7 +190,10 @@ def decontaminate(
     numbered = docs.select(id_col, F.col(text_col).alias("__body")).withColumn("row", F.monotonically_increasing_id())
     read = shared_checkpoint(fingerprints(numbered, ["row", id_col], "__body", used, shared))
     hits = read.select("row", F.explode("found").alias("f")).select("row", "f.*")
-    runs = shared_checkpoint(extended(hits.join(contexts, ["span", "print"])).distinct())
+    # A fingerprint that many documents have is joined by broadcast of its contexts.
+    key = F.struct("span", "print").alias("key")
+    met = skew_join(hits.select("row", key, "place", "before", "onward"), contexts.select(key, "context", "item_before", "item_onward"), "key")
+    runs = shared_checkpoint(extended(met.withColumn("span", F.col("key.span"))).distinct())
     covered = runs.select("row", F.struct("a", "b").alias("run")).groupBy("row").agg(F.sort_array(F.collect_set("run")).alias("spans"))
     named = runs.select("row", "context").distinct().join(members, "context").groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("item_ids"))
     union = F.expr(

@@ -81,12 +81,9 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encoded_digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of what they decode to."""
-    ids = word_bpe.encode(docs, WORD_BPE)
-    described = ids.select(
-        F.struct("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256")).alias("row"), "ids"
-    )
-    decoded = word_bpe.decode(described, WORD_BPE, id_col="row")
-    return decoded.select("row.*", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    made = word_bpe.encode(docs, WORD_BPE, decoded=True)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tidemark.llm.common import map_texts
 
 #: Words that a worker remembers at most.
-WORD_MEMORY = 200_000
+WORD_MEMORY = 100_000
 
 #: Letters and, of normalised text in Latin script, all characters: for these a pattern without
 #: Unicode properties, which is several times as fast, finds the same pieces.
@@ -233,19 +233,42 @@ class Encoder:
         return pa.ListArray.from_arrays(pa.array(before[ends].astype(np.int32)), pa.array(self.ids[take]))
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", memory: int = WORD_MEMORY) -> DataFrame:
-    """One row for each row of `docs`: its id and `ids`, the token ids of its whole text.
+class Decoder:
+    """Lists of ids to the tokens' strings joined by a space; ids outside the vocabulary are left out."""
+
+    def __init__(self, bpe: WordBpe):
+        self.tokens, self.strings = bpe.tokens, pa.array(bpe.tokens)
+
+    def __call__(self, ids: pa.Array) -> pa.Array:
+        flat = ids.flatten()
+        known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(self.tokens)))
+        if flat.null_count or pc.all(known).as_py() is False:
+            return pa.array([None if x is None else " ".join(self.tokens[i] for i in x if i is not None and 0 <= i < len(self.tokens)) for x in ids.to_pylist()], pa.string())
+        lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32)), pc.take(self.strings, flat))
+        return pc.if_else(pc.is_valid(ids), pc.binary_join(lists, " "), pa.scalar(None, pa.string()))
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", memory: int = WORD_MEMORY, decoded: bool = False) -> DataFrame:
+    """One row for each row of `docs`: its id and `ids`, the token ids of its whole text; if asked, `decoded`, what
+    decode() makes of them, in the same pass.
 
     A null or empty text has no ids, and a very long one all of its ids in one row. Repeated rows and ids stay.
     Of pairs of equal rank in a word the left one is merged first. Special tokens' strings in a text become
     their ids; nothing is added, cut or padded. An empty table gives an empty result. Other columns are not read.
     """
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType(), True))] + [T.StructField("decoded", T.StringType())] * decoded
 
     def start():
-        encoder = Encoder(load(path), memory)
-        return lambda texts: [encoder(texts)]
+        encoder, decoder = Encoder(load(path), memory), Decoder(load(path)) if decoded else None
+
+        def work(texts):
+            ids = encoder(texts)
+            return [ids, decoder(ids)] if decoded else [ids]
+
+        return work
 
-    return map_texts(docs, [id_col], text_col, [T.StructField("ids", T.ArrayType(T.IntegerType(), True))], start)
+    return map_texts(docs, [id_col], text_col, fields, start)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -256,21 +279,10 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     schema = T.StructType([picked.schema[id_col], T.StructField("text", T.StringType())])
 
     def run(batches):
-        tokens = load(path).tokens
-        strings = pa.array(tokens)
+        decoder = Decoder(load(path))
         for batch in batches:
-            ids = batch.column(1)
-            flat = ids.flatten()
-            known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(tokens)))
-            if flat.null_count or pc.all(known).as_py() is False:
-                text = pa.array([None if x is None else " ".join(tokens[i] for i in x if i is not None and 0 <= i < len(tokens)) for x in ids.to_pylist()], pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0), text], names=schema.names)
-                continue
-            for lo in range(0, len(ids), 64):  # long texts: a string array has 2 GB at most
-                part = ids.slice(lo, 64)
-                lengths = pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32)), pc.take(strings, part.flatten()))
-                text = pc.if_else(pc.is_valid(part), pc.binary_join(lists, " "), pa.scalar(None, pa.string()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 64), text], names=schema.names)
+            for lo in range(0, len(batch), 64):  # long texts: a string array has 2 GB at most
+                part = batch.slice(lo, 64)
+                yield pa.RecordBatch.from_arrays([part.column(0), decoder(part.column(1))], names=schema.names)
 
     return picked.mapInArrow(run, schema)
