@@ -18,7 +18,7 @@ from compare import assert_same, database
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import chat_format, decontaminate, language_id, quality, recurrent_lm, sharding, simhash_dedup, token_counts, topk_search, word_bpe
+from tidemark.llm import chat_format, common, decontaminate, language_id, quality, recurrent_lm, sharding, simhash_dedup, token_counts, topk_search, word_bpe
 from tidemark.llm.queries import ORACLES, QUERIES, WORD_BPE
 
 LONG = "the long text goes on, " * 4000
@@ -587,9 +587,8 @@ def jaccard(a, b):
     return len(sets[0] & sets[1]) / max(1, len(sets[0] | sets[1]))
 
 
-@pytest.mark.parametrize("list_limit", [64, 4])
-def test_similar_texts_equal_brute_force(spark, list_limit):
-    """Chains of near copies, unrelated texts that share a passage, copies, and short texts; a low limit takes the way of long lists."""
+def test_similar_texts_equal_brute_force(spark):
+    """Chains of near copies, unrelated texts that share a passage, copies, and short texts."""
     rng = np.random.default_rng(8)
     words = np.array([f"w{i}" for i in range(900)])
     passage, texts = list(rng.choice(words, 40)), ["", None, "one", "One", "two words", "one two three four five", "ONE two  three four five"]
@@ -600,7 +599,7 @@ def test_similar_texts_equal_brute_force(spark, list_limit):
             text[rng.integers(0, 120)] = "new"
         texts.append(" ".join(passage + list(rng.choice(words, 60))))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in simhash_dedup.similar_texts(docs, list_limit=list_limit).collect()}
+    got = {r.doc_id: r.component_id for r in simhash_dedup.similar_texts(docs).collect()}
     least = {i: i for i in range(len(texts))}
     blank = lambda i: not spaced(texts[i])
     for i in least:
@@ -612,16 +611,30 @@ def test_similar_texts_equal_brute_force(spark, list_limit):
 
 
 def test_lists_of_any_batches():
-    """Short lists give all pairs, long ones pairs with the least node and their members, however batches cut them."""
-    keys = np.repeat([1, 2, 3, 4, 5], [1, 3, 9, 4, 30])
-    nodes = np.concatenate([np.arange(n) * 7 for n in (1, 3, 9, 4, 30)])
-    want = None
-    for size in (1, 2, 5, 100):
+    """All nodes of lists of two or more with their least node, however batches cut the lists."""
+    sizes = (1, 3, 9, 1, 1, 4, 30)
+    keys, nodes = np.repeat(np.arange(7), sizes), np.concatenate([np.arange(n) * 7 + 2 for n in sizes])
+    want = sorted((k, 2, i * 7 + 2) for k, n in enumerate(sizes) if n > 1 for i in range(n))
+    for size in (1, 2, 3, 5, 100):
         batches = (pa.record_batch({"key": keys[i : i + size], "node": nodes[i : i + size]}) for i in range(0, len(keys), size))
-        got = sorted(r for b in simhash_dedup.list_rows(batches, 4) for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
-        assert want is None or got == want
-        want = got
-    assert sum(not r[0] for r in want) == 3 + 8 + 6 + 29 and sum(r[0] for r in want) == 9 + 30
+        assert sorted(r for b in simhash_dedup.list_rows(batches) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)) == want
+
+
+def test_a_large_group_of_near_copies_takes_few_pairs(spark, monkeypatch):
+    """Of 1,500 near copies of a text, many of which aren't similar to the first, each meets few others, and all are one component."""
+    rng = np.random.default_rng(9)
+    base, words = [f"w{i}" for i in range(200)], []
+    for _ in range(1500):
+        text = list(base)
+        for at in rng.integers(0, 200, rng.integers(0, 4)):
+            text[at] = f"x{rng.integers(0, 10**9)}"
+        words.append(" ".join(text))
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    pairs, whole = [], simhash_dedup.tallied
+    monkeypatch.setattr(simhash_dedup, "tallied", lambda p, *a: pairs.append(p.count()) or whole(p, *a))
+    got = simhash_dedup.similar_texts(docs).collect()
+    assert len(got) == 1500 and sum(r.component_id == 0 for r in got) > 1400
+    assert sum(pairs) < 60_000
 
 
 # 10 Quality
@@ -733,3 +746,52 @@ def test_quality_sample_is_bounded_for_rows_of_one_id(spark, monkeypatch):
     monkeypatch.setattr(quality, "class_prior", lambda x, good: drawn.append((good, len(x) - good)) or whole(x, good))
     quality.fit(docs, labels, positives=100, unlabelled=200)
     assert 40 < drawn[0][0] < 180 and 120 < drawn[0][1] < 300
+
+
+# What operators share, and very long texts
+
+
+def test_skew_join_equals_a_join_with_hot_keys(spark):
+    """A key with most of the rows is joined by broadcast, others as usual; null keys match nothing."""
+    left = spark.createDataFrame([(7, i) for i in range(3000)] + [(i, -i) for i in range(300)] + [(None, 1)], "k long, v long")
+    right = spark.createDataFrame([(i, f"x{i}") for i in range(0, 300, 2)] + [(7, "hot"), (None, "no")], "k long, w string")
+    want = sorted(map(tuple, left.join(right, "k").select("k", "v", "w").collect()))
+    for parts in (10, 1000):
+        assert sorted(map(tuple, common.skew_join(left, right, "k", hot_parts=parts).select("k", "v", "w").collect())) == want
+    assert common.skew_join(left.limit(0), right, "k").collect() == []
+
+
+def test_a_bitmap_says_no_only_to_what_isnt_there(spark):
+    df = spark.range(20_000).select("id", F.xxhash64("id").alias("h"), F.lit("x").alias("bits"))
+    some = df.where("id % 100 = 3").select(F.col("h").alias("any"))
+    got = common.maybe_among(df, F.col("h"), some)
+    assert got.columns == [*df.columns, "__maybe"]
+    yes = {r.id for r in got.where("__maybe").collect()}
+    assert {i for i in range(20_000) if i % 100 == 3} <= yes and len(yes) < 260
+    assert common.maybe_among(df, F.col("h"), some.limit(0)).where("__maybe").isEmpty()
+
+
+def test_a_text_of_millions_of_bytes(spark, library):
+    """Beside short ones, with every operator on texts; each takes it whole."""
+    rng = np.random.default_rng(0)
+    words = np.array([f"wort{i} und" for i in range(2000)] + ["der hund", "die katze", "ist"])
+    long = " ".join(rng.choice(words, 300_000))
+    item = " ".join(long.split()[-12:])
+    docs = spark.createDataFrame([(1, long), (2, "short text"), (3, long), (4, None)], "doc_id long, text string")
+    n = len(long.split())
+    found = {r.doc_id: r for r in decontaminate.decontaminate(docs, spark.createDataFrame([("i", item)], "item_id string, text string")).collect()}
+    assert found[1].n_words == n and found[1].n_hit >= 12 and found[1].item_ids == ["i"]
+    assert {r.doc_id: r.component_id for r in simhash_dedup.near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 1, 4: 4}
+    assert {r.doc_id: r.component_id for r in simhash_dedup.similar_texts(docs).collect()} == {1: 1, 2: 2, 3: 1, 4: 4}
+    model = language_id.fit(docs.withColumn("lang", F.when(F.col("doc_id") == 1, "de").when(F.col("doc_id") == 2, "en")))
+    assert {r.doc_id: r.lang_pred for r in language_id.predict(docs, model).collect()} == {1: "de", 2: "en", 3: "de", 4: "und"}
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    scores = {r.doc_id: r.score for r in quality.classify(docs, labels).collect()}
+    assert len(scores) == 4 and abs(scores[1] - scores[3]) < 1e-6
+    placed = sharding.shard_by_bytes(docs, 4).collect()
+    assert sorted(r.size for r in placed) == sorted([len(long) + 1, len(long) + 1, 11, 1])
+    ids = {r.doc_id: r.ids for r in word_bpe.encode(docs, WORD_BPE).collect()}
+    assert ids[1] == ids[3] == library.encode(long, add_special_tokens=False).ids
+    assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, WORD_BPE).collect()} == {k: len(v) for k, v in ids.items()}
+    held = {r.doc_id: r.n_tokens for r in recurrent_lm.score_documents(docs, rates=(0.01,)).collect()}
+    assert held == {1: n + 1, 2: 3, 3: n + 1, 4: 1}

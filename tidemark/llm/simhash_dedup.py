@@ -16,7 +16,6 @@ similar_texts() finds texts of a given similarity in the same manner, with wider
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -189,47 +188,30 @@ def wide_keys(prints: np.ndarray) -> np.ndarray:
     return np.hstack(triples)
 
 
-def list_rows(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    """See listed_pairs(); batches are sorted by key and node. Holds a batch and at most `limit` rows more."""
-
-    def rows(long_list, a, b):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(b), long_list)), pa.array(np.broadcast_to(a, len(b))), pa.array(b)], names=["long_list", "a", "b"])
-
-    keys, nodes = np.empty((2, 0), np.int64)
-    hub = key = None  # the least node and the key of a long list that goes on
-    for batch in chain(batches, [None]):
-        if batch is not None:
-            keys, nodes = np.r_[keys, np.asarray(batch.column(0))], np.r_[nodes, np.asarray(batch.column(1))]
-        if hub is not None:
-            n = int(np.searchsorted(keys, key, side="right"))
-            yield rows(False, hub, nodes[:n])
-            yield rows(True, key, nodes[:n])
-            keys, nodes = keys[n:], nodes[n:]
-            hub = None if len(keys) else hub
+def list_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, hub, node) of all nodes of lists of two or more, the hub among them; batches are sorted by key and node.
+    Holds a batch and one row more."""
+    key, hub, told = None, None, True
+    for batch in batches:
+        keys, nodes = np.asarray(batch.column(0)), np.asarray(batch.column(1))
         if not len(keys):
             continue
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         sizes = np.diff(np.r_[starts, len(keys)])
-        over = len(keys) if batch is None else int(starts[-1])
-        short = np.repeat(sizes <= limit, sizes)
-        short[over:] = False
-        for d in range(1, limit):
-            same = short[d:] & (keys[d:] == keys[:-d])
-            if not same.any():
-                break
-            yield rows(False, nodes[:-d][same], nodes[d:][same])
-        for lo, n in zip(starts.tolist(), sizes.tolist(), strict=True):
-            if n > limit:
-                yield rows(False, nodes[lo], nodes[lo + 1 : lo + n])
-                yield rows(True, keys[lo], nodes[lo : lo + n])
-        if over < len(keys) and sizes[-1] > limit:
-            hub, key, over = nodes[over], keys[over], len(keys)
-        keys, nodes = keys[over:], nodes[over:]
-
-
-def listed_pairs(classes: DataFrame, list_limit: int) -> DataFrame:
-    """What the posting lists of `fp` give, as (long_list, a, b): all pairs of nodes of a list of `list_limit` rows at
-    most; of a longer one the pairs with its least node (long_list false), and its keys and nodes (long_list true)."""
+        hubs = np.repeat(nodes[starts], sizes)
+        keep = np.repeat(sizes > 1, sizes)
+        if keys[0] == key:
+            # The first list goes on from the batch before, whose hub may be alone so far.
+            hubs[: sizes[0]], keep[: sizes[0]] = hub, True
+            if not told:
+                yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([hub]), pa.array([hub])], names=["key", "hub", "node"])
+        told = bool(keep[-1])
+        key, hub = keys[-1], hubs[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (keys, hubs, nodes)], names=["key", "hub", "node"])
+
+
+def listed(classes: DataFrame) -> DataFrame:
+    """The posting lists of `fp` with two nodes or more, as (key, hub, node); the hub is a list's least node."""
 
     def post(batches):
         for batch in batches:
@@ -239,8 +221,7 @@ def listed_pairs(classes: DataFrame, list_limit: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(np.asarray(part.column(0)), keys.shape[1]))], names=["key", "node"])
 
     postings = classes.select("node", "fp").mapInArrow(post, "key long, node long")
-    dealt = postings.repartition("key").sortWithinPartitions("key", "node")
-    return dealt.mapInArrow(lambda batches: list_rows(batches, list_limit), "long_list boolean, a long, b long")
+    return postings.repartition("key").sortWithinPartitions("key", "node").mapInArrow(list_rows, "key long, hub long, node long")
 
 
 def tallied(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
@@ -252,7 +233,7 @@ def tallied(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= least))
 
     of = lambda name: classes.select(F.col("node").alias(name), F.col("fp").alias(f"fp_{name}"))
-    met = skew_join(pairs.join(of("v"), "v"), of("u"), "u")
+    met = skew_join(pairs.join(of("v"), "v"), of("u"), "u", keys=pairs.select("u"))
     return met.select("u", "v", "fp_u", "fp_v").mapInArrow(count, "u long, v long")
 
 
@@ -272,7 +253,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     of = lambda name: sets.select(F.col("node").alias(name), F.col("hashes").alias(f"set_{name}"))
-    met = skew_join(pairs.join(of("v"), "v"), of("u"), "u")
+    met = skew_join(pairs.join(of("v"), "v"), of("u"), "u", keys=pairs.select("u"))
     return met.select("u", "v", "set_u", "set_v").mapInArrow(compare, "u long, v long")
 
 
@@ -283,7 +264,6 @@ def similar_texts(
     shingle: int = WIDE_SHINGLE,
     similarity: float = SIMILARITY,
     least_shared: int = LEAST_SHARED,
-    list_limit: int = LIST_LIMIT,
 ) -> DataFrame:
     """One row for each row of `docs`: its id and `component_id`, the least id that links reach, its own included.
 
@@ -294,10 +274,11 @@ def similar_texts(
     verified on their whole texts. That two texts meet in the index is likely, not certain; the README has
     the measured share.
 
-    Texts of the same words in lower case are one class from the start, so copies cost a row each. A long
-    posting list gives the pairs with its least node; once those are linked, members of different
-    components that are still in one list are paired, so no link between components is lost, and large groups
-    of near copies, being one component, need no more pairs.
+    Texts of the same words in lower case are one class from the start, so copies cost a row each. Pairs come in
+    three rounds, of which each leaves out what is in one component by then: each node with the least of the least
+    nodes of its lists, then with the least node of each of its lists, then with all nodes of other
+    components in its lists. So no link between components is lost, while a large group of near copies costs
+    few pairs a text, as most of it is one component after the first round.
 
     Null, empty and blank texts are one class. Very long texts count whole. Rows of one text or id stay, each with
     its component; ties need no order. A null id has no part in the least id. An empty table gives an
@@ -318,7 +299,7 @@ def similar_texts(
     prints = shared_checkpoint(map_texts(bodies, [id_col, "text_hash"], "__body", fields, printed))
     grouped = prints.groupBy("digest").agg(F.min(id_col).alias("least_id"), F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp"))
     classes = shared_checkpoint(grouped.withColumn("node", F.monotonically_increasing_id()))
-    lists = shared_checkpoint(listed_pairs(classes, list_limit))
+    lists = shared_checkpoint(listed(classes))
 
     def linked(pairs: DataFrame) -> DataFrame:
         near = shared_checkpoint(tallied(pairs, classes, least_shared))
@@ -329,19 +310,31 @@ def similar_texts(
         sets = shared_checkpoint(map_texts(texts, ["node"], "__body", [T.StructField("hashes", T.BinaryType())], hashed))
         return shared_checkpoint(verified(near, sets, similarity))
 
-    pairs = lists.where("NOT long_list").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
-    links_ = linked(pairs)
+    def labelled(column: str) -> DataFrame:
+        return roots.select(F.col("node").alias(column), F.col("root").alias(f"{column}_part"))
+
+    def apart(pairs: DataFrame) -> DataFrame:
+        """Pairs (u, v) of different components."""
+        parts = pairs.join(labelled("u"), "u", "left").join(labelled("v"), "v", "left")
+        return parts.where(F.coalesce("u_part", "u") != F.coalesce("v_part", "v")).select("u", "v")
+
+    tried = shared_checkpoint(lists.where("hub <> node").groupBy(F.col("node").alias("v")).agg(F.min("hub").alias("u")).select("u", "v"))
+    links_ = linked(tried)
+    roots = components(links_)
+    stars = lists.where("hub <> node").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
+    more = shared_checkpoint(apart(stars).join(tried, ["u", "v"], "left_anti"))
+    tried, links_ = tried.union(more), links_.union(linked(more))
     roots = components(links_)
-    labels = roots.withColumnRenamed("root", "part")
-    members = lists.where("long_list").select(F.col("a").alias("key"), F.col("b").alias("node")).join(labels, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    members = lists.select("key", "node").join(labelled("node"), "node", "left").withColumn("part", F.coalesce("node_part", "node")).select("key", "node", "part")
     parts = members.groupBy("key", "part").agg(F.count("*").alias("n"))
-    mixed = shared_checkpoint(parts.groupBy("key").agg(F.max_by("part", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main"))
+    # In a list the main component's nodes aren't paired with each other, but all others with every node of another part.
+    mixed = shared_checkpoint(parts.groupBy("key").agg(F.max_by("part", "n").alias("main"), F.count("*").alias("parts"), F.sum("n").alias("all")).where("parts > 1 AND all > 2").select("key", "main"))
     if not mixed.isEmpty():
-        open_ = members.join(mixed, "key")
-        apart = open_.where("part <> main").select("key", F.col("node").alias("u"), F.col("part").alias("u_part"))
-        crossing = apart.join(open_.select("key", F.col("node").alias("v"), "part"), "key").where("u_part <> part")
-        more = crossing.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti")
-        roots = components(links_.union(linked(more)))
+        open_ = shared_checkpoint(members.join(mixed, "key"))
+        other = open_.where("part <> main").select("key", F.col("node").alias("u"), F.col("part").alias("u_part"))
+        crossing = other.join(open_.select("key", F.col("node").alias("v"), "part"), "key").where("u_part <> part")
+        last = crossing.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().join(tried, ["u", "v"], "left_anti")
+        roots = components(links_.union(linked(shared_checkpoint(last))))
     rooted = classes.select("digest", "least_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     return skew_join(prints.select(id_col, "digest"), rooted.join(named, "root").select("digest", "component_id"), "digest").select(id_col, "component_id")
