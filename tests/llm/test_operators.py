@@ -756,8 +756,8 @@ def test_skew_join_equals_a_join_with_hot_keys(spark):
     left = spark.createDataFrame([(7, i) for i in range(3000)] + [(i, -i) for i in range(300)] + [(None, 1)], "k long, v long")
     right = spark.createDataFrame([(i, f"x{i}") for i in range(0, 300, 2)] + [(7, "hot"), (None, "no")], "k long, w string")
     want = sorted(map(tuple, left.join(right, "k").select("k", "v", "w").collect()))
-    for parts in (10, 1000):
-        assert sorted(map(tuple, common.skew_join(left, right, "k", hot_parts=parts).select("k", "v", "w").collect())) == want
+    for parts, few in ((10, 0), (1000, 0), (10, 10_000)):
+        assert sorted(map(tuple, common.skew_join(left, right, "k", hot_parts=parts, few=few).select("k", "v", "w").collect())) == want
     assert common.skew_join(left.limit(0), right, "k").collect() == []
 
 

@@ -47,17 +47,17 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def skew_join(left: DataFrame, right: DataFrame, key: str, hot_parts: int = 1000, keys: DataFrame | None = None) -> DataFrame:
+def skew_join(left: DataFrame, right: DataFrame, key: str, hot_parts: int = 1000, keys: DataFrame | None = None, few: int = 100_000) -> DataFrame:
     """Inner join with `right`, which has one row or few for each key. Keys with more than a `hot_parts`-th of
     the left rows, fewer than `hot_parts` keys therefore, are joined by broadcast and shuffle no left rows. `keys` has the
-    left's keys, as often as they occur there, if they are cheaper to count elsewhere."""
+    left's keys, as often as they occur there, if they are cheaper to count elsewhere. Up to `few` left rows, of which any
+    number may have one key, the join is a plain one."""
     counts = (left if keys is None else keys).groupBy(key).agg(F.count("*").alias("__n"))
     total = counts.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n")).first()["n"]
-    hot = shared_checkpoint(counts.where(F.col("__n") > max(100, total // hot_parts)).select(key))
-    if hot.isEmpty():
+    if total <= few:
         return left.join(right, key)
-    few = F.broadcast(hot)
-    return left.join(few, key, "left_anti").join(right, key).unionByName(left.join(F.broadcast(right.join(few, key)), key))
+    hot = F.broadcast(counts.where(F.col("__n") > max(100, total // hot_parts)).select(key))
+    return left.join(hot, key, "left_anti").join(right, key).unionByName(left.join(F.broadcast(right.join(hot, key)), key))
 
 
 def maybe_among(df: DataFrame, hash_: Column, hashes: DataFrame, bits: int = 22) -> DataFrame:

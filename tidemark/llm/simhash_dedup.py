@@ -323,8 +323,9 @@ def similar_texts(
     roots = components(links_)
     stars = lists.where("hub <> node").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
     more = shared_checkpoint(apart(stars).join(tried, ["u", "v"], "left_anti"))
-    tried, links_ = tried.union(more), links_.union(linked(more))
-    roots = components(links_)
+    if not more.isEmpty():
+        tried, links_ = tried.union(more), links_.union(linked(more))
+        roots = components(links_)
     members = lists.select("key", "node").join(labelled("node"), "node", "left").withColumn("part", F.coalesce("node_part", "node")).select("key", "node", "part")
     parts = members.groupBy("key", "part").agg(F.count("*").alias("n"))
     # In a list the main component's nodes aren't paired with each other, but all others with every node of another part.
@@ -334,7 +335,8 @@ def similar_texts(
         other = open_.where("part <> main").select("key", F.col("node").alias("u"), F.col("part").alias("u_part"))
         crossing = other.join(open_.select("key", F.col("node").alias("v"), "part"), "key").where("u_part <> part")
         last = crossing.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().join(tried, ["u", "v"], "left_anti")
-        roots = components(links_.union(linked(shared_checkpoint(last))))
+        found = linked(shared_checkpoint(last))
+        roots = roots if found.isEmpty() else components(links_.union(found))
     rooted = classes.select("digest", "least_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     return skew_join(prints.select(id_col, "digest"), rooted.join(named, "root").select("digest", "component_id"), "digest").select(id_col, "component_id")
