@@ -111,3 +111,32 @@ def map_texts(
     import pyarrow.compute  # noqa: F401  binds pa.compute for the workers
 
     return picked.mapInArrow(run, schema)
+
+
+def pieces(body: bytes, size: int = 1 << 20, at: bytes = b" ") -> Iterator[bytes]:
+    """Parts of about `size` bytes that end before an `at`, so that a very long text needs memory for one part at a time."""
+    lo = 0
+    while len(body) - lo > size:
+        hi = body.find(at, lo + size)
+        if hi < 0:
+            break
+        yield body[lo:hi]
+        lo = hi
+    yield body[lo:]
+
+
+def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """`df` with the 1-based place of each row in `order`, which no two rows share. Sorted by range, so that no task holds
+    more than its range; the sizes of the ranges, a row a partition, place them."""
+    placed = shared_checkpoint(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("__at", 33).cast("int")
+    sizes = placed.groupBy(part.alias("__part")).agg(F.count("*").alias("n")).orderBy("__part").collect()  # a row a partition
+    before, starts = 0, {}
+    for r in sizes:
+        starts[r["__part"]] = before
+        before += r["n"]
+    if not starts:
+        return placed.withColumn(name, F.col("__at")).drop("__at")
+    offsets = df.sparkSession.createDataFrame(list(starts.items()), "__part int, __before long")
+    at = F.col("__before") + F.col("__at").bitwiseAND((1 << 33) - 1) + 1
+    return placed.withColumn("__part", part).join(F.broadcast(offsets), "__part").withColumn(name, at).drop("__part", "__before", "__at")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, language_id, quality, recurrent_lm, sharding, simhash_dedup, token_counts, topk_search, word_bpe
+from tidemark.llm import chat_format, decontaminate, language_id, quality, recurrent_lm, resampling, sharding, simhash_dedup, token_counts, topk_search, word_bpe
 from tidemark.llm.common import tuned
 
 #: A public vocabulary file; workers find it by its name.
@@ -95,6 +95,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_recurrent_lm": op1_recurrent_lm,
     "op2_decontaminate": op2_decontaminate,
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_word_bpe": op9_word_bpe,
     "op10_quality": op10_quality,
+    "op12_importance_resampling": op12_importance_resampling,
 }
 
 #: op2 for DuckDB: windows of items against windows of documents, word by word.
@@ -159,4 +164,41 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-ORACLES: dict[str, str] = {"op2_decontaminate": DECONTAMINATE_SQL, "op3_chat_format": CHAT_SQL, "op5_topk_search": TOPK_SQL}
+#: crc32 in DuckDB: a table of 256 steps, then a fold over the bytes of each distinct text.
+CRC_SQL = """
+steps AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS t
+), crcs AS (
+  SELECT w, xor(list_reduce(list_transform(range(CAST(length(h) / 2 AS BIGINT)), lambda i: CAST(('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2)) AS BIGINT)), lambda c, b: xor(c // 256, t[CAST(xor(c % 256, b) + 1 AS BIGINT)]), 4294967295), 4294967295) AS crc
+  FROM (SELECT w, hex(encode(w)) AS h FROM texts), steps
+)
+"""
+
+RESAMPLING_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), dw AS (SELECT r, unnest(w) AS w FROM d
+), bw AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark
+), texts AS (SELECT w FROM dw UNION SELECT w FROM bw), {CRC_SQL},
+s AS (SELECT crc % 10000 AS b, count(*) AS n FROM dw JOIN crcs USING (w) GROUP BY 1
+), t AS (SELECT crc % 10000 AS b, count(*) AS n FROM bw JOIN crcs USING (w) GROUP BY 1
+), g AS (
+  SELECT s.b, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE / ((s.n + 1.0::DOUBLE) * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t ON t.b = s.b
+), x AS (SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM dw JOIN crcs USING (w) JOIN g ON g.b = crc % 10000 GROUP BY r
+), o AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN x USING (r)
+), e AS (
+  SELECT *, n_features >= 20 AS takes, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST, n_features, weight) AS k, count(*) OVER (PARTITION BY n_features >= 20) AS n FROM o
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN takes AND k <= 10 * n // 100 THEN k END AS rank FROM e
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_decontaminate": DECONTAMINATE_SQL,
+    "op3_chat_format": CHAT_SQL,
+    "op5_topk_search": TOPK_SQL,
+    "op12_importance_resampling": RESAMPLING_SQL,
+}
