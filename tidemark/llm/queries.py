@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, language_id, quality, recurrent_lm, resampling, sharding, simhash_dedup, token_counts, topk_search, word_bpe
+from tidemark.llm import chat_format, decontaminate, language_id, quality, recurrent_lm, resampling, sharding, simhash_dedup, token_counts, topk_search, turn_repair, word_bpe
 from tidemark.llm.common import tuned
 
 #: A public vocabulary file; workers find it by its name.
@@ -99,6 +99,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_recurrent_lm": op1_recurrent_lm,
     "op2_decontaminate": op2_decontaminate,
@@ -111,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_word_bpe": op9_word_bpe,
     "op10_quality": op10_quality,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 #: op2 for DuckDB: windows of items against windows of documents, word by word.
@@ -196,9 +201,55 @@ s AS (SELECT crc % 10000 AS b, count(*) AS n FROM dw JOIN crcs USING (w) GROUP B
 SELECT doc_id, n_features, weight, score, CASE WHEN takes AND k <= 10 * n // 100 THEN k END AS rank FROM e
 """
 
+#: op13 by an automaton of four states that reads the turns one by one and keeps each state's cheapest audit.
+REPAIR_SQL = rf"""
+WITH RECURSIVE texts AS (SELECT DISTINCT coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS w FROM conversations), {CRC_SQL},
+hurt AS (
+  SELECT conv_id AS c, turn, CASE WHEN crc % 20 = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+         CASE crc % 20 WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text, unnest(range(CASE crc % 20 WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))
+  FROM conversations JOIN crcs ON w = coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')
+), placed AS (
+  SELECT c, turn, role, text, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM hurt
+), marked AS (SELECT *, bare = '' AS blank, row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS again FROM placed
+), f AS (
+  SELECT c, turn, role, text, i, blank, NOT blank AND again AS duplicate, NOT blank AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') AS truncated, left(role, 1) AS initial,
+         coalesce(lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au'), FALSE) AS wrong
+  FROM marked
+), ins(s, z, l, k) AS (VALUES (0, 0, '', 0), (0, 2, 'I', 2), (0, 3, 'II', 4), (1, 1, '', 0), (1, 2, 'I', 2), (1, 3, 'II', 4), (2, 2, '', 0), (2, 3, 'I', 2), (2, 2, 'II', 4), (3, 3, '', 0), (3, 2, 'I', 2), (3, 3, 'II', 4)
+), step(s, symbol, z) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2), (0, 'D', 0), (1, 'D', 1), (2, 'D', 2), (3, 'D', 3)
+), ways AS (
+  SELECT c, 0::BIGINT AS i, 0 AS s, struct_pack(cost := 0, audit := '') AS best FROM f GROUP BY c
+  UNION ALL
+  SELECT ways.c, f.i, step.z, min(struct_pack(
+           cost := ways.best.cost + ins.k + CASE WHEN symbol = 'D' THEN 3 WHEN symbol = initial THEN 0 ELSE 2 END + CASE WHEN symbol <> 'D' AND truncated THEN 1 ELSE 0 END,
+           audit := ways.best.audit || ins.l || CASE WHEN symbol = 'D' THEN 'D' WHEN symbol = initial THEN 'K' ELSE 'R' END))
+  FROM ways JOIN f ON f.c IS NOT DISTINCT FROM ways.c AND f.i = ways.i + 1 JOIN ins ON ins.s = ways.s JOIN step ON step.s = ins.z
+  WHERE symbol = 'D' OR (NOT blank AND NOT duplicate AND (symbol <> 's' OR initial = 's'))
+  GROUP BY ways.c, f.i, step.z
+), sums AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+         count(*) FILTER (WHERE truncated) AS truncated, count(*) FILTER (WHERE wrong) AS illegal, max(i) AS n
+  FROM f GROUP BY c
+), ended AS (
+  SELECT ways.c, min(struct_pack(cost := best.cost + ins.k, audit := best.audit || ins.l)) AS best
+  FROM ways JOIN sums ON sums.c IS NOT DISTINCT FROM ways.c AND sums.n = ways.i JOIN ins ON ins.s = ways.s WHERE ins.z IN (0, 3) GROUP BY ways.c
+), letters AS (SELECT c, best.audit AS audit, unnest(range(1, length(best.audit) + 1)) AS p FROM ended
+), edits AS (
+  SELECT c, p, audit[p] AS l, length(replace(audit[1:p], 'I', '')) AS i, length(replace(audit[1:p], 'D', '')) - 1 AS k, length(replace(audit, 'D', '')) % 2 AS odd FROM letters
+), built AS (
+  SELECT edits.c, p, CASE WHEN l = 'K' THEN role WHEN (k + odd) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN l = 'I' THEN '' ELSE text END AS line
+  FROM edits LEFT JOIN f ON f.c IS NOT DISTINCT FROM edits.c AND f.i = edits.i AND l <> 'I' WHERE l <> 'D'
+), hashed AS (SELECT c, sha256(string_agg(line, chr(10) ORDER BY p)) AS h FROM built GROUP BY c
+), every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM every LEFT JOIN sums ON sums.c IS NOT DISTINCT FROM conv_id LEFT JOIN ended ON ended.c IS NOT DISTINCT FROM conv_id LEFT JOIN hashed ON hashed.c IS NOT DISTINCT FROM conv_id
+"""
+
 ORACLES: dict[str, str] = {
     "op2_decontaminate": DECONTAMINATE_SQL,
     "op3_chat_format": CHAT_SQL,
     "op5_topk_search": TOPK_SQL,
     "op12_importance_resampling": RESAMPLING_SQL,
+    "op13_turn_repair": REPAIR_SQL,
 }
