@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, language_id, quality, recurrent_lm, resampling, sharding, simhash_dedup, token_counts, topk_search, turn_repair, word_bpe
+from tidemark.llm import chat_format, decontaminate, language_id, quality, recurrent_lm, resampling, sharding, simhash_dedup, token_counts, topk_search, toxicity, turn_repair, word_bpe
 from tidemark.llm.common import tuned
 
 #: A public vocabulary file; workers find it by its name.
@@ -95,6 +95,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_word_bpe": op9_word_bpe,
     "op10_quality": op10_quality,
+    "op11_toxicity": op11_toxicity,
     "op12_importance_resampling": op12_importance_resampling,
     "op13_turn_repair": op13_turn_repair,
 }
