@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import fixed, ordered_interval
+from tidemark.operators import boosting
 from tidemark.operators.aggregates import clip_bounds, percentiles, validation_metrics
 from tidemark.operators.align import Names, names
 from tidemark.operators.features import LAGS, WINDOWS, engineer_features
@@ -117,7 +118,8 @@ def recursive_forecast(panel: DataFrame, trained: IntervalModel, key: str, date:
     checkpoint folder. Series that the model was not trained on carry their last value.
     """
     make = features or (lambda df: engineer_features(df, key, date, value))
-    bounds = clip_bounds(panel, key, value)
+    # Each is read in every step.
+    bounds, residuals, known = cut(clip_bounds(panel, key, value)), cut(trained.residuals), cut(trained.trained.withColumn("_known", F.lit(True)))
     newest = Window.partitionBy(key).orderBy(F.desc(date))
     tail = panel.select(key, date, value).withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= TAIL).drop("_n")
     tail = cut(tail)
@@ -126,7 +128,7 @@ def recursive_forecast(panel: DataFrame, trained: IntervalModel, key: str, date:
         last = tail.groupBy(key).agg(F.max(date).alias("_d"), F.expr(f"max_by({value}, {date}) FILTER (WHERE {value} IS NOT NULL)").alias("_last"))
         following = last.select(key, F.add_months("_d", 1).alias(date), F.lit(None).cast("double").alias(value), "_last")
         rows = make(tail.unionByName(following.drop("_last"))).join(following.select(key, date, "_last"), [key, date])
-        predicted = trained.model.transform(scaled(rows)).join(trained.residuals, key, "left").join(bounds, key, "left").join(trained.trained.withColumn("_known", F.lit(True)), key, "left")
+        predicted = trained.model.transform(scaled(rows)).join(residuals, key, "left").join(bounds, key, "left").join(known, key, "left")
         middle = F.when(F.col("_known"), F.col("prediction") * F.col("_scale")).otherwise(F.col("_last"))
         size = F.abs("_scale")
         mid, lo, hi = ordered_interval(middle, middle + F.coalesce("q10", F.lit(0.0)) * size, middle + F.coalesce("q90", F.lit(0.0)) * size, F.col("lo"), F.col("hi"))
@@ -212,3 +214,113 @@ def classifier_benchmark(rows: DataFrame, inputs: list[str], label: str, seed: i
 def interval(mid: Column, lo: Column, hi: Column, floor: Column, ceiling: Column) -> Column:
     m, a, b = ordered_interval(mid, lo, hi, floor, ceiling)
     return F.struct(m.alias("mid"), a.alias("lo"), b.alias("hi"))
+
+
+#: Inputs of the boosted models, in the order of the array `x`, and the models' losses.
+INPUTS = [*LEVELS, *RATIOS, "missing"]
+SHARES = {"mid": None, "q10": 0.1, "q90": 0.9}
+
+
+@dataclass
+class BoostedModels:
+    """FC5: boosted trees of the middle and of two quantiles; of each series the metrics over its last months, and the months
+    and rows that it was trained on."""
+
+    boosters: dict[str, boosting.Booster]
+    metrics: DataFrame
+    trained: DataFrame
+
+
+def model_rows(features: DataFrame) -> DataFrame:
+    """Feature rows with their inputs as an array `x`, on the scale of `_scale`."""
+    return scaled(features).withColumn("x", F.array(*(F.col(f"x_{c}") for c in INPUTS)))
+
+
+def predicted(rows: DataFrame, boosters: dict[str, boosting.Booster]) -> DataFrame:
+    """model_rows() with mid, lo and hi; the quantiles never cross the middle."""
+    mid, lo, hi = (b.predict() * F.col("_scale") for b in (boosters["mid"], boosters["q10"], boosters["q90"]))
+    out = rows.withColumns({"mid": mid, "_a": lo, "_b": hi})
+    return out.withColumns({"lo": F.least("_a", "_b", "mid"), "hi": F.greatest("_a", "_b", "mid")}).drop("_a", "_b")
+
+
+def train_boosted(features: DataFrame, key: str, cut: Step, date: str = "month", value: str = "value", **limits) -> BoostedModels:
+    """FC5, FC9: trees for the mean and the 10 % and 90 % quantiles of all series, grown on all but the last CALIBRATION + TEST
+    months; the calibration months stop them early, and the test months give the metrics: those of the middle, the pinball
+    losses of both quantiles on the row's scale, and the share of values within the interval."""
+    rows = model_rows(trainable(features.where(F.col("lag1").isNotNull()), key, value))
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(date)))
+    parts = cut(rows.select(key, date, value, "_scale", "x", (F.col(value) / F.abs("_scale")).alias("y"), place.alias("_place")))
+    # The slope of a negative scale would turn quantiles round.
+    signed = parts.withColumn("_scale", F.abs("_scale"))
+    seen = signed.where(F.col("_place") > TEST).withColumn("held", F.col("_place") <= CALIBRATION + TEST)
+    boosters = boosting.boost(seen, SHARES, cut, len(INPUTS), **limits)
+    test = predicted(signed.where(F.col("_place") <= TEST), boosters)
+    y = F.col(value) / F.col("_scale")
+    losses = {f"pinball_{n}": F.avg(boosting.pinball(y, F.col(c) / F.col("_scale"), s)) for n, c, s in (("q10", "lo", 0.1), ("q90", "hi", 0.9))}
+    extra = test.groupBy(F.col(key).alias("_key")).agg(F.avg(F.col(value).between(F.col("lo"), F.col("hi")).cast("double")).alias("coverage"), *(c.alias(n) for n, c in losses.items()))
+    metrics = validation_metrics(test, key, value, "mid").join(extra, F.col(key) == F.col("_key"), "left").drop("_key")
+    trained = signed.where(F.col("_place") > CALIBRATION + TEST).groupBy(key).agg(F.max(date).alias("trained_until"), F.count("*").alias("n_rows"))
+    return BoostedModels(boosters, metrics, trained)
+
+
+def next_inputs(v: str, f: str, d: str) -> str:
+    """SQL of the inputs and the scale of the month `d` that follows the values `v`, filled forward as `f` (arrays, at most
+    TAIL long): what scaled() makes of engineer_features() for that row."""
+    at = lambda a, k: f"try_element_at({a}, -{k})"
+    cols = {f"lag{k}": at(v, k) for k in LAGS}
+    for w in WINDOWS:
+        part = f"filter(slice({v}, greatest(1, size({v}) - {w - 1}), {w}), e -> e IS NOT NULL)"
+        mean = f"(aggregate({part}, 0D, (t, e) -> t + e) / nullif(size({part}), 0))"
+        enough = f"size({part}) >= {max(1, w // 2)}"
+        # Deviations are taken from the mean, which is bound once.
+        spread = f"transform(array({mean}), m -> sqrt(aggregate({part}, 0D, (t, e) -> t + (e - m) * (e - m)) / nullif(size({part}) - 1, 0)))[0]"
+        cols |= {f"roll{w}_mean": f"CASE WHEN {enough} THEN {mean} END", f"roll{w}_std": f"CASE WHEN {enough} THEN {spread} END"}
+    change = lambda a, b: f"try_divide({a} - {b}, {b}) * 100"
+    ratios = {"mom": change(at(f, 1), at(f, 2)), "yoy": change(at(f, 1), at(f, 13)), "month_of_year": f"CAST(month({d}) AS DOUBLE)", "quarter": f"CAST(quarter({d}) AS DOUBLE)"}
+    scale = f"coalesce(nullif({cols['roll12_mean']}, 0D), nullif({cols['lag1']}, 0D), 1D)"
+    levels = ", ".join(f"({cols[c]}) / z.scale" for c in LEVELS)
+    others = ", ".join(f"z.{c}" for c in RATIOS)
+    bound = f"named_struct('scale', {scale}, {', '.join(f"'{c}', {e}" for c, e in ratios.items())})"
+    return f"transform(array({bound}), z -> named_struct('scale', z.scale, 'x', array({levels}, {others}, CAST(z.yoy IS NULL AS DOUBLE))))[0]"
+
+
+def folded_forecast(panel: DataFrame, trained: BoostedModels, key: str, date: str = "month", value: str = "value", horizon: int = HORIZON) -> DataFrame:
+    """FC7, FC8: the whole horizon in one pass. The last TAIL rows of a series are one array; a fold over the steps makes the
+    next month's inputs from it, predicts, clips and orders the interval, and appends the middle for the steps behind.
+
+    Series that the models were not trained on carry their last value. A series without values has null middles.
+    """
+    newest = Window.partitionBy(key).orderBy(F.desc(date))
+    tail = panel.select(key, F.col(date).alias("_d"), F.col(value).cast("double").alias("_v"), F.row_number().over(newest).alias("_n")).where(F.col("_n") <= TAIL)
+    series = tail.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_d", "_v"))).alias("_t"))  # TAIL rows a series
+    known = trained.trained.select(F.col(key).alias("_key"), F.lit(True).alias("_known"))
+    bounds = clip_bounds(panel, key, value).select(F.col(key).alias("_bound_key"), F.col("lo").alias("_floor"), F.col("hi").alias("_ceiling"))
+    rows = series.join(known, F.col(key) == F.col("_key"), "left").join(bounds, F.col(key) == F.col("_bound_key"), "left")
+    filled = "aggregate(_t._v, CAST(array() AS ARRAY<DOUBLE>), (f, e) -> array_append(f, coalesce(e, try_element_at(f, -1))))"
+    start = f"named_struct('v', _t._v, 'f', {filled}, 'out', CAST(array() AS ARRAY<STRUCT<step: INT, mid: DOUBLE, lo: DOUBLE, hi: DOUBLE>>))"
+    inputs = next_inputs("s.v", "s.f", "add_months(element_at(_t._d, -1), k)")
+    raw = ", ".join(f"'{m}', {b.sql('i.x')} * abs(i.scale)" for m, b in trained.boosters.items())
+    last = "try_element_at(filter(s.v, e -> e IS NOT NULL), -1)"
+    # Null where the series has no model, then its last value stands for all three.
+    asked = f"named_struct('mid', CASE WHEN _known THEN p.mid ELSE {last} END, 'lo', CASE WHEN _known THEN least(p.q10, p.q90, p.mid) ELSE {last} END, 'hi', CASE WHEN _known THEN greatest(p.q10, p.q90, p.mid) ELSE {last} END)"
+    clip = lambda e: f"CASE WHEN {e} IS NOT NULL THEN least(greatest({e}, _floor), _ceiling) END"
+    held = f"named_struct('mid', {clip('a.mid')}, 'lo', {clip('a.lo')}, 'hi', {clip('a.hi')})"
+    keep = lambda name, e: f"slice(array_append(s.{name}, {e}), greatest(1, size(s.{name}) + 2 - {TAIL}), {TAIL})"
+    done = f"named_struct('v', {keep('v', 'c.mid')}, 'f', {keep('f', 'coalesce(c.mid, try_element_at(s.f, -1))')}, 'out', array_append(s.out, named_struct('step', k, 'mid', c.mid, 'lo', least(c.lo, c.mid), 'hi', greatest(c.hi, c.mid))))"
+    step = f"transform(transform(transform(transform(array({inputs}), i -> named_struct({raw})), p -> {asked}), a -> {held}), c -> {done})[0]"
+    path = F.expr(f"aggregate(sequence(1, {int(horizon)}), {start}, (s, k) -> {step}).out")
+    out = rows.select(key, F.element_at("_t._d", -1).alias("_last"), F.explode(path).alias("_o")).select(key, "_last", "_o.*")
+    return out.select(key, F.add_months("_last", F.col("step")).alias(date), "step", "mid", "lo", "hi")
+
+
+def register_boosted(trained: BoostedModels, folder: str, group: str, key: str) -> DataFrame:
+    """FC13: writes a group's models under `folder` and adds its series to the registry table there: group, series, path of the
+    models, last month and rows of training, and the metrics. Gives the group's rows of the registry; boosting.load(path)
+    gives the models back."""
+    spark = trained.metrics.sparkSession
+    path = f"{folder}/models/{group}"
+    boosting.save(spark, trained.boosters, path)
+    rows = trained.trained.join(trained.metrics, key, "left").select(F.lit(group).alias("group"), F.col(key).alias("series_id"), F.lit(path).alias("path"), "trained_until", "n_rows", "mae", "rmse", "r2", "coverage")
+    # A group's rows are a partition of the table, so a group that is trained again replaces its own.
+    rows.withColumn("part", F.lit(group)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{folder}/registry")
+    return spark.read.parquet(f"{folder}/registry").where(F.col("part") == group).drop("part")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scoring
 from tidemark.functions.numeric import fixed
-from tidemark.operators import forecast, views
+from tidemark.operators import boosting, forecast, views
 from tidemark.operators.briefing import top_n
 from tidemark.operators.features import engineer_features
 from tidemark.plans.catalog import ARTICLES, PANEL, articles, gappy, panel, query, r4, table
@@ -72,22 +72,32 @@ def fc11(spark, sf):
     return forecast.regime_ahead(i, ahead).select("month", fixed(F.col("fsi")).alias("fsi"), "regime")
 
 
+def boosted(spark, sf):
+    p = panel(spark, sf)
+    return p, forecast.train_boosted(engineer_features(p, KEY), KEY, cutter(spark))
+
+
 @query("fc5_train_interval_models")
 def fc5(spark, sf):
+    return boosted(spark, sf)[1].metrics
+
+
+@query("fc5_conformal_interval_models")
+def fc5_conformal(spark, sf):
+    """One model of the middle, with residual quantiles of the calibration months."""
     trained = forecast.train_interval_models(engineer_features(panel(spark, sf), KEY), KEY, cutter(spark))
     return trained.metrics.join(trained.residuals, KEY, "left")
 
 
 @query("fc9_evaluate")
 def fc9(spark, sf):
-    return forecast.train_interval_models(engineer_features(panel(spark, sf), KEY), KEY, cutter(spark)).metrics
+    return boosted(spark, sf)[1].metrics.select(KEY, "mae", "rmse", "r2")
 
 
 @query("fc7_joint_recursive_forecast", days=("month",))
 def fc7(spark, sf):
-    p = panel(spark, sf)
-    trained = forecast.train_interval_models(engineer_features(p, KEY), KEY, cutter(spark))
-    return forecast.recursive_forecast(p, trained, KEY, "month", "value", cutter(spark))
+    p, trained = boosted(spark, sf)
+    return forecast.folded_forecast(p, trained, KEY)
 
 
 @query("fc8_carry_aux_series", days=("month",))
@@ -95,25 +105,35 @@ def fc8(spark, sf):
     """Series with short history have no model and keep their last value."""
     p = panel(spark, sf)
     held = p.where("series_id < '4' OR month >= DATE '2000-06-01'")
-    trained = forecast.train_interval_models(engineer_features(held.where("series_id < '4'"), KEY), KEY, cutter(spark))
-    return forecast.recursive_forecast(held, trained, KEY, "month", "value", cutter(spark), horizon=3)
+    trained = forecast.train_boosted(engineer_features(held.where("series_id < '4'"), KEY), KEY, cutter(spark))
+    return forecast.folded_forecast(held, trained, KEY, horizon=3)
 
 
 @query("top6_feature_importance_topn")
 def top6(spark, sf):
-    trained = forecast.train_interval_models(engineer_features(panel(spark, sf), KEY), KEY, cutter(spark))
-    gains = spark.createDataFrame([("orders", f, g) for f, g in forecast.feature_importance(trained.model)], "group string, feature string, gain double")
-    return top_n(gains, ["group"], [F.desc("gain"), F.asc("feature")], 12)
+    gains = zip(forecast.INPUTS, boosted(spark, sf)[1].boosters["mid"].importance(len(forecast.INPUTS)), strict=True)
+    rows = spark.createDataFrame([("orders", f, g) for f, g in gains], "group string, feature string, gain double")
+    return top_n(rows, ["group"], [F.desc("gain"), F.asc("feature")], 12)
 
 
 @query("fc13_model_registry", days=("month",))
 def fc13(spark, sf):
-    from pyspark.ml import PipelineModel
+    """What the registered models predict when they are read again."""
+    p, trained = boosted(spark, sf)
+    path = forecast.register_boosted(trained, folder(spark), "orders", KEY).select("path").first()[0]
+    return forecast.predicted(forecast.model_rows(engineer_features(p, KEY)), boosting.load(spark, path)).select(KEY, "month", F.col("mid").alias("predicted"))
+
 
-    p = engineer_features(panel(spark, sf), KEY)
-    trained = forecast.train_interval_models(p, KEY, cutter(spark))
-    again = PipelineModel.load(forecast.register_model(trained, folder(spark), "orders"))
-    return again.transform(forecast.scaled(p)).select(KEY, "month", (F.col("prediction") * F.col("_scale")).alias("predicted"))
+@query(
+    "fc13_registry_rows",
+    f"WITH {FEATS}, usable AS (SELECT series_id, month FROM feats WHERE lag1 IS NOT NULL AND value IS NOT NULL), long AS (SELECT series_id FROM usable GROUP BY 1 HAVING count(*) >= 24), "
+    "placed AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY month DESC) AS n FROM usable SEMI JOIN long USING (series_id)) "
+    "SELECT 'orders' AS \"group\", series_id, max(month) AS trained_until, count(*) AS n_rows FROM placed WHERE n > 24 GROUP BY 2",
+    days=("trained_until",),
+)
+def fc13_rows(spark, sf):
+    """The registry table of the models."""
+    return forecast.register_boosted(boosted(spark, sf)[1], folder(spark), "orders", KEY).select("group", "series_id", "trained_until", "n_rows")
 
 
 @query("fc14_fault_classifier_benchmark")
