@@ -215,6 +215,24 @@ def test_stream_upsert_rewrites_touched_partitions_alone(spark, tmp_path):
     assert made == [2, 2, 2]
 
 
+def test_stream_upsert_keeps_what_is_stored(spark, tmp_path):
+    """STM5: over a filled table with a new writer nothing is lost, new rows win, and a repeated batch changes nothing."""
+    from tidemark.streaming.news import upsert_into
+
+    at = str(tmp_path / "table")
+    rows = lambda *r: spark.createDataFrame(list(r), "series_id string, value double, day string")
+    read = lambda: sorted((r.day, r.series_id, r.value) for r in spark.read.schema("series_id string, value double, ingest_seq long, day string").parquet(at).collect())
+    first = upsert_into(at, ["series_id", "day"], "day", lambda df: df.checkpoint())
+    first(rows(("a", 1.0, "d1"), ("b", 2.0, "d1"), ("c", 3.0, "d2")), 0)
+    first(rows(("c", 4.0, "d2")), 7)
+    second = upsert_into(at, ["series_id", "day"], "day", lambda df: df.checkpoint())
+    for _ in range(2):
+        second(rows(("a", 9.0, "d1"), ("c", 5.0, "d2")), 0)
+        assert read() == [("d1", "a", 9.0), ("d1", "b", 2.0), ("d2", "c", 5.0)]
+    second(rows(("e", 6.0, "d3")), 1)
+    assert read() == [("d1", "a", 9.0), ("d1", "b", 2.0), ("d2", "c", 5.0), ("d3", "e", 6.0)]
+
+
 @pytest.fixture(scope="module")
 def trained(spark):
     """Forty series of a trend, a season and noise of a known size, and the model of them."""

@@ -51,18 +51,27 @@ def run_batches(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, i
     stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def upsert_into(path: str, key: list[str], partition: str, cut: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+def upsert_into(path: str, key: list[str], partition: str, cut: Callable[[DataFrame], DataFrame], run: int | None = None) -> Callable[[DataFrame, int], None]:
     """STM5: a batch writer that upserts into a table partitioned by one of its keys. A batch reads and rewrites the
-    partitions that it touches and no others. Rows of a batch count by its number, so a repeated batch gives the same table.
+    partitions that it touches and no others; what is stored there stays unless the batch has its key.
+
+    The table may be filled before the stream begins. A row's `ingest_seq` is its run's number, then its batch's (32 bits), so
+    a batch that is repeated in a run gives the same table. `run` is by default one more than the highest that is stored when
+    the writer's first batch comes: a new checkpoint over an old table, or a second stream, is newer than what it finds.
     `cut` writes what a batch makes to the shared checkpoint folder before partitions are overwritten."""
+    runs: list[int] = [] if run is None else [run]
 
     def write(batch: DataFrame, n: int) -> None:
-        rows = batch.withColumn("ingest_seq", F.lit(n).cast("long"))
-        stored = rows.limit(0)
-        if n:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-            table = batch.sparkSession.read.schema(columns).parquet(path)
-            stored = table.join(rows.select(partition).distinct(), partition, "left_semi").select(*rows.columns)
+        spark = batch.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        there = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema) + ", ingest_seq long"
+        table = spark.read.schema(columns).parquet(path) if there else None
+        if not runs:
+            last = None if table is None else table.agg(F.max("ingest_seq")).first()[0]
+            runs.append(0 if last is None else (last >> 32) + 1)
+        rows = batch.withColumn("ingest_seq", F.lit((runs[0] << 32) + n).cast("long"))
+        stored = rows.limit(0) if table is None else table.join(rows.select(partition).distinct(), partition, "left_semi").select(*rows.columns)
         done = cut(upsert(stored, rows, key))
         done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
