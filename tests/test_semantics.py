@@ -196,6 +196,17 @@ def test_percentiles_equal_numpy_also_of_null_keys_and_ties(spark):
         assert np.allclose(q, np.quantile([v for key, v in rows if key == k], [0.01, 0.5, 0.9]))
 
 
+def test_percentiles_of_large_groups_are_exact_and_shuffle_little(spark):
+    """Groups beyond the small ones: what is below a bracket is counted before the shuffle."""
+    rng = np.random.default_rng(5)
+    groups = {"normal": rng.normal(size=30_000), "tied": rng.integers(0, 5, 20_000).astype(float), "skewed": np.exp(rng.normal(size=25_000) * 9), "signed": np.r_[np.full(9000, -1.5), np.full(9000, 2.5)]}
+    df = spark.createDataFrame([(k, float(x)) for k, v in groups.items() for x in v], "k string, v double").repartition(5).checkpoint()
+    shares = [0.0, 0.01, 0.5, 0.9, 1.0]
+    got = {r.k: r.quantiles for r in aggregates.percentiles(df, "k", "v", shares).collect()}
+    for k, v in groups.items():
+        assert np.allclose(got[k], np.quantile(v, shares), rtol=1e-12), k
+
+
 def test_stream_upsert_rewrites_touched_partitions_alone(spark, tmp_path):
     made = []
 

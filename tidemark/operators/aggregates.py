@@ -64,19 +64,36 @@ def anomaly(monthly: DataFrame, key: Names, value: str, first: int = 2000, last:
     return joined.withColumn("anomaly", F.col(value) - F.col("_base")).drop("_base", "moy")
 
 
+#: Accuracy of the sketch that brackets a percentile, ranks (as a share of a group) that a bracket reaches to both sides, three
+#: times the sketch's error, and groups so small that all of their values are the bracket.
+SKETCH, REACH, SMALL = 2000, 3 / 2000, 4000
+
+
 def percentiles(df: DataFrame, key: Names, value: str, shares: list[float], name: str = "quantiles") -> DataFrame:
-    """Exact percentiles of each key, linear between neighbours, as an array. Values are counted first and then picked by
-    rank from a sorted run, which spills: no group's values are held in one task's memory."""
+    """Exact percentiles of each key, linear between neighbours, as an array; keys without values have no row.
+
+    A mergeable sketch brackets each percentile. Values below a bracket are only counted, before they are shuffled; those
+    within it, about 0.3 % of a large group, are counted by value and picked by rank. So no task sorts a group.
+    """
     keys = names(key)
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_all"))
-    placed = null_safe_join(counted.withColumn("_end", upto), totals, keys)
-    at = [F.lit(float(p)) * (F.col("_all") - 1) for p in shares]
-    pick = lambda rank: F.max(F.when((F.col("_end") - F.col("_n") <= rank) & (rank < F.col("_end")), F.col("_v")).cast("double"))
-    ends = [c for i, a in enumerate(at) for c in (pick(F.floor(a)).alias(f"_lo{i}"), pick(F.ceil(a)).alias(f"_hi{i}"), F.max(a - F.floor(a)).alias(f"_part{i}"))]
-    between = [F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_part{i}") for i in range(len(shares))]
-    return placed.groupBy(*keys).agg(*ends).select(*keys, F.array(*between).alias(name))
+    known = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    sides = [min(1.0, max(0.0, p + d)) for p in shares for d in (-REACH, REACH)]
+    sketched = known.groupBy(*keys).agg(F.count("*").alias("_all"), F.percentile_approx("_v", sides, SKETCH).alias("_q"))
+    small = F.col("_all") <= SMALL
+    low = [F.when(small | F.lit(p - REACH <= 0), float("-inf")).otherwise(F.get("_q", F.lit(2 * i))) for i, p in enumerate(shares)]
+    high = [F.when(small | F.lit(p + REACH >= 1), float("inf")).otherwise(F.get("_q", F.lit(2 * i + 1))) for i, p in enumerate(shares)]
+    brackets = sketched.select(*keys, "_all", F.array(*low).alias("_lows"), F.array(*high).alias("_highs"))
+    # Null stands for all values below the bracket; NaN is above all numbers, as in Spark's order.
+    cells = [F.struct(F.lit(i).alias("i"), F.when(F.col("_v") >= F.get("_lows", F.lit(i)), F.col("_v")).alias("v"), (F.isnan("_v") & (F.get("_highs", F.lit(i)) < float("inf")) | (F.col("_v") > F.get("_highs", F.lit(i)))).alias("above")) for i in range(len(shares))]
+    met = null_safe_join(known, brackets, keys).select(*keys, "_all", F.inline(F.filter(F.array(*cells), lambda c: ~c["above"])))
+    counted = met.groupBy(*keys, "i", "v").agg(F.first("_all").alias("_all"), F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*keys, "i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    rank = F.element_at(F.array(*(F.lit(float(p)) for p in shares)), F.col("i") + 1) * (F.col("_all") - 1)
+    placed = counted.select(*keys, "i", "v", "_n", upto.alias("_end"), rank.alias("_at"))
+    pick = lambda at: F.max(F.when((F.col("_end") - F.col("_n") <= at) & (at < F.col("_end")), F.col("v")))
+    a, b, part = pick(F.floor("_at")), pick(F.ceil("_at")), F.max(F.col("_at") - F.floor("_at"))
+    each = placed.groupBy(*keys, "i").agg((a + F.when(part > 0, (b - a) * part).otherwise(0.0)).alias("q"))
+    return each.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "q"))), lambda x: x["q"]).alias(name))  # one a share
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
