@@ -108,3 +108,12 @@ def test_repeated_rows_null_texts_and_null_ids(spark, sf):
     once = corpus_pipeline.deduplicated(spark, known, sf)
     assert once.count() == 2
     assert corpus_pipeline.run_on(spark, docs.limit(0), sf).collect() == []
+
+
+def test_columns_without_an_order_are_carried_along(spark):
+    """Maps and arrays beside the documents' columns; of repeated rows one stays."""
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, text, {"a": 1}, [2]), (1, text, {"a": 2}, [1]), (2, text, None, None), (3, "something else that is said here only and only once", {"b": 3}, [3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>, parts array<int>")
+    left = corpus_pipeline.deduplicated(spark, docs, "").collect()
+    assert sorted((r.doc_id, str(r.tags)) for r in left) == [(1, "{'a': 1}"), (3, "{'b': 3}")]
