@@ -33,6 +33,13 @@ SHINGLE, SEED, BITS, LIST_LIMIT = 3, 42, 2, 64
 #: least positional bytes that a pair shares, and distances of the second and third byte of a key from its first.
 WIDE_SHINGLE, SIMILARITY, WIDE, LEAST_SHARED, SHAPES = 5, 0.8, 64, 8, ((1, 3), (11, 28), (6, 37))
 
+#: Most differing bits of a pair that is verified: of pairs of similarity 0.8 the 512 bits differ in 78 on average, with a
+#: deviation of 8.1. Then nodes of a block, and the share of two neighbourhoods' pairs from which on they meet in blocks.
+MOST_DIFFERENT, BLOCK, DENSE = 106, 256, 0.1
+
+#: Bytes of shingle hashes of a block, about, and distinct shingles of two blocks up to which their sets are compared as bits.
+BLOCK_BYTES, MOST_BITS = 1 << 24, 1 << 17
+
 STIR = np.uint64(0x9E3779B97F4A7C15)
 
 #: Shingles of a text that are hashed at once, so that memory doesn't grow with the text.
@@ -224,13 +231,102 @@ def listed(classes: DataFrame) -> DataFrame:
     return postings.repartition("key").sortWithinPartitions("key", "node").mapInArrow(list_rows, "key long, hub long, node long")
 
 
+def centred(lists: DataFrame) -> DataFrame:
+    """`lists` with the hub of each list anew, as (key, hub, weight, node): the node that meets the most others over all of its
+    lists, its `weight`. In a group of copies of one text that is the text itself, or what is nearest to it, so that most of the
+    group is similar to its hub though two copies need not be similar to each other. Of equals the least node."""
+    sizes = lists.groupBy("key").agg(F.count("*").alias("n"))
+    weights = lists.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("weight"))
+    weighed = lists.select("key", "node").join(weights, "node")
+    hubs = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("node"))).alias("top"))
+    return lists.select("key", "node").join(hubs.select("key", (-F.col("top.node")).alias("hub"), "top.weight"), "key").select("key", "hub", "weight", "node")
+
+
+def likely(x: np.ndarray, y: np.ndarray, least: int) -> np.ndarray:
+    """Which fingerprints of x and y (rows of WIDE bytes, broadcast) share `least` positional bytes and differ in few bits."""
+    return ((x == y).sum(axis=-1) >= least) & (np.bitwise_count((x ^ y).view(np.uint64)).sum(axis=-1) <= MOST_DIFFERENT)
+
+
+def prints_of(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDE)
+
+
+def similar_pairs(x: list[np.ndarray], y: list[np.ndarray], at: np.ndarray, to: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs (x[at], y[to]) of sets of sorted hashes have at least this Jaccard similarity."""
+    sizes_x, sizes_y = (np.array([len(h) for h in sets]) for sets in (x, y))
+    common = np.zeros(len(at), np.int64)
+    words, where = np.unique(np.concatenate([*x, *y]), return_inverse=True)
+    if len(words) <= MOST_BITS:
+        width = -(-max(1, len(words)) // 64)
+        bits = np.zeros((len(x) + len(y), width * 64), bool)
+        bits[np.repeat(np.arange(len(x) + len(y)), np.r_[sizes_x, sizes_y]), where] = True
+        packed = np.packbits(bits, axis=1).view(np.uint64)
+        for i in np.unique(at):
+            mine = np.flatnonzero(at == i)
+            common[mine] = np.bitwise_count(packed[i] & packed[len(x) + to[mine]]).sum(axis=1)
+    else:
+        for k, (i, j) in enumerate(zip(at, to, strict=True)):
+            common[k] = len(np.intersect1d(x[i], y[j], assume_unique=True))
+    return common >= similarity * (sizes_x[at] + sizes_y[to] - common)
+
+
+def met_in_blocks(dense: DataFrame, nodes: DataFrame, least: int, similarity: float) -> DataFrame:
+    """The pairs (u, v), u < v, of different parts and of at least this similarity between the neighbourhoods `a` and `b` of each
+    row of `dense` (a may be b). nodes: node, fp, hashes, part, hood.
+
+    Nodes of a neighbourhood are dealt to blocks of about BLOCK nodes and BLOCK_BYTES; each two blocks of two neighbourhoods meet
+    in one group, which is compared as arrays: fingerprints first, then the sets of the likely pairs. So n nodes make
+    n * n / BLOCK rows, similar pairs alone leave a task, and a task holds two blocks at a time.
+    """
+    blocks = F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.length("hashes")) / BLOCK_BYTES)).cast("int")
+    sizes = nodes.groupBy("hood").agg(blocks.alias("k"))
+    of = lambda name: sizes.select(F.col("hood").alias(name), F.col("k").alias(f"k_{name}"))
+    sized = dense.select("a", "b").join(of("a"), "a").join(of("b"), "b")
+    mine = lambda k: F.pmod(F.xxhash64("node"), F.col(k)).cast("int")
+    all_of = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    kept = ["node", "part", "fp", "hashes"]
+    left = nodes.join(sized, F.col("hood") == F.col("a")).select("a", "b", mine("k_a").alias("i"), all_of("k_b").alias("j"), F.lit(0).alias("side"), *kept)
+    right = nodes.join(sized, F.col("hood") == F.col("b")).select("a", "b", all_of("k_a").alias("i"), mine("k_b").alias("j"), F.lit(1).alias("side"), *kept)
+
+    def compare(batches):
+        now, held = None, ([], [])
+
+        def pairs():
+            if not held[0] or not held[1]:
+                return
+            (u, p, f), (v, q, g) = ([np.concatenate(c) for c in list(zip(*side, strict=True))[:3]] for side in held)
+            x, y = ([h for part in side for h in part[3]] for side in held)
+            met = [np.nonzero(likely(f[lo : lo + 64, None, :], g[None, :, :], least) & (p[lo : lo + 64, None] != q[None, :])) for lo in range(0, len(u), 64)]
+            at, to = np.concatenate([a + 64 * k for k, (a, _) in enumerate(met)]), np.concatenate([b for _, b in met])
+            if len(at):
+                fit = similar_pairs(x, y, at, to, similarity)
+                at, to = at[fit], to[fit]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u[at], v[to])), pa.array(np.maximum(u[at], v[to]))], names=["u", "v"])
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            at = np.stack([np.asarray(batch.column(c), np.int64) for c in range(5)], axis=1)
+            cuts = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]).any(axis=1)])
+            node, part, fp = np.asarray(batch.column(5)), np.asarray(batch.column(6)), prints_of(batch.column(7))
+            hashes = [np.frombuffer(h, np.uint64) for h in batch.column(8).to_pylist()]
+            for lo, hi in zip(cuts, [*cuts[1:], len(batch)], strict=True):
+                if now != (group := tuple(at[lo, :4].tolist())):
+                    yield from pairs()
+                    now, held = group, ([], [])
+                held[at[lo, 4]].append((node[lo:hi], part[lo:hi], fp[lo:hi], hashes[lo:hi]))
+        yield from pairs()
+
+    rows = left.union(right).repartition("a", "b", "i", "j").sortWithinPartitions("a", "b", "i", "j", "side")
+    return rows.mapInArrow(compare, "u long, v long").distinct()
+
+
 def tallied(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
-    """The pairs (u, v) whose fingerprints share `least` positional bytes or more."""
+    """The pairs (u, v) whose fingerprints share `least` positional bytes or more, and differ in few bits."""
 
     def count(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, WIDE) for c in (2, 3))
-            yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= least))
+            yield batch.select([0, 1]).filter(pa.array(likely(prints_of(batch.column(2)), prints_of(batch.column(3)), least)))
 
     of = lambda name: classes.select(F.col("node").alias(name), F.col("fp").alias(f"fp_{name}"))
     met = skew_join(pairs.join(of("v"), "v"), of("u"), "u", keys=pairs.select("u"))
@@ -275,9 +371,10 @@ def similar_texts(
     the measured share.
 
     Texts of the same words in lower case are one class from the start, so copies cost a row each. Pairs come in
-    three rounds, of which each leaves out what is in one component by then: each node with the least of the least
-    nodes of its lists, then with the least node of each of its lists, then with all nodes of other
-    components in its lists. So no link between components is lost, while a large group of near copies costs
+    three rounds, of which each leaves out what is in one component by then: each node with the heaviest hub of its lists,
+    which centred() finds, then with the hub of each of its lists, then with all nodes of other
+    components in its lists. In the last round nodes that meet in many lists, as pages of one template do which are just not
+    similar enough, are compared in blocks of fingerprints, which give the likely pairs alone. So no link between components is lost, while a large group of near copies costs
     few pairs a text, as most of it is one component after the first round.
 
     Null, empty and blank texts are one class. Very long texts count whole. Rows of one text or id stay, each with
@@ -299,16 +396,19 @@ def similar_texts(
     prints = shared_checkpoint(map_texts(bodies, [id_col, "text_hash"], "__body", fields, printed))
     grouped = prints.groupBy("digest").agg(F.min(id_col).alias("least_id"), F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp"))
     classes = shared_checkpoint(grouped.withColumn("node", F.monotonically_increasing_id()))
-    lists = shared_checkpoint(listed(classes))
+    lists = shared_checkpoint(centred(shared_checkpoint(listed(classes))))
 
     def linked(pairs: DataFrame) -> DataFrame:
         near = shared_checkpoint(tallied(pairs, classes, least_shared))
-        wanted = near.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(classes, "node").select("node", "text_hash")
+        return shared_checkpoint(verified(near, sets_of(near.select(F.explode(F.array("u", "v")).alias("node")).distinct()), similarity))
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """The sets of shingle hashes of some nodes, from their whole texts."""
+        wanted = nodes.join(classes, "node").select("node", "text_hash")
         few = maybe_among(bodies.select("text_hash", "__body"), F.col("text_hash"), wanted.select("text_hash")).where("__maybe")
         texts = few.groupBy("text_hash").agg(F.first("__body").alias("__body")).join(wanted, "text_hash")
         hashed = lambda: lambda texts: [pa.array([shingle_hashes(t, shingle).tobytes() for t in texts], pa.binary())]
-        sets = shared_checkpoint(map_texts(texts, ["node"], "__body", [T.StructField("hashes", T.BinaryType())], hashed))
-        return shared_checkpoint(verified(near, sets, similarity))
+        return shared_checkpoint(map_texts(texts, ["node"], "__body", [T.StructField("hashes", T.BinaryType())], hashed))
 
     def labelled(column: str) -> DataFrame:
         return roots.select(F.col("node").alias(column), F.col("root").alias(f"{column}_part"))
@@ -318,7 +418,7 @@ def similar_texts(
         parts = pairs.join(labelled("u"), "u", "left").join(labelled("v"), "v", "left")
         return parts.where(F.coalesce("u_part", "u") != F.coalesce("v_part", "v")).select("u", "v")
 
-    tried = shared_checkpoint(lists.where("hub <> node").groupBy(F.col("node").alias("v")).agg(F.min("hub").alias("u")).select("u", "v"))
+    tried = shared_checkpoint(lists.where("hub <> node").groupBy(F.col("node").alias("v")).agg(F.max_by("hub", F.struct("weight", (-F.col("hub")).alias("hub"))).alias("u")).select("u", "v"))
     links_ = linked(tried)
     roots = components(links_)
     stars = lists.where("hub <> node").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
@@ -331,11 +431,29 @@ def similar_texts(
     # In a list the main component's nodes aren't paired with each other, but all others with every node of another part.
     mixed = shared_checkpoint(parts.groupBy("key").agg(F.max_by("part", "n").alias("main"), F.count("*").alias("parts"), F.sum("n").alias("all")).where("parts > 1 AND all > 2").select("key", "main"))
     if not mixed.isEmpty():
-        open_ = shared_checkpoint(members.join(mixed, "key"))
-        other = open_.where("part <> main").select("key", F.col("node").alias("u"), F.col("part").alias("u_part"))
-        crossing = other.join(open_.select("key", F.col("node").alias("v"), "part"), "key").where("u_part <> part")
+        # Neighbourhoods: nodes of one heaviest hub. Where two of them meet in many lists, pairs are found in blocks.
+        hoods = shared_checkpoint(lists.groupBy("node").agg(F.max_by("hub", F.struct("weight", (-F.col("hub")).alias("hub"))).alias("hood")))
+        open_ = shared_checkpoint(members.join(mixed, "key").join(hoods, "node"))
+        per_list = open_.groupBy("key", "hood").agg(F.count("*").alias("n"))
+        combos = shared_checkpoint(
+            per_list.select("key", F.col("hood").alias("a"), F.col("n").alias("n_a")).join(per_list.select("key", F.col("hood").alias("b"), F.col("n").alias("n_b")), "key").where("a <= b")
+        )
+        sizes = hoods.groupBy("hood").agg(F.count("*").alias("n"))
+        of = lambda name: sizes.select(F.col("hood").alias(name), F.col("n").alias(f"n_{name}"))
+        meetings = combos.groupBy("a", "b").agg(F.sum(F.col("n_a") * F.col("n_b")).alias("meetings")).join(of("a"), "a").join(of("b"), "b")
+        dense = shared_checkpoint(meetings.where((F.col("meetings") >= DENSE * F.col("n_a") * F.col("n_b")) & (F.col("n_a") * F.col("n_b") >= BLOCK)).select("a", "b", "n_a", "n_b"))
+        few = combos.select("key", "a", "b").join(dense.select("a", "b"), ["a", "b"], "left_anti")
+        both = few.select("a", "b", "key").union(few.where("a <> b").select(F.col("b"), F.col("a"), "key"))
+        other = open_.where("part <> main").select("key", F.col("hood").alias("a"), F.col("node").alias("u"), F.col("part").alias("u_part"))
+        crossing = other.join(both, ["key", "a"]).join(open_.select("key", F.col("hood").alias("b"), F.col("node").alias("v"), "part"), ["key", "b"]).where("u_part <> part")
         last = crossing.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().join(tried, ["u", "v"], "left_anti")
         found = linked(shared_checkpoint(last))
+        if not dense.isEmpty():
+            # Those that share no list with another part have nothing to find.
+            theirs = open_.select("node", "hood").distinct().join(dense.select(F.explode(F.array("a", "b")).alias("hood")).distinct(), "hood", "left_semi")
+            nodes = theirs.join(labelled("node"), "node", "left").join(classes.select("node", "fp"), "node").join(sets_of(theirs.select("node")), "node")
+            nodes = shared_checkpoint(nodes.select("node", "fp", "hashes", F.coalesce("node_part", "node").alias("part"), "hood"))
+            found = found.union(shared_checkpoint(met_in_blocks(dense, nodes, least_shared, similarity)))
         roots = roots if found.isEmpty() else components(links_.union(found))
     rooted = classes.select("digest", "least_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
