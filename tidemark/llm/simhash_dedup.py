@@ -371,11 +371,10 @@ def similar_texts(
     the measured share.
 
     Texts of the same words in lower case are one class from the start, so copies cost a row each. Pairs come in
-    three rounds, of which each leaves out what is in one component by then: each node with the heaviest hub of its lists,
-    which centred() finds, then with the hub of each of its lists, then with all nodes of other
-    components in its lists. In the last round nodes that meet in many lists, as pages of one template do which are just not
-    similar enough, are compared in blocks of fingerprints, which give the likely pairs alone. So no link between components is lost, while a large group of near copies costs
-    few pairs a text, as most of it is one component after the first round.
+    two rounds: each node with the heaviest hub of its lists, which centred() finds, then with all nodes of its lists that
+    aren't in its component by then. In the second round nodes that meet in many lists, as pages of one template do which are
+    just not similar enough, are compared in blocks, of which similar pairs alone are written. So no link between components
+    is lost, while a large group of near copies costs few pairs a text.
 
     Null, empty and blank texts are one class. Very long texts count whole. Rows of one text or id stay, each with
     its component; ties need no order. A null id has no part in the least id. An empty table gives an
@@ -413,19 +412,9 @@ def similar_texts(
     def labelled(column: str) -> DataFrame:
         return roots.select(F.col("node").alias(column), F.col("root").alias(f"{column}_part"))
 
-    def apart(pairs: DataFrame) -> DataFrame:
-        """Pairs (u, v) of different components."""
-        parts = pairs.join(labelled("u"), "u", "left").join(labelled("v"), "v", "left")
-        return parts.where(F.coalesce("u_part", "u") != F.coalesce("v_part", "v")).select("u", "v")
-
     tried = shared_checkpoint(lists.where("hub <> node").groupBy(F.col("node").alias("v")).agg(F.max_by("hub", F.struct("weight", (-F.col("hub")).alias("hub"))).alias("u")).select("u", "v"))
     links_ = linked(tried)
     roots = components(links_)
-    stars = lists.where("hub <> node").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
-    more = shared_checkpoint(apart(stars).join(tried, ["u", "v"], "left_anti"))
-    if not more.isEmpty():
-        tried, links_ = tried.union(more), links_.union(linked(more))
-        roots = components(links_)
     members = lists.select("key", "node").join(labelled("node"), "node", "left").withColumn("part", F.coalesce("node_part", "node")).select("key", "node", "part")
     parts = members.groupBy("key", "part").agg(F.count("*").alias("n"))
     # In a list the main component's nodes aren't paired with each other, but all others with every node of another part.
