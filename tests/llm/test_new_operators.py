@@ -12,7 +12,7 @@ import pytest
 from compare import assert_same, database
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, resampling, toxicity, turn_repair
+from tidemark.llm import common, resampling, simhash_dedup, toxicity, turn_repair
 from tidemark.llm.queries import ORACLES, QUERIES
 
 LONG = "the long text goes on, " * 4000
@@ -321,3 +321,93 @@ def test_long_words_and_texts_in_parts():
     # <ab> has two of 3, one of 4; <word> four of 3, three of 4, two of 5, one of 6; and each itself.
     assert sizes.tolist() == [4, 11]
     assert len(ids) == 15
+
+
+# Near duplicates
+
+
+def pages(n, own, seed=5, size=120):
+    """Pages of one template of `size` words, of which each has `own` places filled with its own words."""
+    r = random.Random(seed)
+    template = [f"w{i}" for i in range(size)]
+    out = []
+    for k in range(n):
+        words = list(template)
+        for j, at in enumerate(r.sample(range(5, size - 5, 5), own)):
+            words[at] = f"own{k}x{j}"
+        out.append(" ".join(words))
+    return out
+
+
+def shingles(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+
+def plain_components(texts, similarity=0.8):
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+def test_pages_below_the_threshold_make_few_pairs(spark, monkeypatch):
+    """2,000 pages of one template, none similar enough: fewer than 20 pairs a page, in all rounds."""
+    texts = pages(2000, 3, size=160)
+    some = [shingles(t) for t in texts[:60]]
+    near = [len(a & b) / len(a | b) for a, b in itertools.combinations(some, 2)]
+    assert 0.66 < min(near) and sum(x >= 0.8 for x in near) < 5
+    made = []
+    plain = simhash_dedup.tallied
+    monkeypatch.setattr(simhash_dedup, "tallied", lambda pairs, classes, least: made.append(pairs.count()) or plain(pairs, classes, least))
+    met = simhash_dedup.met_in_blocks
+    monkeypatch.setattr(simhash_dedup, "met_in_blocks", lambda *a: made.append((out := met(*a).checkpoint()).count()) or out)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    simhash_dedup.similar_texts(docs).count()
+    assert sum(made) < 20 * 2000
+
+
+def test_groups_near_the_threshold_equal_brute_force(spark):
+    """Pages of which some are similar and most are just not; blocks find what lists do."""
+    texts = pages(150, 3, 1) + pages(150, 4, 2) + pages(60, 2, 3)
+    got = dict(simhash_dedup.similar_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    want = plain_components(texts)
+    together = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if want[i] == want[j]]
+    assert all(want[i] == want[j] for i, j in itertools.combinations(range(len(texts)), 2) if got[i] == got[j])
+    assert sum(got[i] == got[j] for i, j in together) >= 0.98 * len(together)
+
+
+@pytest.mark.parametrize("most_bits", [1 << 17, 0])
+def test_sets_compare_alike_as_bits_and_one_by_one(monkeypatch, most_bits):
+    monkeypatch.setattr(simhash_dedup, "MOST_BITS", most_bits)
+    r = np.random.default_rng(3)
+    x, y = ([np.unique(r.integers(0, 60, r.integers(0, 60)).astype(np.uint64)) for _ in range(n)] for n in (9, 7))
+    at, to = (a.ravel() for a in np.meshgrid(range(9), range(7), indexing="ij"))
+    want = [len(set(x[i]) & set(y[j])) >= 0.5 * len(set(x[i]) | set(y[j])) for i, j in zip(at, to, strict=True)]
+    assert simhash_dedup.similar_pairs(x, y, at, to, 0.5).tolist() == want
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3, 4])
+def test_near_copies_are_found_in_each_band_of_similarity(spark, edits):
+    """Thousands of planted pairs: nine tenths and more of those of 0.8 and more are one group."""
+    r = random.Random(edits)
+    rows = []
+    for k in range(600):
+        words = [f"t{k}w{r.randrange(10_000)}" for _ in range(r.choice([45, 90, 200]))]
+        other = list(words)
+        for at in r.sample(range(2, len(words) - 2), max(1, edits * len(words) // 100)):
+            other[at] = f"new{at}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    got = dict(simhash_dedup.similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    alike = [k for k in range(600) if len(a := shingles(rows[2 * k][1])) and len(a & (b := shingles(rows[2 * k + 1][1]))) >= 0.8 * len(a | b)]
+    assert all((got[2 * k] == got[2 * k + 1]) <= (k in alike) for k in range(600))
+    if alike:
+        assert sum(got[2 * k] == got[2 * k + 1] for k in alike) >= 0.9 * len(alike)
