@@ -50,6 +50,9 @@ BLOCK_PAIRS = [(a, b) for a in range(4) for b in range(a + 1, 4)]
 #: Rounds of the component search; each at least halves what is left of a path, so none needs more.
 ROUNDS = 100
 
+#: Links of a task in the component search.
+EDGES_A_TASK = 200_000
+
 
 def simhash(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """The fingerprint of a text as a signed 64-bit number; bit i is set in over half the hashes."""
@@ -125,12 +128,15 @@ def components(edges: DataFrame) -> DataFrame:
     edges = shared_checkpoint(edges.where("u <> v").select("u", "v").distinct())
     now = state(edges)
     for _ in range(ROUNDS):
+        # Few links need few tasks, whatever the session's number of shuffle partitions: each task leaves files in each shuffle.
+        fit = lambda df, parts=-(-max(1, now[0]) // EDGES_A_TASK): df.coalesce(parts)
+        edges = fit(edges)
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = skew_join(both, least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        mins = least(down)
+        large = fit(skew_join(both, fit(least(both)), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")).distinct()
+        down = fit(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+        mins = fit(least(down))
         small = down.join(mins, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(mins.select("u", F.col("m").alias("v")))
-        edges = shared_checkpoint(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        edges = shared_checkpoint(fit(fit(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))).distinct()))
         before, now = now, state(edges)
         if before == now:
             break
