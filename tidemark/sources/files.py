@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import either_date
 from tidemark.functions.numeric import to_number
+from tidemark.sources import quoted
 
 #: Columns of station files and their names here.
 STATION_COLUMNS = {
@@ -54,10 +55,9 @@ def station_csv(spark: SparkSession, paths: list[str], columns: dict[str, str] |
 def articles_csv(spark: SparkSession, path: str, on: str | None = None) -> DataFrame:
     """SRC5: stored articles as text, sentiment and score coerced, missing columns empty; FLT9: of one day if asked.
 
-    Texts hold line breaks, so a file is read by one task: files must be of a size for one task, some 100 MB;
-    larger ones are to be landed as JSON lines or Parquet.
+    Texts hold line breaks; files are split all the same, and lines joined to records by the state of the quotes.
     """
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    raw = quoted.read(spark, path)
     have = set(raw.columns)
     out = raw.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) if c in have else F.lit("").alias(c) for c in ARTICLE_COLUMNS))
     out = out.withColumns({c: to_number(F.col(c)) for c in ("sentiment", "market_impact_score")})
