@@ -12,7 +12,7 @@ from tidemark.operators import briefing, features
 from tidemark.plans.catalog import ARTICLES, SECTOR_CASE, articles, panel, query, r4, table
 from tidemark.plans.rollups import SPIKE
 from tidemark.plans.series import REGIMES, SIGNS
-from tidemark.sources import payloads, sinks
+from tidemark.sources import filters, payloads, sinks
 from tidemark.streaming import news as streams
 
 URL_SQL = r"lower(regexp_extract(regexp_replace(trim(url), '[?#].*$', ''), '^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)', 1)) || regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(url), '[?#].*$', ''), '^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)', ''), ';[^/]*$', ''), '/+$', '')"
@@ -126,12 +126,25 @@ def src17(spark, sf):
     return payloads.sentiment_aggregate(bodies, "body").withColumn("sentiment_avg", fixed(F.col("sentiment_avg")))
 
 
-@query("snk5_append_new_articles", f"WITH n AS (SELECT page_id, {URL_SQL} AS u, url LIKE '%?%' AS stored FROM pages), f AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY page_id) AS k FROM n WHERE u NOT IN (SELECT u FROM n WHERE stored)) SELECT page_id FROM f WHERE k = 1")
+NEW_ARTICLES_SQL = f"WITH n AS (SELECT page_id, {URL_SQL} AS u, url LIKE '%?%' AS stored FROM pages), f AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY page_id) AS k FROM n WHERE u NOT IN (SELECT u FROM n WHERE stored)) SELECT page_id FROM f WHERE k = 1"
+
+
+@query("snk5_append_new_articles", NEW_ARTICLES_SQL)
 def snk5(spark, sf):
     p = table(spark, sf, "pages").select("page_id", "url")
     return sinks.new_articles(p, p.where(F.col("url").contains("?")), [F.asc("page_id")]).select("page_id")
 
 
+@query("snk5_append_by_day_filters", NEW_ARTICLES_SQL)
+def snk5_filters(spark, sf):
+    """The batch is appended to a table of day partitions with a filter beside each."""
+    day = F.concat(F.lit("2024-01-"), F.lpad((F.pmod("page_id", F.lit(28)) + 1).cast("string"), 2, "0"))
+    p = table(spark, sf, "pages").select("page_id", "url", day.alias("day"))
+    at, cut, order = f"{folder(spark)}/articles", cutter(spark), [F.asc("page_id")]
+    filters.append_articles(p.where(F.col("url").contains("?")), at, "day", order, cut)
+    return filters.append_articles(p, at, "day", order, cut).select("page_id")
+
+
 # Scores and briefing
 
 AUTHORITY = "CASE WHEN contains(lower(s), 'reuters') THEN 1.0 WHEN contains(lower(s), 'bloomberg') THEN 1.0 WHEN contains(lower(s), 'wall street journal') THEN 0.95 WHEN contains(lower(s), 'financial times') THEN 0.95 WHEN contains(lower(s), 'cnbc') THEN 0.85 WHEN contains(lower(s), 'associated press') THEN 0.85 WHEN contains(lower(s), 'marketwatch') THEN 0.75 WHEN contains(lower(s), 'seeking alpha') THEN 0.55 ELSE 0.5 END"
