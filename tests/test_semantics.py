@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, numeric, scoring, text
-from tidemark.operators import aggregates, align, features, forecast, joins, views
+from tidemark.operators import aggregates, align, features, forecast, joins, scan, views
 from tidemark.sources import sinks
 from tidemark.streaming import news as streams
 
@@ -32,7 +32,7 @@ def values(df, column="value"):
 
 def test_interpolation_stops_at_the_limit_and_carries_a_trailing_gap(spark):
     df = series(spark, [None, 1.0, None, None, None, 5.0, None, None, None])
-    assert values(align.interpolated(df, "series_id", "month", "value", 2)) == [None, 1, 2, 3, None, 5, 5, 5, None]
+    assert values(scan.interpolated(df, "series_id", "month", "value", 2)) == [None, 1, 2, 3, None, 5, 5, 5, None]
 
 
 def test_ffill_limit(spark):
@@ -166,7 +166,7 @@ def test_missing_group_tells_what_there_is(spark):
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "series_id string, month date, value double")
     assert features.engineer_features(empty, "series_id").isEmpty()
-    assert align.interpolated(empty, "series_id", "month", "value", 2).isEmpty()
+    assert scan.interpolated(empty, "series_id", "month", "value", 2).isEmpty()
     assert aggregates.clip_bounds(empty, "series_id", "value").isEmpty()
     assert forecast.seasonal_trend(empty, "series_id").isEmpty()
 
@@ -336,3 +336,25 @@ def test_events_without_ticker_keep_nulls_and_others_their_signals(spark):
     facts = spark.createDataFrame([("AA", 2.0)], "ticker string, margin double")
     got = sorted((r.id, r.ticker, r.price, r.margin) for r in joins.ticker_enrich(events, prices, facts, "ticker").collect())
     assert got == [(1, " aa ", 1.0, 2.0), (2, None, None, None), (3, " ", None, None), (4, "zz", None, None)]
+
+
+def test_stream_of_rolling_means_over_several_runs_equals_a_loop(spark, tmp_path):
+    import random
+
+    rng, rows = random.Random(5), []
+    for n in range(3):
+        part = [(rng.choice("ab"), dt.datetime(2024, 1, 1 + 2 * n) + dt.timedelta(minutes=rng.randrange(60 * 48)), rng.choice([None, 1.0, 2.0, 5.0])) for _ in range(60)]
+        rows += part
+        spark.createDataFrame(part, "k string, at timestamp, v double").coalesce(1).write.parquet(str(tmp_path / f"in/{n}"))
+        stream = spark.readStream.schema("k string, at timestamp, v double").option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        out = streams.run_to_table(streams.rolling_mean(stream, "at", "k", "v"), str(tmp_path / "out"), str(tmp_path / "state"))
+    end, want = max(at for _, at, _ in rows) - dt.timedelta(days=1), {}
+    for k, at, v in rows:
+        hour = at.replace(minute=0)
+        for h in range(1, 25):
+            if hour + dt.timedelta(hours=h) <= end:
+                want.setdefault((k, hour + dt.timedelta(hours=h)), []).append(v)
+    mean = lambda vs: sum(vs) / len(vs) if vs else None
+    got = {(r.k, r.until): r.mood for r in out.withColumn("until", F.col("until").cast("timestamp_ntz")).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[x] == pytest.approx(mean([v for v in want[x] if v is not None])) for x in want)

@@ -66,30 +66,6 @@ def changes_to_monthly(df: DataFrame, key: Names, end: Column, date: str = "date
     return sparse_to_monthly(df.where(F.col(value).isNotNull()), key, end, date, value)
 
 
-def interpolated(df: DataFrame, key: Names, date: str, value: str, limit: int) -> DataFrame:
-    """CAL12: linear by row, at most `limit` cells of each gap from the left; leading gaps stay null, a trailing gap takes the last value."""
-    w = ordered(key, date)
-    back, ahead = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    placed = df.withColumn("_row", F.row_number().over(w))
-    known = F.when(F.col(value).isNotNull(), F.col("_row"))
-    ends = placed.withColumns(
-        {
-            "_left": F.last(value, ignorenulls=True).over(back),
-            "_right": F.first(value, ignorenulls=True).over(ahead),
-            "_from": F.last(known, ignorenulls=True).over(back),
-            "_to": F.first(known, ignorenulls=True).over(ahead),
-        }
-    )
-    inner = F.col("_left") + (F.col("_right") - F.col("_left")) * (F.col("_row") - F.col("_from")) / (F.col("_to") - F.col("_from"))
-    filled = (
-        F.when(F.col(value).isNotNull(), F.col(value))
-        .when(F.col("_row") - F.col("_from") > limit, F.lit(None))
-        .when(F.col("_right").isNull(), F.col("_left"))
-        .otherwise(inner)
-    )
-    return ends.withColumn(value, filled).drop("_row", "_left", "_right", "_from", "_to")
-
-
 def stamped(df: DataFrame, batch_day: Column, date: str = "observation_date") -> DataFrame:
     """CAL13: rows dated with their batch's Monday, so that a run again replaces its own rows."""
     return df.withColumn(date, F.date_trunc("week", batch_day).cast("date"))

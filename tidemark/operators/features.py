@@ -114,14 +114,6 @@ def trailing_momentum(df: DataFrame, key: Names, day: str, value: str, days: int
     return ends.where("_n >= 2").select(*names(key), ((F.col("_b") - F.col("_a")) / (F.abs("_a") + 1e-9) * 100).alias("momentum"))
 
 
-def spans_of(df: DataFrame, key: Names, date: str, state: str) -> DataFrame:
-    """WIN10: runs of equal states: first date, date of the next run, rows."""
-    w = ordered(key, date)
-    changed = df.withColumn("_new", (~F.col(state).eqNullSafe(F.lag(state).over(w)) | (F.row_number().over(w) == 1)).cast("int"))
-    runs = changed.withColumn("_run", F.sum("_new").over(w)).groupBy(*names(key), "_run").agg(F.first(state).alias(state), F.min(date).alias("start"), F.count("*").alias("rows"))
-    return runs.withColumn("until", F.lead("start").over(ordered(key, "_run"))).drop("_run")
-
-
 def last_valid(df: DataFrame, key: Names, date: str, value: str) -> DataFrame:
     """WIN11: last value that isn't null, and its date."""
     return df.where(F.col(value).isNotNull()).groupBy(*names(key)).agg(F.max(date).alias("last_date"), F.max_by(value, date).alias("last_value"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dates, numeric, scoring
 from tidemark.functions.numeric import fixed
-from tidemark.operators import align, features, joins
+from tidemark.operators import align, features, joins, scan
 from tidemark.plans.catalog import DAILY, GAPPY, PANEL, daily, gappy, panel, query, r4, table
 
 KEY = "series_id"
@@ -92,12 +92,12 @@ def cal9(spark, sf):
 
 @query("cal10_ffill", f"WITH {GAPPY} SELECT series_id, month, {r4('last_value(value IGNORE NULLS) OVER (PARTITION BY series_id ORDER BY month)')} AS value FROM gappy", days=("month",))
 def cal10(spark, sf):
-    return gappy(spark, sf).withColumn("value", fixed(align.ffill("value", KEY, "month")))
+    return rounded(scan.carried(gappy(spark, sf), KEY, "month", "value"), ["value"])
 
 
 @query("cal11_ffill_limit", f"WITH {GAPPY} SELECT series_id, month, {r4('last_value(value IGNORE NULLS) OVER (PARTITION BY series_id ORDER BY month ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)')} AS value FROM gappy", days=("month",))
 def cal11(spark, sf):
-    return gappy(spark, sf).withColumn("value", fixed(align.ffill("value", KEY, "month", 3)))
+    return rounded(scan.carried(gappy(spark, sf), KEY, "month", "value", 3), ["value"])
 
 
 @query(
@@ -109,7 +109,7 @@ SELECT series_id, month, {r4("CASE WHEN value IS NOT NULL THEN value WHEN n - ln
     days=("month",)
 )
 def cal12(spark, sf):
-    return align.interpolated(gappy(spark, sf), KEY, "month", "value", 2).withColumn("value", fixed(F.col("value")))
+    return rounded(scan.interpolated(gappy(spark, sf), KEY, "month", "value", 2), ["value"])
 
 
 @query("cal13_snapshot_rows_dated", "SELECT c_custkey, CAST(date_trunc('week', max(o_orderdate)) AS DATE) AS observation_date FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1", days=("observation_date",))
@@ -252,7 +252,7 @@ def ind3(spark, sf):
 )
 def win10(spark, sf):
     h = features.regime_history(index(spark, sf)).withColumn("index", F.lit("FSI"))
-    return features.spans_of(h, "index", "month", "regime").select("regime", "start", "rows", "until")
+    return scan.spans(h, "index", "month", "regime").select("regime", "start", "rows", "until")
 
 
 @query("win11_last_valid", f"WITH {GAPPY} SELECT series_id, max(month) AS last_date, {r4('arg_max(value, month)')} AS last_value FROM gappy WHERE value IS NOT NULL GROUP BY 1", days=("last_date",))

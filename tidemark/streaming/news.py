@@ -28,9 +28,16 @@ def daily_counts(stream: DataFrame, at: str, key: str, delay: str = "1 day") ->
 
 
 def rolling_mean(stream: DataFrame, at: str, key: str, value: str, delay: str = "1 day") -> DataFrame:
-    """STM3: mean of each key in the last 24 hours, each hour."""
-    windows = stream.withWatermark(at, delay).groupBy(F.window(at, "24 hours", "1 hour"), key)
-    return windows.agg(F.avg(value).alias("mood")).select(F.col("window.end").alias("until"), key, "mood")
+    """STM3: mean of each key in the last 24 hours, each hour.
+
+    Rows are summed by hour first, and the overlapping windows take these sums: no row is copied for each window, and
+    the state is an hour's sum and a window's for each key that the watermark hasn't passed. A window without any
+    value has a null mean.
+    """
+    hours = stream.withWatermark(at, delay).groupBy(F.window(at, "1 hour"), key).agg(F.sum(value).alias("_sum"), F.count(value).alias("_n"))
+    windows = hours.groupBy(F.window(F.window_time("window"), "24 hours", "1 hour"), key)
+    mean = F.try_divide(F.sum("_sum"), F.sum("_n"))
+    return windows.agg(mean.alias("mood")).select(F.col("window.end").alias("until"), key, "mood")
 
 
 def alerts(stream: DataFrame, score: str, least: float) -> DataFrame:
