@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import fixed
 from tidemark.operators import aggregates as agg
-from tidemark.operators import briefing
+from tidemark.operators import briefing, sketches
 from tidemark.plans.catalog import ARTICLES, DAILY, PANEL, ROUNDS, STATION, articles, daily, panel, query, r4, rounds, station, table
 
 CLIMATE = (
@@ -158,6 +158,32 @@ def agg15(spark, sf):
     return out(agg.profile(daily(spark, sf), "series_id", "day", "value"), ["latest"])
 
 
+def month_summaries(spark, sf, df, date, since):
+    """Summaries written in two runs: of all, then again of the months from `since` on."""
+    from tidemark.plans.news import folder
+
+    at = f"{folder(spark)}/summaries"
+    sketches.refresh(df, at, "series_id", date, "value")
+    sketches.refresh(df, at, "series_id", date, "value", since)
+    return spark.read.parquet(at)
+
+
+@query("agg13_clip_bounds_from_months", f"WITH {PANEL}, q AS (SELECT series_id, quantile_disc(value, 0.01) AS a, quantile_disc(value, 0.99) AS b FROM panel GROUP BY 1) SELECT series_id, {r4('a - (b - a) * 0.1')} AS lo, {r4('b + (b - a) * 0.1')} AS hi FROM q")
+def agg13_months(spark, sf):
+    return out(sketches.clip_bounds(month_summaries(spark, sf, panel(spark, sf), "month", "1998-01-01"), "series_id"), ["lo", "hi"])
+
+
+@query("agg15_profile_from_months", f"WITH {DAILY} SELECT series_id, count(*) AS n, min(day) AS first, max(day) AS last, {r4('arg_max(value, day)')} AS latest FROM daily WHERE value IS NOT NULL GROUP BY 1", days=("first", "last"))
+def agg15_months(spark, sf):
+    return out(sketches.profile(month_summaries(spark, sf, daily(spark, sf), "day", "2024-02-01"), "series_id"), ["latest"])
+
+
+@query("agg19_history_distribution_from_months")
+def agg19_months(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("series_id"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("value"))
+    return sketches.histogram(month_summaries(spark, sf, o, "day", "1998-01-01"), "series_id")
+
+
 RUNS = "runs AS (SELECT event_type || '/' || user_id AS source, CASE WHEN event_type = 'error' OR value < 1 THEN 'error' ELSE 'ok' END AS status, 'code ' || props AS error, event_id AS seq FROM events)"
 STATUS = (
     "p AS (SELECT split_part(source, '/', 1) AS prefix, count(*) FILTER (WHERE status = 'ok') AS n_ok, count(*) FILTER (WHERE status <> 'ok') AS n_error, left(arg_min(error, seq) FILTER (WHERE status <> 'ok' AND error IS NOT NULL AND error <> ''), 70) AS first_error FROM runs GROUP BY 1), "

@@ -39,7 +39,7 @@ def days_that_may_hold(filters: DataFrame, keys: DataFrame, key: str, day: str)
     """Days whose filters have all bits of any of the keys: every day that holds one, and few others.
 
     The list is bounded by the table's day partitions. Words and keys meet in a join on the word, so a filter is never
-    whole in one place. A day is met by chance at about one key in ten thousand, so large batches read more days.
+    whole in one place. A day is met by chance at one key in 2,000 to 20,000, so large batches read more days.
     """
     sizes = [r["size"] for r in filters.select("size").distinct().collect()]
     asked = keys.select(key).distinct().select(key, mask(key).alias("_mask"), F.explode(F.array(*map(F.lit, sizes)).cast("array<int>")).alias("size"))
