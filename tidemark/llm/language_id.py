@@ -14,6 +14,7 @@ masks are put together by slot in Spark.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +38,30 @@ ASCII_LETTER = re.compile(rb"[A-Za-z]")
 LETTERS = bytes(c if 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
+#: Bytes of a text that are worked on at a time; memory doesn't grow with longer texts.
+PART = 1 << 20
+#: A place to cut a text at: spaces are no part of words, whose letters may decide each other's lower case.
+SPACES = re.compile(rb"[ \t\n\r\f\v]")
+
+
+def parts(text: bytes) -> Iterator[bytes]:
+    """A text cut before a space behind each PART bytes; without one in as many bytes more, before a character."""
+    at = 0
+    while len(text) - at > 2 * PART:
+        found = SPACES.search(text, at + PART, at + 2 * PART)
+        cut = found.start() if found else at + 2 * PART
+        while not found and text[cut] & 0xC0 == 0x80 and cut > at + PART:
+            cut -= 1
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
 def has_letter(text: bytes) -> bool:
+    return any(map(part_has_letter, parts(text)))
+
+
+def part_has_letter(text: bytes) -> bool:
     return bool(ASCII_LETTER.search(text)) or (not text.isascii() and any(c.isalpha() for c in text.decode("utf-8", "replace")))
 
 
@@ -48,6 +72,20 @@ def letters(text: bytes) -> bytes:
     return b" " + b" ".join(text.lower().translate(LETTERS).split()) + b" "
 
 
+def codes_by_part(text: bytes) -> Iterator[np.ndarray]:
+    """The n-grams of letters(text), each once, a part of the text at a time."""
+    space, kept = True, b""
+    for part in parts(text):
+        clean = letters(part)[1:-1]
+        if clean:
+            kept += b" " * (space or LETTERS[part[0]] == 32) + clean
+        space = LETTERS[part[-1]] == 32 if clean else space or bool(part)
+        if len(kept) >= GRAM:
+            yield gram_codes([kept])[0]
+            kept = kept[len(kept) - GRAM + 1 :]
+    yield gram_codes([kept + b" "])[0]
+
+
 def gram_codes(texts: list[bytes], n: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of all texts as numbers (n is 8 at most), and how many each text has; a shorter text is padded."""
     padded = [t if len(t) >= n else t.ljust(n) for t in texts]
@@ -62,6 +100,18 @@ def gram_codes(texts: list[bytes], n: int = GRAM) -> tuple[np.ndarray, np.ndarra
     return codes[inside[: len(codes)]], sizes - n + 1
 
 
+def counted_codes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The different n-grams of a text and how often it has them."""
+    if len(text) <= 2 * PART:
+        return np.unique(gram_codes([letters(text)])[0], return_counts=True)
+    codes, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for part in codes_by_part(text):
+        more, n = np.unique(part, return_counts=True)
+        codes, at = np.unique(np.concatenate([codes, more]), return_inverse=True)
+        counts = np.bincount(at, weights=np.concatenate([counts, n])).astype(np.int64)
+    return codes, counts
+
+
 def probes(codes: np.ndarray, slots: int, count: int) -> list[np.ndarray]:
     """Slots of each n-gram; `slots` is a power of two."""
     bits = np.uint64(64 - slots.bit_length() + 1)
@@ -86,6 +136,19 @@ class LanguageFilter:
     def predict(self, texts: list[bytes | None]) -> tuple[list[str], np.ndarray]:
         return self.measure(texts)[:2]
 
+    def tally(self, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """How many n-grams of each text each language's filter has."""
+        starts, n_lang = np.cumsum(sizes) - sizes, len(self.languages)
+        hits = np.empty((len(sizes), n_lang))
+        slots = [p.astype(np.int64) for p in probes(codes, len(self.masks), self.count)]
+        for word in range(self.masks.shape[1]):
+            mask = self.masks[slots[0], word]
+            for p in slots[1:]:
+                mask &= self.masks[p, word]
+            for b in range(word * 64, min(n_lang, word * 64 + 64)):
+                hits[:, b] = np.add.reduceat((mask >> np.uint64(b % 64) & np.uint64(1)).astype(np.int32), starts)
+        return hits
+
     def measure(self, texts: list[bytes | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Names and scores, and the winner's corrected hits as a share of the text's own n-grams."""
         n_lang = len(self.languages)
@@ -94,16 +157,15 @@ class LanguageFilter:
         at = np.flatnonzero(known)
         if not len(at):
             return names, scores, coverage
-        codes, sizes = gram_codes([letters(texts[i]) for i in at])
-        starts = np.cumsum(sizes) - sizes
-        hits = np.empty((len(at), n_lang))
-        slots = [p.astype(np.int64) for p in probes(codes, len(self.masks), self.count)]
-        for word in range(self.masks.shape[1]):
-            mask = self.masks[slots[0], word]
-            for p in slots[1:]:
-                mask &= self.masks[p, word]
-            for b in range(word * 64, min(n_lang, word * 64 + 64)):
-                hits[:, b] = np.add.reduceat((mask >> np.uint64(b % 64) & np.uint64(1)).astype(np.int32), starts)
+        hits, sizes = np.zeros((len(at), n_lang)), np.zeros(len(at), np.int64)
+        short = np.array([len(texts[i]) <= 2 * PART for i in at])
+        if short.any():
+            codes, sizes[short] = gram_codes([letters(texts[i]) for i in at[short]])
+            hits[short] = self.tally(codes, sizes[short])
+        for row in np.flatnonzero(~short):
+            for codes in codes_by_part(texts[at[row]]):
+                sizes[row] += len(codes)
+                hits[row] += self.tally(codes, np.array([len(codes)]))[0]
         corrected = np.maximum(0, (hits - sizes[:, None] * self.false_rate) / (1 - self.false_rate))
         best, total = corrected.argmax(axis=1), corrected.sum(axis=1)
         share = corrected[np.arange(len(at)), best] / np.where(total > 0, total, 1)

@@ -15,7 +15,9 @@ bounds it.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from itertools import islice
 from operator import eq
 
 import numpy as np
@@ -52,33 +54,59 @@ def shape_table() -> np.ndarray:
 SHAPES = shape_table()
 
 
+#: Bytes of a text that are worked on at a time; memory doesn't grow with longer texts.
+PART = 1 << 20
+WORD = re.compile(rb"[^ \t\n\r\f\v]+")
+
+
+def repeated(text: bytes) -> tuple[int, int, int]:
+    """A text's words, those that equal the word before, and the sum over each 200 words of the distinct ones."""
+    words = iter(text.split()) if len(text) <= PART else (m.group() for m in WORD.finditer(text))
+    total = again = fresh = 0
+    last = None
+    while block := list(islice(words, 200)):
+        again += (last == block[0]) + sum(map(eq, block, block[1:]))
+        fresh += len(set(block))
+        total, last = total + len(block), block[-1]
+    return total, again, fresh
+
+
 def repetition(texts: list[bytes]) -> np.ndarray:
     """Bins of the share of words that equal the word before, and of the share of distinct words among each 200 words."""
     out = np.zeros((len(texts), 2 * BINS), np.float32)
     for row, text in zip(out, texts, strict=True):
-        words = text.split()
-        if len(words) > 1:
-            again = sum(map(eq, words, words[1:])) / (len(words) - 1)
-            fresh = sum(len(set(words[i : i + 200])) for i in range(0, len(words), 200)) / len(words)
-            row[min(BINS - 1, int(again * BINS))] = 1
-            row[BINS + min(BINS - 1, int(fresh * BINS))] = 1
+        total, again, fresh = repeated(text)
+        if total > 1:
+            row[min(BINS - 1, int(again / (total - 1) * BINS))] = 1
+            row[BINS + min(BINS - 1, int(fresh / total * BINS))] = 1
     return out
 
 
-def features(texts: list[bytes | None], dim: int = DIM) -> np.ndarray:
-    """One row for each text: square roots of the shares of its hashed shape n-grams, bins of repetition, a constant. Null and empty texts have the constant alone."""
-    bodies = [t or b"" for t in texts]
+def shape_counts(bodies: list[bytes], dim: int, orders: tuple[int, ...] = ORDERS) -> np.ndarray:
+    """How often each text has each hashed n-gram of character shapes."""
     sizes = np.fromiter(map(len, bodies), np.int64, len(bodies))
     flat = SHAPES[np.frombuffer(b"".join(bodies), np.uint8)]
     owner = np.repeat(np.arange(len(bodies)), sizes)
     counts = np.zeros((len(bodies), dim))
-    for n in ORDERS:
+    for n in orders:
         code = np.full(max(0, len(flat) - n + 1), n, np.uint64)
         for i in range(n):
             code = (code << np.uint64(8)) + flat[i : i + len(code)]
         inside = owner[: len(code)] == owner[n - 1 :] if len(code) else np.empty(0, bool)
         slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(dim)
         counts += np.bincount(owner[: len(code)][inside] * dim + slot[inside].astype(np.int64), minlength=len(bodies) * dim).reshape(-1, dim)
+    return counts
+
+
+def features(texts: list[bytes | None], dim: int = DIM) -> np.ndarray:
+    """One row for each text: square roots of the shares of its hashed shape n-grams, bins of repetition, a constant. Null and empty texts have the constant alone.
+    Texts longer than PART are counted by parts, whose counts add up to the whole text's."""
+    bodies = [t or b"" for t in texts]
+    counts = shape_counts([t if len(t) <= PART else b"" for t in bodies], dim)
+    for row, text in zip(counts, bodies, strict=True):
+        for at in range(0, len(text), PART) if len(text) > PART else ():
+            for n in ORDERS:
+                row += shape_counts([text[at : at + PART + n - 1]], dim, (n,))[0]
     total = counts.sum(axis=1, keepdims=True)
     return np.hstack([np.sqrt(counts / np.where(total > 0, total, 1)), repetition(bodies), np.ones((len(bodies), 1))]).astype(np.float32)
 
