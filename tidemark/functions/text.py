@@ -69,10 +69,15 @@ def sentiment_label(score: Column, band: float = 0.05) -> Column:
     return F.when(score > band, "positive").when(score < -band, "negative").when(score.isNotNull(), "neutral")
 
 
+def by_match(entities: Column) -> Column:
+    """Entities by match_score from the highest on (null counts 0), equals in order."""
+    keyed = F.transform(entities, lambda e, i: F.struct((-F.coalesce(e["match_score"], F.lit(0.0))).alias("s"), i.alias("i"), e.alias("e")))
+    return F.transform(F.array_sort(keyed), lambda k: k["e"])
+
+
 def primary_entity(entities: Column) -> Column:
     """STR5: symbol of the highest match_score (null counts 0), the first of equals."""
-    ranked = F.transform(entities, lambda e, i: F.struct((-F.coalesce(e["match_score"], F.lit(0.0))).alias("s"), i.alias("i"), e["symbol"].alias("symbol")))
-    return F.try_element_at(F.array_sort(ranked), F.lit(1))["symbol"]
+    return F.try_element_at(by_match(entities), F.lit(1))["symbol"]
 
 
 def entity_symbols(entities: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_start, quarter_month
 from tidemark.functions.numeric import to_number, without_commas
-from tidemark.functions.text import classify_macro_tag, classify_sector, entity_symbols, primary_entity, sentiment_label, summary, weighted_sentiment
+from tidemark.functions.text import by_match, classify_macro_tag, classify_sector, entity_symbols, primary_entity, sentiment_label, summary, weighted_sentiment
 
 ENTITIES = "array<struct<symbol:string,match_score:double,sentiment_score:double>>"
 
@@ -60,9 +60,13 @@ def newsapi(articles: DataFrame) -> DataFrame:
 
 
 def marketaux(articles: DataFrame) -> DataFrame:
-    """SRC13: primary ticker, symbols and weighted sentiment of the entities."""
+    """SRC13: primary ticker, symbols and weighted sentiment of the entities.
+
+    The sentiment is summed from the highest match on: a mean on the edge of a label's band falls to a side by its last bit,
+    which the order of the sum decides.
+    """
     e = F.coalesce("entities", F.array().cast(ENTITIES))
-    s = weighted_sentiment(e)
+    s = weighted_sentiment(by_match(e))
     return articles.select(
         F.col("published_at").alias("timestamp"), F.lit("marketaux").alias("source_api"), F.col("source").alias("source_name"), "url", F.col("title").alias("headline"),
         summary(F.coalesce("description", F.lit(""))).alias("summary"), F.coalesce(primary_entity(e), F.lit("")).alias("ticker"), entity_symbols(e).alias("entities"), s.alias("sentiment"), sentiment_label(s).alias("sentiment_label"),
