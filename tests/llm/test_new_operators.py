@@ -411,3 +411,47 @@ def test_near_copies_are_found_in_each_band_of_similarity(spark, edits):
     assert all((got[2 * k] == got[2 * k + 1]) <= (k in alike) for k in range(600))
     if alike:
         assert sum(got[2 * k] == got[2 * k + 1] for k in alike) >= 0.9 * len(alike)
+
+
+@pytest.mark.parametrize("edits", [2, 3])
+def test_no_pair_of_the_threshold_is_left_out(spark, edits):
+    """600 planted pairs, short ones of four and five shingles, and lone texts among them: all pairs of 0.8 and more are one group."""
+    r = random.Random(10 + edits)
+    rows = []
+    for k in range(600):
+        words = [f"t{k}w{r.randrange(10_000)}" for _ in range(8 if k % 4 == 0 else r.choice([45, 90, 200]))]
+        other = list(words)
+        for at in [] if k % 4 == 0 else r.sample(range(2, len(words) - 2), max(1, edits * len(words) // 100)):
+            other[at] = f"new{at}"
+        rows += [" ".join(words), " ".join([*other, f"t{k}"]), " ".join(f"lone{r.randrange(10**9)}" for _ in range(60))]
+    got = dict(simhash_dedup.similar_texts(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect())
+    alike = [k for k in range(600) if len((a := shingles(rows[3 * k])) & (b := shingles(rows[3 * k + 1]))) >= 0.8 * len(a | b)]
+    assert len(alike) > 100
+    assert [k for k in range(600) if got[3 * k] == got[3 * k + 1]] == alike
+    assert all(got[i] == i for i in range(2, 1800, 3))
+
+
+def test_prefixes_of_similar_sets_meet_in_any_order():
+    """The lemma of the second round: sets of 0.8 and more share a shingle of their prefixes, whatever is known to be frequent."""
+    r = np.random.default_rng(6)
+    for n in (1, 2, 4, 5, 9, 40, 200):
+        for _ in range(60):
+            both = np.unique(r.integers(0, 2**63, 2 * n, np.uint64))
+            x, y = both[:n], np.sort(np.r_[both[: n - n // 9], both[n : n + n // 9]])
+            frequent = r.choice(both, r.integers(0, len(both)), replace=False)
+            places = np.argsort(frequent, kind="stable")
+            a, b = (simhash_dedup.prefix(s, frequent[places], places, 0.8) for s in (x, y))
+            assert len(np.intersect1d(a, b)) or len(np.intersect1d(x, y)) < 0.8 * len(np.union1d(x, y))
+
+
+def test_lists_of_two_parts_are_kept_whole_however_batches_cut_them(spark):
+    """Rows of lists whose nodes are of different parts, with the part of the most nodes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    lists = {1: [1, 1, 1, 1, 2], 2: [1] * 9, 3: [5], 4: [7, 8, 8], 5: [9, 9, 9, 9, 9, 9, 9, 3]}
+    nodes = [(10 * k + i, part, 0, int(k).to_bytes(8, "little")) for k, parts in lists.items() for i, part in enumerate(parts)]
+    try:
+        got = simhash_dedup.open_lists(spark.createDataFrame(nodes, "node long, part long, hood long, prefix binary")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = [(k, 10 * k + i, part, max(set(parts), key=parts.count)) for k, parts in lists.items() for i, part in enumerate(parts) if len(set(parts)) > 1]
+    assert sorted((r.key, r.node, r.part, r.main) for r in got) == sorted(want)

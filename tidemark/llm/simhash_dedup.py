@@ -10,7 +10,8 @@ size, by another property: two fingerprints differ in at most two bits if and on
 common neighbour, a value at most one bit away from both. Each emits its 65 neighbours and is linked
 to the least fingerprint at each; those links are real ones and connect the same components.
 
-similar_texts() finds texts of a given similarity in the same manner, with wider fingerprints.
+similar_texts() finds texts of a given similarity: groups in the same manner, with wider fingerprints, and then all that these
+left out, by prefixes of the texts' sets of shingles, in which no pair can be missed.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,8 +41,15 @@ MOST_DIFFERENT, BLOCK, DENSE = 106, 256, 0.1
 #: Bytes of shingle hashes of a block, about, and distinct shingles of two blocks up to which their sets are compared as bits.
 BLOCK_BYTES, MOST_BITS = 1 << 24, 1 << 17
 
+#: One text of so many tells which shingles are frequent, from this count on; so many of them are known to the workers at most.
+#: They only order the shingles of a text, so the result doesn't depend on them.
+TOLD_BY, FREQUENT, MOST_FREQUENT = 16, 3, 200_000
+
 STIR = np.uint64(0x9E3779B97F4A7C15)
 
+#: Rows of a list of one part so far that are held until its end is seen.
+ROWS_HELD = 100_000
+
 #: Shingles of a text that are hashed at once, so that memory doesn't grow with the text.
 PART = 4096
 
@@ -241,11 +249,81 @@ def centred(lists: DataFrame) -> DataFrame:
     """`lists` with the hub of each list anew, as (key, hub, weight, node): the node that meets the most others over all of its
     lists, its `weight`. In a group of copies of one text that is the text itself, or what is nearest to it, so that most of the
     group is similar to its hub though two copies need not be similar to each other. Of equals the least node."""
-    sizes = lists.groupBy("key").agg(F.count("*").alias("n"))
-    weights = lists.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("weight"))
-    weighed = lists.select("key", "node").join(weights, "node")
-    hubs = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("node"))).alias("top"))
-    return lists.select("key", "node").join(hubs.select("key", (-F.col("top.node")).alias("hub"), "top.weight"), "key").select("key", "hub", "weight", "node")
+    sized = lists.select("key", "node", F.count("*").over(Window.partitionBy("key")).alias("n"))
+    weighed = sized.select("key", "node", F.sum("n").over(Window.partitionBy("node")).alias("weight"))
+    top = F.max(F.struct("weight", (-F.col("node")).alias("node"))).over(Window.partitionBy("key"))
+    return weighed.withColumn("top", top).select("key", (-F.col("top.node")).alias("hub"), "top.weight", "node")
+
+
+def frequent_shingles(bodies: DataFrame, shingle: int) -> np.ndarray:
+    """Hashes of frequent shingles, the most frequent last, as one of TOLD_BY texts has them. bodies: text_hash, __body."""
+
+    def hashed(batches):
+        for batch in batches:
+            for text in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(text.as_py(), shingle).view(np.int64))], names=["h"])
+
+    some = bodies.where(F.pmod("text_hash", F.lit(TOLD_BY)) == 0).select(F.col("__body").cast("binary"))
+    counts = some.mapInArrow(hashed, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT)
+    found = counts.orderBy(F.desc("n"), "h").limit(MOST_FREQUENT).select("h").toPandas()["h"]
+    return found.to_numpy(np.int64).view(np.uint64)[::-1].copy()
+
+
+def prefix(hashes: np.ndarray, by_hash: np.ndarray, places: np.ndarray, similarity: float) -> np.ndarray:
+    """The shingles of a set by which it meets every set of this Jaccard similarity: in one order of all shingles, of n the first
+    n - ceil(similarity * n) + 1. Two such sets have ceil(similarity * n) in common at least, for the n of either, so the rest of
+    neither can hold all of them. Frequent shingles come last; by_hash has their hashes sorted, `places` their places."""
+    if not len(hashes):
+        return hashes
+    most = len(hashes) - int(np.ceil(similarity * len(hashes) - 1e-9)) + 1
+    at = np.zeros(len(hashes), np.int64)
+    if len(by_hash):
+        near = np.minimum(np.searchsorted(by_hash, hashes), len(by_hash) - 1)
+        at = np.where(by_hash[near] == hashes, places[near] + 1, 0)
+    # hashes are sorted, so equals of a place come in the order of their hashes.
+    return hashes[np.argsort(at, kind="stable")[:most]]
+
+
+def open_lists(nodes: DataFrame) -> DataFrame:
+    """The lists of prefixes in which two parts or more meet, as (key, node, part, hood, main); `main` is the part of the most nodes.
+    nodes: node, part, hood, prefix."""
+
+    def post(batches):
+        for batch in batches:
+            for lo in range(0, len(batch), 512):
+                part = batch.slice(lo, 512)
+                keys = [np.frombuffer(x, np.int64) for x in part.column(3).to_pylist()]
+                of = np.repeat(np.arange(len(part)), [len(k) for k in keys])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *(part.column(c).take(pa.array(of)) for c in range(3))], names=["key", "node", "part", "hood"])
+
+    def mixed(batches):
+        """Of lists sorted by part, those whose parts differ; a list is told from its first part on and by the batch at hand, so
+        where it goes on in the next batch it stays, and the windows behind decide."""
+        key, part, held, open_ = None, None, None, False
+        for batch in batches:
+            if not len(batch):
+                continue
+            whole = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            keys, parts = np.asarray(whole.column(0)), np.asarray(whole.column(2))
+            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            ends = np.r_[starts[1:], len(keys)]
+            several = parts[starts] != parts[ends - 1]
+            if open_ and keys[0] == key:
+                several[0] |= True
+            last = int(starts[-1])
+            rest = several[-1] or len(keys) - last > ROWS_HELD
+            several[-1] = rest
+            keep = np.repeat(several, ends - starts)
+            yield whole.filter(pa.array(keep))
+            key, open_ = keys[-1], bool(rest)
+            held = None if rest else whole.slice(last)
+
+    posted = nodes.select("node", "part", "hood", "prefix").mapInArrow(post, "key long, node long, part long, hood long")
+    kept = posted.repartition("key").sortWithinPartitions("key", "part").mapInArrow(mixed, posted.schema)
+    of_key, of_part = Window.partitionBy("key"), Window.partitionBy("key", "part")
+    sized = kept.withColumn("n", F.count("*").over(of_part))
+    told = sized.withColumns({"top": F.max(F.struct("n", "part")).over(of_key), "several": F.min("part").over(of_key) < F.max("part").over(of_key)})
+    return told.where("several").select("key", "node", "part", "hood", F.col("top.part").alias("main"))
 
 
 def likely(x: np.ndarray, y: np.ndarray, least: int) -> np.ndarray:
@@ -276,12 +354,17 @@ def similar_pairs(x: list[np.ndarray], y: list[np.ndarray], at: np.ndarray, to:
     return common >= similarity * (sizes_x[at] + sizes_y[to] - common)
 
 
-def met_in_blocks(dense: DataFrame, nodes: DataFrame, least: int, similarity: float) -> DataFrame:
+def sizes_fit(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of these sizes can have this Jaccard similarity."""
+    return np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9
+
+
+def met_in_blocks(dense: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """The pairs (u, v), u < v, of different parts and of at least this similarity between the neighbourhoods `a` and `b` of each
-    row of `dense` (a may be b). nodes: node, fp, hashes, part, hood.
+    row of `dense` (a may be b). nodes: node, hashes, part, hood.
 
     Nodes of a neighbourhood are dealt to blocks of about BLOCK nodes and BLOCK_BYTES; each two blocks of two neighbourhoods meet
-    in one group, which is compared as arrays: fingerprints first, then the sets of the likely pairs. So n nodes make
+    in one group, whose sets are compared as arrays where their sizes fit. So n nodes make
     n * n / BLOCK rows, similar pairs alone leave a task, and a task holds two blocks at a time.
     """
     blocks = F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.length("hashes")) / BLOCK_BYTES)).cast("int")
@@ -290,7 +373,7 @@ def met_in_blocks(dense: DataFrame, nodes: DataFrame, least: int, similarity: fl
     sized = dense.select("a", "b").join(of("a"), "a").join(of("b"), "b")
     mine = lambda k: F.pmod(F.xxhash64("node"), F.col(k)).cast("int")
     all_of = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
-    kept = ["node", "part", "fp", "hashes"]
+    kept = ["node", "part", "hashes"]
     left = nodes.join(sized, F.col("hood") == F.col("a")).select("a", "b", mine("k_a").alias("i"), all_of("k_b").alias("j"), F.lit(0).alias("side"), *kept)
     right = nodes.join(sized, F.col("hood") == F.col("b")).select("a", "b", all_of("k_a").alias("i"), mine("k_b").alias("j"), F.lit(1).alias("side"), *kept)
 
@@ -300,10 +383,10 @@ def met_in_blocks(dense: DataFrame, nodes: DataFrame, least: int, similarity: fl
         def pairs():
             if not held[0] or not held[1]:
                 return
-            (u, p, f), (v, q, g) = ([np.concatenate(c) for c in list(zip(*side, strict=True))[:3]] for side in held)
-            x, y = ([h for part in side for h in part[3]] for side in held)
-            met = [np.nonzero(likely(f[lo : lo + 64, None, :], g[None, :, :], least) & (p[lo : lo + 64, None] != q[None, :])) for lo in range(0, len(u), 64)]
-            at, to = np.concatenate([a + 64 * k for k, (a, _) in enumerate(met)]), np.concatenate([b for _, b in met])
+            (u, p), (v, q) = ([np.concatenate(c) for c in list(zip(*side, strict=True))[:2]] for side in held)
+            x, y = ([h for part in side for h in part[2]] for side in held)
+            n, m = (np.array([len(h) for h in sets]) for sets in (x, y))
+            at, to = np.nonzero(sizes_fit(n[:, None], m[None, :], similarity) & (p[:, None] != q[None, :]))
             if len(at):
                 fit = similar_pairs(x, y, at, to, similarity)
                 at, to = at[fit], to[fit]
@@ -314,13 +397,13 @@ def met_in_blocks(dense: DataFrame, nodes: DataFrame, least: int, similarity: fl
                 continue
             at = np.stack([np.asarray(batch.column(c), np.int64) for c in range(5)], axis=1)
             cuts = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]).any(axis=1)])
-            node, part, fp = np.asarray(batch.column(5)), np.asarray(batch.column(6)), prints_of(batch.column(7))
-            hashes = [np.frombuffer(h, np.uint64) for h in batch.column(8).to_pylist()]
+            node, part = np.asarray(batch.column(5)), np.asarray(batch.column(6))
+            hashes = [np.frombuffer(h, np.uint64) for h in batch.column(7).to_pylist()]
             for lo, hi in zip(cuts, [*cuts[1:], len(batch)], strict=True):
                 if now != (group := tuple(at[lo, :4].tolist())):
                     yield from pairs()
                     now, held = group, ([], [])
-                held[at[lo, 4]].append((node[lo:hi], part[lo:hi], fp[lo:hi], hashes[lo:hi]))
+                held[at[lo, 4]].append((node[lo:hi], part[lo:hi], hashes[lo:hi]))
         yield from pairs()
 
     rows = left.union(right).repartition("a", "b", "i", "j").sortWithinPartitions("a", "b", "i", "j", "side")
@@ -369,18 +452,17 @@ def similar_texts(
 ) -> DataFrame:
     """One row for each row of `docs`: its id and `component_id`, the least id that links reach, its own included.
 
-    Two texts are linked if their sets of `shingle`-word shingles have a Jaccard similarity of `similarity` or more.
-    Candidates come from a SimHash of WIDE bytes over those sets: an inverted index over triples of byte
-    positions, in which the positional bytes that a pair shares are tallied. Fingerprints that differ in at
-    most WIDE - least_shared bits share `least_shared` bytes at least; pairs of fewer are left out, the others are
-    verified on their whole texts. That two texts meet in the index is likely, not certain; the README has
-    the measured share.
+    Two texts are linked if their sets of `shingle`-word shingles have a Jaccard similarity of `similarity` or more, all of
+    them. The work has two rounds. The first finds groups cheaply: a SimHash of WIDE bytes over those sets, an inverted index
+    over triples of its byte positions, and each node with the heaviest hub of its lists, which centred() finds, verified on
+    whole texts where `least_shared` bytes agree and few bits differ. It is likely, not certain, that texts meet there.
 
-    Texts of the same words in lower case are one class from the start, so copies cost a row each. Pairs come in
-    two rounds: each node with the heaviest hub of its lists, which centred() finds, then with all nodes of its lists that
-    aren't in its component by then. In the second round nodes that meet in many lists, as pages of one template do which are
-    just not similar enough, are compared in blocks, of which similar pairs alone are written. So no link between components
-    is lost, while a large group of near copies costs few pairs a text.
+    The second round makes it certain: prefix() has the shingles by which a text meets every text of that similarity, so
+    two such texts share a list of open_lists() or are in one component by then. All pairs of different components in a list are
+    verified where their sizes fit. Nodes that meet in many lists, as pages of one template do which are just not
+    similar enough, are compared in blocks, of which similar pairs alone are written. So no link between components
+    is lost, while a large group of near copies costs few pairs a text. Texts of the same words in lower case are one
+    class from the start, so copies cost a row each.
 
     Null, empty and blank texts are one class. Very long texts count whole. Rows of one text or id stay, each with
     its component; ties need no order. A null id has no part in the least id. An empty table gives an
@@ -389,24 +471,27 @@ def similar_texts(
     tuned(docs.sparkSession)
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     bodies = docs.select(F.col(id_col), body.alias("__body"), F.xxhash64(body).alias("text_hash"))
-    fields = [T.StructField("digest", T.BinaryType()), T.StructField("fp", T.BinaryType())]
+    fields = [T.StructField(c, T.BinaryType()) for c in ("digest", "fp", "prefix")] + [T.StructField("size", T.LongType())]
+    frequent = frequent_shingles(bodies.select("text_hash", "__body"), shingle)
+    places = np.argsort(frequent, kind="stable")
+    order = docs.sparkSession.sparkContext.broadcast((frequent[places], places))
 
     def printed():
+        by_hash, places = order.value
+
         def work(texts):
             digests = [xxhash.xxh3_128_digest(b" ".join((t or b"").lower().split())) for t in texts]
-            return [pa.array(digests, pa.binary()), pa.array([wide_print(shingle_hashes(t, shingle)) for t in texts], pa.binary())]
+            sets = [shingle_hashes(t, shingle) for t in texts]
+            prefixes = [prefix(h, by_hash, places, similarity).tobytes() for h in sets]
+            return [pa.array(digests, pa.binary()), pa.array([wide_print(h) for h in sets], pa.binary()), pa.array(prefixes, pa.binary()), pa.array([len(h) for h in sets], pa.int64())]
 
         return work
 
     prints = shared_checkpoint(map_texts(bodies, [id_col, "text_hash"], "__body", fields, printed))
-    grouped = prints.groupBy("digest").agg(F.min(id_col).alias("least_id"), F.min("text_hash").alias("text_hash"), F.first("fp").alias("fp"))
+    grouped = prints.groupBy("digest").agg(F.min(id_col).alias("least_id"), *(F.min_by(c, "text_hash").alias(c) for c in ("fp", "prefix", "size")), F.min("text_hash").alias("text_hash"))
     classes = shared_checkpoint(grouped.withColumn("node", F.monotonically_increasing_id()))
     lists = shared_checkpoint(centred(shared_checkpoint(listed(classes))))
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        near = shared_checkpoint(tallied(pairs, classes, least_shared))
-        return shared_checkpoint(verified(near, sets_of(near.select(F.explode(F.array("u", "v")).alias("node")).distinct()), similarity))
-
     def sets_of(nodes: DataFrame) -> DataFrame:
         """The sets of shingle hashes of some nodes, from their whole texts."""
         wanted = nodes.join(classes, "node").select("node", "text_hash")
@@ -415,40 +500,42 @@ def similar_texts(
         hashed = lambda: lambda texts: [pa.array([shingle_hashes(t, shingle).tobytes() for t in texts], pa.binary())]
         return shared_checkpoint(map_texts(texts, ["node"], "__body", [T.StructField("hashes", T.BinaryType())], hashed))
 
-    def labelled(column: str) -> DataFrame:
-        return roots.select(F.col("node").alias(column), F.col("root").alias(f"{column}_part"))
+    def linked(pairs: DataFrame) -> DataFrame:
+        return shared_checkpoint(verified(pairs, sets_of(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()), similarity))
 
-    tried = shared_checkpoint(lists.where("hub <> node").groupBy(F.col("node").alias("v")).agg(F.max_by("hub", F.struct("weight", (-F.col("hub")).alias("hub"))).alias("u")).select("u", "v"))
-    links_ = linked(tried)
+    heaviest = F.max_by("hub", F.struct("weight", (-F.col("hub")).alias("hub")))
+    tried = shared_checkpoint(lists.where("hub <> node").groupBy(F.col("node").alias("v")).agg(heaviest.alias("u")).select("u", "v"))
+    links_ = linked(shared_checkpoint(tallied(tried, classes, least_shared)))
     roots = components(links_)
-    members = lists.select("key", "node").join(labelled("node"), "node", "left").withColumn("part", F.coalesce("node_part", "node")).select("key", "node", "part")
-    parts = members.groupBy("key", "part").agg(F.count("*").alias("n"))
-    # In a list the main component's nodes aren't paired with each other, but all others with every node of another part.
-    mixed = shared_checkpoint(parts.groupBy("key").agg(F.max_by("part", "n").alias("main"), F.count("*").alias("parts"), F.sum("n").alias("all")).where("parts > 1 AND all > 2").select("key", "main"))
-    if not mixed.isEmpty():
-        # Neighbourhoods: nodes of one heaviest hub. Where two of them meet in many lists, pairs are found in blocks.
-        hoods = shared_checkpoint(lists.groupBy("node").agg(F.max_by("hub", F.struct("weight", (-F.col("hub")).alias("hub"))).alias("hood")))
-        open_ = shared_checkpoint(members.join(mixed, "key").join(hoods, "node"))
+    # Neighbourhoods: nodes of one heaviest hub. Where two of them meet in many lists, pairs are found in blocks.
+    hoods = lists.groupBy("node").agg(heaviest.alias("hood"))
+    sorted_in = classes.select("node", "prefix", "size").join(roots.withColumnRenamed("root", "part"), "node", "left").join(hoods, "node", "left")
+    nodes = shared_checkpoint(sorted_in.select("node", "prefix", "size", *(F.coalesce(c, "node").alias(c) for c in ("part", "hood"))))
+    open_ = shared_checkpoint(open_lists(nodes))
+    if not open_.isEmpty():
+        sizes = nodes.groupBy("hood").agg(F.count("*").alias("n"))
         per_list = open_.groupBy("key", "hood").agg(F.count("*").alias("n"))
         combos = shared_checkpoint(
             per_list.select("key", F.col("hood").alias("a"), F.col("n").alias("n_a")).join(per_list.select("key", F.col("hood").alias("b"), F.col("n").alias("n_b")), "key").where("a <= b")
         )
-        sizes = hoods.groupBy("hood").agg(F.count("*").alias("n"))
         of = lambda name: sizes.select(F.col("hood").alias(name), F.col("n").alias(f"n_{name}"))
         meetings = combos.groupBy("a", "b").agg(F.sum(F.col("n_a") * F.col("n_b")).alias("meetings")).join(of("a"), "a").join(of("b"), "b")
         dense = shared_checkpoint(meetings.where((F.col("meetings") >= DENSE * F.col("n_a") * F.col("n_b")) & (F.col("n_a") * F.col("n_b") >= BLOCK)).select("a", "b", "n_a", "n_b"))
         few = combos.select("key", "a", "b").join(dense.select("a", "b"), ["a", "b"], "left_anti")
         both = few.select("a", "b", "key").union(few.where("a <> b").select(F.col("b"), F.col("a"), "key"))
+        # In a list the main component's nodes aren't paired with each other, but all others with every node of another part.
         other = open_.where("part <> main").select("key", F.col("hood").alias("a"), F.col("node").alias("u"), F.col("part").alias("u_part"))
         crossing = other.join(both, ["key", "a"]).join(open_.select("key", F.col("hood").alias("b"), F.col("node").alias("v"), "part"), ["key", "b"]).where("u_part <> part")
-        last = crossing.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().join(tried, ["u", "v"], "left_anti")
+        met = crossing.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        size = lambda name: nodes.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"))
+        fitting = F.least("size_u", "size_v") >= similarity * F.greatest("size_u", "size_v") - 1e-9
+        last = met.join(size("u"), "u").join(size("v"), "v").where(fitting).select("u", "v")
         found = linked(shared_checkpoint(last))
         if not dense.isEmpty():
             # Those that share no list with another part have nothing to find.
-            theirs = open_.select("node", "hood").distinct().join(dense.select(F.explode(F.array("a", "b")).alias("hood")).distinct(), "hood", "left_semi")
-            nodes = theirs.join(labelled("node"), "node", "left").join(classes.select("node", "fp"), "node").join(sets_of(theirs.select("node")), "node")
-            nodes = shared_checkpoint(nodes.select("node", "fp", "hashes", F.coalesce("node_part", "node").alias("part"), "hood"))
-            found = found.union(shared_checkpoint(met_in_blocks(dense, nodes, least_shared, similarity)))
+            theirs = open_.select("node", "part", "hood").distinct().join(dense.select(F.explode(F.array("a", "b")).alias("hood")).distinct(), "hood", "left_semi")
+            theirs = shared_checkpoint(theirs.join(sets_of(theirs.select("node")), "node").select("node", "hashes", "part", "hood"))
+            found = found.union(shared_checkpoint(met_in_blocks(dense, theirs, similarity)))
         roots = roots if found.isEmpty() else components(links_.union(found))
     rooted = classes.select("digest", "least_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
