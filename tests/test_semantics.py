@@ -377,3 +377,18 @@ def test_a_mean_on_the_edge_of_a_label_falls_as_in_the_sql(spark, tmp_path):
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
     name = "src13_normalize_marketaux"
     assert_same(QUERIES[name](spark, str(tmp_path)), con, ORACLES[name])
+
+
+def test_articles_are_scored_where_they_are(spark, sf):
+    """Articles aren't dealt by sector, which would bring all of a language into one task."""
+    from tidemark.operators import briefing
+    from tidemark.plans.catalog import articles
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = briefing.score_impact(articles(spark, sf), "day")
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [sector" not in plan and "BroadcastHashJoin [sector" in plan
+        assert scored.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

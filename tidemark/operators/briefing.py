@@ -22,9 +22,12 @@ def top_n(df: DataFrame, by: list[str], order: list[Column], n: int, place: str
 
 
 def score_impact(articles: DataFrame, day: str) -> DataFrame:
-    """IND13 over all articles, with volume spikes from their whole history."""
+    """IND13 over all articles, with volume spikes from their whole history.
+
+    Spikes are a row a sector and are broadcast: dealt by sector, whole articles of a language would meet in one task.
+    """
     spikes = volume_spike(articles, "sector", day)
-    joined = articles.join(spikes, "sector", "left")
+    joined = articles.join(F.broadcast(spikes), "sector", "left")
     return joined.withColumn("impact", fixed(impact(F.col("sentiment"), F.col("source_name"), F.col("ticker"), F.col("macro_tag"), F.col("spike")))).drop("spike")
 
 
