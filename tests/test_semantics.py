@@ -392,3 +392,15 @@ def test_articles_are_scored_where_they_are(spark, sf):
         assert scored.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_classifier_benchmark_trains_on_all_cores(spark, monkeypatch):
+    """Rows that come in one row group are dealt to all cores before training."""
+    from pyspark.ml.classification import LogisticRegression
+    from tidemark.operators import forecast
+
+    parts, fit = [], LogisticRegression.fit
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, df: parts.append(df.rdd.getNumPartitions()) or fit(self, df))
+    df = spark.range(400).coalesce(1).selectExpr("cast(id % 2 as int) AS y", "cast(id % 7 as double) AS a", "id % 4 = 0 OR id % 4 = 3 AS is_test")
+    assert forecast.classifier_benchmark(df, ["a"], "y").count() == 4
+    assert parts[0] >= spark.sparkContext.defaultParallelism
