@@ -444,6 +444,42 @@ def test_prefixes_of_similar_sets_meet_in_any_order():
             assert len(np.intersect1d(a, b)) or len(np.intersect1d(x, y)) < 0.8 * len(np.union1d(x, y))
 
 
+def test_no_similar_sets_are_told_apart_by_their_prefixes(spark):
+    """The lemma of may_be_similar(): the shingles that two prefixes have in common bound the similarity from above."""
+    r = np.random.default_rng(8)
+    rows = []
+    for n in (1, 2, 4, 5, 9, 40, 200):
+        for _ in range(80):
+            pool = np.unique(r.integers(0, 2**63, 2 * n + 2, np.uint64))
+            x = np.sort(r.permutation(pool)[:n])
+            y = np.sort(np.r_[r.permutation(x)[: n - r.integers(0, n // 5 + 1)], np.setdiff1d(pool, x)[: r.integers(0, n // 5 + 1)]])
+            frequent = r.choice(pool, r.integers(0, len(pool)), replace=False)
+            places = np.argsort(frequent, kind="stable")
+            a, b = (simhash_dedup.prefix(s, frequent[places], places, 0.8) for s in (x, y))
+            alike = len(np.intersect1d(x, y)) >= 0.8 * len(np.union1d(x, y))
+            rows.append((len(np.intersect1d(a, b)), len(x), len(y), bool(alike)))
+    table = spark.createDataFrame(rows, "common long, size_u long, size_v long, alike boolean")
+    may = simhash_dedup.may_be_similar(F.col("common"), F.col("size_u"), F.col("size_v"), 0.8)
+    assert sum(r[3] for r in rows) > 100 and table.where("alike").where(~may).isEmpty()
+    assert not table.where("size_u = 200 AND NOT alike").where(~may).isEmpty()
+
+
+def test_texts_that_share_a_passage_alone_are_not_compared(spark, monkeypatch):
+    """Passages of a few texts each meet in prefixes; the texts' sets are read for none of these pairs, but for a similar one."""
+    r = random.Random(12)
+    shared = [" ".join(f"p{k}w{i}" for i in range(12)) for k in range(30)]
+    texts = [" ".join([*(f"t{n}w{i}" for i in range(40)), shared[n % 30], *(f"t{n}w{i}" for i in range(40, 90))]) for n in range(300)]
+    words = texts[7].split()
+    words[r.randrange(60, 80)] = "other"
+    texts.append(" ".join(words))
+    made = []
+    plain = simhash_dedup.verified
+    monkeypatch.setattr(simhash_dedup, "verified", lambda pairs, sets, similarity: made.append(pairs.count()) or plain(pairs, sets, similarity))
+    got = dict(simhash_dedup.similar_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    assert {i: c for i, c in got.items() if i != c} == {300: 7}
+    assert sum(made) < 10
+
+
 def test_lists_of_two_parts_are_kept_whole_however_batches_cut_them(spark):
     """Rows of lists whose nodes are of different parts, with the part of the most nodes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -284,6 +284,15 @@ def prefix(hashes: np.ndarray, by_hash: np.ndarray, places: np.ndarray, similari
     return hashes[np.argsort(at, kind="stable")[:most]]
 
 
+def may_be_similar(common: Column, size_u: Column, size_v: Column, similarity: float) -> Column:
+    """Whether two sets of these sizes whose prefixes have `common` shingles in common can have this Jaccard similarity; never
+    false of two that have it. Of the prefixes that which ends first in the order of all shingles has all common shingles up
+    to its end in the other one too, so the sets have no more in common than `common` and what is left of the one behind its prefix."""
+    larger = F.greatest(size_u, size_v)
+    fits = F.least(size_u, size_v) >= similarity * larger - 1e-9
+    return fits & (common + F.ceil(similarity * larger - 1e-9) - 1 >= similarity / (1 + similarity) * (size_u + size_v) - 1e-9)
+
+
 def open_lists(nodes: DataFrame) -> DataFrame:
     """The lists of prefixes in which two parts or more meet, as (key, node, part, hood, main); `main` is the part of the most nodes.
     nodes: node, part, hood, prefix."""
@@ -523,12 +532,14 @@ def similar_texts(
         dense = shared_checkpoint(meetings.where((F.col("meetings") >= DENSE * F.col("n_a") * F.col("n_b")) & (F.col("n_a") * F.col("n_b") >= BLOCK)).select("a", "b", "n_a", "n_b"))
         few = combos.select("key", "a", "b").join(dense.select("a", "b"), ["a", "b"], "left_anti")
         both = few.select("a", "b", "key").union(few.where("a <> b").select(F.col("b"), F.col("a"), "key"))
-        # In a list the main component's nodes aren't paired with each other, but all others with every node of another part.
+        # In a list the main component's nodes aren't paired with each other, but all others with every node of another part, each
+        # pair once. So a pair's rows are the shingles that its prefixes have in common.
         other = open_.where("part <> main").select("key", F.col("hood").alias("a"), F.col("node").alias("u"), F.col("part").alias("u_part"))
-        crossing = other.join(both, ["key", "a"]).join(open_.select("key", F.col("hood").alias("b"), F.col("node").alias("v"), "part"), ["key", "b"]).where("u_part <> part")
-        met = crossing.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        every = open_.select("key", F.col("hood").alias("b"), F.col("node").alias("v"), "part", "main")
+        crossing = other.join(both, ["key", "a"]).join(every, ["key", "b"]).where("u_part <> part AND (part = main OR u < v)")
+        met = crossing.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.count("*").alias("common"))
         size = lambda name: nodes.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"))
-        fitting = F.least("size_u", "size_v") >= similarity * F.greatest("size_u", "size_v") - 1e-9
+        fitting = may_be_similar(F.col("common"), F.col("size_u"), F.col("size_v"), similarity)
         last = met.join(size("u"), "u").join(size("v"), "v").where(fitting).select("u", "v")
         found = linked(shared_checkpoint(last))
         if not dense.isEmpty():
