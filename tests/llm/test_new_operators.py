@@ -491,3 +491,98 @@ def test_lists_of_two_parts_are_kept_whole_however_batches_cut_them(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     want = [(k, 10 * k + i, part, max(set(parts), key=parts.count)) for k, parts in lists.items() for i, part in enumerate(parts) if len(set(parts)) > 1]
     assert sorted((r.key, r.node, r.part, r.main) for r in got) == sorted(want)
+
+
+def test_prefixes_are_not_kept_on_disk(spark, monkeypatch):
+    """What near-duplicates checkpoint of unrelated texts is less than their prefixes, a fifth of their shingles, would take once."""
+    from pathlib import Path
+
+    r = random.Random(5)
+    texts = [" ".join(f"w{r.randrange(10**9)}" for _ in range(1500)) for _ in range(300)]
+    files = lambda: {f: f.stat().st_size for f in Path(spark.sparkContext.getCheckpointDir().removeprefix("file:")).rglob("part-*")}
+    seen, plain = {}, simhash_dedup.shared_checkpoint
+
+    def seeing(df):
+        out = plain(df)
+        seen.update(files())
+        return out
+
+    before = files()
+    monkeypatch.setattr(simhash_dedup, "shared_checkpoint", seeing)
+    got = dict(simhash_dedup.similar_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    assert all(i == c for i, c in got.items()) and len(got) == 300
+    assert 0 < sum(size for f, size in seen.items() if f not in before) < 8 * 0.2 * 1500 * 300
+
+
+def test_large_neighbourhoods_are_dealt_once(spark):
+    """A neighbourhood of 600 nodes that meets 40 small ones and itself makes a few rows a node; all similar pairs are found."""
+    r = np.random.default_rng(3)
+    base = np.unique(r.integers(0, 2**62, 60).astype(np.uint64))
+    rows = []
+    for node in range(800):
+        hashes = np.unique(np.r_[r.choice(base, 54 if node % 100 else 60, replace=False), r.integers(0, 2**62, 3).astype(np.uint64)])
+        rows.append((node, node // 3, 0 if node < 600 else 1000 + (node - 600) // 5, hashes.tobytes()))
+    nodes = spark.createDataFrame(rows, "node long, part long, hood long, hashes binary")
+    met = [(0, 0), *((0, 1000 + k) for k in range(20)), *((1000 + k, 0) for k in range(20, 40))]
+    dense = spark.createDataFrame(met, "a long, b long")
+    assert simhash_dedup.dealt(dense, nodes).count() <= 3 * 800
+    got = {(p.u, p.v) for p in simhash_dedup.met_in_blocks(dense, nodes, 0.8).collect()}
+    sets = [set(np.frombuffer(x[3], np.uint64).tolist()) for x in rows]
+    want = {(u, v) for u in range(600) for v in range(u + 1, 800) if u // 3 != v // 3 and len(sets[u] & sets[v]) >= 0.8 * len(sets[u] | sets[v])}
+    assert got == want and len(want) > 100
+
+
+def test_parts_of_a_neighbourhood_meet_all_that_pass(spark, monkeypatch):
+    """However few nodes a task holds and a block has, the pairs are the same."""
+    r = np.random.default_rng(4)
+    base = np.arange(50, dtype=np.uint64)
+    rows = [(node, node, node % 3, np.sort(r.choice(base, r.integers(38, 50), replace=False)).tobytes()) for node in range(90)]
+    nodes = spark.createDataFrame(rows, "node long, part long, hood long, hashes binary")
+    dense = spark.createDataFrame([(0, 0), (0, 1), (1, 2)], "a long, b long")
+    whole = {tuple(p) for p in simhash_dedup.met_in_blocks(dense, nodes, 0.8).collect()}
+    monkeypatch.setattr(simhash_dedup, "HELD", 8)
+    monkeypatch.setattr(simhash_dedup, "BLOCK", 3)
+    assert {tuple(p) for p in simhash_dedup.met_in_blocks(dense, nodes, 0.8).collect()} == whole
+    sets = [set(np.frombuffer(x[3], np.uint64).tolist()) for x in rows]
+    meet = {(0, 0), (0, 1), (1, 2)}
+    assert whole == {(u, v) for u in range(90) for v in range(u + 1, 90) if tuple(sorted((u % 3, v % 3))) in meet and len(sets[u] & sets[v]) >= 0.8 * len(sets[u] | sets[v])}
+
+
+def test_keys_grow_with_the_nodes():
+    """Unrelated nodes share one in 64 of their keys at most; longer keys are the shorter ones with bits of one more byte."""
+    most = {1: 0, 1 << 18: 0, (1 << 18) + 1: 1, 1 << 20: 2, 3_000_000: 4, 1 << 26: 8, 1 << 30: 8}
+    assert {n: simhash_dedup.more_bits(n) for n in most} == most
+    prints = np.random.default_rng(1).integers(0, 256, (50, simhash_dedup.WIDE)).astype(np.uint8)
+    short, long = simhash_dedup.wide_keys(prints), simhash_dedup.wide_keys(prints, 5)
+    assert (long >> 5 == short).all() and len(np.unique(long & 31)) == 32
+    other = prints.copy()
+    other[:, 17] ^= 255
+    apart = simhash_dedup.wide_keys(prints, 8) != simhash_dedup.wide_keys(other, 8)
+    assert apart[:, ::64].all() and (simhash_dedup.wide_keys(prints)[:, ::64] == simhash_dedup.wide_keys(other)[:, ::64]).all()
+
+
+def test_copies_post_their_prefix_once(spark):
+    """A text that occurs in many rows is one node of its lists."""
+    nodes = spark.createDataFrame([(k, k, k, 0, 100 + k) for k in range(3)], "node long, part long, size long, hood long, code long")
+    prefix = np.array([7, 8], np.int64)
+    rows = [(100, prefix.tobytes())] * 9 + [(101, prefix[:1].tobytes())] * 2 + [(102, prefix[1:].tobytes()), (100, prefix.tobytes())]
+    got = simhash_dedup.open_lists(nodes, spark.createDataFrame(rows, "code long, prefix binary").repartition(3)).collect()
+    assert sorted((r.key, r.node) for r in got) == [(7, 0), (7, 1), (8, 0), (8, 2)]
+
+
+def test_files_of_tables_that_are_no_longer_used_go(spark):
+    """Shuffle files are deleted while the session goes on."""
+    import time
+    from pathlib import Path
+
+    from tidemark.llm.common import freed, shared_checkpoint
+
+    files = lambda: set(Path(spark.conf.get("spark.local.dir")).rglob("shuffle_*.data"))
+    before = files()
+    rows = shared_checkpoint(spark.range(10_000).repartition(3))
+    made = files() - before
+    freed(spark)
+    until = time.time() + 10
+    while made & files() and time.time() < until:
+        time.sleep(0.2)
+    assert made and not made & files() and rows.count() == 10_000

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -47,6 +49,18 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def freed(spark: SparkSession) -> None:
+    """Has garbage collected, upon which Spark deletes the shuffle files and checkpoints of tables that nothing refers to any
+    more; else they stay until the driver happens to collect, which large inputs don't bring about sooner. Takes a second, in
+    which Python's bridge to the driver's JVM lets go of what Python has dropped, and two collections, as some of what the
+    first one clears refers to more."""
+    gc.collect()
+    time.sleep(1.2)
+    for _ in range(2):
+        spark._jvm.System.gc()
+        time.sleep(0.3)
+
+
 def skew_join(left: DataFrame, right: DataFrame, key: str, hot_parts: int = 1000, keys: DataFrame | None = None, few: int = 100_000) -> DataFrame:
     """Inner join with `right`, which has one row or few for each key. Keys with more than a `hot_parts`-th of
     the left rows, fewer than `hot_parts` keys therefore, are joined by broadcast and shuffle no left rows. `keys` has the

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import map_texts, maybe_among, shared_checkpoint, skew_join, tuned
+from tidemark.llm.common import freed, map_texts, maybe_among, shared_checkpoint, skew_join, tuned
 
 #: Shingle length in words, seed of the hash, most differing bits, and longest posting list that is paired.
 SHINGLE, SEED, BITS, LIST_LIMIT = 3, 42, 2, 64
@@ -34,9 +34,13 @@ SHINGLE, SEED, BITS, LIST_LIMIT = 3, 42, 2, 64
 #: least positional bytes that a pair shares, and distances of the second and third byte of a key from its first.
 WIDE_SHINGLE, SIMILARITY, WIDE, LEAST_SHARED, SHAPES = 5, 0.8, 64, 8, ((1, 3), (11, 28), (6, 37))
 
+#: Nodes up to which keys of three bytes do; beyond, keys also have bits of the byte at this distance from the first.
+FEW_NODES, FOURTH = 1 << 18, 17
+
 #: Most differing bits of a pair that is verified: of pairs of similarity 0.8 the 512 bits differ in 78 on average, with a
-#: deviation of 8.1. Then nodes of a block, and the share of two neighbourhoods' pairs from which on they meet in blocks.
-MOST_DIFFERENT, BLOCK, DENSE = 106, 256, 0.1
+#: deviation of 8.1. Then nodes of a block, of the blocks that a task holds, about, and the share of two neighbourhoods' pairs
+#: from which on they meet in blocks.
+MOST_DIFFERENT, BLOCK, HELD, DENSE = 106, 256, 1024, 0.1
 
 #: Bytes of shingle hashes of a block, about, and distinct shingles of two blocks up to which their sets are compared as bits.
 BLOCK_BYTES, MOST_BITS = 1 << 24, 1 << 17
@@ -47,8 +51,11 @@ TOLD_BY, FREQUENT, MOST_FREQUENT = 16, 3, 200_000
 
 STIR = np.uint64(0x9E3779B97F4A7C15)
 
-#: Rows of a list of one part so far that are held until its end is seen.
-ROWS_HELD = 100_000
+#: Texts of a task whose copies are told while their prefixes are posted; copies beyond are told behind the shuffle.
+CODES_HELD = 100_000
+
+#: Classes of texts from which on disk is freed between the steps of similar_texts().
+MANY = 20_000
 
 #: Shingles of a text that are hashed at once, so that memory doesn't grow with the text.
 PART = 4096
@@ -201,12 +208,20 @@ def wide_print(hashes: np.ndarray) -> bytes:
     return np.packbits(2 * ones > len(hashes)).tobytes()
 
 
-def wide_keys(prints: np.ndarray) -> np.ndarray:
-    """The keys of fingerprints (rows of WIDE bytes): for each shape and each first position, the bytes at three positions."""
+def more_bits(nodes: int) -> int:
+    """Bits of a fourth byte that the keys of so many nodes have, 8 at most: unrelated nodes share a key with one in 64 of
+    their keys at most, so the lists grow as the nodes do and not with their square."""
+    return min(8, (max(1, -(-nodes // FEW_NODES)) - 1).bit_length())
+
+
+def wide_keys(prints: np.ndarray, more: int = 0) -> np.ndarray:
+    """The keys of fingerprints (rows of WIDE bytes): for each shape and each first position, the bytes at three positions, and
+    `more` bits of a fourth one."""
     at = np.arange(WIDE)
     x = prints.astype(np.int64)
+    rest = x[:, (at + FOURTH) % WIDE] >> (8 - more)
     triples = [(x << 16) | (x[:, (at + a) % WIDE] << 8) | x[:, (at + b) % WIDE] | ((k * WIDE + at) << 24) for k, (a, b) in enumerate(SHAPES)]
-    return np.hstack(triples)
+    return np.hstack([(t << more) | rest for t in triples])
 
 
 def list_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,12 +248,13 @@ def list_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def listed(classes: DataFrame) -> DataFrame:
     """The posting lists of `fp` with two nodes or more, as (key, hub, node); the hub is a list's least node."""
+    more = more_bits(classes.count())
 
     def post(batches):
         for batch in batches:
             for lo in range(0, len(batch), 512):
                 part = batch.slice(lo, 512)
-                keys = wide_keys(np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(-1, WIDE))
+                keys = wide_keys(np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(-1, WIDE), more)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(np.asarray(part.column(0)), keys.shape[1]))], names=["key", "node"])
 
     postings = classes.select("node", "fp").mapInArrow(post, "key long, node long")
@@ -293,42 +309,42 @@ def may_be_similar(common: Column, size_u: Column, size_v: Column, similarity: f
     return fits & (common + F.ceil(similarity * larger - 1e-9) - 1 >= similarity / (1 + similarity) * (size_u + size_v) - 1e-9)
 
 
-def open_lists(nodes: DataFrame) -> DataFrame:
+def unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of two columns of numbers, sorted, without those that equal the row before."""
+    last = None
+    for batch in batches:
+        if len(batch):
+            x, y = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            keep = np.r_[(x[0], y[0]) != last, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]
+            last = (x[-1], y[-1])
+            yield batch.filter(pa.array(keep))
+
+
+def open_lists(nodes: DataFrame, prefixes: DataFrame | None = None) -> DataFrame:
     """The lists of prefixes in which two parts or more meet, as (key, node, part, hood, main); `main` is the part of the most nodes.
-    nodes: node, part, hood, prefix."""
+    nodes: node, part, hood, and their prefix; or else code, by which `prefixes` has (code, prefix), copies as often as they occur.
+
+    What is shuffled of each shingle is its hash and a code alone; of lists of two codes or more, few, parts are told then."""
+    if prefixes is None:
+        nodes = nodes.withColumn("code", F.col("node"))
+        prefixes = nodes.select("code", "prefix")
 
     def post(batches):
+        told = set()
         for batch in batches:
-            for lo in range(0, len(batch), 512):
-                part = batch.slice(lo, 512)
-                keys = [np.frombuffer(x, np.int64) for x in part.column(3).to_pylist()]
-                of = np.repeat(np.arange(len(part)), [len(k) for k in keys])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *(part.column(c).take(pa.array(of)) for c in range(3))], names=["key", "node", "part", "hood"])
-
-    def mixed(batches):
-        """Of lists sorted by part, those whose parts differ; a list is told from its first part on and by the batch at hand, so
-        where it goes on in the next batch it stays, and the windows behind decide."""
-        key, part, held, open_ = None, None, None, False
-        for batch in batches:
-            if not len(batch):
-                continue
-            whole = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            keys, parts = np.asarray(whole.column(0)), np.asarray(whole.column(2))
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            ends = np.r_[starts[1:], len(keys)]
-            several = parts[starts] != parts[ends - 1]
-            if open_ and keys[0] == key:
-                several[0] |= True
-            last = int(starts[-1])
-            rest = several[-1] or len(keys) - last > ROWS_HELD
-            several[-1] = rest
-            keep = np.repeat(several, ends - starts)
-            yield whole.filter(pa.array(keep))
-            key, open_ = keys[-1], bool(rest)
-            held = None if rest else whole.slice(last)
-
-    posted = nodes.select("node", "part", "hood", "prefix").mapInArrow(post, "key long, node long, part long, hood long")
-    kept = posted.repartition("key").sortWithinPartitions("key", "part").mapInArrow(mixed, posted.schema)
+            keys, codes = [], []
+            for code, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if code not in told:
+                    if len(told) < CODES_HELD:
+                        told.add(code)
+                    keys.append(np.frombuffer(x, np.int64))
+                    codes.append(np.full(len(keys[-1]), code))
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(codes))], names=["key", "code"])
+
+    posted = prefixes.select("code", "prefix").mapInArrow(post, "key long, code long")
+    met = posted.repartition("key").sortWithinPartitions("key", "code").mapInArrow(lambda batches: list_rows(unlike(batches)), "key long, hub long, code long")
+    kept = met.select("key", "code").join(nodes.select("code", "node", "part", "hood"), "code")
     of_key, of_part = Window.partitionBy("key"), Window.partitionBy("key", "part")
     sized = kept.withColumn("n", F.count("*").over(of_part))
     told = sized.withColumns({"top": F.max(F.struct("n", "part")).over(of_key), "several": F.min("part").over(of_key) < F.max("part").over(of_key)})
@@ -368,54 +384,56 @@ def sizes_fit(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
     return np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9
 
 
+def dealt(dense: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows by which neighbourhoods meet in met_in_blocks(), as (a, i, side, node, part, hashes). Of two neighbourhoods the
+    larger is `a`, of equals the least; its nodes are dealt to parts `i` once, whatever number of others they meet. The
+    other's nodes go to each part."""
+    parts = F.greatest(F.lit(1), F.ceil(F.count("*") / HELD), F.ceil(F.sum(F.length("hashes")) / BLOCK_BYTES)).cast("int")
+    sizes = nodes.groupBy("hood").agg(parts.alias("k"), F.count("*").alias("n"))
+    of = lambda name: sizes.select(F.col("hood").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("k", "n")))
+    larger = F.when(F.col("n_a") >= F.col("n_b"), F.struct(F.col("a"), F.col("b"), F.col("k_a").alias("k"))).otherwise(F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("k_b").alias("k")))
+    ordered = dense.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(of("a"), "a").join(of("b"), "b").select(larger.alias("x")).select("x.*")
+    kept = ["node", "part", "hashes"]
+    left = nodes.join(ordered.select("a", "k").distinct(), F.col("hood") == F.col("a")).select("a", F.pmod(F.xxhash64("node"), F.col("k")).cast("int").alias("i"), F.lit(0).alias("side"), *kept)
+    right = nodes.join(ordered, F.col("hood") == F.col("b")).select("a", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"), F.lit(1).alias("side"), *kept)
+    return left.union(right)
+
+
 def met_in_blocks(dense: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """The pairs (u, v), u < v, of different parts and of at least this similarity between the neighbourhoods `a` and `b` of each
     row of `dense` (a may be b). nodes: node, hashes, part, hood.
 
-    Nodes of a neighbourhood are dealt to blocks of about BLOCK nodes and BLOCK_BYTES; each two blocks of two neighbourhoods meet
-    in one group, whose sets are compared as arrays where their sizes fit. So n nodes make
-    n * n / BLOCK rows, similar pairs alone leave a task, and a task holds two blocks at a time.
+    A task holds a part of a neighbourhood, of about HELD nodes and BLOCK_BYTES, in blocks of BLOCK, and the nodes of all
+    neighbourhoods that it meets pass by in such blocks. Sets of two blocks are compared as arrays where their sizes fit. So n
+    nodes make n * n / HELD rows, and similar pairs alone leave a task.
     """
-    blocks = F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.length("hashes")) / BLOCK_BYTES)).cast("int")
-    sizes = nodes.groupBy("hood").agg(blocks.alias("k"))
-    of = lambda name: sizes.select(F.col("hood").alias(name), F.col("k").alias(f"k_{name}"))
-    sized = dense.select("a", "b").join(of("a"), "a").join(of("b"), "b")
-    mine = lambda k: F.pmod(F.xxhash64("node"), F.col(k)).cast("int")
-    all_of = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
-    kept = ["node", "part", "hashes"]
-    left = nodes.join(sized, F.col("hood") == F.col("a")).select("a", "b", mine("k_a").alias("i"), all_of("k_b").alias("j"), F.lit(0).alias("side"), *kept)
-    right = nodes.join(sized, F.col("hood") == F.col("b")).select("a", "b", all_of("k_a").alias("i"), mine("k_b").alias("j"), F.lit(1).alias("side"), *kept)
 
     def compare(batches):
-        now, held = None, ([], [])
-
-        def pairs():
-            if not held[0] or not held[1]:
-                return
-            (u, p), (v, q) = ([np.concatenate(c) for c in list(zip(*side, strict=True))[:2]] for side in held)
-            x, y = ([h for part in side for h in part[2]] for side in held)
-            n, m = (np.array([len(h) for h in sets]) for sets in (x, y))
+        def pairs(x, y):
+            (u, p), (v, q) = ([np.array(c, np.int64) for c in side[:2]] for side in (x, y))
+            n, m = (np.array([len(h) for h in side[2]]) for side in (x, y))
             at, to = np.nonzero(sizes_fit(n[:, None], m[None, :], similarity) & (p[:, None] != q[None, :]))
             if len(at):
-                fit = similar_pairs(x, y, at, to, similarity)
+                fit = similar_pairs(x[2], y[2], at, to, similarity)
                 at, to = at[fit], to[fit]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u[at], v[to])), pa.array(np.maximum(u[at], v[to]))], names=["u", "v"])
 
+        full = lambda block: len(block[0]) >= BLOCK or 8 * sum(map(len, block[2])) >= BLOCK_BYTES
+        now, held, passing = None, [], ([], [], [])
         for batch in batches:
-            if not len(batch):
-                continue
-            at = np.stack([np.asarray(batch.column(c), np.int64) for c in range(5)], axis=1)
-            cuts = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]).any(axis=1)])
-            node, part = np.asarray(batch.column(5)), np.asarray(batch.column(6))
-            hashes = [np.frombuffer(h, np.uint64) for h in batch.column(7).to_pylist()]
-            for lo, hi in zip(cuts, [*cuts[1:], len(batch)], strict=True):
-                if now != (group := tuple(at[lo, :4].tolist())):
-                    yield from pairs()
-                    now, held = group, ([], [])
-                held[at[lo, 4]].append((node[lo:hi], part[lo:hi], hashes[lo:hi]))
-        yield from pairs()
-
-    rows = left.union(right).repartition("a", "b", "i", "j").sortWithinPartitions("a", "b", "i", "j", "side")
+            for a, i, side, node, part, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != (a, i) or passing[0] and full(passing):
+                    for block in held if passing[0] else ():
+                        yield from pairs(block, passing)
+                    now, held, passing = (a, i), held if now == (a, i) else [], ([], [], [])
+                if side == 0 and (not held or full(held[-1])):
+                    held.append(([], [], []))
+                for column, value in zip(passing if side else held[-1], (node, part, np.frombuffer(hashes, np.uint64)), strict=True):
+                    column.append(value)
+        for block in held if passing[0] else ():
+            yield from pairs(block, passing)
+
+    rows = dealt(dense, nodes).repartition("a", "i").sortWithinPartitions("a", "i", "side")
     return rows.mapInArrow(compare, "u long, v long").distinct()
 
 
@@ -480,26 +498,28 @@ def similar_texts(
     tuned(docs.sparkSession)
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     bodies = docs.select(F.col(id_col), body.alias("__body"), F.xxhash64(body).alias("text_hash"))
-    fields = [T.StructField(c, T.BinaryType()) for c in ("digest", "fp", "prefix")] + [T.StructField("size", T.LongType())]
+    binary = lambda *names: [T.StructField(c, T.BinaryType()) for c in names]
     frequent = frequent_shingles(bodies.select("text_hash", "__body"), shingle)
     places = np.argsort(frequent, kind="stable")
     order = docs.sparkSession.sparkContext.broadcast((frequent[places], places))
 
-    def printed():
-        by_hash, places = order.value
+    def digests(texts):
+        return pa.array([xxhash.xxh3_128_digest(b" ".join((t or b"").lower().split())) for t in texts], pa.binary())
 
-        def work(texts):
-            digests = [xxhash.xxh3_128_digest(b" ".join((t or b"").lower().split())) for t in texts]
-            sets = [shingle_hashes(t, shingle) for t in texts]
-            prefixes = [prefix(h, by_hash, places, similarity).tobytes() for h in sets]
-            return [pa.array(digests, pa.binary()), pa.array([wide_print(h) for h in sets], pa.binary()), pa.array(prefixes, pa.binary()), pa.array([len(h) for h in sets], pa.int64())]
+    def printed(texts):
+        sets = [shingle_hashes(t, shingle) for t in texts]
+        return [digests(texts), pa.array([wide_print(h) for h in sets], pa.binary()), pa.array([len(h) for h in sets], pa.int64())]
 
-        return work
+    def prefixed():
+        by_hash, places = order.value
+        return lambda texts: [digests(texts), pa.array([prefix(shingle_hashes(t, shingle), by_hash, places, similarity).tobytes() for t in texts], pa.binary())]
 
-    prints = shared_checkpoint(map_texts(bodies, [id_col, "text_hash"], "__body", fields, printed))
-    grouped = prints.groupBy("digest").agg(F.min(id_col).alias("least_id"), *(F.min_by(c, "text_hash").alias(c) for c in ("fp", "prefix", "size")), F.min("text_hash").alias("text_hash"))
+    prints = shared_checkpoint(map_texts(bodies, [id_col, "text_hash"], "__body", [*binary("digest", "fp"), T.StructField("size", T.LongType())], lambda: printed))
+    grouped = prints.groupBy("digest").agg(F.min(id_col).alias("least_id"), *(F.min_by(c, "text_hash").alias(c) for c in ("fp", "size")), F.min("text_hash").alias("text_hash"))
     classes = shared_checkpoint(grouped.withColumn("node", F.monotonically_increasing_id()))
+    free = (lambda: freed(docs.sparkSession)) if classes.count() >= MANY else (lambda: None)
     lists = shared_checkpoint(centred(shared_checkpoint(listed(classes))))
+    free()
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         """The sets of shingle hashes of some nodes, from their whole texts."""
@@ -507,7 +527,7 @@ def similar_texts(
         few = maybe_among(bodies.select("text_hash", "__body"), F.col("text_hash"), wanted.select("text_hash")).where("__maybe")
         texts = few.groupBy("text_hash").agg(F.first("__body").alias("__body")).join(wanted, "text_hash")
         hashed = lambda: lambda texts: [pa.array([shingle_hashes(t, shingle).tobytes() for t in texts], pa.binary())]
-        return shared_checkpoint(map_texts(texts, ["node"], "__body", [T.StructField("hashes", T.BinaryType())], hashed))
+        return shared_checkpoint(map_texts(texts, ["node"], "__body", binary("hashes"), hashed))
 
     def linked(pairs: DataFrame) -> DataFrame:
         return shared_checkpoint(verified(pairs, sets_of(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()), similarity))
@@ -518,9 +538,13 @@ def similar_texts(
     roots = components(links_)
     # Neighbourhoods: nodes of one heaviest hub. Where two of them meet in many lists, pairs are found in blocks.
     hoods = lists.groupBy("node").agg(heaviest.alias("hood"))
-    sorted_in = classes.select("node", "prefix", "size").join(roots.withColumnRenamed("root", "part"), "node", "left").join(hoods, "node", "left")
-    nodes = shared_checkpoint(sorted_in.select("node", "prefix", "size", *(F.coalesce(c, "node").alias(c) for c in ("part", "hood"))))
-    open_ = shared_checkpoint(open_lists(nodes))
+    sorted_in = classes.select("node", F.xxhash64("digest").alias("code"), "size").join(roots.withColumnRenamed("root", "part"), "node", "left").join(hoods, "node", "left")
+    nodes = shared_checkpoint(sorted_in.select("node", "code", "size", *(F.coalesce(c, "node").alias(c) for c in ("part", "hood"))))
+    free()
+    # Prefixes are made from the texts where they are posted, since they are a fifth of all shingles and not kept.
+    prefixes = map_texts(bodies, [], "__body", binary("digest", "prefix"), prefixed).select(F.xxhash64("digest").alias("code"), "prefix")
+    open_ = shared_checkpoint(open_lists(nodes, prefixes))
+    free()
     if not open_.isEmpty():
         sizes = nodes.groupBy("hood").agg(F.count("*").alias("n"))
         per_list = open_.groupBy("key", "hood").agg(F.count("*").alias("n"))
@@ -541,7 +565,10 @@ def similar_texts(
         size = lambda name: nodes.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"))
         fitting = may_be_similar(F.col("common"), F.col("size_u"), F.col("size_v"), similarity)
         last = met.join(size("u"), "u").join(size("v"), "v").where(fitting).select("u", "v")
-        found = linked(shared_checkpoint(last))
+        last = shared_checkpoint(last)
+        free()
+        found = linked(last)
+        free()
         if not dense.isEmpty():
             # Those that share no list with another part have nothing to find.
             theirs = open_.select("node", "part", "hood").distinct().join(dense.select(F.explode(F.array("a", "b")).alias("hood")).distinct(), "hood", "left_semi")
