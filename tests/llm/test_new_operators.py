@@ -561,13 +561,17 @@ def test_keys_grow_with_the_nodes():
     assert apart[:, ::64].all() and (simhash_dedup.wide_keys(prints)[:, ::64] == simhash_dedup.wide_keys(other)[:, ::64]).all()
 
 
-def test_copies_post_their_prefix_once(spark):
-    """A text that occurs in many rows is one node of its lists."""
+def test_copies_post_their_prefix_once(spark, monkeypatch):
+    """A text that occurs in many rows and tasks is one node of its lists."""
     nodes = spark.createDataFrame([(k, k, k, 0, 100 + k) for k in range(3)], "node long, part long, size long, hood long, code long")
-    prefix = np.array([7, 8], np.int64)
-    rows = [(100, prefix.tobytes())] * 9 + [(101, prefix[:1].tobytes())] * 2 + [(102, prefix[1:].tobytes()), (100, prefix.tobytes())]
-    got = simhash_dedup.open_lists(nodes, spark.createDataFrame(rows, "code long, prefix binary").repartition(3)).collect()
+    rows = [(7, 100), (8, 100)] * 9 + [(7, 101)] * 2 + [(8, 102), (9, 102), (9, 102)]
+    got = simhash_dedup.open_lists(nodes, spark.createDataFrame(rows, "key long, code long").repartition(3)).collect()
     assert sorted((r.key, r.node) for r in got) == [(7, 0), (7, 1), (8, 0), (8, 2)]
+    monkeypatch.setattr(simhash_dedup, "CODES_HELD", 2)
+    told, prefixes = set(), [np.array([7, 2**64 - 1], np.uint64), np.empty(0, np.uint64), np.array([9], np.uint64)]
+    assert [x.to_pylist() for x in simhash_dedup.postings(told, [1, 2, 3], prefixes)] == [[7, -1, 9], [1, 1, 3]]
+    assert [x.to_pylist() for x in simhash_dedup.postings(told, [1, 2, 3], prefixes)] == [[9], [3]]
+    assert [x.to_pylist() for x in simhash_dedup.postings(told, [1, 2], prefixes[:2])] == [[], []]
 
 
 def test_files_of_tables_that_are_no_longer_used_go(spark):

@@ -106,7 +106,7 @@ def map_texts(
     """The columns `keep`, then `fields`, made by Python workers from slices of texts in UTF-8.
 
     `start` runs once for each task and returns the function that turns a slice of texts, in which
-    None stands for null, into one Arrow array for each of `fields`.
+    None stands for null, into one Arrow array for each of `fields`; of any length, if nothing is kept.
     """
     picked = df.select(*keep, F.col(text_col).cast("string").cast("binary").alias("__text"))
     schema = T.StructType([*(picked.schema[c] for c in keep), *fields])

@@ -320,29 +320,33 @@ def unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.filter(pa.array(keep))
 
 
-def open_lists(nodes: DataFrame, prefixes: DataFrame | None = None) -> DataFrame:
+def postings(told: set[int], codes: list[int], prefixes: list[np.ndarray]) -> list[pa.Array]:
+    """Key and code of each shingle of these texts' prefixes, but for texts of codes that are `told`, which gets the new ones."""
+    new = []
+    for i, code in enumerate(codes):
+        if code not in told:
+            new.append(i)
+            if len(told) < CODES_HELD:
+                told.add(code)
+    keys = np.concatenate([np.empty(0, np.int64), *(prefixes[i].view(np.int64) for i in new)])
+    return [pa.array(keys), pa.array(np.repeat(np.array([codes[i] for i in new], np.int64), [len(prefixes[i]) for i in new]))]
+
+
+def open_lists(nodes: DataFrame, posted: DataFrame | None = None) -> DataFrame:
     """The lists of prefixes in which two parts or more meet, as (key, node, part, hood, main); `main` is the part of the most nodes.
-    nodes: node, part, hood, and their prefix; or else code, by which `prefixes` has (code, prefix), copies as often as they occur.
+    nodes: node, part, hood, and their prefix; or else code, by which `posted` has (key, code), copies as often as they occur.
 
     What is shuffled of each shingle is its hash and a code alone; of lists of two codes or more, few, parts are told then."""
-    if prefixes is None:
-        nodes = nodes.withColumn("code", F.col("node"))
-        prefixes = nodes.select("code", "prefix")
 
     def post(batches):
         told = set()
         for batch in batches:
-            keys, codes = [], []
-            for code, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if code not in told:
-                    if len(told) < CODES_HELD:
-                        told.add(code)
-                    keys.append(np.frombuffer(x, np.int64))
-                    codes.append(np.full(len(keys[-1]), code))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(codes))], names=["key", "code"])
-
-    posted = prefixes.select("code", "prefix").mapInArrow(post, "key long, code long")
+            made = postings(told, batch.column(0).to_pylist(), [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays(made, names=["key", "code"])
+
+    if posted is None:
+        nodes = nodes.withColumn("code", F.col("node"))
+        posted = nodes.select("code", "prefix").mapInArrow(post, "key long, code long")
     met = posted.repartition("key").sortWithinPartitions("key", "code").mapInArrow(lambda batches: list_rows(unlike(batches)), "key long, hub long, code long")
     kept = met.select("key", "code").join(nodes.select("code", "node", "part", "hood"), "code")
     of_key, of_part = Window.partitionBy("key"), Window.partitionBy("key", "part")
@@ -498,24 +502,27 @@ def similar_texts(
     tuned(docs.sparkSession)
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     bodies = docs.select(F.col(id_col), body.alias("__body"), F.xxhash64(body).alias("text_hash"))
-    binary = lambda *names: [T.StructField(c, T.BinaryType()) for c in names]
+    binary, long = (lambda *names, kind=kind: [T.StructField(c, kind) for c in names] for kind in (T.BinaryType(), T.LongType()))
     frequent = frequent_shingles(bodies.select("text_hash", "__body"), shingle)
     places = np.argsort(frequent, kind="stable")
     order = docs.sparkSession.sparkContext.broadcast((frequent[places], places))
 
-    def digests(texts):
-        return pa.array([xxhash.xxh3_128_digest(b" ".join((t or b"").lower().split())) for t in texts], pa.binary())
+    def digest_of(text):
+        return xxhash.xxh3_128_digest(b" ".join((text or b"").lower().split()))
+
+    code_of = lambda digest: int.from_bytes(digest[:8], "little", signed=True)
 
     def printed(texts):
-        sets = [shingle_hashes(t, shingle) for t in texts]
-        return [digests(texts), pa.array([wide_print(h) for h in sets], pa.binary()), pa.array([len(h) for h in sets], pa.int64())]
+        digests, sets = [digest_of(t) for t in texts], [shingle_hashes(t, shingle) for t in texts]
+        numbers = ([code_of(d) for d in digests], [len(h) for h in sets])
+        return [pa.array(digests, pa.binary()), pa.array([wide_print(h) for h in sets], pa.binary()), *(pa.array(x, pa.int64()) for x in numbers)]
 
-    def prefixed():
-        by_hash, places = order.value
-        return lambda texts: [digests(texts), pa.array([prefix(shingle_hashes(t, shingle), by_hash, places, similarity).tobytes() for t in texts], pa.binary())]
+    def posting():
+        (by_hash, places), told = order.value, set()
+        return lambda texts: postings(told, [code_of(digest_of(t)) for t in texts], [prefix(shingle_hashes(t, shingle), by_hash, places, similarity) for t in texts])
 
-    prints = shared_checkpoint(map_texts(bodies, [id_col, "text_hash"], "__body", [*binary("digest", "fp"), T.StructField("size", T.LongType())], lambda: printed))
-    grouped = prints.groupBy("digest").agg(F.min(id_col).alias("least_id"), *(F.min_by(c, "text_hash").alias(c) for c in ("fp", "size")), F.min("text_hash").alias("text_hash"))
+    prints = shared_checkpoint(map_texts(bodies, [id_col, "text_hash"], "__body", [*binary("digest", "fp"), *long("code", "size")], lambda: printed))
+    grouped = prints.groupBy("digest").agg(F.min(id_col).alias("least_id"), *(F.min_by(c, "text_hash").alias(c) for c in ("fp", "code", "size")), F.min("text_hash").alias("text_hash"))
     classes = shared_checkpoint(grouped.withColumn("node", F.monotonically_increasing_id()))
     free = (lambda: freed(docs.sparkSession)) if classes.count() >= MANY else (lambda: None)
     lists = shared_checkpoint(centred(shared_checkpoint(listed(classes))))
@@ -538,12 +545,12 @@ def similar_texts(
     roots = components(links_)
     # Neighbourhoods: nodes of one heaviest hub. Where two of them meet in many lists, pairs are found in blocks.
     hoods = lists.groupBy("node").agg(heaviest.alias("hood"))
-    sorted_in = classes.select("node", F.xxhash64("digest").alias("code"), "size").join(roots.withColumnRenamed("root", "part"), "node", "left").join(hoods, "node", "left")
+    sorted_in = classes.select("node", "code", "size").join(roots.withColumnRenamed("root", "part"), "node", "left").join(hoods, "node", "left")
     nodes = shared_checkpoint(sorted_in.select("node", "code", "size", *(F.coalesce(c, "node").alias(c) for c in ("part", "hood"))))
     free()
     # Prefixes are made from the texts where they are posted, since they are a fifth of all shingles and not kept.
-    prefixes = map_texts(bodies, [], "__body", binary("digest", "prefix"), prefixed).select(F.xxhash64("digest").alias("code"), "prefix")
-    open_ = shared_checkpoint(open_lists(nodes, prefixes))
+    posted = map_texts(bodies, [], "__body", long("key", "code"), posting)
+    open_ = shared_checkpoint(open_lists(nodes, posted))
     free()
     if not open_.isEmpty():
         sizes = nodes.groupBy("hood").agg(F.count("*").alias("n"))
